@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .quality_rules import quality_rules
+from .secrets import KINDS, fit_markov, labelled_samples, made_samples, scan_secrets, span_text
 from .sharding import shard_rows
+from .simhash import simhash_groups
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +18,21 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_markov(labelled_samples(docs).unionByName(made_samples(spark)))
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("secrets", lambda s: s["kind"] != "markov")
+    return scan_secrets(docs, model).select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in KINDS], F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("secrets")).alias("spans")
+    )
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
@@ -23,7 +40,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op5_quality_rules": op5_quality_rules, "op10_sharding": op10_sharding}
+    return {"op3_secret_scan": op3_secret_scan, "op5_quality_rules": op5_quality_rules, "op8_simhash": op8_simhash, "op10_sharding": op10_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
