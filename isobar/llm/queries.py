@@ -10,6 +10,7 @@ from .quality_rules import quality_rules
 from .secrets import KINDS, fit_markov, labelled_samples, made_samples, scan_secrets, span_text
 from .sharding import shard_rows
 from .simhash import simhash_groups
+from .substring_dedup import substring_dedup
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +29,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup(table(spark, sf_dir, "documents"), 50)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -40,7 +46,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op3_secret_scan": op3_secret_scan, "op5_quality_rules": op5_quality_rules, "op8_simhash": op8_simhash, "op10_sharding": op10_sharding}
+    return {"op3_secret_scan": op3_secret_scan, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op8_simhash": op8_simhash, "op10_sharding": op10_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
