@@ -11,6 +11,7 @@ from .secrets import KINDS, fit_markov, labelled_samples, made_samples, scan_sec
 from .sharding import shard_rows
 from .simhash import simhash_groups
 from .substring_dedup import substring_dedup
+from .token_output import token_output
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +40,13 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    found = token_output(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
@@ -46,7 +54,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op3_secret_scan": op3_secret_scan, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op8_simhash": op8_simhash, "op10_sharding": op10_sharding}
+    return {"op3_secret_scan": op3_secret_scan, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op8_simhash": op8_simhash, "op9_token_output": op9_token_output, "op10_sharding": op10_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
