@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .decontaminate import contaminated
+from .mixing import fit_domains, mix
 from .quality_rules import quality_rules
 from .secrets import KINDS, fit_markov, labelled_samples, made_samples, scan_secrets, span_text
 from .sharding import shard_rows
@@ -20,6 +22,28 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Domains (languages) and their shares of the tokens of a mixture.
+WEIGHTS = {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}
+#: Labelled rows that the domain classifier is fitted on at most: those with the least hashes of their ids.
+DOMAIN_SAMPLE = 10_000
+
+
+def domain_model(spark: SparkSession, sf_dir: str) -> dict[str, list[float]]:
+    """Language models of the documents that labels names."""
+    ids = table(spark, sf_dir, "labels").filter("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(DOMAIN_SAMPLE)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("domain"))
+    return fit_domains(docs.join(F.broadcast(ids), "doc_id"), list(WEIGHTS))
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mix(table(spark, sf_dir, "documents").select("doc_id", "text"), domain_model(spark, sf_dir), WEIGHTS)
+    return found.select("doc_id", "n_tokens", *[F.get("p", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(WEIGHTS)], "rate", "copies")
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = fit_markov(labelled_samples(docs).unionByName(made_samples(spark)))
@@ -54,7 +78,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op3_secret_scan": op3_secret_scan, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op8_simhash": op8_simhash, "op9_token_output": op9_token_output, "op10_sharding": op10_sharding}
+    return {"op1_mixing": op1_mixing, "op2_decontaminate": op2_decontaminate, "op3_secret_scan": op3_secret_scan, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op8_simhash": op8_simhash, "op9_token_output": op9_token_output, "op10_sharding": op10_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
