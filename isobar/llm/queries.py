@@ -14,6 +14,16 @@ from .sharding import shard_rows
 from .simhash import simhash_groups
 from .substring_dedup import substring_dedup
 from .token_output import token_output
+from .toxicity import fit_toxicity, score_toxicity
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    labels = table(spark, sf_dir, "labels").filter("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    model = fit_toxicity(docs.join(labels, "doc_id").filter(~held_out))
+    found = score_toxicity(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted", "n_toxic_words")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +88,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_mixing": op1_mixing, "op2_decontaminate": op2_decontaminate, "op3_secret_scan": op3_secret_scan, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op8_simhash": op8_simhash, "op9_token_output": op9_token_output, "op10_sharding": op10_sharding}
+    return {"op1_mixing": op1_mixing, "op2_decontaminate": op2_decontaminate, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op8_simhash": op8_simhash, "op9_token_output": op9_token_output, "op10_sharding": op10_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
