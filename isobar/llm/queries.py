@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontaminate import contaminated
+from .line_dedup import line_dedup
 from .mixing import fit_domains, mix
 from .quality_rules import quality_rules
 from .secrets import KINDS, fit_markov, labelled_samples, made_samples, scan_secrets, span_text
@@ -69,6 +70,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = line_dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "longest_run", "n_runs", F.sha2("clean_text", 256).alias("clean_sha256"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -88,7 +94,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op1_mixing": op1_mixing, "op2_decontaminate": op2_decontaminate, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op8_simhash": op8_simhash, "op9_token_output": op9_token_output, "op10_sharding": op10_sharding}
+    return {"op1_mixing": op1_mixing, "op2_decontaminate": op2_decontaminate, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op7_line_dedup": op7_line_dedup, "op8_simhash": op8_simhash, "op9_token_output": op9_token_output, "op10_sharding": op10_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
