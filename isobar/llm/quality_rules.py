@@ -101,6 +101,8 @@ def quality_rules(
         }
     ).drop("_words", "_lines", "_full", "_good")
     df = repeated_words("_hashes", 5, df, "n_repeat_words")
-    df = df.withColumn("base_failed", (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > round(100 * most_repeated) * F.col("n_words")))
+    # a filter on the verdict would be pushed below the steps above and compute them anew inside each other; it stops at this column
+    df = df.withColumn("_here", F.monotonically_increasing_id() >= 0)
+    df = df.withColumn("base_failed", ~F.col("_here") | (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > round(100 * most_repeated) * F.col("n_words")))
     df = df.withColumn("kept", ~F.col("base_failed") & (F.col("_all_chars") - F.col("_good_chars") <= most_lost * F.col("_all_chars")))
-    return df.drop("_text", "_hashes", "_all_chars", "_good_chars")
+    return df.drop("_text", "_hashes", "_here", "_all_chars", "_good_chars")
