@@ -15,7 +15,7 @@ _STEP = np.uint64(0xD6E8FEB86659FD93)
 _SPACES = np.zeros(256, bool)
 _SPACES[[32, 9, 10, 11, 12, 13]] = True
 #: Bytes of text that are taken at once (a longer text is taken alone).
-PIECE = 4 << 20
+PIECE = 2 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:

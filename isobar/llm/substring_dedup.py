@@ -82,7 +82,7 @@ def sketch(docs: DataFrame, size: int, bits: int) -> list[np.ndarray]:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = (np.zeros((ROWS, bits), bool) for _ in range(2))
+        cells = np.zeros((ROWS, bits), np.uint8)  # saturated at 2
         for b in batches:
             for start, end in pieces(b.column(0)):
                 s = Segments(b.column(0).slice(start, end - start), size)
@@ -91,13 +91,10 @@ def sketch(docs: DataFrame, size: int, bits: int) -> list[np.ndarray]:
                 single = np.ones(len(order), bool)
                 single[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])
                 for r, cell in enumerate(_cells(anchor[single], bits)):
-                    cell = np.sort(cell)
-                    again = cell[1:][cell[1:] == cell[:-1]]
-                    twice[r, cell[once[r, cell]]] = True
-                    twice[r, again] = True
-                    once[r, cell] = True
+                    cell, n = np.unique(cell, return_counts=True)
+                    cells[r, cell] = np.minimum(cells[r, cell] + n, 2)
         for r in range(ROWS):
-            a, z = (np.packbits(x[r].reshape(-1, BLOCK_BITS), axis=1) for x in (once, twice))
+            a, z = (np.packbits((cells[r] >= least).reshape(-1, BLOCK_BITS), axis=1) for least in (1, 2))
             full = np.flatnonzero(a.any(1))
             if len(full):
                 cols = [pa.array(np.full(len(full), r, np.int32)), pa.array(full.astype(np.int32)), pa.array([x.tobytes() for x in a[full]]), pa.array([x.tobytes() for x in z[full]])]
@@ -127,7 +124,7 @@ def sketch(docs: DataFrame, size: int, bits: int) -> list[np.ndarray]:
     return [x.ravel() for x in found]
 
 
-def repeated_ranges(docs: DataFrame, size: int = 50, bits: int = 1 << 26) -> DataFrame:
+def repeated_ranges(docs: DataFrame, size: int = 50, bits: int = 1 << 25) -> DataFrame:
     """(doc_id, first, windows): ranges of windows, by first word, that also start in a document with a smaller id.
 
     docs has doc_id and text; bits is the number of cells in a row of the sketch (bits / 8 bytes are broadcast a row).
@@ -174,7 +171,7 @@ def repeated_ranges(docs: DataFrame, size: int = 50, bits: int = 1 << 26) -> Dat
     return later.unionByName(same)
 
 
-def substring_dedup(docs: DataFrame, size: int = 50, bits: int = 1 << 26) -> DataFrame:
+def substring_dedup(docs: DataFrame, size: int = 50, bits: int = 1 << 25) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text and removed (array of start and end of word runs) for every row of docs.
 
     docs has doc_id and text; a null text has no words. Rows with the same doc_id are one document's parts for the question
