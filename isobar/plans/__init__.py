@@ -1,11 +1,15 @@
-"""Registered queries of the library and their DuckDB SQL."""
+"""Registered queries of the library and their DuckDB SQL: each applies one operator to a whole table."""
 
 from __future__ import annotations
 
+from . import consensus, grids, hazards, learning
+
+_PLANS = (consensus, learning, grids, hazards)
+
 
 def queries() -> dict:
-    return {}
+    return {k: q for p in _PLANS for k, (q, _) in p.PLANS.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: sql for p in _PLANS for k, (_, sql) in p.PLANS.items() if sql}
