@@ -14,11 +14,12 @@ def quantize_roundtrip(spark, d):
     return rows.select("l_orderkey", "l_linenumber", "raw", F.round(G.dequantised(F.col("raw"), F.col("scale"), F.col("offset")), 6).alias("value"))
 
 
-X, Y = (F.col("vec_id") * 3 % 32 / F.lit(4.0)), (F.col("vec_id") * 5 % 28 / F.lit(4.0))
+def _point():
+    return F.col("vec_id") * 3 % 32 / F.lit(4.0), F.col("vec_id") * 5 % 28 / F.lit(4.0)
 
 
 def bilinear_sample(spark, d):
-    return t(spark, d, "embeddings").select("vec_id", F.round(G.bilinear(F.col("embedding"), 8, 8, X, Y), 9).alias("value"))
+    return t(spark, d, "embeddings").select("vec_id", F.round(G.bilinear(F.col("embedding"), 8, 8, *_point()), 9).alias("value"))
 
 
 def overview_stride(spark, d):
@@ -62,11 +63,13 @@ def model_envelope(spark, d):
 
 
 C = F.col
-CLOUD, RAIN, CONV, SNOW, TEMP, DEW = C("l_tax") * 12.5, C("l_quantity") / 5 - 2, C("l_discount") * 6, C("l_linenumber") / 10 - 0.3, 263.15 + C("l_quantity"), 260.15 + C("l_quantity") + C("l_linenumber")
+def _fields():
+    """Cloud, rain, convective rain, snow, temperature and dewpoint."""
+    return C("l_tax") * 12.5, C("l_quantity") / 5 - 2, C("l_discount") * 6, C("l_linenumber") / 10 - 0.3, 263.15 + C("l_quantity"), 260.15 + C("l_quantity") + C("l_linenumber")
 
 
 def condition_from_fields(spark, d):
-    return t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", conditions.condition(CLOUD, RAIN, CONV, SNOW, TEMP, DEW).alias("condition"))
+    return t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", conditions.condition(*_fields()).alias("condition"))
 
 
 def wmo_code(spark, d):

@@ -10,13 +10,18 @@ from ..operators import feeds
 from .consensus import t
 
 C = F.col
-WORD = F.element_at(F.array(*[F.lit(x) for x in ("Flood warning", "ice alert", "Tropical Storm", "quake", "Hail", "hot day", "gale", "notice", "forest fire", "fog")]), (C("doc_id") % 10 + 1).cast("int"))
+
+
+def _word():
+    return F.element_at(F.array(*[F.lit(x) for x in ("Flood warning", "ice alert", "Tropical Storm", "quake", "Hail", "hot day", "gale", "notice", "forest fire", "fog")]), (C("doc_id") % 10 + 1).cast("int"))
+
+
 WORD_SQL = "['Flood warning', 'ice alert', 'Tropical Storm', 'quake', 'Hail', 'hot day', 'gale', 'notice', 'forest fire', 'fog'][doc_id % 10 + 1]"
 CASE_SQL = "case " + " ".join(f"when regexp_matches(lower(e), '{'|'.join(p)}') then '{n}'" for n, p in H.CATEGORIES) + " else 'weather' end"
 
 
 def category_rules(spark, d):
-    return t(spark, d, "documents").select("doc_id", H.category(WORD).alias("category"), feeds.output_of(H.category(WORD)).alias("output"))
+    return t(spark, d, "documents").select("doc_id", H.category(_word()).alias("category"), feeds.output_of(H.category(_word())).alias("output"))
 
 
 def category_of_text(spark, d):
@@ -37,7 +42,7 @@ def stable_id(spark, d):
 
 
 def category_partition_counts(spark, d):
-    rows = t(spark, d, "documents").select(feeds.output_of(H.category(WORD)).alias("output"), "source")
+    rows = t(spark, d, "documents").select(feeds.output_of(H.category(_word())).alias("output"), "source")
     return rows.groupBy("output", "source").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -76,7 +81,7 @@ def magnitude_severity(spark, d):
 
 
 def bulletin_severity(spark, d):
-    return t(spark, d, "documents").select("doc_id", H.bulletin_severity(WORD).alias("severity"))
+    return t(spark, d, "documents").select("doc_id", H.bulletin_severity(_word()).alias("severity"))
 
 
 def warning_codes(spark, d):
@@ -89,7 +94,7 @@ def acquisition_times(spark, d):
 
 
 def hazard_features(spark, d):
-    raw = {"provider": C("source"), "event": WORD, "severity": C("lang"), "headline": F.substring("text", 1, 0), "effective": F.lit("2024-01-01T00:00:00Z"), "expires": F.lit("Wed, 01 May"), "area": C("lang")}
+    raw = {"provider": C("source"), "event": _word(), "severity": C("lang"), "headline": F.substring("text", 1, 0), "effective": F.lit("2024-01-01T00:00:00Z"), "expires": F.lit("Wed, 01 May"), "area": C("lang")}
     return t(spark, d, "documents").select("doc_id", *feeds.feature(raw))
 
 

@@ -58,16 +58,17 @@ def lead_bucket(spark, d):
     return t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", K.lead_bucket((F.col("l_orderkey") % 240).cast("int")).alias("bucket"))
 
 
-LAT, LON = (F.col("c_custkey") % 181 - 90).cast("double"), (F.col("c_custkey") * 7 % 360 - 180).cast("double")
+def _place():
+    return (F.col("c_custkey") % 181 - 90).cast("double"), (F.col("c_custkey") * 7 % 360 - 180).cast("double")
 
 
 def region_key(spark, d):
-    return t(spark, d, "customer").select("c_custkey", K.region_key(LAT, LON).alias("region"))
+    return t(spark, d, "customer").select("c_custkey", K.region_key(*_place()).alias("region"))
 
 
 def tile_pack_keys(spark, d):
-    south, west = K.pack_origin(LAT, LON)
-    return t(spark, d, "customer").select("c_custkey", K.tile_name(LAT, LON).alias("tile"), south.alias("pack_lat"), west.alias("pack_lon"))
+    south, west = K.pack_origin(*_place())
+    return t(spark, d, "customer").select("c_custkey", K.tile_name(*_place()).alias("tile"), south.alias("pack_lat"), west.alias("pack_lon"))
 
 
 def day_night_bias(spark, d):
