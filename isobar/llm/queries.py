@@ -9,6 +9,7 @@ from .common import table
 from .decontaminate import contaminated
 from .line_dedup import line_dedup
 from .mixing import fit_domains, mix
+from .oracle import SQL
 from .quality_rules import quality_rules
 from .secrets import KINDS, fit_markov, labelled_samples, made_samples, scan_secrets, span_text
 from .sharding import shard_rows
@@ -98,4 +99,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
