@@ -16,7 +16,7 @@ from .hashed import mix, window_hashes
 
 WINDOW = 5
 #: A window with fewer words of its own says little; it is not looked for.
-LITERALS = 3
+LITERALS = 2
 UNITS = frozenset("mm cm m km in ft yd mi mg g kg t lb lbs oz ml l s sec min h hr hrs ms hz khz mhz w kw v a k c f pa hpa kpa bar j kj mph kmh km/h m/s usd eur gbp percent degrees meters metres kilometers grams kilograms liters litres seconds minutes hours days weeks months years dollars euros pounds cents".split())
 _STRIP = "\"'`.,;:!?()[]{}<>«»“”‘’…*#$%&|-–—"
 _NUMBER, _UNIT, _NAME = 1, 2, 3
@@ -106,7 +106,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, siev
     places of template windows in the item, n_matched those found in the document; only runs of one alignment count whose
     slots are consistent (the same value in the item is the same value in the document). Items are found at a coverage of
     least or more. verbatim: all matched slots hold the item's own values. Null and short texts (under five words, or under
-    three of its own in any window) hold and match nothing; repeated rows of one id are one document; rows with a null id
+    two of its own in any window) hold and match nothing; repeated rows of one id are one document; rows with a null id
     match nothing. What is broadcast is a bitmap of sieve_bits, whatever the benchmark's size; beyond that size it lets
     more windows through to the join, which compares all 64 bits.
     """

@@ -63,9 +63,11 @@ def made_samples(spark: SparkSession, n: int = 1000) -> DataFrame:
     return spark.range(n).select(F.explode(F.array(F.base64(F.unhex(digest)), capitals, F.substring(digest, 1, 40))).alias("sample"), F.lit(True).alias("random"))
 
 
-def fit_markov(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
+def fit_markov(samples: DataFrame, smoothing: float = 0.5, prior: float = 4.0) -> list[float]:
     """Log ratios log(P(b|a, random) / P(b|a, ordinary)) at index 128 * a + b, from columns sample and random.
 
+    The counts after a count as prior further ones in the proportions of single characters (each with smoothing more).
+
     Null samples and labels, and characters beyond ASCII, count nothing; classes without samples are uniform.
     """
     pair = F.transform(F.sequence(F.lit(1), F.length("sample") - 1), lambda i: F.ascii(F.substr("sample", i, F.lit(1))) * CODES + F.ascii(F.substr("sample", i + 1, F.lit(1))))
@@ -78,11 +80,14 @@ def fit_markov(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
     n = {False: [0.0] * CODES**2, True: [0.0] * CODES**2}
     for row in counts.collect():  # at most 2 * 128 * 128 rows
         n[row["random"]][row["pair"]] = row["n"]
-    known = len({b for c in n.values() for i, v in enumerate(c) if v for b in (i // CODES, i % CODES)}) or 1
-    ratios = []
-    for a in range(CODES):
-        sums = {c: sum(n[c][a * CODES : (a + 1) * CODES]) + smoothing * known for c in n}
-        ratios += [math.log((n[True][i] + smoothing) / sums[True]) - math.log((n[False][i] + smoothing) / sums[False]) for i in range(a * CODES, (a + 1) * CODES)]
+    known = sorted({b for c in n.values() for i, v in enumerate(c) if v for b in (i // CODES, i % CODES)})
+    logs = {}
+    for c, counts in n.items():
+        after = [sum(counts[b::CODES]) + smoothing for b in range(CODES)]
+        alone = [x / sum(after[b] for b in known) if known else 1.0 for x in after]  # of a character, whatever stands before
+        sums = [sum(counts[a * CODES : (a + 1) * CODES]) for a in range(CODES)]
+        logs[c] = [math.log((v + prior * alone[i % CODES]) / (sums[i // CODES] + prior)) for i, v in enumerate(counts)]
+    ratios = [x - y for x, y in zip(logs[True], logs[False], strict=True)]
     return ratios
 
 
