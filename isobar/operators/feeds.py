@@ -31,6 +31,17 @@ def feature(raw: dict[str, Column]) -> list[Column]:
     ]
 
 
+def clean_properties(properties: Column) -> Column:
+    """A map without null and blank values."""
+    return F.map_filter(properties, lambda _, v: F.coalesce(F.trim(v) != "", F.lit(False)))
+
+
+def merged_lookup(groups: DataFrame, key: str, order: str) -> DataFrame:
+    """Of each key the row of the last group that has it."""
+    values = [c for c in groups.columns if c != key]
+    return groups.groupBy(key).agg(F.max_by(F.struct(*values), order).alias("_v")).select(key, "_v.*")
+
+
 def output_of(category: Column) -> Column:
     """The output that a category goes to; each goes to exactly one."""
     return F.when(category == "tropical", "tropical").when(category == "fire", "fires").when(category == "flood", "floods").when(category == "earthquake", "earthquakes").otherwise("alerts")

@@ -25,11 +25,12 @@ def dequantised(raw: Column, scale: Column, offset: Column) -> Column:
     return F.when(raw != MISSING, raw * scale + offset)
 
 
-def bilinear(plane: Column, width: int, height: int, x: Column, y: Column) -> Column:
+def bilinear(plane: Column, width: int | Column, height: int | Column, x: Column, y: Column) -> Column:
     """Value of a plane (row by row) at column x and row y: corners weighted by nearness, missing ones left out, null if none is left."""
-    cx, cy = F.least(F.greatest(x, F.lit(0.0)), F.lit(width - 1.0)), F.least(F.greatest(y, F.lit(0.0)), F.lit(height - 1.0))
+    last = lambda n: n - 1 if isinstance(n, Column) else F.lit(n - 1)
+    cx, cy = F.least(F.greatest(x, F.lit(0.0)), last(width).cast("double")), F.least(F.greatest(y, F.lit(0.0)), last(height).cast("double"))
     x0, y0 = F.floor(cx).cast("int"), F.floor(cy).cast("int")
-    x1, y1 = F.least(x0 + 1, F.lit(width - 1)), F.least(y0 + 1, F.lit(height - 1))
+    x1, y1 = F.least(x0 + 1, last(width)), F.least(y0 + 1, last(height))
     fx, fy = cx - x0, cy - y0
     corners = [(x0, y0, (1 - fx) * (1 - fy)), (x1, y0, fx * (1 - fy)), (x0, y1, (1 - fx) * fy), (x1, y1, fx * fy)]
     value = lambda i, j: F.nanvl(F.get(plane, j * width + i).cast("double"), F.lit(None).cast("double"))
@@ -77,3 +78,29 @@ def interval_amounts(df: DataFrame, by: list[str], order: str, value: str, runni
 def byte_ranges(df: DataFrame, by: list[str], order: str, offset: str) -> DataFrame:
     """df with range_end: the byte before the next message of the file; null for the last."""
     return df.withColumn("range_end", F.lead(offset).over(Window.partitionBy(*by).orderBy(order)) - 1)
+
+
+def aligned(models: dict[str, DataFrame], on: list[str], value: str) -> DataFrame:
+    """The cells that all models have, with a column of each model's values."""
+    out = None
+    for name, df in models.items():
+        own = df.select(*on, F.col(value).alias(name))
+        out = own if out is None else out.join(own, on)
+    return out
+
+
+def with_channels(tiles: DataFrame, extra: DataFrame, on: list[str], channel: str) -> DataFrame:
+    """tiles and those channels of extra that stand for a tile's key and aren't in it yet."""
+    wanted = extra.join(tiles.select(*on).distinct(), on, "left_semi").join(tiles.select(*on, channel), [*on, channel], "left_anti")
+    return tiles.unionByName(wanted.select(*tiles.columns))
+
+
+def on_geometry(plane: Column, source: Column, target: Column) -> Column:
+    """A plane as it is where both geometries (structs of lon0, lat0, dx, dy, width, height) are alike, else sampled by bilinear weights at the target's cells."""
+    n = target["width"] * target["height"]
+
+    def cell(i: Column) -> Column:
+        lon, lat = target["lon0"] + i % target["width"] * target["dx"], target["lat0"] + F.floor(i / target["width"]) * target["dy"]
+        return bilinear(plane, source["width"], source["height"], (lon - source["lon0"]) / source["dx"], (lat - source["lat0"]) / source["dy"])
+
+    return F.when(source == target, plane.cast("array<double>")).otherwise(F.transform(F.sequence(F.lit(0), n - 1), cell))

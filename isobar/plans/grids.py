@@ -68,6 +68,22 @@ def _fields():
     return C("l_tax") * 12.5, C("l_quantity") / 5 - 2, C("l_discount") * 6, C("l_linenumber") / 10 - 0.3, 263.15 + C("l_quantity"), 260.15 + C("l_quantity") + C("l_linenumber")
 
 
+def aligned_models(spark, d):
+    rows = t(spark, d, "lineitem").groupBy("l_partkey", "l_returnflag").agg(F.max("l_quantity").alias("v"))
+    return G.aligned({f: rows.filter(C("l_returnflag") == f) for f in ("A", "N", "R")}, ["l_partkey"], "v")
+
+
+def added_channels(spark, d):
+    rows = t(spark, d, "lineitem").groupBy((C("l_partkey") % 500).alias("tile"), C("l_linenumber").alias("channel")).agg(F.max("l_extendedprice").alias("v"))
+    return G.with_channels(rows.filter("tile < 200 and channel <> tile % 7"), rows.filter("channel <= 4"), ["tile"], "channel")
+
+
+def resampled_planes(spark, d):
+    at = lambda lon, n: F.struct(F.lit(lon).alias("lon0"), F.lit(1.0).alias("lat0"), F.lit(1.0).alias("dx"), F.lit(-1.0).alias("dy"), F.lit(n).alias("width"), F.lit(n).alias("height"))
+    planes = t(spark, d, "embeddings").select("vec_id", G.on_geometry(C("embedding"), at(0.0, 8), at(0.5, 4)).alias("p"))
+    return planes.select("vec_id", F.size("p").alias("n"), F.round(F.get("p", F.lit(5)), 9).alias("fifth"))
+
+
 def condition_from_fields(spark, d):
     return t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", conditions.condition(*_fields()).alias("condition"))
 
@@ -120,6 +136,10 @@ PLANS = {
     "idx_byte_ranges": (idx_byte_ranges, """select o_custkey, o_orderkey, o_orderkey * 100 as "offset", lead(o_orderkey * 100) over (partition by o_custkey order by o_orderkey) - 1 as range_end from orders"""),
     "regrid_nearest": (regrid_nearest, """with s as (select (p_partkey % 46)::int y, (p_partkey % 91)::int x, max(p_retailprice) price from part group by all), g as (select c_custkey, round_even(((c_custkey % 181 - 90 + 0.3)::double + 90) / 4, 0)::int y, round_even(((c_custkey * 7 % 360 - 180 + 0.2)::double + 180) / 4, 0)::int x from customer) select c_custkey, y, x, price from g left join s using (y, x)"""),
     "model_envelope": (model_envelope, "select l_partkey, min(l_extendedprice) low, max(l_extendedprice) high, count(distinct l_suppkey) n_models from lineitem group by 1"),
+    "aligned_models": (aligned_models, """select * from (select l_partkey, max(l_quantity) filter (l_returnflag = 'A') "A", max(l_quantity) filter (l_returnflag = 'N') "N", max(l_quantity) filter (l_returnflag = 'R') "R" from lineitem group by 1) where "A" is not null and "N" is not null and "R" is not null"""),
+    "added_channels": (added_channels, """with r as (select l_partkey % 500 tile, l_linenumber channel, max(l_extendedprice) v from lineitem group by all), a as (select * from r where tile < 200 and channel <> tile % 7)
+        select * from a union all select * from r where channel <= 4 and tile in (select tile from a) and (tile, channel) not in (select (tile, channel) from a)"""),
+    "resampled_planes": (resampled_planes, "select vec_id, 16 as n, round((embedding[10]::double * 0.5 + embedding[11]::double * 0.5) / 1.0, 9) as fifth from embeddings"),
     "condition_from_fields": (condition_from_fields, f"select l_orderkey, l_linenumber, {COND} as condition from lineitem"),
     "wmo_code": (wmo_code, "with e as (select event_id, event_id % 100 c from events) select event_id, (case when c in (96, 99) then 15 when c between 95 and 99 then 13 when c between 68 and 79 or c between 85 and 86 then 11 when c in (66, 67) then 9 when c between 61 and 65 or c between 80 and 82 then 7 when c between 51 and 57 then 6 when c between 45 and 48 then 14 else event_id % 5 + 1 end)::int as condition from e"),
     "condition_pairs": (condition_pairs, "select event_id, ((event_id % 16) + (event_id % 13) * 16)::int as pair from events"),

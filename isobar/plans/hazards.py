@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import geometry
 from ..functions import hazards as H
 from ..functions import keys as K
 from ..operators import feeds
+from ..sources import catalog
 from .consensus import t
 
 C = F.col
@@ -127,6 +129,34 @@ def manifest_summary(spark, d):
     return t(spark, d, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n_features"), F.count_distinct("lang").alias("n_langs"), F.max("doc_id").alias("last_id"), F.array_join(F.array_sort(F.collect_set("lang")), ",").alias("langs"))
 
 
+def run_fallback(spark, d):
+    runs = t(spark, d, "orders").select("o_orderkey", C("o_orderdate").cast("timestamp").alias("run"), (C("o_orderkey") % 120).cast("int").alias("lead"))
+    tried = catalog.candidate_runs(runs, "run", "lead")
+    there = tried.select("run", "lead").filter((F.unix_micros("run") / 3600000000 / 6 + C("lead")).cast("long") % 3 == 0)
+    return catalog.first_available(tried, there, ["o_orderkey"], ["run", "lead"]).select("o_orderkey", "attempt", "lead", F.unix_micros("run").alias("run_us"))
+
+
+def index_messages(spark, d):
+    lines = t(spark, d, "lineitem").select("l_orderkey", F.concat_ws(":", "l_linenumber", (C("l_linenumber") * 1000).cast("string"), "l_returnflag", "l_linestatus").alias("line"))
+    return catalog.first_message(catalog.index_lines(lines, ["l_orderkey"]), ["l_orderkey"], ["N", "O"]).select("l_orderkey", "number", "offset")
+
+
+def point_geometries(spark, d):
+    a, b = (C("event_id") % 90).cast("string"), (C("event_id") % 180).cast("string")
+    rows = t(spark, d, "events").select("event_id", geometry.georss(F.concat_ws(" ", a, b, a, b, a)).alias("g"), geometry.kml(F.concat(b, F.lit(","), a, F.lit(",0 x,1 "), a, F.lit(","), b)).alias("k"))
+    return rows.select("event_id", F.size("g").alias("n_georss"), F.get(F.get("g", F.lit(1)), F.lit(0)).alias("lon"), F.size("k").alias("n_kml"), F.get(F.get("k", F.lit(1)), F.lit(0)).alias("kml_lon"))
+
+
+def clean_properties(spark, d):
+    props = F.create_map(F.lit("a"), F.when(C("doc_id") % 2 == 0, C("lang")), F.lit("b"), F.when(C("doc_id") % 3 == 0, F.lit(" ")).otherwise(C("source")), F.lit("c"), F.lit("x"))
+    return t(spark, d, "documents").select("doc_id", F.array_join(F.map_keys(feeds.clean_properties(props)), "").alias("names"))
+
+
+def merged_lookup(spark, d):
+    s = t(spark, d, "supplier").select((C("s_suppkey") % 17).alias("code"), "s_suppkey", "s_name")
+    return feeds.merged_lookup(s, "code", "s_suppkey")
+
+
 NAMES_SQL = "case c " + " ".join(f"when '{k}' then '{v}'" for k, v in H.WARNING_NAMES.items()) + " else 'JMA warning code ' || c end"
 PLANS = {
     "category_rules": (category_rules, f"select doc_id, category, case category when 'tropical' then 'tropical' when 'fire' then 'fires' when 'flood' then 'floods' when 'earthquake' then 'earthquakes' else 'alerts' end as output from (select doc_id, {CASE_SQL} category from (select doc_id, {WORD_SQL} e from documents))"),
@@ -150,5 +180,11 @@ PLANS = {
         select id, count(*) n, min(us + (case when hi then hm else lm end) * 60000000) first_us, max(v) highest, min(v) lowest from (select *, floor((case when k = 0 then h * (case when hi then 1.25::double else 0.5::double end) else h + (case when hi then 1.25::double else 0.5::double end) end) * 1000 + 0.5::double) / 1000 v from s join e on station = r) group by id"""),
     "scene_validation": (scene_validation, "select page_id, case when page_id % 7 = 0 then 'id' when page_id % 5 = 0 then 'document' when page_id % 4 = 0 then 'image' end as fault from pages"),
     "outdated_runs": (outdated_runs, """with r as (select o_orderpriority || '/' || o_orderkey as key, o_orderdate w, case when o_orderpriority like '5-LOW%' then 400 when o_orderpriority like '1-%' then 90 else 700 end as days from orders) select key, days from r where w < timestamp '1996-06-01' - to_days(days)"""),
+    "run_fallback": (run_fallback, """with c as (select o_orderkey, i::int attempt, epoch_us(o_orderdate) - i * 21600000000 run_us, (o_orderkey % 120 + i * 6)::int lead from orders, range(5) r(i)),
+        a as (select distinct run_us, lead from c where trunc(run_us / 3600000000.0::double / 6 + lead)::bigint % 3 = 0), k as (select c.*, row_number() over (partition by o_orderkey order by attempt) k from c join a using (run_us, lead)) select o_orderkey, attempt, lead, run_us from k where k = 1"""),
+    "index_messages": (index_messages, """select l_orderkey, min(l_linenumber)::int "number", min(l_linenumber)::bigint * 1000 as "offset" from lineitem where l_returnflag = 'N' and l_linestatus = 'O' group by 1"""),
+    "point_geometries": (point_geometries, "select event_id, 2 n_georss, (event_id % 180)::double lon, 2 n_kml, (event_id % 90)::double kml_lon from events"),
+    "clean_properties": (clean_properties, "select doc_id, case when doc_id % 2 = 0 then 'a' else '' end || case when doc_id % 3 = 0 then '' else 'b' end || 'c' as names from documents"),
+    "merged_lookup": (merged_lookup, "select s_suppkey % 17 code, max(s_suppkey) s_suppkey, arg_max(s_name, s_suppkey) s_name from supplier group by 1"),
     "manifest_summary": (manifest_summary, "select source, count(*) n_features, count(distinct lang) n_langs, max(doc_id) last_id, string_agg(distinct lang, ',' order by lang) langs from documents group by 1"),
 }
