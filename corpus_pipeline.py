@@ -11,7 +11,7 @@ from isobar.llm.mixing import mix
 from isobar.llm.quality_rules import quality_rules
 from isobar.llm.queries import WEIGHTS, domain_model
 from isobar.llm.sharding import shard_rows
-from isobar.llm.simhash import simhash_groups
+from isobar.llm.simhash import similar_groups
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -23,10 +23,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays (a null id is a document of its own)."""
+    """Of each group of near-duplicates (five-word shingles, similarity 0.8) the document with the smallest id stays; one
+    with a null id is a document of its own."""
     docs = docs.select(*COLUMNS)
     named = docs.filter("doc_id is not null")
-    first = simhash_groups(named).filter("doc_id = component_id").select("doc_id").distinct()
+    first = similar_groups(named).filter("doc_id = component_id").select("doc_id").distinct()
     return named.join(first, "doc_id", "left_semi").unionByName(docs.filter("doc_id is null"))
 
 

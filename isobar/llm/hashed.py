@@ -14,6 +14,8 @@ _LONG = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _SPACES = np.zeros(256, bool)
 _SPACES[[32, 9, 10, 11, 12, 13]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 #: Bytes of text that are taken at once (a longer text is taken alone).
 PIECE = 2 << 20
 
@@ -44,10 +46,11 @@ def _offsets(texts: pa.Array) -> np.ndarray:
     return np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the texts, one text after the other, and for n texts the n + 1 borders in them; nulls have no words."""
     offsets = _offsets(texts)
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    data = _LOWER[data] if lower else data
     offsets = offsets - offsets[0]
     inside = ~_SPACES[data]
     if texts.null_count:

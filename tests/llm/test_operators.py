@@ -93,6 +93,24 @@ def test_simhash_brute(docs, texts):
         assert out == {d: (prints[d], want[d]) for d in texts}
 
 
+def test_similar_groups(spark):
+    rng = random.Random(12)
+    base = [prose(300, rng).split() for _ in range(40)]
+    texts, group = {}, {}
+    for g, words in enumerate(base):
+        for k in range(3 if g < 20 else 1):
+            copy = list(words)
+            for _ in range(3 * (k > 0)):  # three words changed: a similarity of about 0.9
+                copy[rng.randrange(300)] = rng.choice(WORDS)
+            texts[len(texts)] = " ".join(copy).title() if k == 2 else " ".join(copy)
+            group[len(texts) - 1] = g
+    texts |= {900: None, 901: "", 902: "two words", 903: "Two  words"}
+    out = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(table(spark, texts)).collect()}
+    first = {g: min(d for d in group if group[d] == g) for g in set(group.values())}
+    assert {d: out[d] for d in group} == {d: first[g] for d, g in group.items()}
+    assert (out[900], out[901], out[902], out[903]) == (900, 900, 902, 902)
+
+
 def test_simhash_components_of_chains(spark):
     rng = np.random.default_rng(5)
     fps = rng.integers(0, 1 << 63, 300).tolist()
@@ -253,6 +271,7 @@ def test_clashing_columns_and_empty_tables(spark, docs, texts):
         quality_rules.quality_rules,
         lambda d: secrets.scan_secrets(d, model),
         simhash.simhash_groups,
+        simhash.similar_groups,
         lambda d: substring_dedup.substring_dedup(d, 50, 1 << 15),
         lambda d: line_dedup.line_dedup(d)[0],
         lambda d: token_output.token_output(d, path, 2),
