@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.learning import merged_state
 
@@ -38,3 +40,24 @@ def state_writer(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]
         merged.write.mode("overwrite").parquet(f"{path}/version={epoch}")
 
     return write
+
+
+def interval_amounts(stream: DataFrame) -> DataFrame:
+    """cell, hour and amount of a stream of (cell, hour, value, running): running totals as amounts since the cell's last one.
+
+    The state of a cell is its last running total; a batch's rows of a cell are taken by hour, and a cell's hours must come
+    in order from batch to batch.
+    """
+
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last = state.get[0] if state.exists else None
+        rows = pd.concat(list(parts)).sort_values("hour")
+        amounts = []
+        for value, running in zip(rows["value"], rows["running"], strict=True):
+            amounts.append(max(value - last, 0.0) if running and last is not None else value)
+            last = value if running else last
+        if last is not None:
+            state.update((float(last),))
+        yield pd.DataFrame({"cell": rows["cell"], "hour": rows["hour"], "amount": amounts})
+
+    return stream.groupBy("cell").applyInPandasWithState(step, "cell string, hour int, amount double", "last double", "append", GroupStateTimeout.NoTimeout)

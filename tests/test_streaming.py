@@ -22,3 +22,18 @@ def test_state_batches(spark, tmp_path):
     write(spark.createDataFrame([(1, 1.0), (2, 2.0)], "k int, v double"), 0)
     write(spark.createDataFrame([(2, 5.0)], "k int, v double"), 1)
     assert sorted((r["k"], r["v"]) for r in spark.read.parquet(f"{tmp_path}/version=1").collect()) == [(1, 1.0), (2, 5.0)]
+
+
+def test_matches_within_ninety_minutes(spark):
+    f = spark.createDataFrame([("E", START, 1), ("E", START + timedelta(hours=3), 2)], "station string, valid_time timestamp, f int")
+    o = spark.createDataFrame([("E", START + timedelta(minutes=90), 7), ("F", START, 8)], "station string, observed_at timestamp, o int")
+    assert sorted((r["f"], r["o"]) for r in streaming.matched(f, o).collect()) == [(1, 7), (2, 7)]
+
+
+def test_running_totals_over_batches(spark, tmp_path):
+    schema = "cell string, hour int, value double, running boolean"
+    for k, rows in enumerate([[("a", 1, 1.0, True), ("a", 2, 3.0, True), ("b", 1, 5.0, False)], [("a", 3, 2.0, True), ("a", 4, 6.0, True)]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        q = streaming.interval_amounts(spark.readStream.schema(schema).parquet(f"{tmp_path}/in")).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start()
+        q.awaitTermination()
+    assert sorted((r["cell"], r["hour"], r["amount"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [("a", 1, 1.0), ("a", 2, 2.0), ("a", 3, 0.0), ("a", 4, 4.0), ("b", 1, 5.0)]
