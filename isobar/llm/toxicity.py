@@ -159,14 +159,16 @@ def train(texts: list[str | None], toxic: np.ndarray, *, rounds: int = 40, rate:
     return np.concatenate([weights, t.ravel(), doc_weights]).tobytes()
 
 
-def fit_toxicity(labelled: DataFrame, sample: int = SAMPLE, key: str = "doc_id", text: str = "text", label: str = "toxic") -> bytes:
-    """A model from at most sample rows of labelled (those with the least hashes of their keys), fitted in one task.
+def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "doc_id", text: str = "text", label: str = "toxic") -> bytes:
+    """A model from the texts of at most sample labelled keys (those with the least hashes), fitted in one task.
 
-    Rows with a null text or a label that isn't 0 or 1 are left out; without both labels the model scores every text low.
+    A key with several labels is toxic if one of them is 1; keys and texts that are null and labels that aren't 0 or 1 are
+    left out; without both labels the model scores every text low. Only the sample's keys and labels are broadcast.
     """
-    rows = labelled.filter(F.col(text).isNotNull() & F.col(label).isin(0, 1))
-    keys = rows.select(F.col(key).alias("_key")).distinct().orderBy(F.xxhash64("_key"), "_key").limit(sample)
-    chosen = rows.join(F.broadcast(keys), rows[key] == F.col("_key")).select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"), F.xxhash64("_key", text).alias("turn"))
+    keys = labels.filter(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(key).alias("_key")).agg(F.max(label).cast("int").alias("label"))
+    keys = keys.orderBy(F.xxhash64("_key"), "_key").limit(sample)
+    rows = docs.filter(F.col(text).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("text"))
+    chosen = rows.join(F.broadcast(keys), "_key").select("text", "label", F.xxhash64("_key", "text").alias("turn"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts: list[str] = []
