@@ -44,7 +44,6 @@ def line_fails(line: Column, symbols_per_word: float, shout: float, distinct: fl
 
     punctuation: more than symbols_per_word symbols of `#*$%&|<>`, or doubled exclamation marks, per word;
     navigation: bars or bullets between every one or two words;
-    boilerplate: a phrase of BOILERPLATE;
     shouting: capitals are over shout of 20 or more letters;
     repetition: of 8 or more words under distinct are different.
     """
@@ -54,7 +53,6 @@ def line_fails(line: Column, symbols_per_word: float, shout: float, distinct: fl
     return (
         (F.regexp_count(line, F.lit(SYMBOLS)) + F.regexp_count(line, F.lit("!!+")) > symbols_per_word * n)
         | (2 * F.regexp_count(line, F.lit(r"(?:^|[\x20\x09])[|•·»>]")) >= n)
-        | line.rlike(BOILERPLATE)
         | ((letters >= 20) & (F.regexp_count(line, F.lit(r"\p{Lu}")) > shout * letters))
         | ((n >= 8) & (F.size(F.array_distinct(w)) < distinct * n))
     )
@@ -75,17 +73,20 @@ def quality_rules(
 
     A line is what stands between newlines; lines without a word are neither judged nor counted, and stay in clean_text.
     base_failed: under least_words words, or over most_repeated of the words lie in 5-word windows that occur twice or more.
-    kept: not base_failed, and failing lines hold at most most_lost of the characters of lines with words.
+    Lines with a phrase of BOILERPLATE and lines that break a rule (line_fails) are left out of clean_text.
+    kept: not base_failed, and of the characters of lines with words and without boilerplate, of which there must be some,
+    at most most_lost are in lines that break a rule. A licence line goes, but says nothing against its document.
     A null or empty text has no words: all counts 0, base_failed true, kept false, clean_text null or empty.
     Rows are judged one by one: repeated rows give repeated results. Columns of docs with the names above, and names that
-    begin with an underscore and are used here (_text, _words, _hashes, _lines, _good), are replaced.
+    begin with an underscore and are used here (_text, _words, _hashes, _lines, _plain, _good), are replaced.
     """
     out = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lines", "n_bad_lines", "clean_text", "kept"]
     df = docs.drop(*[c for c in docs.columns if c.lower() in out and c != text]).withColumn("_text", F.coalesce(F.col(text), F.lit("")))
     df = df.withColumn("_words", words(F.col("_text"))).withColumn("_lines", F.split("_text", "\n"))
     has_word = lambda x: F.length(F.regexp_replace(x, SPACE, "")) > 0
     df = df.withColumn("_full", F.filter("_lines", has_word))
-    df = df.withColumn("_good", F.filter("_lines", lambda x: ~has_word(x) | ~line_fails(x, symbols_per_word, shout, distinct)))
+    df = df.withColumn("_plain", F.filter("_lines", lambda x: ~x.rlike(BOILERPLATE)))
+    df = df.withColumn("_good", F.filter("_plain", lambda x: ~has_word(x) | ~line_fails(x, symbols_per_word, shout, distinct)))
     df = df.withColumn("_hashes", F.transform("_words", lambda x: F.xxhash64(x)))
     df = df.withColumns(
         {
@@ -95,14 +96,14 @@ def quality_rules(
             "n_lines": F.size("_full").cast("long"),
             "n_dup_lines": (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long"),
             "n_bad_lines": (F.size("_lines") - F.size("_good")).cast("long"),
-            "_all_chars": F.length(F.array_join("_full", "")),
+            "_all_chars": F.length(F.array_join(F.filter("_plain", has_word), "")),
             "_good_chars": F.length(F.array_join(F.filter("_good", has_word), "")),
             "clean_text": F.when(F.col(text).isNotNull(), F.array_join("_good", "\n")),
         }
-    ).drop("_words", "_lines", "_full", "_good")
+    ).drop("_words", "_lines", "_full", "_plain", "_good")
     df = repeated_words("_hashes", 5, df, "n_repeat_words")
     # a filter on the verdict would be pushed below the steps above and compute them anew inside each other; it stops at this column
     df = df.withColumn("_here", F.monotonically_increasing_id() >= 0)
     df = df.withColumn("base_failed", ~F.col("_here") | (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > round(100 * most_repeated) * F.col("n_words")))
-    df = df.withColumn("kept", ~F.col("base_failed") & (F.col("_all_chars") - F.col("_good_chars") <= most_lost * F.col("_all_chars")))
+    df = df.withColumn("kept", ~F.col("base_failed") & (F.col("_all_chars") > 0) & (F.col("_all_chars") - F.col("_good_chars") <= most_lost * F.col("_all_chars")))
     return df.drop("_text", "_hashes", "_here", "_all_chars", "_good_chars")
