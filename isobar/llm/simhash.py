@@ -11,7 +11,7 @@ components of all shards come from alternating large and small stars.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 from .hashed import mix, pieces, window_hashes, word_hashes
+from .substring_dedup import repeated, repeated_cells
 
 RADIUS = 3
 LEAF = 48
@@ -57,16 +58,17 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, fp bigint")
 
 
-def tree_links(fps: np.ndarray, radius: int = RADIUS) -> np.ndarray:
+def tree_links(fps: np.ndarray, radius: int = RADIUS, alike: Callable[[int, np.ndarray], np.ndarray] | None = None, parent: np.ndarray | None = None) -> np.ndarray:
     """For distinct fingerprints (numbers, or rows of numbers), the index of a representative of each one's component under
     links within the radius.
 
     A BK-tree: the root of a subtree is its first member, children are keyed by their distance to it. All members go down
     the tree as queries together; those at distance d follow the edges d - radius to d + radius. Subtrees of LEAF members
-    or fewer are compared outright.
+    or fewer are compared outright. With alike, members within the radius are linked only if alike(one, others) says so; it
+    is asked only for members of components that are still apart. parent: representatives of components known before.
     """
     fps = fps.reshape(len(fps), -1)
-    parent = np.arange(len(fps))
+    parent = np.arange(len(fps)) if parent is None else parent.copy()
 
     def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return np.bitwise_count(a ^ b).sum(-1, dtype=np.int16)
@@ -83,13 +85,41 @@ def tree_links(fps: np.ndarray, radius: int = RADIUS) -> np.ndarray:
             if x != y:
                 parent[max(x, y)] = min(x, y)
 
-    stack = [(np.arange(len(fps)), np.arange(len(fps)))]  # members of a subtree; queries that reach it
+    def roots(at: np.ndarray) -> np.ndarray:
+        out = parent[at]
+        while (parent[out] != out).any():
+            out = parent[out]
+        return out
+
+    def meet(one: int, others: np.ndarray) -> None:
+        """Links one to those of the others, within the radius of it, that are alike and in other components."""
+        if alike is not None:
+            others = others[roots(others) != find(one)]
+            others = others[alike(one, others)] if len(others) else others
+        if len(others):
+            join(others, np.full(len(others), one))
+
+    every = np.arange(len(fps))
+    queries = every
+    if alike is not None and len(fps) > LEAF:
+        # most of a dense shard is alike to its middle; of two components one isn't the largest, so only the others' members search
+        middle = 2 * np.unpackbits(fps.view(np.uint8), axis=1).sum(0, dtype=np.int64) > len(fps)
+        apart = distance(fps, np.packbits(middle).view(fps.dtype))
+        for one in np.argsort(apart, kind="stable")[:4].tolist():
+            meet(one, every[distance(fps, fps[one]) <= radius])
+        root = roots(every)
+        queries = every[root != np.bincount(root).argmax()]
+    stack = [(every, queries)]  # members of a subtree; queries that reach it
     while stack:
         members, queries = stack.pop()
         if len(members) <= LEAF:
             for at in range(0, len(queries), 2048):
                 q = queries[at : at + 2048]
                 near = distance(fps[q][:, None], fps[members][None, :]) <= radius
+                if alike is not None:
+                    for j in np.flatnonzero(near.any(0)).tolist():
+                        meet(int(members[j]), q[near[:, j]])
+                    continue
                 i, j = np.nonzero(near)
                 if len(i):
                     join(q[i], members[j])
@@ -97,7 +127,7 @@ def tree_links(fps: np.ndarray, radius: int = RADIUS) -> np.ndarray:
         root, rest = members[0], members[1:]
         apart = distance(fps[queries], fps[root])
         if (hit := queries[apart <= radius]).size:
-            join(hit, np.full(len(hit), root))
+            meet(int(root), hit)
         edge = distance(fps[rest], fps[root])
         for d in np.unique(edge):
             if (follow := queries[np.abs(apart - d) <= radius]).size:
@@ -207,9 +237,10 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-#: Wide fingerprints: bits of the one of 5-word shingles, bits of the one of words, tables of shards and bits of their keys.
-WIDE, NARROW, TABLES, KEY_BITS = 512, 256, 32, 28
-_CHOSEN = np.stack([np.random.Generator(np.random.PCG64(k)).choice(NARROW, KEY_BITS, replace=False) for k in range(TABLES)])
+#: Bits of the wide fingerprints of 5-word shingles.
+WIDE = 512
+#: Documents of the sample that tells common shingles (about), and how many of them are known at most.
+SAMPLE, COMMON = 10_000, 200_000
 
 
 def _set_bits(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -230,67 +261,165 @@ def wide_radius(similarity: float, bits: int = WIDE) -> int:
     return round(bits * p + 1.5 * math.sqrt(bits * p * (1 - p)))
 
 
-def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def shingle_sets(texts: pa.Array, shingle: int) -> Iterator[np.ndarray]:
+    """Of each text the different hashes of its runs of shingle words, in order; a shorter text is one run, one without words is 0."""
+    for start, end in pieces(texts):
+        words, borders = word_hashes(texts.slice(start, end - start), lower=True)
+        runs = window_hashes(words, shingle)
+        for a, z in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
+            yield np.unique(runs[a : z - shingle + 1]) if z - a >= shingle else window_hashes(words[a:z], z - a) if z > a else np.zeros(1, np.uint64)
+
+
+def needed(size: int, similarity: float) -> int:
+    """The least whole number that isn't under size * similarity."""
+    return math.ceil(size * similarity - 1e-9)
+
+
+def common_shingles(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of shingles that are in four or more documents of a sample, in order, and in how many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for own in shingle_sets(b.column(0), shingle):
+                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64))], names=["h"])
+
+    every = max(1, docs.count() // SAMPLE)
+    found = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text").mapInArrow(run, "h bigint").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    top = found.filter("n > 3").orderBy(F.col("n").desc(), "h").limit(COMMON).toPandas().sort_values("h", key=lambda h: h.to_numpy().view(np.uint64))
+    return top["h"].to_numpy().view(np.uint64), top["n"].to_numpy()
+
+
+def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, shingle: int = 5, similarity: float = 0.8, sketch_bits: int = 1 << 25, sieve_bits: int = 1 << 25) -> DataFrame:
     """doc_id and component_id for every row of docs: texts linked at a similarity of their sets of shingle-word runs.
 
-    The similarity is measured by 512-bit SimHashes of the sets; links reach as far as sets of that Jaccard similarity differ
-    (wide_radius), so a pair is linked with odds of about 0.93 at the similarity itself, nearly always above, rarely far
-    below. Pairs are looked for in 32 tables of shards: 28 chosen bits of a 256-bit SimHash of the set of words, which edits
-    move less; a shard's links come from its BK-tree. A-Z count as a-z. Texts under shingle words are their own one run.
-    Null and empty texts are alike. Rows with null ids and repeated rows as in simhash_groups.
+    Two texts are linked if their 512-bit SimHashes are within wide_radius, which the similarity isn't checked beyond. Pairs are looked for where they can't be missed: in one order of all shingles, two such sets share one of the
+    first n - ceil(similarity * n) + 1 of each (prefix filtering). The order puts shingles that are common in a sample last,
+    which shards need to be small, and goes by hash otherwise. Texts with one set are one class; a shingle in the first ones
+    of several classes is a shard, searched by a BK-tree of 512-bit SimHashes within wide_radius (1.5 standard deviations
+    over the mean at the similarity), and what it finds is compared. Each class is first searched in its largest shard only;
+    then all shards whose classes aren't all linked yet. A-Z count as a-z. Texts under shingle words are their own one run.
+    Null and empty texts are alike. Rows with null ids and repeated rows as in simhash_groups. What is broadcast has a fixed
+    size: common shingles, a count-min sketch of sketch_bits and a bitmap of sieve_bits.
     """
+    kind = docs.schema[doc_id].dataType.simpleString()
+    named = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    context = docs.sparkSession.sparkContext
+    common = context.broadcast(common_shingles(named, shingle))
+
+    def digest(own: np.ndarray) -> int:
+        return xxhash.xxh3_64_intdigest(own.tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start, end in pieces(whole.column(1)):
-                b = whole.slice(start, end - start)
-                words, borders = word_hashes(b.column(1), lower=True)
-                runs = window_hashes(words, shingle)
-                wide, keys, named = [], [], []
-                for a, z in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
-                    own = np.unique(runs[a : z - shingle + 1]) if z - a >= shingle else window_hashes(words[a:z], z - a) if z > a else np.zeros(1, np.uint64)
-                    fp = np.packbits(_set_bits(own, WIDE))
-                    few = _set_bits(np.unique(words[a:z]), NARROW) if z > a else np.zeros(NARROW, bool)
-                    bits = few[_CHOSEN] @ (np.int64(1) << np.arange(KEY_BITS, dtype=np.int64))
-                    keys.append(bits | np.arange(TABLES, dtype=np.int64) << np.int64(KEY_BITS))
-                    wide.append(fp.tobytes())
-                    named.append(xxhash.xxh64_intdigest(wide[-1] + few.tobytes()))
-                flat = pa.ListArray.from_arrays(pa.array(np.arange(0, TABLES * len(keys) + 1, TABLES, dtype=np.int32)), pa.array(np.concatenate(keys)))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(named, np.uint64).view(np.int64)), pa.array(wide, pa.binary()), flat], names=["doc_id", "cls", "wide", "keys"])
+        hot, often = common.value
+        for b in batches:
+            cls, wide, keys = [], [], []
+            for own in shingle_sets(b.column(1), shingle):
+                at = np.minimum(np.searchsorted(hot, own), max(len(hot) - 1, 0))
+                n = np.where(hot[at] == own, often[at], 0) if len(hot) else np.zeros(len(own), np.int64)
+                first = own[np.argsort(n, kind="stable")[: len(own) - needed(len(own), similarity) + 1]]
+                cls.append(digest(own))
+                wide.append(np.packbits(_set_bits(own, WIDE)).tobytes())
+                keys.append(np.unique(first >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5].tobytes())  # 40 bits of each
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(cls, np.uint64).view(np.int64)), pa.array(wide, pa.binary()), pa.array(keys, pa.binary())], names=["doc_id", "cls", "wide", "keys"])
+
+    def numbers(keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All keys, and how many each row has."""
+        rows = keys.to_pylist()
+        flat = np.zeros((sum(map(len, rows)) // 5, 8), np.uint8)
+        flat[:, :5] = np.frombuffer(b"".join(rows), np.uint8).reshape(-1, 5)
+        return flat.view(np.uint64).ravel(), np.array([len(x) // 5 for x in rows], np.int64)
+
+    prints = written(named.mapInArrow(run, f"doc_id {kind}, cls bigint, wide binary, keys binary"))
+    classes = written(prints.groupBy("cls").agg(F.min("doc_id").alias("first"), F.min("wide").alias("wide"), F.min("keys").alias("keys")))
+    sketch = context.broadcast(repeated_cells(classes.select("keys"), lambda b: iter([numbers(b.column(0))[0]]), sketch_bits))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            key, n = numbers(b.column(1))
+            row = np.repeat(np.arange(b.num_rows), n)
+            chosen = np.flatnonzero(repeated(sketch.value, key, sketch_bits))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[chosen])), pa.array(key[chosen].view(np.int64))], names=["cls", "key"])
+
+    keyed = written(classes.select("cls", "keys").mapInArrow(spread, "cls bigint, key bigint"))
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = written(keyed.join(shared, "key"))
+    best = written(members.groupBy("cls").agg(F.max(F.struct("n", "key")).alias("_b")).select("cls", F.col("_b.key").alias("key")))
+    # the sets of the classes that are in a shard, from the documents that stand for them
+    chosen = best.select("cls").join(classes.select("cls", "first", "wide"), "cls")
+    sieve = np.zeros(sieve_bits // 8, np.uint8)
+    for row in chosen.select(F.xxhash64("first").bitwiseAND(sieve_bits - 1).alias("cell")).distinct().toLocalIterator():  # at most sieve_bits
+        sieve[row["cell"] >> 3] |= 1 << (row["cell"] & 7)
+    seen = context.broadcast(sieve)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cell = b.column(0).to_numpy()
+            texts = b.column(1).filter(pa.array((seen.value[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1))
+            found = list(shingle_sets(texts, shingle))
+            cls = np.array([digest(own) for own in found], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array([own.tobytes() for own in found], pa.binary())], names=["cls", "own"])
+
+    found = named.select(F.xxhash64("doc_id").bitwiseAND(sieve_bits - 1).alias("cell"), "text").mapInArrow(sets, "cls bigint, own binary")
+    bodies = written(chosen.join(found.groupBy("cls").agg(F.min("own").alias("own")), "cls").select("cls", "wide", "own"))
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         radius = wide_radius(similarity)
 
-        def links(key: np.ndarray, cls: np.ndarray, wide: np.ndarray) -> pa.RecordBatch:
+        def links(key: np.ndarray, component: np.ndarray, cls: np.ndarray, wide: list[bytes], own: list[bytes]) -> pa.RecordBatch:
             cut = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
             out = [np.zeros((0, 2), np.int64)]
             for a, z in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                root = tree_links(wide[a:z], radius)
-                moved = np.flatnonzero(root != np.arange(z - a))
+                size = np.array([len(x) // 8 for x in own[a:z]], np.int64)
+                start = np.concatenate([[0], np.cumsum(size)])
+                _, local = np.unique(np.frombuffer(b"".join(own[a:z]), np.uint64), return_inverse=True)
+                mark = np.zeros(local.max(initial=0) + 1, bool)
+
+                def alike(one: int, others: np.ndarray, size=size, start=start, local=local, mark=mark) -> np.ndarray:
+                    mark[local[start[one] : start[one + 1]]] = True
+                    both = np.array([np.count_nonzero(mark[local[start[x] : start[x + 1]]]) for x in others.tolist()])
+                    mark[local[start[one] : start[one + 1]]] = False
+                    return both >= similarity * (size[one] + size[others] - both) - 1e-9
+
+                _, before = np.unique(component[a:z], return_index=True)
+                known = before[np.searchsorted(component[a:z][before], component[a:z])]
+                root = tree_links(np.frombuffer(b"".join(wide[a:z]), np.uint64).reshape(z - a, -1), radius, None, known)
+                moved = np.flatnonzero(root != known)
                 out.append(np.stack([cls[a:z][moved], cls[a:z][root[moved]]], 1))
-            found = np.concatenate(out)
-            return pa.RecordBatch.from_arrays([pa.array(found.max(1, initial=-(1 << 63))), pa.array(found.min(1, initial=(1 << 63) - 1))], names=["a", "b"])
+            pair = np.concatenate(out)
+            return pa.RecordBatch.from_arrays([pa.array(pair.max(1, initial=-(1 << 63))), pa.array(pair.min(1, initial=(1 << 63) - 1))], names=["a", "b"])
 
-        key, cls, wide = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, WIDE // 64), np.uint64)
-        for b in batches:
-            key, cls = np.concatenate([key, b.column(0).to_numpy()]), np.concatenate([cls, b.column(1).to_numpy()])
-            wide = np.concatenate([wide, np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint64).reshape(-1, WIDE // 64)])
-            if len(key) and key[0] != key[-1]:
-                end = int(np.searchsorted(key, key[-1]))
-                yield links(key[:end], cls[:end], wide[:end])
-                key, cls, wide = key[end:], cls[end:], wide[end:]
-        if len(key):
-            yield links(key, cls, wide)
+        held: list[pa.RecordBatch] = []
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    named = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    prints = written(named.mapInArrow(run, f"doc_id {kind}, cls bigint, wide binary, keys array<bigint>"))
-    classes = written(prints.groupBy("cls").agg(F.min("doc_id").alias("first"), F.min("wide").alias("wide"), F.min("keys").alias("keys")))
-    keyed = classes.select("cls", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    members = keyed.join(shared, "key").join(classes.select("cls", "wide"), "cls").select("key", "cls", "wide")
-    links = members.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(link, "a bigint, b bigint").distinct()
-    groups = components(links)
+        def told(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            t = pa.Table.from_batches(held)
+            return links(*[t.column(i).to_numpy() for i in range(3)], t.column(3).to_pylist(), t.column(4).to_pylist())
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            key = b.column(0).to_numpy()
+            if held and held[-1].column(0)[-1].as_py() != key[0]:
+                yield told(held)
+                held = []
+            end = int(np.searchsorted(key, key[-1]))  # the last shard may go on in the next batch
+            if end:
+                yield told([*held, b.slice(0, end)])
+                held = []
+            held.append(b.slice(end))
+        if held:
+            yield told(held)
+
+    def searched(rows: DataFrame) -> DataFrame:
+        """Links in the shards of rows (key, component, cls)."""
+        full = rows.join(bodies, "cls").select("key", "component", "cls", "wide", "own")
+        return full.repartition("key").sortWithinPartitions("key", "component", "cls").mapInArrow(link, "a bigint, b bigint").distinct()
+
+    once = written(searched(best.select("key", F.col("cls").alias("component"), "cls")))
+    part = components(once)
+    now = members.select("key", "cls").join(part, F.col("cls") == F.col("node"), "left").select("key", "cls", F.coalesce("component", "cls").alias("component"))
+    now = written(now)
+    apart = now.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_z")).filter("_a < _z").select("key")
+    groups = components(once.unionByName(searched(now.join(apart, "key"))))
     grouped = groups.join(classes.select("cls", "first"), groups["node"] == classes["cls"]).select("cls", "first", "component")
     least = grouped.groupBy("component").agg(F.min("first").alias("least"))
     linked = grouped.join(least, "component").select("cls", "least")

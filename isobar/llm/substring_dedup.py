@@ -15,7 +15,7 @@ fewer than windows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -81,16 +81,26 @@ def sketch(docs: DataFrame, size: int, bits: int) -> list[np.ndarray]:
     their numbers in their own tasks; the driver gets bits / 8 bytes a row.
     """
 
+    def anchors(b: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for start, end in pieces(b.column(0)):
+            s = Segments(b.column(0).slice(start, end - start), size)
+            order = np.lexsort((s.anchor, s.text))
+            text, anchor = s.text[order], s.anchor[order]
+            single = np.ones(len(order), bool)
+            single[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])
+            yield anchor[single]
+
+    return repeated_cells(docs.select("text"), anchors, bits)
+
+
+def repeated_cells(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int) -> list[np.ndarray]:
+    """The bitmaps of sketch for the numbers that hashes gives for the batches of df."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros((ROWS, bits), np.uint8)  # saturated at 2
         for b in batches:
-            for start, end in pieces(b.column(0)):
-                s = Segments(b.column(0).slice(start, end - start), size)
-                order = np.lexsort((s.anchor, s.text))
-                text, anchor = s.text[order], s.anchor[order]
-                single = np.ones(len(order), bool)
-                single[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])
-                for r, cell in enumerate(_cells(anchor[single], bits)):
+            for own in hashes(b):
+                for r, cell in enumerate(_cells(own, bits)):
                     cell, n = np.unique(cell, return_counts=True)
                     cells[r, cell] = np.minimum(cells[r, cell] + n, 2)
         for r in range(ROWS):
@@ -116,7 +126,7 @@ def sketch(docs: DataFrame, size: int, bits: int) -> list[np.ndarray]:
             rows.append((*key, z.tobytes()))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else ([], [], []), (pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["row", "block", "twice"])
 
-    parts = docs.select("text").mapInArrow(count, "row int, block int, once binary, twice binary")
+    parts = df.mapInArrow(count, "row int, block int, once binary, twice binary")
     merged = parts.repartition("row", "block").sortWithinPartitions("row", "block").mapInArrow(merge, "row int, block int, twice binary")
     found = [np.zeros((bits // BLOCK_BITS, BLOCK_BITS // 8), np.uint8) for _ in range(ROWS)]
     for x in merged.toLocalIterator():
@@ -124,6 +134,14 @@ def sketch(docs: DataFrame, size: int, bits: int) -> list[np.ndarray]:
     return [x.ravel() for x in found]
 
 
+def repeated(rows: list[np.ndarray], hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Whether the bitmaps of a sketch let each number through; all that were counted twice pass."""
+    often = np.ones(len(hashes), bool)
+    for bitmap, cell in zip(rows, _cells(hashes, bits), strict=True):
+        often &= (bitmap[cell >> np.uint64(3)] >> (np.uint8(7) - (cell & np.uint64(7)).astype(np.uint8))) & 1 == 1
+    return often
+
+
 def repeated_ranges(docs: DataFrame, size: int = 50, bits: int = 1 << 25) -> DataFrame:
     """(doc_id, first, windows): ranges of windows, by first word, that also start in a document with a smaller id.
 
@@ -137,10 +155,7 @@ def repeated_ranges(docs: DataFrame, size: int = 50, bits: int = 1 << 25) -> Dat
         for b in batches:
             for start, end in pieces(b.column(1)):
                 s = Segments(b.column(1).slice(start, end - start), size)
-                often = np.ones(len(s.text), bool)
-                for bitmap, cell in zip(rows, _cells(s.anchor, bits), strict=True):
-                    often &= (bitmap[cell >> np.uint64(3)] >> (np.uint8(7) - (cell & np.uint64(7)).astype(np.uint8))) & 1 == 1
-                chosen = np.flatnonzero(often)
+                chosen = np.flatnonzero(repeated(rows, s.anchor, bits))
                 lists = s.window_lists(chosen) if len(chosen) else []
                 cols = [
                     b.column(0).take(pa.array(s.text[chosen] + start)),

@@ -111,6 +111,32 @@ def test_similar_groups(spark):
     assert (out[900], out[901], out[902], out[903]) == (900, 900, 902, 902)
 
 
+def shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def test_similar_groups_of_blocks(spark):
+    rng = random.Random(21)
+    texts = {}
+    for k in range(120):  # a copy keeps its words in one block: text added at the end, the end cut off, a passage put in
+        words = prose(rng.randint(60, 400), rng).split()
+        n = len(words) - 4
+        new = [f"{rng.choice(WORDS)}{rng.randrange(50)}" for _ in range(int(0.21 * n))]
+        cut = len(words) - int(0.18 * n)
+        at = rng.randrange(len(words))
+        copy = (words + new, words[:cut], words[:at] + new[: len(new) - 9] + words[at:])[k % 3]
+        texts[2 * k], texts[2 * k + 1] = " ".join(words), " ".join(copy)
+    alike = [jaccard(shingles(texts[d]), shingles(texts[d + 1])) for d in range(0, 240, 2)]
+    assert min(alike) >= 0.8 and sum(a < 0.86 for a in alike) > 80
+    out = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(table(spark, texts)).collect()}
+    assert [d for d in texts if out[d] != d // 2 * 2] == []
+
+
 def test_simhash_components_of_chains(spark):
     rng = np.random.default_rng(5)
     fps = rng.integers(0, 1 << 63, 300).tolist()
