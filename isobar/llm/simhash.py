@@ -256,9 +256,9 @@ def _set_bits(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 
 def wide_radius(similarity: float, bits: int = WIDE) -> int:
-    """Bits in which sets of that Jaccard similarity differ on average, and one and a half standard deviations more."""
+    """Bits in which sets of that Jaccard similarity differ on average, and five standard deviations more."""
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * p + 1.5 * math.sqrt(bits * p * (1 - p)))
+    return round(bits * p + 5 * math.sqrt(bits * p * (1 - p)))
 
 
 def shingle_sets(texts: pa.Array, shingle: int) -> Iterator[np.ndarray]:
@@ -270,6 +270,24 @@ def shingle_sets(texts: pa.Array, shingle: int) -> Iterator[np.ndarray]:
             yield np.unique(runs[a : z - shingle + 1]) if z - a >= shingle else window_hashes(words[a:z], z - a) if z > a else np.zeros(1, np.uint64)
 
 
+def whole_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows, sorted by the first column, in tables that hold all rows of its values."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        key = b.column(0).to_numpy()
+        if held and held[-1].column(0)[-1].as_py() != key[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        if end := int(np.searchsorted(key, key[-1])):  # the last value may go on in the next batch
+            yield pa.Table.from_batches([*held, b.slice(0, end)])
+            held = []
+        held.append(b.slice(end))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def needed(size: int, similarity: float) -> int:
     """The least whole number that isn't under size * similarity."""
     return math.ceil(size * similarity - 1e-9)
@@ -292,11 +310,12 @@ def common_shingles(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarr
 def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, shingle: int = 5, similarity: float = 0.8, sketch_bits: int = 1 << 25, sieve_bits: int = 1 << 25) -> DataFrame:
     """doc_id and component_id for every row of docs: texts linked at a similarity of their sets of shingle-word runs.
 
-    Two texts are linked if their 512-bit SimHashes are within wide_radius, which the similarity isn't checked beyond. Pairs are looked for where they can't be missed: in one order of all shingles, two such sets share one of the
+    Two texts are linked if the Jaccard similarity of their sets is similarity or more, by exact counts of the sets' 64-bit
+    hashes. Pairs are looked for where they can't be missed: in one order of all shingles, two such sets share one of the
     first n - ceil(similarity * n) + 1 of each (prefix filtering). The order puts shingles that are common in a sample last,
     which shards need to be small, and goes by hash otherwise. Texts with one set are one class; a shingle in the first ones
-    of several classes is a shard, searched by a BK-tree of 512-bit SimHashes within wide_radius (1.5 standard deviations
-    over the mean at the similarity), and what it finds is compared. Each class is first searched in its largest shard only;
+    of several classes is a shard, dealt into what BK-trees of 512-bit SimHashes link within wide_radius (five standard
+    deviations over the mean at the similarity); inside these, pairs that the trees find are compared. Each class is first searched in its largest shard only;
     then all shards whose classes aren't all linked yet. A-Z count as a-z. Texts under shingle words are their own one run.
     Null and empty texts are alike. Rows with null ids and repeated rows as in simhash_groups. What is broadcast has a fixed
     size: common shingles, a count-min sketch of sketch_bits and a bitmap of sieve_bits.
@@ -340,9 +359,26 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             chosen = np.flatnonzero(repeated(sketch.value, key, sketch_bits))
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[chosen])), pa.array(key[chosen].view(np.int64))], names=["cls", "key"])
 
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Shards dealt again into what BK-trees link within the radius, named by their members (the same ones are searched
+        once); classes with no other near them go."""
+        radius = wide_radius(similarity)
+        for t in whole_shards(batches):
+            key, cls = t.column(0).to_numpy(), t.column(1).to_numpy()
+            wide = np.frombuffer(b"".join(t.column(2).to_pylist()), np.uint64).reshape(len(key), -1)
+            cut = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]]).tolist()
+            root = np.concatenate([a + tree_links(wide[a:z], radius) for a, z in zip(cut[:-1], cut[1:], strict=True)])
+            n = np.bincount(root, minlength=len(root))[root]
+            kept = np.flatnonzero(n > 1)
+            kept = kept[np.argsort(root[kept], kind="stable")]
+            parts = np.split(cls[kept], np.flatnonzero(np.diff(root[kept])) + 1)
+            own = np.repeat(np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in parts if len(x)], np.uint64).view(np.int64), [len(x) for x in parts if len(x)])
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(cls[kept]), pa.array(n[kept])], names=["key", "cls", "n"])
+
     keyed = written(classes.select("cls", "keys").mapInArrow(spread, "cls bigint, key bigint"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = written(keyed.join(shared, "key"))
+    together = keyed.join(shared, "key").join(classes.select("cls", "wide"), "cls").select("key", "cls", "wide")
+    members = written(together.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(near, "key bigint, cls bigint, n bigint").distinct())
     best = written(members.groupBy("cls").agg(F.max(F.struct("n", "key")).alias("_b")).select("cls", F.col("_b.key").alias("key")))
     # the sets of the classes that are in a shard, from the documents that stand for them
     chosen = best.select("cls").join(classes.select("cls", "first", "wide"), "cls")
@@ -382,32 +418,14 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
                 _, before = np.unique(component[a:z], return_index=True)
                 known = before[np.searchsorted(component[a:z][before], component[a:z])]
-                root = tree_links(np.frombuffer(b"".join(wide[a:z]), np.uint64).reshape(z - a, -1), radius, None, known)
+                root = tree_links(np.frombuffer(b"".join(wide[a:z]), np.uint64).reshape(z - a, -1), radius, alike, known)
                 moved = np.flatnonzero(root != known)
                 out.append(np.stack([cls[a:z][moved], cls[a:z][root[moved]]], 1))
             pair = np.concatenate(out)
             return pa.RecordBatch.from_arrays([pa.array(pair.max(1, initial=-(1 << 63))), pa.array(pair.min(1, initial=(1 << 63) - 1))], names=["a", "b"])
 
-        held: list[pa.RecordBatch] = []
-
-        def told(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-            t = pa.Table.from_batches(held)
-            return links(*[t.column(i).to_numpy() for i in range(3)], t.column(3).to_pylist(), t.column(4).to_pylist())
-
-        for b in batches:
-            if not b.num_rows:
-                continue
-            key = b.column(0).to_numpy()
-            if held and held[-1].column(0)[-1].as_py() != key[0]:
-                yield told(held)
-                held = []
-            end = int(np.searchsorted(key, key[-1]))  # the last shard may go on in the next batch
-            if end:
-                yield told([*held, b.slice(0, end)])
-                held = []
-            held.append(b.slice(end))
-        if held:
-            yield told(held)
+        for t in whole_shards(batches):
+            yield links(*[t.column(i).to_numpy() for i in range(3)], t.column(3).to_pylist(), t.column(4).to_pylist())
 
     def searched(rows: DataFrame) -> DataFrame:
         """Links in the shards of rows (key, component, cls)."""

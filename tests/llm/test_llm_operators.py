@@ -137,6 +137,23 @@ def test_similar_groups_of_blocks(spark):
     assert [d for d in texts if out[d] != d // 2 * 2] == []
 
 
+def test_similar_groups_exactly(spark):
+    rng = random.Random(22)
+    texts = {}
+    for size, copies, most in ((120, 90, 9), (200, 3, 12), (300, 3, 20), (60, 4, 4), (250, 60, 14)):  # dense families, and small ones
+        for _ in range(1 if copies > 50 else 12):
+            base = prose(size, rng).split()
+            for _ in range(copies):
+                words = list(base)
+                for _ in range(rng.randint(0, most)):
+                    words[rng.randrange(size)] = f"{rng.choice(WORDS)}{rng.randrange(50)}"
+                texts[len(texts)] = " ".join(words)
+    want = brute.linked({d: shingles(t) for d, t in texts.items()}, lambda a, b: jaccard(a, b) >= 0.8)
+    assert len(set(want.values())) > 60
+    out = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(table(spark, texts)).collect()}
+    assert out == want
+
+
 def test_simhash_components_of_chains(spark):
     rng = np.random.default_rng(5)
     fps = rng.integers(0, 1 << 63, 300).tolist()
