@@ -71,7 +71,7 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = line_dedup(table(spark, sf_dir, "documents"))
+    found, _ = line_dedup(table(spark, sf_dir, "documents"), least_lines=1)
     return found.select("doc_id", "n_lines", "n_removed", "longest_run", "n_runs", F.sha2("clean_text", 256).alias("clean_sha256"))
 
 

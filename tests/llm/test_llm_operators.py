@@ -194,6 +194,17 @@ def test_line_dedup_brute(spark, docs, texts):
         assert {r["doc_id"]: (r["n_lines"], r["n_removed"], r["longest_run"], r["n_runs"]) for r in out.collect()} == brute.line_runs(rows)
 
 
+def test_line_dedup_query_leaves_no_repeated_line(spark, tmp_path):
+    from isobar.llm import queries
+
+    rows = {1: "home page\none\nhome page", 2: "two\nhome page\nthree", 3: "one\n\nfour", 4: None}
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r["doc_id"]: r for r in queries.op7_line_dedup(spark, str(tmp_path)).collect()}
+    want = {1: "home page\none", 2: "two\nthree", 3: "\nfour"}
+    assert {d: r["clean_sha256"] for d, r in out.items()} == {d: hashlib.sha256(t.encode()).hexdigest() for d, t in want.items()} | {4: None}
+    assert {d: r["n_removed"] for d, r in out.items()} == {1: 1, 2: 1, 3: 1, 4: 0}
+
+
 def test_token_output_round_trip(spark, docs, texts):
     import public_tokenizers
     from tokenizers import Tokenizer
