@@ -62,38 +62,28 @@ def removed(docs, size=50):
     return {d: (w, {j for i in range(len(w) - size + 1) if first[tuple(w[i : i + size])] < d for j in range(i, i + size)}) for d, w in words.items()}
 
 
-def line_runs(docs, least_lines=2, long_line=80):
-    """docs: {doc_id: text}; per document n_lines, n_removed, longest_run and n_runs."""
+def line_runs(docs, least_lines=1):
+    """docs: {doc_id: text}; per document n_lines, n_removed, longest_run, n_runs and the kept text, from maximal repeated runs."""
     lines = {d: [(p, x.strip(" \t\n\x0b\x0c\r")) for p, x in enumerate(t.split("\n")) if WORD.search(x)] for d, t in docs.items() if t is not None}
     seqs = {d: [x for _, x in v] for d, v in lines.items()}
-    suffixes = sorted(((tuple(v[i:]), d, i) for d, v in seqs.items() for i in range(len(v))), key=lambda s: s[0])
+    places = [(d, i) for d in sorted(seqs) for i in range(len(seqs[d]))]
 
     def common(a, b):
-        n = 0
-        for x, y in zip(a, b, strict=False):
-            if x != y:
-                break
+        v, w, n = seqs[a[0]][a[1] :], seqs[b[0]][b[1] :], 0
+        while n < min(len(v), len(w)) and v[n] == w[n]:
             n += 1
         return n
 
-    run = {}
-    for k, (s, d, i) in enumerate(suffixes):
-        run[d, i] = max([common(s, suffixes[j][0]) for j in (k - 1, k + 1) if 0 <= j < len(suffixes)], default=0)
-    first = {}
-    for d in sorted(seqs):
-        v = seqs[d]
-        for i in range(len(v)):
-            first.setdefault(tuple(v[i : i + least_lines]), (d, i))
-            first.setdefault(v[i], (d, i))
+    run = {a: max((common(a, b) for b in places if a != b), default=0) for a in places}
+    gone = {d: set() for d in docs}
+    for k, a in enumerate(places):  # the longest run from here that began earlier
+        n = max((common(a, b) for b in places[:k]), default=0)
+        if n >= least_lines:
+            gone[a[0]] |= {lines[a[0]][i][0] for i in range(a[1], a[1] + n)}
     out = {}
-    for d in docs:
-        v, gone = seqs.get(d, []), set()
-        for i in range(len(v)):
-            if i + least_lines <= len(v) and first[tuple(v[i : i + least_lines])] < (d, i):
-                gone |= set(range(i, i + least_lines))
-            if len(v[i]) >= long_line and first[v[i]] < (d, i):
-                gone.add(i)
-        runs = [run[d, i] for i in range(len(v))]
+    for d, t in docs.items():
+        runs = [run[d, i] for i in range(len(seqs.get(d, ())))]
         maximal = sum(r >= least_lines and (i == 0 or runs[i - 1] <= r) for i, r in enumerate(runs))
-        out[d] = (len(v), len(gone), max(runs, default=0), maximal)
+        kept = None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[d])
+        out[d] = (len(runs), len(gone[d]), max(runs, default=0), maximal, kept)
     return out

@@ -186,12 +186,39 @@ def test_substring_dedup_small_windows(spark):
     assert out == {d: len(g) for d, (_, g) in want.items()}
 
 
+def line_table(rng):
+    """Documents of few lines, some many times: runs, runs that overlap themselves, and long ones that copies share."""
+    long = [f"line {rng.randrange(9)} of {rng.randrange(400)}" for _ in range(60)]
+    rows = {d: "\n".join(rng.choice(["red", "blue sky", "  ", "x" * 90, "green", "grey", f"only {d}"]) for _ in range(rng.randint(0, 14))) for d in range(25)}
+    rows |= {30: "\n".join(long), 31: "\n".join(["first", *long[3:50], "last", *long[20:45]]), 32: "\n".join(long), 33: "\n".join([*long[:33], "red", *long[31:]])}
+    return rows | {34: "\n".join(["same"] * 40), 35: "\n".join(["same"] * 21), 36: None, 37: ""}
+
+
 def test_line_dedup_brute(spark, docs, texts):
-    rng = random.Random(4)
-    lines = ["\n".join(rng.choice(["red", "blue sky", "  ", "x" * 90, "green", "grey"]) for _ in range(rng.randint(0, 14))) for _ in range(25)]
-    for rows in (texts, dict(enumerate(lines))):
-        out, _ = line_dedup.line_dedup(table(spark, rows))
-        assert {r["doc_id"]: (r["n_lines"], r["n_removed"], r["longest_run"], r["n_runs"]) for r in out.collect()} == brute.line_runs(rows)
+    for rows, least in ((texts, 1), (line_table(random.Random(4)), 1), (line_table(random.Random(5)), 3)):
+        out, _ = line_dedup.line_dedup(table(spark, rows), least_lines=least)
+        cols = ("n_lines", "n_removed", "longest_run", "n_runs", "clean_text")
+        assert {r["doc_id"]: tuple(r[c] for c in cols) for r in out.collect()} == brute.line_runs(rows, least)
+
+
+def test_suffix_array_is_sorted(spark):
+    rng = random.Random(7)
+    seqs = [[rng.randint(1, 3) for _ in range(rng.randint(1, 60))] for _ in range(30)]
+    rows = spark.createDataFrame(list(enumerate(seqs)), "sid bigint, ids array<bigint>")
+    state, ranks = line_dedup.suffix_array(rows)
+    found = {(r["sid"], r["at"]): r[ranks[-1]] for r in state.collect()}
+    order = sorted({tuple(s[i:]) for s in seqs for i in range(len(s))})
+    number = {s: k + 1 for k, s in enumerate(order)}
+    assert found == {(d, i): number[tuple(s[i:])] for d, s in enumerate(seqs) for i in range(len(s))}
+    lcp = {r["rank"]: r["lcp"] for r in line_dedup.common_prefixes(state, ranks).collect()}
+    want = {k + 1: next((n for n, (a, b) in enumerate(zip(order[k], order[k + 1], strict=False)) if a != b), min(len(order[k]), len(order[k + 1]))) for k in range(len(order) - 1)}
+    assert lcp == want | {len(order): 0}
+
+
+def test_line_dedup_of_a_long_text(spark):
+    text = "\n".join(f"line {i % 1000} says this and that" for i in range(200_000))
+    out = line_dedup.line_dedup(table(spark, {1: text, 2: "line 7 says this and that\nnew"}))[0].collect()
+    assert {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in out} == {1: (200_000, 199_000), 2: (2, 1)}
 
 
 def test_line_dedup_query_leaves_no_repeated_line(spark, tmp_path):
