@@ -1,11 +1,12 @@
 """SimHash near-duplicates: 64-bit fingerprints of 3-word shingles, linked at 3 or fewer differing bits by BK-trees.
 
 Two fingerprints that differ in at most 3 bits agree in one of four 16-bit blocks, and, in the 48 bits left, in one of four
-12-bit blocks. Each of these 16 pairs of blocks is a table of shards: fingerprints with one value of the 28 bits. A shard has
-a BK-tree of its own, whose children are keyed by their integer distance to the parent; a search follows only the edges
-within the radius. The trees are built where their shard lies: all trees together grow with the corpus, so they can't be
-broadcast within a bound. Shards only give links from each fingerprint to one other of its local component; joined
-components of all shards come from alternating large and small stars.
+12-bit blocks. Each of these 16 pairs of blocks is a table of shards: fingerprints with one value of the 28 bits. A shard of
+two or more has a BK-tree, whose children are keyed by their integer distance to the parent; a search follows only the
+edges within the radius. Up to NODES nodes, all trees are broadcast and every fingerprint searches those of its shards where
+it lies; as trees grow with the corpus, beyond that bound each is searched by the members of its shard in the task that built
+it. Only links from each fingerprint to one other of its local component leave a task; joined components of all shards come
+from alternating large and small stars.
 """
 
 from __future__ import annotations
@@ -14,13 +15,13 @@ import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .bk_trees import Forest, spanning
+from .common import discard, join_counted, written
 from .hashed import mix, pieces, window_hashes, word_hashes
 from .substring_dedup import repeated, repeated_cells
 
@@ -161,80 +162,93 @@ def shard_keys(fp: Column, third: bool) -> Column:
     return F.array(*keys)
 
 
-def shard_links(keyed: DataFrame) -> DataFrame:
-    """Links (a, b), a > b, from the shards of keyed (key, fp): a tree for each key, read one after the other."""
+#: Nodes of the trees that are broadcast (under 50 bytes each).
+NODES = 1 << 20
+_TREES = "keys binary, roots binary, prints binary, edges binary, children binary"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def links(key: np.ndarray, fp: np.ndarray) -> pd.DataFrame:
-            out = [np.zeros((0, 2), np.int64)]
-            cut = np.flatnonzero(np.diff(key)) + 1
-            first, size = np.concatenate([[0], cut]), np.diff(np.concatenate([[0], cut, [len(key)]]))
-            pairs = first[size == 2]  # most shards with links hold two
-            out.append(np.stack([fp[pairs], fp[pairs + 1]], 1)[np.bitwise_count(fp[pairs].view(np.uint64) ^ fp[pairs + 1].view(np.uint64)) <= RADIUS])
-            for at, n in zip(first[size > 2], size[size > 2], strict=True):
-                own = fp[at : at + n]
-                root = tree_links(own.view(np.uint64))
-                moved = np.flatnonzero(root != np.arange(n))
-                out.append(np.stack([own[moved], own[root[moved]]], 1))
-            found = np.concatenate(out)
-            return pd.DataFrame({"a": found.max(1, initial=-(1 << 63)), "b": found.min(1, initial=(1 << 63) - 1)})
-
-        key, fp = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+def _spanned(forest: Forest, key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+    """Links (a, b), a > b, from fingerprints to what a search of their trees finds: a spanning forest of them."""
+    one, two = forest.linked(key, fp.view(np.uint64), RADIUS, fp, forest.prints[:, 0].view(np.int64))
+    return pa.RecordBatch.from_arrays([pa.array(one), pa.array(two)], names=["a", "b"])
+
+
+def shard_links(keyed: DataFrame, nodes: int = NODES) -> DataFrame:
+    """Links (a, b), a > b, from the shards of keyed (key, fp; written) by their BK-trees; up to nodes of them are broadcast."""
+
+    def trees(t: pa.Table) -> Forest:
+        return Forest.build(t.column(0).to_numpy(), t.column(1).to_numpy().view(np.uint64))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_shards(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in trees(t).to_bytes()], names=["keys", "roots", "prints", "edges", "children"])
+
+    def in_place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_shards(batches):
+            yield _spanned(trees(t), t.column(0).to_numpy(), t.column(1).to_numpy())
+
+    dealt = keyed.repartition("key").sortWithinPartitions("key", "fp")
+    if keyed.count() > nodes:
+        return dealt.mapInArrow(in_place, "a bigint, b bigint").distinct()
+    sent = keyed.sparkSession.sparkContext.broadcast([list(map(bytes, row)) for row in dealt.mapInArrow(build, _TREES).collect()])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest.joined(sent.value)
         for b in batches:
-            key, fp = np.concatenate([key, b["key"].to_numpy()]), np.concatenate([fp, b["fp"].to_numpy()])
-            if len(key) and key[0] != key[-1]:  # the last shard may go on in the next batch
-                end = int(np.searchsorted(key, key[-1]))
-                yield links(key[:end], fp[:end])
-                key, fp = key[end:], fp[end:]
-        if len(key):
-            yield links(key, fp)
+            yield _spanned(forest, b.column(0).to_numpy(), b.column(1).to_numpy())
 
-    return keyed.repartition("key").sortWithinPartitions("key", "fp").mapInPandas(run, "a bigint, b bigint").distinct()
+    return keyed.mapInArrow(search, "a bigint, b bigint").distinct()
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of the links, component being the smallest node reachable.
 
-    Large stars and small stars in turn, each a minimum per node and a join, until the links no longer change.
+    Large stars and small stars in turn, each a minimum per node and a join, until the links no longer change; the nodes
+    with very many links are joined where their links lie.
     """
     edges = written(links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct())
     before = None
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        star = large.join(low, "a")
-        small = star.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(star.select("a", F.col("m").alias("b"))).distinct()
-        edges = written(small)
         now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         before = now
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = written(both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("a", "m")))
+        large = join_counted(both.filter("b > a"), low, ["a"], "n", 2 * now["n"]).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        large = written(large)
+        least = written(large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")))
+        star = join_counted(large, least, ["a"], "n", now["n"])
+        small = star.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(star.select("a", F.col("m").alias("b"))).distinct()
+        last, edges = edges, written(small)
+        for x in (last, low, large, least):
+            discard(x)
 
 
-def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hot: int = 4096) -> DataFrame:
+def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hot: int = 4096, nodes: int = NODES) -> DataFrame:
     """doc_id, fp and component_id (the smallest doc_id reachable by links, itself included) for every row of docs.
 
     Copies and texts with one fingerprint are one class, kept as (fp, smallest doc_id); only classes are searched. A shard
-    of over `hot` classes is dealt again by nine more bits, which loses no link. Null texts count as empty; empty texts
-    have fingerprint zero and link like any other. Rows with a null doc_id are grouped too, and give no component its
-    number while it has another. Repeated rows give repeated results; an empty table gives none.
+    of over `hot` classes is dealt again by nine more bits, which loses no link. Up to `nodes` tree nodes are broadcast.
+    Null texts count as empty; empty texts have fingerprint zero and link like any other. Rows with a null doc_id are grouped
+    too, and give no component its number while it has another. Repeated rows give repeated results; an empty table gives none.
     """
     prints = written(fingerprints(docs, doc_id, text))
-    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")))
     keyed = classes.select("fp", F.explode(shard_keys(F.col("fp"), third=False)).alias("key"))
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    keyed = keyed.join(sizes, "key")
-    large = keyed.filter(F.col("n") > hot).select("fp").distinct()
+    shared = written(keyed.join(sizes, "key"))
+    large = shared.filter(F.col("n") > hot).select("fp").distinct()
     again = large.select("fp", F.explode(shard_keys(F.col("fp"), third=True)).alias("key"))
-    links = shard_links(keyed.filter(F.col("n") <= hot).select("key", "fp").unionByName(again.select("key", "fp")))
-    groups = components(links)
+    shards = written(shared.filter(F.col("n") <= hot).select("key", "fp").unionByName(again.select("key", "fp")))
+    groups = written(components(shard_links(shards, nodes)))
     named = groups.join(classes, groups["node"] == classes["fp"]).select("fp", "first", "component")
-    firsts = named.groupBy("component").agg(F.min("first").alias("least"))
-    linked = named.join(firsts, "component").select("fp", "least")
-    classes = classes.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    firsts = named.groupBy("component").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("m"))
+    count = groups.count()
+    linked = join_counted(named, written(firsts), ["component"], "m", count).select("fp", "least")
+    told = written(classes.join(linked, "fp", "left").select("fp", F.coalesce("least", "first").alias("component_id"), "n"))
+    total = told.agg(F.sum("n")).first()[0] or 0
+    return join_counted(prints, told, ["fp"], "n", total).select("doc_id", "fp", "component_id")
 
 
 #: Bits of the wide fingerprints of 5-word shingles.
@@ -367,7 +381,9 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             key, cls = t.column(0).to_numpy(), t.column(1).to_numpy()
             wide = np.frombuffer(b"".join(t.column(2).to_pylist()), np.uint64).reshape(len(key), -1)
             cut = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]]).tolist()
-            root = np.concatenate([a + tree_links(wide[a:z], radius) for a, z in zip(cut[:-1], cut[1:], strict=True)])
+            root, place = np.arange(len(key)), np.arange(len(key))
+            moved, least = Forest.build(key, wide).linked(key, wide, radius, place, place)
+            root[moved] = least
             n = np.bincount(root, minlength=len(root))[root]
             kept = np.flatnonzero(n > 1)
             kept = kept[np.argsort(root[kept], kind="stable")]

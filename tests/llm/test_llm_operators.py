@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from isobar.llm.bk_trees import Forest
 from isobar.llm import decontaminate, line_dedup, mixing, quality_rules, secrets, sharding, simhash, substring_dedup, token_output, toxicity
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -88,11 +89,32 @@ def test_spans_of_many_matches(spark):
 def test_simhash_brute(docs, texts):
     prints = {d: brute.fingerprint(t) for d, t in texts.items()}
     want = brute.linked(prints, lambda a, b: (a ^ b).bit_count() <= 3)
-    for hot in (4096, 1):  # every shard dealt again
-        out = {r["doc_id"]: (r["fp"] & (1 << 64) - 1, r["component_id"]) for r in simhash.simhash_groups(docs, hot=hot).collect()}
+    for hot, nodes in ((4096, 1 << 20), (1, 1 << 20), (4096, 0)):  # trees broadcast; every shard dealt again; trees searched in place
+        out = {r["doc_id"]: (r["fp"] & (1 << 64) - 1, r["component_id"]) for r in simhash.simhash_groups(docs, hot=hot, nodes=nodes).collect()}
         assert out == {d: (prints[d], want[d]) for d in texts}
 
 
+def test_bk_trees_follow_edges_within_the_radius():
+    rng = np.random.default_rng(8)
+    centre = rng.integers(0, 1 << 63, (3, 1), dtype=np.uint64)
+    fps = np.unique(np.concatenate([centre[k % 3] ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, 1 + k % 9).astype(np.uint64)) for k in range(900)] + [rng.integers(0, 1 << 63, 600, dtype=np.uint64)]))
+    key = np.sort(rng.integers(0, 3, len(fps)))
+    parts = [Forest.build(key[key == k], fps[key == k]) for k in range(3)]
+    forest = Forest.joined([p.to_bytes() for p in parts])
+    found = {(int(q), int(forest.prints[n, 0])) for query, node in forest.search(key, fps, 3) for q, n in zip(query, node, strict=True)}
+    assert found == {(i, int(fps[j])) for i in range(len(fps)) for j in range(len(fps)) if key[i] == key[j] and int(fps[i] ^ fps[j]).bit_count() <= 3}
+    assert 0 < forest.followed < 2 * forest.skipped  # many edges lead outside the radius
+    for edge, child in zip(forest.edges.tolist(), forest.children.tolist(), strict=True):  # children are keyed by their distance to the parent
+        assert int(forest.prints[edge // 65, 0] ^ forest.prints[child, 0]).bit_count() == edge % 65
+
+
+def test_hot_components(spark):
+    rng = random.Random(31)
+    links = [(i, rng.randrange(3)) for i in range(3, 9000)] + [(i, i + 1) for i in range(20_000, 20_200)] + [(1, 0), (2, 1)]
+    out = {r["node"]: r["component"] for r in simhash.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert out == {i: 0 for i in range(9000)} | {i: 20_000 for i in range(20_000, 20_201)}
+
+
 def test_similar_groups(spark):
     rng = random.Random(12)
     base = [prose(300, rng).split() for _ in range(40)]
