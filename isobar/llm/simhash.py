@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .bk_trees import Forest, spanning
 from .common import discard, join_counted, written
 from .hashed import mix, pieces, window_hashes, word_hashes
-from .substring_dedup import repeated, repeated_cells
+from .substring_dedup import cells_for, repeated, repeated_cells
 
 RADIUS = 3
 LEAF = 48
@@ -321,7 +321,7 @@ def common_shingles(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarr
     return top["h"].to_numpy().view(np.uint64), top["n"].to_numpy()
 
 
-def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, shingle: int = 5, similarity: float = 0.8, sketch_bits: int = 1 << 25, sieve_bits: int = 1 << 25) -> DataFrame:
+def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id and component_id for every row of docs: texts linked at a similarity of their sets of shingle-word runs.
 
     Two texts are linked if the Jaccard similarity of their sets is similarity or more, by exact counts of the sets' 64-bit
@@ -332,7 +332,7 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     deviations over the mean at the similarity); inside these, pairs that the trees find are compared. Each class is first searched in its largest shard only;
     then all shards whose classes aren't all linked yet. A-Z count as a-z. Texts under shingle words are their own one run.
     Null and empty texts are alike. Rows with null ids and repeated rows as in simhash_groups. What is broadcast has a fixed
-    size: common shingles, a count-min sketch of sketch_bits and a bitmap of sieve_bits.
+    size: common shingles, and a count-min sketch and a bitmap of 2**29 cells at most.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     named = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -364,6 +364,7 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     prints = written(named.mapInArrow(run, f"doc_id {kind}, cls bigint, wide binary, keys binary"))
     classes = written(prints.groupBy("cls").agg(F.min("doc_id").alias("first"), F.min("wide").alias("wide"), F.min("keys").alias("keys")))
+    sketch_bits = cells_for((classes.agg(F.sum(F.octet_length("keys"))).first()[0] or 0) // 5)
     sketch = context.broadcast(repeated_cells(classes.select("keys"), lambda b: iter([numbers(b.column(0))[0]]), sketch_bits))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,6 +399,7 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     best = written(members.groupBy("cls").agg(F.max(F.struct("n", "key")).alias("_b")).select("cls", F.col("_b.key").alias("key")))
     # the sets of the classes that are in a shard, from the documents that stand for them
     chosen = best.select("cls").join(classes.select("cls", "first", "wide"), "cls")
+    sieve_bits = cells_for(best.count())
     sieve = np.zeros(sieve_bits // 8, np.uint8)
     for row in chosen.select(F.xxhash64("first").bitwiseAND(sieve_bits - 1).alias("cell")).distinct().toLocalIterator():  # at most sieve_bits
         sieve[row["cell"] >> 3] |= 1 << (row["cell"] & 7)
