@@ -10,7 +10,7 @@ from .units import clip, fraction
 #: Condition codes.
 CODES = {
     "Unknown": 0, "Clear": 1, "MostlyClear": 2, "PartlyCloudy": 3, "MostlyCloudy": 4, "Cloudy": 5, "Drizzle": 6, "Rain": 7, "HeavyRain": 8,
-    "FreezingRain": 9, "Sleet": 10, "Snow": 11, "HeavySnow": 12, "Thunderstorms": 13, "Foggy": 14, "Hail": 15,
+    "Snow": 9, "HeavySnow": 10, "Sleet": 11, "FreezingRain": 12, "Thunderstorms": 13, "Foggy": 14, "Hail": 15,
 }
 #: The family that a code is first voted in.
 FAMILIES = {0: 0, 1: 1, 2: 1, 3: 2, 4: 2, 5: 2, 14: 3, 6: 4, 7: 4, 8: 4, 9: 5, 10: 5, 11: 5, 12: 5, 13: 6, 15: 6}
@@ -23,12 +23,18 @@ def family(code: Column) -> Column:
     return out
 
 
-def condition(cloud: Column, precip: Column, convective: Column, snow: Column, temperature_k: Column, dewpoint_k: Column) -> Column:
-    """Code of the strongest rule that holds, from thunder down to cloud cover; without cloud cover or rain Unknown."""
+def condition(cloud: Column | None, precip: Column | None, convective: Column | None, snow: Column | None, temperature_k: Column | None, dewpoint_k: Column | None) -> Column:
+    """Code of the strongest rule that holds, from thunder down to cloud cover; without cloud cover or rain Unknown.
+
+    A field that isn't there is None. Where there is no snow field, cold rain freezes; where it is there but a cell is
+    missing, nothing says that the cell has no snow, so it doesn't.
+    """
+    dry = F.lit(True) if snow is None else snow < 0.05
+    cloud, precip, convective, snow, temperature_k, dewpoint_k = (F.lit(None).cast("double") if x is None else x for x in (cloud, precip, convective, snow, temperature_k, dewpoint_k))
     c = fraction(cloud)
     rules = [
         (convective >= 0.5, "Thunderstorms"),
-        ((precip >= 0.05) & (temperature_k <= 273.65) & (F.coalesce(snow, F.lit(0.0)) < 0.05), "FreezingRain"),
+        ((precip >= 0.05) & (temperature_k <= 273.65) & dry, "FreezingRain"),
         ((snow >= 0.05) & (precip - snow >= 0.05), "Sleet"),
         (snow >= 5, "HeavySnow"),
         (snow >= 0.05, "Snow"),
@@ -49,8 +55,8 @@ def condition(cloud: Column, precip: Column, convective: Column, snow: Column, t
 
 
 def wmo_condition(code: Column, otherwise: Column) -> Column:
-    """Condition of a WMO weather code."""
-    c = CODES
+    """Condition of a WMO weather code, rounded to the nearest whole number."""
+    c, code = CODES, F.rint(code)
     return (
         F.when(code.isin(96, 99), c["Hail"])
         .when(code.between(95, 99), c["Thunderstorms"])

@@ -1,4 +1,4 @@
-"""Geometries of feeds as arrays of [lon, lat]."""
+"""Geometries of feeds as GeoJSON text: type and coordinates in [lon, lat] order."""
 
 from __future__ import annotations
 
@@ -6,25 +6,49 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _numbers(text: Column) -> Column:
-    return F.filter(F.transform(F.split(F.trim(text), r"[\s,]+"), lambda x: x.try_cast("double")), lambda x: x.isNotNull())
+def _json(kind: str, coordinates: Column) -> Column:
+    return F.to_json(F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates")))
 
 
-def georss(text: Column) -> Column:
-    """`lat lon lat lon ...` as points; an odd number at the end is left out; null without a point."""
-    n = _numbers(text)
-    pairs = F.transform(F.sequence(F.lit(0), F.floor(F.size(n) / 2).cast("int") - 1), lambda i: F.array(F.get(n, 2 * i + 1), F.get(n, 2 * i)))
-    return F.when(F.size(n) >= 2, pairs)
+def point(lon: Column, lat: Column) -> Column:
+    """A point; null without both numbers."""
+    return F.when(lon.isNotNull() & lat.isNotNull(), _json("Point", F.array(lon, lat)))
 
 
-def kml(text: Column) -> Column:
-    """`lon,lat[,height] ...` as points; what isn't one is left out; null without a point."""
-    parts = F.transform(F.split(F.trim(text), r"\s+"), lambda p: F.slice(F.transform(F.split(p, ","), lambda x: x.try_cast("double")), 1, 2))
-    good = F.filter(parts, lambda p: (F.size(p) == 2) & F.forall(p, lambda x: x.isNotNull()))
-    return F.when(F.size(good) > 0, good)
+def pairs(text: Column, swapped: bool = False) -> Column:
+    """The points of `a,b[,more] a,b[,more] ...`, without those of fewer than two numbers; swapped: b first."""
+    numbers = F.transform(F.split(F.trim(text), r"\s+"), lambda p: F.slice(F.transform(F.split(p, ","), lambda x: x.try_cast("double")), 1, 2))
+    good = F.filter(numbers, lambda p: (F.size(p) == 2) & F.forall(p, lambda x: x.isNotNull()))
+    return F.transform(good, lambda p: F.reverse(p)) if swapped else good
 
 
-def placemark(point: Column, line: Column, polygon: Column) -> Column:
-    """type and coordinates of the first of point, line and polygon that there is."""
-    shape = lambda name, c: F.when(kml(c).isNotNull(), F.struct(F.lit(name).alias("type"), kml(c).alias("coordinates")))
-    return F.coalesce(shape("Point", point), shape("LineString", line), shape("Polygon", polygon))
+def ring(points: Column) -> Column:
+    """Points as a closed ring; null under three."""
+    return F.when(F.size(points) >= 3, F.when(F.get(points, F.lit(0)) == F.element_at(points, -1), points).otherwise(F.concat(points, F.slice(points, 1, 1))))
+
+
+def cap_polygons(texts: Column) -> Column:
+    """CAP polygons (an array of `lat,lon lat,lon ...` texts): one ring is a Polygon, several are a MultiPolygon; null without any."""
+    rings = F.filter(F.transform(texts, lambda t: ring(pairs(t, swapped=True))), lambda r: r.isNotNull())
+    return F.when(F.size(rings) == 1, _json("Polygon", rings)).when(F.size(rings) > 1, _json("MultiPolygon", F.transform(rings, lambda r: F.array(r))))
+
+
+def _spaced(text: Column) -> Column:
+    """Points of `lat lon lat lon ...`; a pair that isn't two numbers and an odd last number are left out."""
+    n = F.transform(F.split(F.trim(text), r"\s+"), lambda x: x.try_cast("double"))
+    at = F.sequence(F.lit(0), F.floor(F.size(n) / 2).cast("int") - 1)
+    both = F.when(F.size(n) >= 2, F.transform(at, lambda i: F.array(F.get(n, 2 * i + 1), F.get(n, 2 * i))))
+    return F.filter(both, lambda p: F.forall(p, lambda x: x.isNotNull()))
+
+
+def georss(point_text: Column, polygon_text: Column) -> Column:
+    """The point of `lat lon` if there is one, else the polygon of three or more; null without either."""
+    first = F.get(_spaced(point_text), F.lit(0))
+    outline = ring(_spaced(polygon_text))
+    return F.coalesce(F.when(first.isNotNull(), _json("Point", first)), F.when(outline.isNotNull(), _json("Polygon", F.array(outline))))
+
+
+def placemark(point_text: Column, line_text: Column, polygon_text: Column) -> Column:
+    """KML coordinates: the first point if there is one, else a line of two points or more, else a ring of three or more."""
+    first, line, outline = F.get(pairs(point_text), F.lit(0)), pairs(line_text), ring(pairs(polygon_text))
+    return F.coalesce(F.when(first.isNotNull(), _json("Point", first)), F.when(F.size(line) >= 2, _json("LineString", line)), F.when(outline.isNotNull(), _json("Polygon", F.array(outline))))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .keys import compact_text
+
 #: Order of severities, and the words that give one.
 RANK = {"unknown": 0, "minor": 1, "moderate": 2, "severe": 3, "extreme": 4}
 WORDS = {"yellow": "minor", "low": "minor", "orange": "moderate", "medium": "moderate", "red": "severe", "high": "severe", "exceptional": "extreme"}
@@ -41,7 +43,7 @@ def warning_severity(code: Column) -> Column:
 
 
 def severity(x: Column) -> Column:
-    v = F.lower(F.trim(x))
+    v = F.lower(compact_text(x))
     out = F.when(v.isin(*RANK), v)
     for word, name in WORDS.items():
         out = out.when(v == word, name)
@@ -56,20 +58,21 @@ def priority(level: Column) -> Column:
 
 
 def category(text: Column) -> Column:
-    t, out = F.lower(text), F.lit("weather")
+    t, out = F.lower(compact_text(text)), F.lit("weather")
     for name, parts in reversed(CATEGORIES):
         out = F.when(t.rlike("|".join(parts)), name).otherwise(out)
     return out
 
 
 def magnitude_severity(m: Column) -> Column:
-    """By steps at 5, 6 and 7; what isn't a number is unknown."""
+    """By steps at 5, 6 and 7; text that isn't a number is unknown, and `nan` reaches no step."""
     v = m.try_cast("double")
-    return F.when(v >= 7, "extreme").when(v >= 6, "severe").when(v >= 5, "moderate").when(v.isNotNull(), "minor").otherwise("unknown")
+    return F.when(F.isnan(v), "minor").when(v >= 7, "extreme").when(v >= 6, "severe").when(v >= 5, "moderate").when(v.isNotNull(), "minor").otherwise("unknown")
 
 
-def bulletin_severity(kind: Column) -> Column:
-    k = F.lower(kind)
+def bulletin_severity(kind: Column, name: Column | None = None) -> Column:
+    """By the words of a bulletin's kind and name."""
+    k = F.lower(F.concat_ws(" ", kind, *([] if name is None else [name])))
     return F.when(k.contains("warning"), "severe").when(k.contains("watch"), "moderate").when(k.contains("advisory") | k.contains("statement"), "minor").otherwise("unknown")
 
 
@@ -84,11 +87,3 @@ def is_active(expires: Column, now: Column) -> Column:
 
 def is_recent(at: Column, now: Column, hours: int = 72) -> Column:
     return F.coalesce(at.try_cast("timestamp") >= now - F.make_dt_interval(F.lit(0), F.lit(hours)), F.lit(True))
-
-
-def ring(points: Column) -> Column:
-    """CAP text of `lat,lon` pairs as a closed ring of [lon, lat]; null under three points."""
-    pairs = F.transform(F.filter(F.split(F.trim(points), r"\s+"), lambda p: F.size(F.split(p, ",")) == 2), lambda p: F.array(F.get(F.split(p, ","), F.lit(1)).try_cast("double"), F.get(F.split(p, ","), F.lit(0)).try_cast("double")))
-    good = F.filter(pairs, lambda p: F.get(p, F.lit(0)).isNotNull() & F.get(p, F.lit(1)).isNotNull())
-    closed = F.when(F.get(good, F.lit(0)) == F.element_at(good, -1), good).otherwise(F.concat(good, F.slice(good, 1, 1)))
-    return F.when(F.size(good) >= 3, closed)

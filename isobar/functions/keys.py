@@ -6,6 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Characters that count as white space.
+SPACES = "[\\t-\\r\\x1c-\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+"
+
+
 def _clamped(x: Column, size: int, low: int, high: int) -> Column:
     return F.least(F.greatest(F.floor(x / size) * size, F.lit(low)), F.lit(high)).cast("int")
 
@@ -33,8 +37,34 @@ def pack_origin(lat: Column, lon: Column) -> tuple[Column, Column]:
     return south.cast("int"), west.cast("int")
 
 
+def tile_file(job: Column | str, hour: Column, lat: Column, lon: Column, ending: str = "gtile") -> Column:
+    """Name of the file of a job's tile or pack at an hour: `temp_6h_N50_W20.gtile`."""
+    job = F.lit(job) if isinstance(job, str) else job
+    return F.concat(job, F.lit("_"), hour.cast("string"), F.lit("h_"), corner_label(lat, "N", "S"), F.lit("_"), corner_label(lon, "E", "W"), F.lit(f".{ending}"))
+
+
+def overview_key(lat: Column, lon: Column, suffix: str = "_60") -> Column:
+    return F.concat(corner_label(lat, "N", "S"), F.lit("_"), corner_label(lon, "E", "W"), F.lit(suffix))
+
+
+def valid_time(reference: Column, hours: Column) -> Column:
+    return reference + F.make_dt_interval(F.lit(0), hours.cast("int"))
+
+
+def day_start(at: Column, days: int = 0) -> Column:
+    """The start of the UTC day (the session's zone), days later."""
+    return F.date_trunc("day", at) + F.make_dt_interval(F.lit(days))
+
+
+def feed_region(url: Column) -> Column:
+    """What stands after the last `-` of an URL's path: the feed's country."""
+    path = F.regexp_replace(F.regexp_replace(url, r"^[a-z]+://[^/]*", ""), r"[?#].*$", "")
+    return F.element_at(F.split(path, "-"), -1)
+
+
 def lead_bucket(hours: Column) -> Column:
-    h = F.coalesce(hours, F.lit(0))
+    """Bucket of a lead time, whose part of an hour doesn't count."""
+    h = F.coalesce(hours.cast("int"), F.lit(0))
     return F.when(h <= 24, "0-24").when(h <= 72, "25-72").when(h <= 168, "73-168").otherwise("169+")
 
 
@@ -60,13 +90,19 @@ def parse_utc(x: Column) -> Column:
 
 
 def iso_or_text(x: Column) -> Column:
-    """ISO text in UTC; what can't be read stays as it is."""
-    return F.coalesce(F.date_format(x.try_cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'"), x)
+    """ISO text in UTC to the second (`2024-01-01T00:00:00+00:00`); what can't be read stays as it is, without outer space; null if nothing is left."""
+    text = F.nullif(F.trim(x), F.lit(""))
+    return F.coalesce(F.date_format(F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text).try_cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'+00:00'"), text)
+
+
+def given(*columns: Column) -> Column:
+    """The first value that is neither null nor empty."""
+    return F.coalesce(*[F.nullif(c, F.lit("")) for c in columns])
 
 
 def compact_text(x: Column) -> Column:
-    """White space runs as one space, no outer space; null if nothing is left."""
-    return F.nullif(F.trim(F.regexp_replace(x, r"\s+", " ")), F.lit(""))
+    """White space runs (Unicode's too) as one space, no outer space; null if nothing is left."""
+    return F.nullif(F.trim(F.regexp_replace(x, SPACES, " ")), F.lit(""))
 
 
 def first_alias(*columns: Column) -> Column:

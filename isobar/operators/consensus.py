@@ -9,15 +9,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.units import clip
+from ..functions import conditions
+from ..functions.fields import FAMILIES, QUALITY_FIELDS, looked_up
+from ..functions.units import clip, round_even
 
 #: Spread at which confidence is gone.
-TOLERANCE = {"temperature": 8.0, "dewpoint": 8.0, "wind_u": 12.0, "wind_v": 12.0, "gust": 15.0, "pressure": 2500.0, "humidity": 0.5, "cloud": 0.7, "precipitation": 8.0, "snowfall": 5.0, "visibility": 15000.0, "condition_code": 4.0, "probability": 1.0}
+TOLERANCE = {"temperature": 8.0, "dewpoint": 8.0, "wind_u": 12.0, "wind_v": 12.0, "wind_gust": 15.0, "pressure": 2500.0, "humidity": 0.5, "cloud_cover": 0.7, "precipitation": 8.0, "snowfall": 5.0, "visibility": 15000.0, "condition_code": 4.0, "precipitation_probability": 1.0}
+
+
+def finite(x: Column) -> Column:
+    """Whether a number is there and is neither NaN nor infinite."""
+    return x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf"))
 
 
 def weighted_median(df: DataFrame, by: list[str], value: str, weight: str, out: str) -> DataFrame:
-    """by and out: the least value at which the weights so far are half of all or more. Missing values have no weight; a group without weight gives null."""
-    w = F.when(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")), F.greatest(F.col(weight), F.lit(0)))
+    """by and out: the least value at which the weights so far are half of all or more. Missing and infinite values have no
+    weight; a group without weight gives null."""
+    w = F.when(finite(F.col(value)), F.greatest(F.col(weight), F.lit(0)))
     counted = df.groupBy(*by, value).agg(F.sum(w).alias("_w"))
     group = Window.partitionBy(*by)
     before = group.orderBy(F.col(value).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
@@ -59,8 +67,10 @@ def wet_statistics(df: DataFrame, by: list[str], amount: str, weight: str, wet:
     return joined.select(*by, "wet_probability", F.when(F.col("wet_probability") >= 0.5, F.coalesce("_median", F.lit(0.0))).otherwise(F.lit(0.0)).alias("amount"))
 
 
-def confidence(spread: Column, families: Column, field: str) -> Column:
-    return (1 - clip(spread / TOLERANCE[field], 0.0, 1.0)) * F.least(families / 3, F.lit(1.0))
+def confidence(spread: Column, families: Column, field: str | Column) -> Column:
+    """1 where models agree and three families take part, 0 at the field's tolerance or more; null without a spread."""
+    tolerance = F.lit(TOLERANCE[field]) if isinstance(field, str) else looked_up(TOLERANCE, field)
+    return (1 - clip(spread / tolerance, 0.0, 1.0)) * F.least(families / 3, F.lit(1.0))
 
 
 def clamped_bias(value: Column, bias: Column, samples: Column, low: Column, high: Column, least: int = 3) -> Column:
@@ -69,10 +79,52 @@ def clamped_bias(value: Column, bias: Column, samples: Column, low: Column, high
     return F.when(value.isNotNull(), F.least(F.greatest(value + b, low), high))
 
 
-def consensus(df: DataFrame, by: list[str], model: str, family: str, value: str, skill: str, field: str, quality: bool = True) -> DataFrame:
-    """by, consensus and n_families for groups of two or more families; with quality also n_models, spread and confidence."""
-    rows = family_balanced(several_families(df.filter(F.col(value).isNotNull()), by, family), by, family, skill, "_weight")
-    out = weighted_median(rows, by, value, "_weight", "consensus")
-    figures = rows.groupBy(*by).agg(F.max("n_families").alias("n_families"), F.count_distinct(model).alias("n_models"), (F.max(value) - F.min(value)).alias("spread"))
-    figures = figures.withColumn("confidence", confidence(F.col("spread"), F.col("n_families"), field))
-    return out.join(figures if quality else figures.select(*by, "n_families"), by)
+def skill_of(skills: DataFrame) -> DataFrame:
+    """model and skill (0 at least) of a table of model and weight; weights that aren't numbers are left out."""
+    known = skills.select("model", F.col("weight").try_cast("double").alias("skill")).filter("skill is not null")
+    return known.withColumn("skill", F.greatest("skill", F.lit(0.0)))
+
+
+def field_consensus(cells: DataFrame, tile: list[str], cell: list[str], quality: bool = True) -> DataFrame:
+    """The consensus of all fields: tile, cell, field, value, spread, families and confidence, long.
+
+    cells has tile and cell columns, model, field, value and skill (null: 1). A field of a tile counts only where models of
+    two families or more carry it, which is asked of the whole plane and not of a cell; a model that carries the plane has
+    its share in a family's weight even where its cell is missing. Condition codes are voted, by family of codes first, with
+    missing ones as Unknown; of precipitation the probability is a field of its own, and amounts under even odds are 0; all
+    others are weighted lower medians. spread: of what is finite, but of codes only where all are there. With quality,
+    confidence is given for the fields that have it; without, spread, families and confidence are left out.
+    """
+    rows = cells.withColumn("family", looked_up(FAMILIES, F.col("model"))).filter("family is not null")
+    carried = rows.groupBy(*tile, "field", "family").agg(F.count_distinct("model").alias("_siblings"))
+    planes = carried.groupBy(*tile, "field").agg(F.count(F.lit(1)).alias("families"), F.collect_list(F.struct("family", "_siblings")).alias("_f")).filter("families >= 2")
+    siblings = planes.select(*tile, "field", "families", F.explode("_f").alias("_f")).select(*tile, "field", "families", "_f.*")
+    rows = rows.join(siblings, [*tile, "field", "family"])
+    rows = rows.withColumn("_w", F.greatest(F.coalesce("skill", F.lit(1.0)), F.lit(0.01)) / F.col("_siblings"))
+    known = finite(F.col("value"))
+    by = [*tile, *cell, "field"]
+    plain = weighted_median(rows.filter("field not in ('condition_code', 'precipitation')"), by, "value", "_w", "value")
+    codes = rows.filter("field = 'condition_code'").withColumn("_code", F.when(known, F.rint("value")).otherwise(0).cast("int"))
+    voted = two_level_vote(codes.withColumn("_group", conditions.family(F.col("_code"))), by, "_code", "_group", "_w", "value").withColumn("value", F.col("value").cast("double"))
+    wet = wet_statistics(rows.filter("field = 'precipitation'").withColumn("_v", F.when(known, F.col("value"))), by, "_v", "_w")
+    amounts = wet.withColumn("value", F.col("amount")).select(*by, "value")
+    odds = wet.select(*tile, *cell, F.lit("precipitation_probability").alias("field"), F.col("wet_probability").alias("value"))
+    out = plain.unionByName(voted).unionByName(amounts).unionByName(odds).withColumn("value", round_even(F.col("value"), 3))
+    if not quality:
+        return out
+    value = F.when(known, F.col("value"))
+    whole = (F.col("field") != "condition_code") | (F.count(value) == F.count(F.lit(1)))
+    figures = rows.groupBy(*by).agg(F.when(whole, F.max(value) - F.min(value)).alias("spread"), F.max("families").alias("families"))
+    figures = figures.withColumn("confidence", F.when(F.col("field").isin(*QUALITY_FIELDS), round_even(confidence(F.col("spread"), F.col("families"), F.col("field")), 3)))
+    return out.join(figures, by, "left")
+
+
+def corrected_temperature(consensus: DataFrame, cells: DataFrame, tile: list[str], cell: list[str], bias: DataFrame) -> DataFrame:
+    """consensus (field, value) with temperatures moved by their tile's bias (tile columns, value, samples), within what the
+    models of the cell say. A bias of under three samples and a null value change nothing."""
+    temperatures = cells.filter("field = 'temperature'").withColumn("_v", F.when(finite(F.col("value")), F.col("value")))
+    ranges = temperatures.groupBy(*tile, *cell).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high")).withColumn("field", F.lit("temperature"))
+    joined = consensus.join(ranges, [*tile, *cell, "field"], "left").join(bias.select(*tile, F.col("value").alias("_bias"), F.col("samples").alias("_n")), tile, "left")
+    moved = clamped_bias(F.col("value"), F.coalesce("_bias", F.lit(0.0)), F.coalesce("_n", F.lit(0)), F.col("_low"), F.col("_high"))
+    value = F.when((F.col("field") == "temperature") & (F.coalesce("_bias", F.lit(0.0)) != 0), round_even(moved, 3)).otherwise(F.col("value"))
+    return joined.withColumn("value", value).drop("_low", "_high", "_bias", "_n")

@@ -7,33 +7,58 @@ from pyspark.sql import functions as F
 
 from ..functions import hazards as H
 from ..functions import keys as K
-from ..functions.units import round_up
-
-
-def feature(raw: dict[str, Column]) -> list[Column]:
-    """Columns of a normalised hazard from raw ones (absent: null): text compacted, category and severity derived, id stable."""
-    get = lambda k: raw.get(k, F.lit(None).cast("string"))
-    event = F.coalesce(K.compact_text(get("event")), K.compact_text(get("headline")), F.lit("Alert"))
-    level = H.severity(get("severity"))
-    return [
-        F.coalesce(K.compact_text(get("id")), K.stable_id(get("provider"), event, get("effective"))).alias("id"),
-        get("provider").alias("provider"),
-        F.coalesce(get("category"), H.category(event)).alias("category"),
-        event.alias("event"),
-        level.alias("severity"),
-        H.priority(level).alias("priority"),
-        F.coalesce(K.compact_text(get("headline")), event).alias("headline"),
-        K.compact_text(get("description")).alias("description"),
-        K.compact_text(get("area")).alias("area_name"),
-        K.iso_or_text(get("effective")).alias("effective"),
-        K.iso_or_text(get("expires")).alias("expires"),
-        F.lit(False).alias("stale"),
-    ]
+
+
+#: Fields of a hazard in its GeoJSON properties.
+FIELDS = ("id", "provider", "sourceUrl", "category", "event", "severity", "urgency", "certainty", "status", "headline", "description", "instruction", "areaName", "country", "region", "effective", "onset", "expires", "updated", "layer", "priority", "attribution")
+
+
+def feature(provider: Column | str, geometry: Column, raw: dict[str, Column]) -> list[Column]:
+    """Columns FIELDS and geometry of a hazard from its raw text fields (absent: null); empty text counts as missing.
+
+    White space is compacted and nothing blank is kept; category and severity are derived, times are in UTC where they can be
+    read; without an id, provider, event, area and the first of onset, effective and updated make one.
+    """
+    get = lambda *names: K.given(*[raw.get(n, F.lit(None)).cast("string") for n in names])
+    provider = F.lit(provider) if isinstance(provider, str) else provider
+    event, level = get("event", "headline", "title"), H.severity(get("severity"))
+    out = {
+        "provider": provider,
+        "sourceUrl": get("sourceUrl"),
+        "category": F.coalesce(get("category"), H.category(F.coalesce(event, F.lit("")))),
+        "event": event,
+        "severity": level,
+        "headline": get("headline", "title"),
+        "description": get("description", "summary"),
+        "layer": F.coalesce(get("layer"), F.lit("alerts")),
+        **{n: get(n) for n in ("urgency", "certainty", "status", "instruction", "areaName", "country", "region", "attribution")},
+        **{n: K.iso_or_text(get(n)) for n in ("effective", "onset", "expires", "updated")},
+    }
+    told = F.coalesce(out["onset"], out["effective"], out["updated"], F.lit(""))
+    out["id"] = F.coalesce(get("id"), K.stable_id(provider, F.coalesce(event, F.lit("")), F.coalesce(K.compact_text(out["areaName"]), F.lit("")), told))
+    return [*[(H.priority(level) if n == "priority" else K.compact_text(out[n])).alias(n) for n in FIELDS], geometry.alias("geometry")]
 
 
 def clean_properties(properties: Column) -> Column:
-    """A map without null and blank values."""
-    return F.map_filter(properties, lambda _, v: F.coalesce(F.trim(v) != "", F.lit(False)))
+    """A map with white space compacted in its values, without null and blank ones."""
+    return F.map_filter(F.transform_values(properties, lambda _, v: K.compact_text(v)), lambda _, v: v.isNotNull())
+
+
+def hazard_outputs(features: DataFrame, previous: DataFrame, status: DataFrame, now: Column) -> DataFrame:
+    """features that haven't expired, with output, and the previous run's rows (with output) of providers whose status is
+    `error`, marked stale."""
+    fresh = features.filter(H.is_active(F.col("expires"), now)).withColumns({"output": output_of(F.col("category")), "stale": F.lit(False)})
+    return with_stale(fresh, previous, status)
+
+
+def hazard_manifest(outputs: DataFrame, status: DataFrame) -> DataFrame:
+    """kind, name, features, status: counts of each output, and of the fresh features of each provider with its status."""
+    names = outputs.sparkSession.createDataFrame([(n,) for n in OUTPUTS], "name string")
+    counts = outputs.groupBy(F.col("output").alias("name")).agg(F.count(F.lit(1)).alias("features"))
+    by_output = names.join(counts, "name", "left").select(F.lit("output").alias("kind"), "name", F.coalesce("features", F.lit(0)).alias("features"), F.lit(None).cast("string").alias("status"))
+    fresh = outputs.filter("not stale").groupBy("provider").agg(F.count(F.lit(1)).alias("features"))
+    by_provider = status.join(fresh, "provider", "left").select(F.lit("provider").alias("kind"), F.col("provider").alias("name"), F.coalesce("features", F.lit(0)).alias("features"), "status")
+    return by_output.unionByName(by_provider)
 
 
 def merged_lookup(groups: DataFrame, key: str, order: str) -> DataFrame:
@@ -42,6 +67,10 @@ def merged_lookup(groups: DataFrame, key: str, order: str) -> DataFrame:
     return groups.groupBy(key).agg(F.max_by(F.struct(*values), order).alias("_v")).select(key, "_v.*")
 
 
+#: Outputs of a run.
+OUTPUTS = ("alerts", "tropical", "fires", "floods", "earthquakes")
+
+
 def output_of(category: Column) -> Column:
     """The output that a category goes to; each goes to exactly one."""
     return F.when(category == "tropical", "tropical").when(category == "fire", "fires").when(category == "flood", "floods").when(category == "earthquake", "earthquakes").otherwise("alerts")
@@ -69,30 +98,26 @@ def parallel_arrays(df: DataFrame, by: list[str], order: str, values: list[str])
     return rows.select(*by, *[F.transform("_r", lambda x: x[v]).alias(v) for v in values])
 
 
-def subordinate_tides(events: DataFrame, stations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Tides of subordinate stations from those of their reference: shifted by minutes, heights times a ratio or plus a fixed offset.
-
-    events: station, time, type (high or low), height; stations: id, reference, high_minutes, low_minutes, high_height,
-    low_height, height_kind (ratio or fixed). Second: the stations whose reference has no events or whose kind is unknown.
-    """
-    known = stations.join(events.select(F.col("station").alias("reference")).distinct(), "reference", "left_semi").filter("height_kind in ('ratio', 'fixed')")
-    wrong = stations.join(known.select("id"), "id", "left_anti")
-    joined = known.join(events, known["reference"] == events["station"])
-    of_type = lambda a: F.when(F.col("type") == "high", F.col(f"high_{a}")).otherwise(F.col(f"low_{a}"))
-    height = F.when(F.col("height_kind") == "ratio", F.col("height") * of_type("height")).otherwise(F.col("height") + of_type("height"))
-    shifted = F.col("time") + F.make_dt_interval(F.lit(0), F.lit(0), of_type("minutes").cast("int"))
-    return joined.select("id", shifted.alias("time"), "type", round_up(height, 3).alias("height")), wrong
+def outdated_runs(runs: DataFrame, rules: DataFrame, now: Column) -> DataFrame:
+    """Runs whose age in days exceeds the rule of the longest prefix that fits. Prefixes of a key are joined by equality."""
+    tried = runs.select("key", "written", F.explode(F.sequence(F.lit(0), F.length("key"))).alias("_n")).withColumn("prefix", F.substr("key", F.lit(1), F.col("_n")))
+    kept = tried.join(rules, "prefix").groupBy("key", "written").agg(F.max_by("days", F.length("prefix")).alias("days"))
+    return kept.filter(F.col("written") < now - F.make_dt_interval(F.col("days")))
 
 
-def predictable(station: DataFrame) -> DataFrame:
-    """Stations that tides can be made for: references with harmonics, or subordinates with a reference and all offsets."""
-    reference = (F.col("kind") == "reference") & (F.size("harmonics") > 0)
-    offsets = F.col("reference").isNotNull() & F.col("high_minutes").isNotNull() & F.col("low_minutes").isNotNull() & F.col("high_height").isNotNull() & F.col("low_height").isNotNull()
-    return station.filter(F.coalesce(reference, F.lit(False)) | ((F.col("kind") == "subordinate") & offsets))
+def mirrored_scenes(scenes: DataFrame, id: str, document: str, image: str, thumbnail: str, base: str) -> DataFrame:
+    """scenes with their thumbnails at the mirror's address; any fault (scene_faults) stops the job."""
+    checked = scene_faults(scenes, id, document, image)
+    told = F.concat(F.lit("invalid "), F.col("fault"), F.lit(" of scene "), F.coalesce(F.col(id), F.lit("null")))
+    address = F.concat(F.lit(base.rstrip("/") + "/"), F.col(id), F.lit(".webp"))
+    return checked.withColumn(thumbnail, F.when(F.col("fault").isNull(), address).otherwise(F.raise_error(told).cast("string"))).drop("fault")
 
 
-def outdated_runs(runs: DataFrame, rules: DataFrame, now: Column) -> DataFrame:
-    """Runs whose age in days exceeds the rule of the longest prefix that fits."""
-    fit = runs.join(F.broadcast(rules), runs["key"].startswith(rules["prefix"]))  # rules are a handful of configured rows
-    kept = fit.groupBy("key", "written").agg(F.max_by("days", F.length("prefix")).alias("days"))
-    return kept.filter(F.col("written") < now - F.make_dt_interval(F.col("days")))
+def city_forecasts(raw: DataFrame, names: DataFrame) -> DataFrame:
+    """name, lat, lng, src and parallel arrays of days, highs, lows and icons of city documents (city_id, document); names has
+    city_id and city. Cities without a document are left out."""
+    day = "array<struct<forecastDate:string,maxTemp:string,minTemp:string,weatherIcon:bigint>>"
+    schema = f"city struct<cityLatitude:string,cityLongitude:string,member:struct<orgName:string>,forecast:struct<forecastDay:{day}>>"
+    rows = raw.select("city_id", F.from_json("document", schema)["city"].alias("c")).filter("c is not null").join(names, "city_id")
+    days = F.col("c.forecast.forecastDay")
+    return rows.select(F.col("city").alias("name"), F.col("c.cityLatitude").alias("lat"), F.col("c.cityLongitude").alias("lng"), F.col("c.member.orgName").alias("src"), *[F.transform(days, lambda x: x[n]).alias(n) for n in ("forecastDate", "maxTemp", "minTemp", "weatherIcon")])

@@ -72,7 +72,7 @@ def interval_amounts(df: DataFrame, by: list[str], order: str, value: str, runni
     """df with out: where running is true the amount since the last running row (never under 0; the first as it is), elsewhere the value."""
     w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     last = F.last(F.when(F.col(running), F.col(value)), ignorenulls=True).over(w)
-    return df.withColumn(out, F.when(F.col(running) & last.isNotNull(), F.greatest(F.col(value) - last, F.lit(0.0))).otherwise(F.col(value)))
+    return df.withColumn(out, F.when(F.col(running) & last.isNotNull() & F.col(value).isNotNull(), F.greatest(F.col(value) - last, F.lit(0.0))).otherwise(F.col(value)))
 
 
 def byte_ranges(df: DataFrame, by: list[str], order: str, offset: str) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import consensus, grids, hazards, learning
+from . import consensus, grids, hazards, learning, products
 
-_PLANS = (consensus, learning, grids, hazards)
+_PLANS = (consensus, learning, grids, hazards, products)
 
 
 def queries() -> dict:

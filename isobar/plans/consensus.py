@@ -79,7 +79,7 @@ def wet_probability(spark, d):
 
 def spread_confidence(spark, d):
     rows = models(spark, d).groupBy("l_partkey").agg((F.max("l_quantity") - F.min("l_quantity")).alias("spread"), F.count_distinct("n_regionkey").alias("families"))
-    return rows.select("l_partkey", "spread", "families", C.confidence(F.col("spread"), F.col("families"), "gust").alias("confidence"))
+    return rows.select("l_partkey", "spread", "families", C.confidence(F.col("spread"), F.col("families"), "wind_gust").alias("confidence"))
 
 
 def bias_clamped_consensus(spark, d):

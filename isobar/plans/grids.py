@@ -89,7 +89,7 @@ def condition_from_fields(spark, d):
 
 
 def wmo_code(spark, d):
-    return t(spark, d, "events").select("event_id", conditions.wmo_condition((C("event_id") % 100).cast("int"), (C("event_id") % 5 + 1).cast("int")).alias("condition"))
+    return t(spark, d, "events").select("event_id", conditions.wmo_condition(C("event_id") % 100 + 0.25, (C("event_id") % 5 + 1).cast("int")).alias("condition"))
 
 
 def condition_pairs(spark, d):
@@ -118,8 +118,8 @@ def plausibility_filter(spark, d):
     return t(spark, d, "orders").select("o_orderkey", units.plausible(C("o_totalprice"), "pressure").alias("pressure"))
 
 
-COND = """case when l_discount * 6 >= 0.5 then 13 when l_quantity / 5 - 2 >= 0.05 and 263.15::double + l_quantity <= 273.65 and l_linenumber / 10.0::double - 0.3::double < 0.05 then 9
-    when l_linenumber / 10.0::double - 0.3::double >= 0.05 and l_quantity / 5 - 2 - (l_linenumber / 10.0::double - 0.3::double) >= 0.05 then 10 when l_linenumber / 10.0::double - 0.3::double >= 5 then 12 when l_linenumber / 10.0::double - 0.3::double >= 0.05 then 11
+COND = """case when l_discount * 6 >= 0.5 then 13 when l_quantity / 5 - 2 >= 0.05 and 263.15::double + l_quantity <= 273.65 and l_linenumber / 10.0::double - 0.3::double < 0.05 then 12
+    when l_linenumber / 10.0::double - 0.3::double >= 0.05 and l_quantity / 5 - 2 - (l_linenumber / 10.0::double - 0.3::double) >= 0.05 then 11 when l_linenumber / 10.0::double - 0.3::double >= 5 then 10 when l_linenumber / 10.0::double - 0.3::double >= 0.05 then 9
     when l_quantity / 5 - 2 >= 8 then 8 when l_quantity / 5 - 2 >= 0.25 then 7 when l_quantity / 5 - 2 > 0.01 then 6
     when abs((263.15::double + l_quantity) - (260.15::double + l_quantity + l_linenumber)) <= 1 and l_tax * 12.5 >= 0.75 then 14 when l_tax * 12.5 < 0.12 then 1 when l_tax * 12.5 < 0.32 then 2 when l_tax * 12.5 < 0.68 then 3 when l_tax * 12.5 < 0.88 then 4 else 5 end"""
 clip = lambda x: f"least(greatest({x}, 0.0::double), 1.0::double)"
@@ -141,7 +141,7 @@ PLANS = {
         select * from a union all select * from r where channel <= 4 and tile in (select tile from a) and (tile, channel) not in (select (tile, channel) from a)"""),
     "resampled_planes": (resampled_planes, "select vec_id, 16 as n, round((embedding[10]::double * 0.5 + embedding[11]::double * 0.5) / 1.0, 9) as fifth from embeddings"),
     "condition_from_fields": (condition_from_fields, f"select l_orderkey, l_linenumber, {COND} as condition from lineitem"),
-    "wmo_code": (wmo_code, "with e as (select event_id, event_id % 100 c from events) select event_id, (case when c in (96, 99) then 15 when c between 95 and 99 then 13 when c between 68 and 79 or c between 85 and 86 then 11 when c in (66, 67) then 9 when c between 61 and 65 or c between 80 and 82 then 7 when c between 51 and 57 then 6 when c between 45 and 48 then 14 else event_id % 5 + 1 end)::int as condition from e"),
+    "wmo_code": (wmo_code, "with e as (select event_id, event_id % 100 c from events) select event_id, (case when c in (96, 99) then 15 when c between 95 and 99 then 13 when c between 68 and 79 or c between 85 and 86 then 9 when c in (66, 67) then 12 when c between 61 and 65 or c between 80 and 82 then 7 when c between 51 and 57 then 6 when c between 45 and 48 then 14 else event_id % 5 + 1 end)::int as condition from e"),
     "condition_pairs": (condition_pairs, "select event_id, ((event_id % 16) + (event_id % 13) * 16)::int as pair from events"),
     "storm_index": (storm_index, f"""with a as (select *, {clip("(l_extendedprice / 20 - 250) / 1750")} en, greatest({clip("(l_quantity - 18) / 37")}, {clip("(l_discount / 100 * 3600 - 0.25) / 8")}, {clip("(l_tax / 100 * 3600 - 0.1) / 5")}) sg from lineitem),
         b as (select *, (0.25::double * en + 0.55::double * sqrt(en) * pow(sg, 0.7) + 0.2::double * sg * en) * (0.55::double + 0.45::double * greatest({clip("(l_quantity - 20) / 25")}, {clip("(l_quantity / 2 - 12) / 12")})) * (0.35::double + 0.65::double * (1 - {clip("(l_linenumber * 30.0::double - 25) / 175")})) * (0.85::double + 0.30::double * {clip("(abs(l_quantity - 20) - 8) / 18")}) v from a)

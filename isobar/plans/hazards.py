@@ -7,23 +7,24 @@ from pyspark.sql import functions as F
 from ..functions import geometry
 from ..functions import hazards as H
 from ..functions import keys as K
-from ..operators import feeds
+from ..operators import feeds, tides
 from ..sources import catalog
 from .consensus import t
 
 C = F.col
 
 
-def _word():
-    return F.element_at(F.array(*[F.lit(x) for x in ("Flood warning", "ice alert", "Tropical Storm", "quake", "Hail", "hot day", "gale", "notice", "forest fire", "fog")]), (C("doc_id") % 10 + 1).cast("int"))
+def compact_sql(x):
+    return f"nullif(trim(regexp_replace({x}, '{K.SPACES}', ' ', 'g')), '')"
 
 
-WORD_SQL = "['Flood warning', 'ice alert', 'Tropical Storm', 'quake', 'Hail', 'hot day', 'gale', 'notice', 'forest fire', 'fog'][doc_id % 10 + 1]"
-CASE_SQL = "case " + " ".join(f"when regexp_matches(lower(e), '{'|'.join(p)}') then '{n}'" for n, p in H.CATEGORIES) + " else 'weather' end"
+CASE_SQL = "case " + " ".join(f"when regexp_matches(lower({compact_sql('e')}), '{'|'.join(p)}') then '{n}'" for n, p in H.CATEGORIES) + " else 'weather' end"
+OUTPUT_SQL = "case category when 'tropical' then 'tropical' when 'fire' then 'fires' when 'flood' then 'floods' when 'earthquake' then 'earthquakes' else 'alerts' end"
 
 
 def category_rules(spark, d):
-    return t(spark, d, "documents").select("doc_id", H.category(_word()).alias("category"), feeds.output_of(H.category(_word())).alias("output"))
+    rows = t(spark, d, "documents").select("doc_id", H.category(C("text")).alias("category"))
+    return rows.select("doc_id", "category", feeds.output_of(C("category")).alias("output"))
 
 
 def category_of_text(spark, d):
@@ -36,7 +37,7 @@ def severity_priority(spark, d):
 
 
 def compact_text(spark, d):
-    return t(spark, d, "pages").select("page_id", F.sha2(K.compact_text(C("url")), 256).alias("url"), K.file_id(C("url")).alias("file"))
+    return t(spark, d, "pages").select("page_id", F.sha2(K.compact_text(C("url")), 256).alias("url"), F.sha2(K.compact_text(C("html")), 256).alias("html"), K.file_id(C("url")).alias("file"))
 
 
 def stable_id(spark, d):
@@ -44,7 +45,7 @@ def stable_id(spark, d):
 
 
 def category_partition_counts(spark, d):
-    rows = t(spark, d, "documents").select(feeds.output_of(H.category(_word())).alias("output"), "source")
+    rows = t(spark, d, "documents").select(feeds.output_of(H.category(C("text"))).alias("output"), "source")
     return rows.groupBy("output", "source").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -79,11 +80,12 @@ def nested_explode_lookup(spark, d):
 
 def magnitude_severity(spark, d):
     m = F.when(C("l_linenumber") == 7, "none").otherwise((C("l_quantity") / 6).cast("string"))
+    m = F.when(C("l_linenumber") == 6, "nan").otherwise(m)
     return t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", H.magnitude_severity(m).alias("severity"))
 
 
 def bulletin_severity(spark, d):
-    return t(spark, d, "documents").select("doc_id", H.bulletin_severity(_word()).alias("severity"))
+    return t(spark, d, "documents").select("doc_id", H.bulletin_severity(C("lang"), C("text")).alias("severity"))
 
 
 def warning_codes(spark, d):
@@ -96,8 +98,12 @@ def acquisition_times(spark, d):
 
 
 def hazard_features(spark, d):
-    raw = {"provider": C("source"), "event": _word(), "severity": C("lang"), "headline": F.substring("text", 1, 0), "effective": F.lit("2024-01-01T00:00:00Z"), "expires": F.lit("Wed, 01 May"), "area": C("lang")}
-    return t(spark, d, "documents").select("doc_id", *feeds.feature(raw))
+    """Whole texts as headlines (which stand for missing events) and descriptions; three of four documents have no id of their own."""
+    id = F.when(C("doc_id") % 4 == 0, C("doc_id").cast("string"))
+    level = F.element_at(F.array(*[F.lit(x) for x in (" Yellow", "low", "ORANGE", "red", "exceptional", "Severe", "", "nan")]), (C("doc_id") % 8 + 1).cast("int"))
+    raw = {"id": id, "severity": level, "headline": C("text"), "description": C("text"), "areaName": C("lang"), "effective": F.lit("2024-01-01T00:00:00Z"), "onset": F.when(C("doc_id") % 3 == 0, " soon "), "expires": F.lit("Wed, 01 May"), "layer": F.lit("")}
+    out = t(spark, d, "documents").select("doc_id", *feeds.feature(C("source"), F.lit(None).cast("string"), raw))
+    return out.select("doc_id", "provider", "category", "severity", "priority", "areaName", "effective", "onset", "expires", "updated", "layer", *[F.sha2(c, 256).alias(c) for c in ("id", "event", "headline", "description")])
 
 
 def parallel_arrays(spark, d):
@@ -108,7 +114,7 @@ def parallel_arrays(spark, d):
 def subordinate_offsets(spark, d):
     ev = t(spark, d, "events").select((C("user_id") % 40).alias("station"), C("ts").cast("timestamp").alias("time"), F.when(C("event_id") % 2 == 0, "high").otherwise("low").alias("type"), (C("event_id") % 977 / F.lit(64.0)).alias("height"))
     st = t(spark, d, "supplier").select(C("s_suppkey").alias("id"), (C("s_suppkey") % 50).alias("reference"), (C("s_suppkey") % 90).alias("high_minutes"), (-(C("s_suppkey") % 30)).alias("low_minutes"), F.lit(1.25).alias("high_height"), F.lit(0.5).alias("low_height"), F.when(C("s_suppkey") % 3 == 0, "ratio").when(C("s_suppkey") % 3 == 1, "fixed").otherwise("other").alias("height_kind"))
-    good, _ = feeds.subordinate_tides(ev, st)
+    good, _ = tides.subordinate_tides(ev, st)
     return good.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min(F.unix_micros("time")).alias("first_us"), F.max("height").alias("highest"), F.min("height").alias("lowest"))
 
 
@@ -143,13 +149,22 @@ def index_messages(spark, d):
 
 def point_geometries(spark, d):
     a, b = (C("event_id") % 90).cast("string"), (C("event_id") % 180).cast("string")
-    rows = t(spark, d, "events").select("event_id", geometry.georss(F.concat_ws(" ", a, b, a, b, a)).alias("g"), geometry.kml(F.concat(b, F.lit(","), a, F.lit(",0 x,1 "), a, F.lit(","), b)).alias("k"))
-    return rows.select("event_id", F.size("g").alias("n_georss"), F.get(F.get("g", F.lit(1)), F.lit(0)).alias("lon"), F.size("k").alias("n_kml"), F.get(F.get("k", F.lit(1)), F.lit(0)).alias("kml_lon"))
+    pair = F.concat(a, F.lit(","), b)
+    third = F.when(C("event_id") % 5 == 0, "x,1").otherwise("7,8,9")
+    rows = t(spark, d, "events").select(
+        "event_id",
+        geometry.georss(F.when(C("event_id") % 2 == 0, F.concat_ws(" ", a, b)), F.concat_ws(" ", F.lit("1 2"), a, b, F.lit("3 4"), F.when(C("event_id") % 3 == 0, "oops").otherwise("5 6"), a)).alias("g"),
+        geometry.placemark(F.when(C("event_id") % 7 == 0, "nothing"), F.concat_ws(" ", F.lit("1,2,0"), F.when(C("event_id") % 5 == 0, "x,1").otherwise(pair)), F.concat_ws(" ", F.lit("0,0"), pair, F.lit("1,1"))).alias("k"),
+        geometry.cap_polygons(F.array(F.concat_ws(" ", F.lit("1,2"), pair, third), F.when(C("event_id") % 4 == 0, "0,0 0,1 1,1"))).alias("c"),
+    )
+    get = lambda c, path: F.get_json_object(c, path)
+    return rows.select("event_id", get("g", "$.type").alias("kind"), get("g", "$.coordinates[0][1][0]").try_cast("double").alias("lon"), get("g", "$.coordinates[0]").try_cast("double").alias("x"), get("k", "$.type").alias("kml_kind"), get("k", "$.coordinates[1][0]").try_cast("double").alias("kml_lon"), get("c", "$.type").alias("cap_kind"))
 
 
 def clean_properties(spark, d):
-    props = F.create_map(F.lit("a"), F.when(C("doc_id") % 2 == 0, C("lang")), F.lit("b"), F.when(C("doc_id") % 3 == 0, F.lit(" ")).otherwise(C("source")), F.lit("c"), F.lit("x"))
-    return t(spark, d, "documents").select("doc_id", F.array_join(F.map_keys(feeds.clean_properties(props)), "").alias("names"))
+    props = F.create_map(F.lit("a"), F.when(C("doc_id") % 2 == 0, C("lang")), F.lit("b"), F.when(C("doc_id") % 3 == 0, F.lit(" \t\n")).otherwise(F.concat(F.lit("\t"), C("source"))), F.lit("c"), F.lit("x \n y"))
+    cleaned = F.map_entries(feeds.clean_properties(props))
+    return t(spark, d, "documents").select("doc_id", F.array_join(F.transform(cleaned, lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("names"))
 
 
 def merged_lookup(spark, d):
@@ -159,22 +174,25 @@ def merged_lookup(spark, d):
 
 NAMES_SQL = "case c " + " ".join(f"when '{k}' then '{v}'" for k, v in H.WARNING_NAMES.items()) + " else 'JMA warning code ' || c end"
 PLANS = {
-    "category_rules": (category_rules, f"select doc_id, category, case category when 'tropical' then 'tropical' when 'fire' then 'fires' when 'flood' then 'floods' when 'earthquake' then 'earthquakes' else 'alerts' end as output from (select doc_id, {CASE_SQL} category from (select doc_id, {WORD_SQL} e from documents))"),
+    "category_rules": (category_rules, f"select doc_id, category, {OUTPUT_SQL} as output from (select doc_id, {CASE_SQL} category from (select doc_id, text e from documents))"),
     "category_of_text": (category_of_text, f"select conv_id, turn, {CASE_SQL} as category from (select conv_id, turn, text e from conversations)"),
     "severity_priority": (severity_priority, "select doc_id, ['minor', 'minor', 'moderate', 'severe', 'extreme', 'severe', 'unknown', 'unknown'][doc_id % 8 + 1] severity, [1, 1, 2, 3, 4, 3, 0, 0][doc_id % 8 + 1]::int priority from documents"),
-    "compact_text": (compact_text, r"select page_id, sha256(nullif(trim(regexp_replace(url, '\s+', ' ', 'g')), '')) url, replace(url, '/', '__') as file from pages"),
+    "compact_text": (compact_text, f"select page_id, sha256({compact_sql('url')}) url, sha256({compact_sql('html')}) html, replace(url, '/', '__') as file from pages"),
     "stable_id": (stable_id, "select page_id, substr(regexp_replace(regexp_replace(url || '|' || page_id, '[^A-Za-z0-9_-]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 180) as id from pages"),
-    "category_partition_counts": (category_partition_counts, f"select case {CASE_SQL.replace('lower(e)', f'lower({WORD_SQL})')} when 'tropical' then 'tropical' when 'fire' then 'fires' when 'flood' then 'floods' when 'earthquake' then 'earthquakes' else 'alerts' end as output, source, count(*) n from documents group by all"),
+    "category_partition_counts": (category_partition_counts, f"select {OUTPUT_SQL} as output, source, count(*) n from (select source, {CASE_SQL} category from (select source, text e from documents)) group by all"),
     "stale_merge": (stale_merge, "select doc_id, source provider, false stale from documents where source not in ('src1', 'src3') union all select doc_id, source, true from documents join labels using (doc_id) where source in ('src1', 'src3')"),
     "active_filter": (active_filter, "select event_id, event_id % 11 = 0 or ts >= '2024-01-15 12:00:00' as active, event_id % 11 = 0 or ts >= timestamp '2024-01-12 12:00:00' as recent from events"),
     "alias_coalesce_number": (alias_coalesce_number, "select event_id, case when event_id % 3 = 2 then event_id::double else try_cast(json_extract_string(props, '$.k') as double) end as value from events"),
     "json_variant_props": (json_variant_props, "select event_id, try_cast(json_extract_string(props, '$.k') as int) as k from events"),
     "nested_explode_lookup": (nested_explode_lookup, "with n as (select n_nationkey % 5 k, min(n_name) area from nation group by 1) select conv_id, turn, role, area from conversations left join n on n.k = turn % 6"),
-    "magnitude_severity": (magnitude_severity, "select l_orderkey, l_linenumber, case when l_linenumber = 7 then 'unknown' when l_quantity / 6 >= 7 then 'extreme' when l_quantity / 6 >= 6 then 'severe' when l_quantity / 6 >= 5 then 'moderate' else 'minor' end as severity from lineitem"),
-    "bulletin_severity": (bulletin_severity, "select doc_id, case when doc_id % 10 = 0 then 'severe' else 'unknown' end as severity from documents"),
+    "magnitude_severity": (magnitude_severity, "select l_orderkey, l_linenumber, case when l_linenumber = 7 then 'unknown' when l_linenumber = 6 then 'minor' when l_quantity / 6 >= 7 then 'extreme' when l_quantity / 6 >= 6 then 'severe' when l_quantity / 6 >= 5 then 'moderate' else 'minor' end as severity from lineitem"),
+    "bulletin_severity": (bulletin_severity, "select doc_id, case when contains(k, 'warning') then 'severe' when contains(k, 'watch') then 'moderate' when contains(k, 'advisory') or contains(k, 'statement') then 'minor' else 'unknown' end as severity from (select doc_id, lower(concat_ws(' ', lang, text)) k from documents)"),
     "warning_codes": (warning_codes, f"with e as (select event_id, lpad((event_id % 40)::varchar, 2, '0') c from events) select event_id, {NAMES_SQL} as name, case when c[1] = '3' then 'extreme' when c in ('02','03','04','05','06','07') then 'severe' when c[1] in ('1', '2') then 'moderate' else 'unknown' end severity from e"),
     "acquisition_times": (acquisition_times, "with e as (select event_id, strftime(ts, '%Y-%m-%d') d, event_id * 7 % 2400 h from events) select event_id, case when h % 100 < 60 then d || ' ' || lpad((h // 100)::varchar, 2, '0') || ':' || lpad((h % 100)::varchar, 2, '0') end as at from e"),
-    "hazard_features": (hazard_features, f"""with e as (select doc_id, source, lang, {WORD_SQL} e from documents) select doc_id, source || '-' || replace(e, ' ', '-') || '-2024-01-01T00-00-00Z' as id, source provider, {CASE_SQL} category, e event, 'unknown' severity, 0 priority, e headline, null::varchar description, lang area_name, '2024-01-01T00:00:00Z' effective, 'Wed, 01 May' expires, false stale from e"""),
+    "hazard_features": (hazard_features, f"""with e as (select doc_id, source, lang, nullif(text, '') e, {compact_sql("text")} c from documents),
+        i as (select *, case when doc_id % 3 = 0 then 'soon' end onset, ['minor', 'minor', 'moderate', 'severe', 'extreme', 'severe', 'unknown', 'unknown'][doc_id % 8 + 1] severity from e)
+        select doc_id, source provider, {CASE_SQL} category, severity, [1, 1, 2, 3, 4, 3, 0, 0][doc_id % 8 + 1]::int priority, lang "areaName", '2024-01-01T00:00:00+00:00' effective, onset, 'Wed, 01 May' expires, null::varchar updated, 'alerts' layer,
+        sha256(case when doc_id % 4 = 0 then doc_id::varchar else substr(regexp_replace(regexp_replace(source || '|' || coalesce(e, '') || '|' || lang || '|' || coalesce(onset, '2024-01-01T00:00:00+00:00'), '[^A-Za-z0-9_-]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 180) end) id, sha256(c) "event", sha256(c) headline, sha256(c) description from i"""),
     "parallel_arrays": (parallel_arrays, "select o_custkey, string_agg(o_orderstatus, '|' order by o_orderkey) statuses, count(*)::int n, arg_min(o_totalprice, o_orderkey) first_price from orders group by 1"),
     "subordinate_offsets": (subordinate_offsets, """with e as (select user_id % 40 station, epoch_us(ts) us, event_id % 2 = 0 hi, (event_id % 977) / 64.0::double h from events), s as (select s_suppkey id, s_suppkey % 50 r, s_suppkey % 90 hm, -(s_suppkey % 30) lm, s_suppkey % 3 k from supplier where s_suppkey % 3 < 2)
         select id, count(*) n, min(us + (case when hi then hm else lm end) * 60000000) first_us, max(v) highest, min(v) lowest from (select *, floor((case when k = 0 then h * (case when hi then 1.25::double else 0.5::double end) else h + (case when hi then 1.25::double else 0.5::double end) end) * 1000 + 0.5::double) / 1000 v from s join e on station = r) group by id"""),
@@ -183,8 +201,9 @@ PLANS = {
     "run_fallback": (run_fallback, """with c as (select o_orderkey, i::int attempt, epoch_us(o_orderdate) - i * 21600000000 run_us, (o_orderkey % 120 + i * 6)::int lead from orders, range(5) r(i)),
         a as (select distinct run_us, lead from c where trunc(run_us / 3600000000.0::double / 6 + lead)::bigint % 3 = 0), k as (select c.*, row_number() over (partition by o_orderkey order by attempt) k from c join a using (run_us, lead)) select o_orderkey, attempt, lead, run_us from k where k = 1"""),
     "index_messages": (index_messages, """select l_orderkey, min(l_linenumber)::int "number", min(l_linenumber)::bigint * 1000 as "offset" from lineitem where l_returnflag = 'N' and l_linestatus = 'O' group by 1"""),
-    "point_geometries": (point_geometries, "select event_id, 2 n_georss, (event_id % 180)::double lon, 2 n_kml, (event_id % 90)::double kml_lon from events"),
-    "clean_properties": (clean_properties, "select doc_id, case when doc_id % 2 = 0 then 'a' else '' end || case when doc_id % 3 = 0 then '' else 'b' end || 'c' as names from documents"),
+    "point_geometries": (point_geometries, """select event_id, case when event_id % 2 = 0 then 'Point' else 'Polygon' end kind, case when event_id % 2 = 1 then (event_id % 180)::double end lon, case when event_id % 2 = 0 then (event_id % 180)::double end x,
+        case when event_id % 5 = 0 then 'Polygon' else 'LineString' end kml_kind, case when event_id % 5 <> 0 then (event_id % 90)::double end kml_lon, case when event_id % 5 = 0 then case when event_id % 4 = 0 then 'Polygon' end when event_id % 4 = 0 then 'MultiPolygon' else 'Polygon' end cap_kind from events"""),
+    "clean_properties": (clean_properties, "select doc_id, case when doc_id % 2 = 0 then 'a=' || lang || ';' else '' end || case when doc_id % 3 = 0 then '' else 'b=' || source || ';' end || 'c=x y' as names from documents"),
     "merged_lookup": (merged_lookup, "select s_suppkey % 17 code, max(s_suppkey) s_suppkey, arg_max(s_name, s_suppkey) s_name from supplier group by 1"),
     "manifest_summary": (manifest_summary, "select source, count(*) n_features, count(distinct lang) n_langs, max(doc_id) last_id, string_agg(distinct lang, ',' order by lang) langs from documents group by 1"),
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -29,6 +29,26 @@ def manifest(df: DataFrame, by: list[str], reference: str, hour: str) -> DataFra
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.max(reference).alias("reference"), F.array_sort(F.collect_set(hour)).alias("hours"))
 
 
-def feature_collection(df: DataFrame, output: str, feature: list[str]) -> DataFrame:
-    """One line of JSON per feature and output: collections stay files of lines, of any length."""
-    return df.select(output, F.to_json(F.struct(*feature)).alias("feature"))
+def features_json(df: DataFrame, properties: list[str], geometry: str = "geometry") -> Column:
+    """GeoJSON text of a feature: properties without nulls, and the geometry (GeoJSON text) or null."""
+    shape = F.coalesce(F.col(geometry), F.lit("null"))
+    return F.concat(F.lit('{"type":"Feature","geometry":'), shape, F.lit(',"properties":'), F.to_json(F.struct(*properties)), F.lit("}"))
+
+
+def write_features(df: DataFrame, path: str, output: str, properties: list[str]) -> None:
+    """A folder for each output with a feature a line (any number of them), which every reader of GeoJSON lines takes."""
+    df.select(output, features_json(df, properties).alias("value")).write.mode("overwrite").partitionBy(output).text(path)
+
+
+def feature_collections(df: DataFrame, output: str, properties: list[str], order: list[str]) -> DataFrame:
+    """output and document: one FeatureCollection text for each output. A document is one row, so this is for outputs that one
+    reader loads as a whole (a web page, say); beyond that write_features has no such bound."""
+    rows = df.groupBy(output).agg(F.array_sort(F.collect_list(F.struct(*order, features_json(df, properties).alias("_f")))).alias("_l"))
+    body = F.array_join(F.transform("_l", lambda x: x["_f"]), ",")
+    return rows.select(output, F.concat(F.lit('{"type":"FeatureCollection","features":['), body, F.lit("]}")).alias("document"))
+
+
+def job_manifest(tiles: DataFrame) -> DataFrame:
+    """job, reference (the latest), tiles, packs and hours of rows (job, reference, hour, tile, pack)."""
+    counted = tiles.groupBy("job").agg(F.max("reference").alias("reference"), F.count_distinct("hour", "tile").alias("tiles"), F.count_distinct("hour", "pack").alias("packs"), F.array_sort(F.collect_set("hour")).alias("hours"))
+    return counted

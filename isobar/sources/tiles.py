@@ -90,12 +90,54 @@ def decoded(tiles: DataFrame, key: str = "key", tile: str = "tile") -> DataFrame
     return tiles.select(F.col(key).alias("key"), F.col(tile).alias("tile")).mapInArrow(run, f"key string, {CELLS}")
 
 
-def encoded(channels: DataFrame, by: list[str]) -> DataFrame:
-    """by and tile, from rows of by and CELLS (one per channel; a tile has few)."""
-    rows = channels.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("channel", "scale", "offset", "raw"))).alias("channels"), *[F.first(c).alias(c) for c in ("lon0", "lat0", "dx", "dy", "width", "height")])
+def headers(tiles: DataFrame, key: str = "key", tile: str = "tile") -> DataFrame:
+    """key and channel of every channel that a tile's header names; of a tile only the header's bytes go to Python."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(k, struct.unpack_from("<h", t, 28 + 10 * i)[0]) for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for i in range(t[6])]
+            keys, channels = zip(*rows, strict=True) if rows else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(channels, pa.int32())], names=["key", "channel"])
+
+    head = F.substring(tile, 1, 28 + 10 * 255)  # at most so many channels
+    return tiles.select(F.col(key).alias("key"), head.alias("tile")).mapInArrow(run, "key string, channel int")
 
-    @F.udf("binary")
-    def tile(channels, lon0, lat0, dx, dy, width, height):  # one call for a whole tile
-        return make_tile((lon0, lat0, dx, dy), width, height, [(c["channel"], c["scale"], c["offset"], c["raw"]) for c in channels])
 
-    return rows.select(*by, tile("channels", "lon0", "lat0", "dx", "dy", "width", "height").alias("tile"))
+def encoded(channels: DataFrame, by: list[str]) -> DataFrame:
+    """by and tile, from rows of by and CELLS (one per channel; a tile has few)."""
+    kinds = {f.name: f.dataType.simpleString() for f in channels.schema.fields}
+
+    def tile(t: pa.Table) -> pa.Table:
+        rows = sorted(t.to_pylist(), key=lambda r: r["channel"])
+        one = rows[0]
+        body = make_tile(tuple(one[c] for c in ("lon0", "lat0", "dx", "dy")), one["width"], one["height"], [(r["channel"], r["scale"], r["offset"], r["raw"]) for r in rows])
+        return pa.table({**{c: t.column(c).slice(0, 1) for c in by}, "tile": pa.array([body], pa.binary())})
+
+    wanted = channels.select(*by, "channel", "scale", "offset", "raw", "lon0", "lat0", "dx", "dy", "width", "height")
+    return wanted.groupBy(*by).applyInArrow(tile, ", ".join(f"`{c}` {kinds[c]}" for c in by) + ", tile binary")
+
+
+def packed(tiles: DataFrame, by: list[str], key: str = "key", order: str | None = None) -> DataFrame:
+    """by and pack: the tiles of a group in one pack, by key (or by order: the hour, say). A pack's size is that of its tiles,
+    which its four-byte offsets bound."""
+    kinds = {f.name: f.dataType.simpleString() for f in tiles.schema.fields}
+    place = order or key
+
+    def pack(t: pa.Table) -> pa.Table:
+        rows = sorted(t.to_pylist(), key=lambda r: r[place])
+        return pa.table({**{c: t.column(c).slice(0, 1) for c in by}, "pack": pa.array([make_pack([(str(r[key]), r["tile"]) for r in rows])], pa.binary())})
+
+    return tiles.select(*dict.fromkeys([*by, key, place, "tile"])).groupBy(*by).applyInArrow(pack, ", ".join(f"`{c}` {kinds[c]}" for c in by) + ", pack binary")
+
+
+def quantised_planes(planes: DataFrame, by: list[str]) -> DataFrame:
+    """planes (by, channel, geometry and plane) as CELLS with their raw numbers, scale and offset: ready for encoded."""
+    values = F.transform("plane", lambda v: F.nanvl(v.cast("double"), F.lit(None).cast("double")))
+    known = F.array_compact(values)
+    low, high = F.array_min(known), F.array_max(known)
+    flat = F.coalesce(high <= low, F.lit(True))
+    rows = planes.withColumns({"scale": F.when(flat, 1.0).otherwise((high - low) / 65534), "offset": F.coalesce(F.when(flat, low).otherwise((high + low) / 2), F.lit(0.0)), "_v": values})
+    one = lambda v: F.when(v.isNull(), F.lit(-32768)).otherwise(F.greatest(F.least(F.rint((v - F.col("offset")) / F.col("scale")), F.lit(32767.0)), F.lit(-32767.0)).cast("int"))
+    kinds = {"lon0": "float", "lat0": "float", "dx": "float", "dy": "float", "scale": "float", "offset": "float"}
+    rows = rows.withColumn("raw", F.transform("_v", one))
+    return rows.select(*by, F.col("channel").cast("int").alias("channel"), *[F.col(c).cast(k).alias(c) for c, k in kinds.items()], "width", "height", "raw")

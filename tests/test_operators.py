@@ -1,13 +1,15 @@
 """Vectors with known results for operators, and cases that the tables don't have."""
 
+import json
 import math
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from isobar.functions import conditions, hazards, keys, units
-from isobar.operators import consensus, feeds, grids, learning
+from isobar.functions import conditions, fields, geometry, hazards, keys, units
+from isobar.operators import consensus, feeds, grids, learning, products, tides
 from isobar.sources import feeds as sources
 from isobar.sources import tiles
 
@@ -21,9 +23,40 @@ def long(spark, rows, schema):
 
 
 def test_weighted_median_of_four_models(spark):
-    rows = [(1, m, f, v) for m, f, v in (("a1", "a", 280.0), ("a2", "a", 282.0), ("b", "b", 290.0), ("c", "c", 292.0))]
-    out = consensus.consensus(long(spark, rows, "cell int, model string, family string, v double").withColumn("skill", F.lit(1.0)), ["cell"], "model", "family", "v", "skill", "temperature").first()
-    assert (out["consensus"], out["n_families"], out["n_models"], out["spread"]) == (290.0, 3, 4, 12.0)
+    rows = [(1, 1, m, "temperature", v, None) for m, v in (("gfs", 280.0), ("aigfs", 282.0), ("ifs", 290.0), ("icon", 292.0))]
+    cells = long(spark, rows, "tile int, cell int, model string, field string, value double, skill double")
+    out = consensus.field_consensus(cells, ["tile"], ["cell"]).first()
+    assert (out["value"], out["families"], out["spread"], out["confidence"]) == (290.0, 3, 12.0, 0.0)
+
+
+CELLS = "tile int, cell int, model string, field string, value double, skill double"
+
+
+def test_field_consensus_by_planes(spark):
+    """Two families must carry the plane, not each cell; codes are voted, rain has odds of its own."""
+    rows = [(1, 1, "gfs", "wind_u", 3.0, None), (1, 2, "ifs", "wind_u", 5.0, None), (1, 1, "gfs", "humidity", 0.5, None), (1, 1, "aigfs", "humidity", 0.7, None)]
+    rows += [(1, 1, m, "condition_code", v, None) for m, v in (("gfs", 1.0), ("aigfs", 2.0), ("ifs", 7.0), ("icon", 5.0))]
+    rows += [(1, 1, m, "precipitation", v, None) for m, v in (("gfs", 0.0), ("ifs", 0.2), ("icon", 1.0))]
+    out = {(r["cell"], r["field"]): r for r in consensus.field_consensus(long(spark, rows, CELLS), ["tile"], ["cell"]).collect()}
+    assert set(out) == {(1, "wind_u"), (2, "wind_u"), (1, "condition_code"), (1, "precipitation"), (1, "precipitation_probability")}
+    assert (out[1, "wind_u"]["value"], out[2, "wind_u"]["value"], out[1, "wind_u"]["confidence"]) == (3.0, 5.0, None)
+    assert (out[1, "condition_code"]["value"], out[1, "precipitation"]["value"], out[1, "precipitation_probability"]["value"]) == (7.0, 0.2, 0.667)
+    assert set(consensus.field_consensus(long(spark, rows, CELLS), ["tile"], ["cell"], quality=False).columns) == {"tile", "cell", "field", "value"}
+
+
+def test_learned_consensus_stays_within_its_models(spark):
+    rows = long(spark, [(1, 1, "gfs", "temperature", 280.0, 0.1), (1, 1, "ifs", "temperature", 284.0, 0.9)], CELLS)
+    plain = consensus.field_consensus(rows, ["tile"], ["cell"], quality=False)
+    for samples, want in ((3, 284.0), (2, 284.0)):
+        bias = long(spark, [(1, 1.0, samples)], "tile int, value double, samples bigint")
+        assert consensus.corrected_temperature(plain, rows, ["tile"], ["cell"], bias).first()["value"] == want
+    low = long(spark, [(1, -1.0, 3)], "tile int, value double, samples bigint")
+    assert consensus.corrected_temperature(plain, rows, ["tile"], ["cell"], low).first()["value"] == 283.0
+
+
+def test_infinite_values_have_no_weight(spark):
+    df = long(spark, [(1, math.inf), (1, 280.0), (1, -math.inf), (1, 282.0)], "g int, v double").withColumn("w", F.lit(1))
+    assert consensus.weighted_median(df, ["g"], "v", "w", "m").first()["m"] == 280.0
 
 
 def test_weighted_median_leaves_missing_out(spark):
@@ -96,12 +129,47 @@ def test_conditions(spark):
     assert one(spark, conditions.condition(*lit)) == 13
     assert one(spark, conditions.wmo_condition(F.lit(96), F.lit(0))) == 15
     assert one(spark, conditions.condition(*[F.lit(None).cast("double")] * 6)) == 0
+    cold = [F.lit(1.0), F.lit(0.1), None, None, F.lit(270.0), None]
+    assert one(spark, conditions.condition(*cold)) == 12  # no snow field: it freezes
+    assert one(spark, conditions.condition(*cold[:3], F.lit(None).cast("double"), *cold[4:])) == 6  # a missing cell says nothing
+    assert one(spark, conditions.wmo_condition(F.lit(70.6), F.lit(0))) == 9
 
 
 def test_categories(spark):
     assert one(spark, hazards.category(F.lit("Public notice"))) == "winter"
     assert one(spark, hazards.magnitude_severity(F.lit("none"))) == "unknown"
-    assert one(spark, hazards.ring(F.lit("1,2 3,4 5,6"))) == [[2.0, 1.0], [4.0, 3.0], [6.0, 5.0], [2.0, 1.0]]
+    assert one(spark, hazards.magnitude_severity(F.lit("nan"))) == "minor"
+    assert one(spark, hazards.bulletin_severity(F.lit("x"), F.lit("Wind WARNING"))) == "severe"
+    assert one(spark, hazards.category(F.lit("a tropical\n storm"))) == "tropical"
+
+
+def shape(spark, column):
+    found = one(spark, column)
+    return None if found is None else (json.loads(found)["type"], json.loads(found)["coordinates"])
+
+
+def test_geometries(spark):
+    none = F.lit(None).cast("string")
+    assert shape(spark, geometry.cap_polygons(F.array(F.lit("1,2 3,4 5,6 x,7 8")))) == ("Polygon", [[[2, 1], [4, 3], [6, 5], [2, 1]]])
+    assert shape(spark, geometry.cap_polygons(F.array(F.lit("1,2,9 3,4 1,2"), F.lit("0,0 0,1 1,1")))) == ("MultiPolygon", [[[[2, 1], [4, 3], [2, 1]]], [[[0, 0], [1, 0], [1, 1], [0, 0]]]])
+    assert shape(spark, geometry.cap_polygons(F.array(F.lit("1,2 3,4")))) is None
+    assert shape(spark, geometry.georss(F.lit("10 20"), F.lit("0 0 0 1 1 1"))) == ("Point", [20, 10])
+    assert shape(spark, geometry.georss(none, F.lit("0 0 0 1 1 1 5"))) == ("Polygon", [[[0, 0], [1, 0], [1, 1], [0, 0]]])
+    assert shape(spark, geometry.georss(none, F.lit("0 0 0 1"))) is None
+    assert shape(spark, geometry.placemark(F.lit("1,2,3 4,5"), none, none)) == ("Point", [1, 2])
+    assert shape(spark, geometry.placemark(F.lit("x"), F.lit("1,2 3,4,0"), none)) == ("LineString", [[1, 2], [3, 4]])
+    assert shape(spark, geometry.placemark(none, F.lit("1,2"), F.lit("0,0 1,0 1,1"))) == ("Polygon", [[[0, 0], [1, 0], [1, 1], [0, 0]]])
+    assert shape(spark, geometry.placemark(none, none, F.lit("0,0 1,0"))) is None
+
+
+def test_features(spark):
+    lit = lambda **v: {k: F.lit(x) for k, x in v.items()}
+    row = spark.range(1).select(*feeds.feature("nws", F.lit(None).cast("string"), lit(event="Flood", areaName="A  b", effective="2024-01-01T00:00:00Z", severity="\tRed ", urgency=" "))).first()
+    other = spark.range(1).select(*feeds.feature("nws", F.lit(None).cast("string"), lit(event="Flood", areaName="C", effective="2024-01-01T00:00:00Z"))).first()
+    assert (row["id"], row["severity"], row["priority"], row["category"], row["urgency"], row["layer"], row["headline"]) == ("nws-Flood-A-b-2024-01-01T00-00-00-00-00", "severe", 3, "flood", None, "alerts", None)
+    assert other["id"] != row["id"] and set(feeds.FIELDS) | {"geometry"} == set(row.asDict())
+    nothing = spark.range(1).select(*feeds.feature("p", F.lit(None).cast("string"), {})).first()
+    assert (nothing["event"], nothing["category"], nothing["severity"], nothing["id"]) == (None, "weather", "unknown", "p")
 
 
 def test_stale_rows_of_failed_sources_stay(spark):
@@ -140,6 +208,52 @@ def test_scores(spark):
     assert (row["score"], row["sample_count"], len(row["history"]), row["weight"]) == (1.5, 63, 48, 1.0)
 
 
+def test_running_bias_is_rounded_once(spark):
+    rng = random.Random(3)
+    rows = [(g, k, round(rng.uniform(-4, 4), 2)) for g in range(40) for k in range(30)]
+    want = {}
+    for g, _, x in rows:
+        want[g] = 0.8 * want.get(g, 0.0) + 0.2 * x
+    df = long(spark, rows, "g int, k int, x double")
+    for pieces in (None, F.floor(F.col("k") / 7)):
+        out = {r["g"]: (r["b"], r["samples"]) for r in learning.ema_fold(df, ["g"], "x", ["k"], 0.2, 3, "b", None, pieces).collect()}
+        assert all(abs(out[g][0] - round(v, 3)) < 1e-9 and out[g][1] == 30 for g, v in want.items())
+    old = long(spark, [(0, 2.0, 5), (99, 1.0, 2)], "g int, b double, samples bigint")
+    out = {r["g"]: (r["b"], r["samples"]) for r in learning.ema_fold(df.filter("g = 0 and k < 1"), ["g"], "x", ["k"], 0.2, 3, "b", old).collect()}
+    assert out == {0: (round(1.6 + 0.2 * rows[0][2], 3), 6), 99: (1.0, 2)}
+
+
+def test_scoring_of_two_providers(spark):
+    """Two stations, one of them held out; the nearer provider gets the larger weight."""
+    at = datetime(2026, 7, 12, 12)
+    none = dict.fromkeys(("dewpoint_c", "pressure_hpa", "precipitation_mm"))
+    obs = [dict(station=s, observed_at=at, latitude=la, longitude=lo, temperature_c=t, wind_kt=w, altimeter_in_hg=None, precipitation_in=None, dewpoint_c=None, pressure_hpa=None) for s, la, lo, t, w in (("EGLL", 51.47, -0.45, 20.0, 5.4), ("EGCC", 53.35, -2.27, 21.0, 6.0))]
+    schema = "station string, observed_at timestamp, latitude double, longitude double, temperature_c double, wind_kt double, altimeter_in_hg double, precipitation_in double, dewpoint_c double, pressure_hpa double"
+    reports = learning.observation_values(long(spark, obs, schema))
+    rows = [dict(provider=p, station=s, valid_time=at, lead_hours=48, ordinal=k, temperature_c=t, wind_kmh=w, **none) for k, (p, t, w) in enumerate((("gfs", 20.0, 10.0), ("icon", 24.0, 30.0))) for s in ("EGLL", "EGCC")]
+    fc = long(spark, rows, "provider string, station string, valid_time timestamp, lead_hours int, ordinal int, temperature_c double, wind_kmh double, dewpoint_c double, pressure_hpa double, precipitation_mm double")
+    errors = learning.station_errors(reports, fc)
+    scores = long(spark, [], "region string, bucket string, provider string, score double, sample_count bigint, history array<double>")
+    state = learning.scored_providers(errors, scores, long(spark, [], "region string, period string, value double, samples bigint"), alpha=1.0)
+    weight = {(r["region"], r["bucket"], r["provider"]): r["weight"] for r in state["skill"].collect()}
+    assert weight["+50_-020", "25-72", "gfs"] > weight["+50_-020", "25-72", "icon"] and weight["*", "*", "gfs"] > weight["*", "*", "icon"]
+    assert {r["provider"] for r in state["validation"].collect()} == {"gfs", "icon", "consensus"} and learning.holdout_stations(reports).first()[0] == 1
+    assert {(r["region"], r["period"]): (r["value"], r["samples"]) for r in state["bias"].collect()} == {("+50_-020", "day"): (-0.4, 1), ("+50_-020", "night"): (0.0, 0)}
+
+
+def test_nearest_in_time_against_brute_force(spark):
+    rng = random.Random(9)
+    a = [(i, rng.choice("xy"), datetime(2026, 1, 1) + timedelta(minutes=rng.randrange(4000))) for i in range(150)] + [(900, "x", None)]
+    b = [(i, rng.choice("xy"), datetime(2026, 1, 1) + timedelta(minutes=rng.randrange(0, 4000, 10))) for i in range(80)] + [(901, "x", None)]
+    want = {}
+    for i, s, at in a:
+        near = sorted((abs(at - u), k) for k, r, u in b if at and u and r == s and abs(at - u) <= timedelta(minutes=90))
+        if near:
+            want[i] = near[0][1]
+    out = learning.nearest_in_time(long(spark, a, "aid int, s string, t timestamp"), long(spark, b, "bid int, s string, u timestamp"), ["s"], "t", "u", "aid", "bid").collect()
+    assert {r["aid"]: r["bid"] for r in out} == want and len(out) == len(want)
+
+
 def test_nearest_forecast_out_of_reach(spark):
     a = long(spark, [(1, "E", datetime(2026, 1, 1, 12))], "oid int, s string, t timestamp")
     b = long(spark, [(1, "E", datetime(2026, 1, 1, 16)), (2, "E", datetime(2026, 1, 1, 13, 30)), (3, "E", datetime(2026, 1, 1, 10, 30))], "fid int, s string, u timestamp")
@@ -170,6 +284,74 @@ def test_geojson(spark):
 def test_tides(spark):
     ev = long(spark, [("R", datetime(2026, 1, 1), "high", 2.0)], "station string, time timestamp, type string, height double")
     st = long(spark, [("S", "R", 30, 0, 0.5, 0.5, "ratio"), ("T", "Q", 0, 0, 1.0, 1.0, "fixed")], "id string, reference string, high_minutes int, low_minutes int, high_height double, low_height double, height_kind string")
-    good, wrong = feeds.subordinate_tides(ev, st)
+    good, wrong = tides.subordinate_tides(ev, st)
     assert [(r["id"], r["time"], r["height"]) for r in good.collect()] == [("S", datetime(2026, 1, 1, 0, 30), 1.0)]
     assert [r["id"] for r in wrong.collect()] == ["T"]
+
+
+def test_tide_stations_and_files(spark):
+    assert one(spark, tides.datum_offset(F.create_map(F.lit("MSL"), F.lit(1.5), F.lit("LAT"), F.lit(0.25)), F.lit("LAT"))) == 1.25
+    assert one(spark, tides.datum_offset(F.create_map(F.lit("MSL"), F.lit(1.5)), F.lit("LAT"))) == 0.0
+    index = long(spark, [("a/b",), ("c",)], "id string")
+    ev = long(spark, [("a/b", datetime(2026, 1, 2), "high", 2.0), ("a/b", datetime(2026, 1, 1), "low", 0.5), ("a/b", datetime(2027, 1, 1), "low", 0.5)], "id string, time timestamp, type string, height double")
+    out = {r["id"]: (r["eventPath"], r["eventCount"], [e["type"] for e in r["events"]]) for r in tides.event_files(index, ev, F.lit("2026-01-01 15:00:00").cast("timestamp")).collect()}
+    assert out == {"a/b": ("events/a__b.json", 2, ["low", "high"]), "c": ("events/c.json", 0, [])}
+    st = long(spark, [("b", "reference", True), ("a", "subordinate", True), ("c", "reference", False)], "id string, kind string, commercial_use boolean")
+    st = st.withColumns({"harmonics": F.array(F.lit(1)), "reference": F.lit("b"), **{k: F.lit(1) for k in ("high_minutes", "low_minutes", "high_height", "low_height")}})
+    assert [r["id"] for r in tides.selected_stations(st).collect()] == ["b", "a"]
+    assert [r["id"] for r in tides.selected_stations(st, commercial_only=False, most=2).collect()] == ["b", "c"]
+    assert [r["id"] for r in tides.selected_stations(st, ids=long(spark, [("a",)], "id string")).collect()] == ["a"]
+
+
+def test_provider_fields(spark):
+    raw = long(spark, [(1, 3, 280.0, 50.0, 0.001), (1, 6, 281.0, 0.4, 0.003)], "cell int, hour int, temperature double, TCDC double, tp double").withColumns({"precipitation_units": F.lit("m"), "start_step": F.lit(0), "end_step": F.col("hour"), "prmsl": F.lit(101300.0)})
+    out = products.provider_fields(raw, ["cell"]).orderBy("hour").collect()
+    assert [(r["cloud_cover"], round(r["precipitation"], 6), r["pressure"]) for r in out] == [(0.5, 1.0, 101300.0), (0.4, 2.0, 101300.0)] and "humidity" not in out[0].asDict()
+    rows = products.long_fields(products.provider_fields(raw, ["cell"]), ["cell", "hour"])
+    assert {(r["hour"], r["field"]): r["value"] for r in rows.collect()}[6, "temperature"] == 281.0
+
+
+def test_tiles_of_a_layer(spark):
+    cells = spark.range(9 * 17).select((F.lit(80.0) - F.floor(F.col("id") / 17) * 2.5).alias("lat"), (F.col("id") % 17 * 2.5 - 20).alias("lon"), F.col("id").cast("double").alias("value"))
+    tiled = products.tiled(products.layer_components(cells, ["lat", "lon"], "scalar", "temp"))
+    sizes = {(r["tile"], r["channel"]): (r["width"], r["height"], r["lon0"], r["lat0"], r["dx"], r["dy"]) for r in products.planes(tiled, ["tile"]).collect()}
+    assert sizes["N50_W20", 0] == (9, 5, -20.0, 70.0, 2.5, -2.5) and sizes["N70_E0", 0] == (9, 5, 0.0, 80.0, 2.5, -2.5)
+    assert {r["tile"] for r in tiled.filter("lat = 70 and lon = 0").collect()} == {"N70_W20", "N70_E0", "N50_W20", "N50_E0"}
+    over = products.planes(products.overview_cells(tiled, []), ["key"]).collect()
+    assert sorted((r["key"], r["width"], r["height"], r["dx"], r["dy"]) for r in over) == [("N0_W40_60", 5, 2, 10.0, -10.0), ("N60_W40_60", 5, 2, 10.0, -10.0)]
+    vector = products.layer_components(cells.select("lat", "lon", F.col("value").alias("u"), F.lit(None).cast("double").alias("v")), ["lat", "lon"], "vector")
+    assert {(r["channel"], r["value"]) for r in vector.filter("lat = 80 and lon = -17.5").collect()} == {(2, 1.0), (3, 0.0)}
+    quantised = tiles.quantised_planes(products.planes(tiled.withColumnRenamed("tile", "key"), ["key"]), ["key"])
+    pack = tiles.packed(tiles.encoded(quantised, ["key"]).withColumn("group", F.lit(1)), ["group"]).select(F.col("pack").alias("content"))
+    back = tiles.decoded(tiles.unpacked(pack)).withColumn("v", F.transform("raw", lambda x: grids.dequantised(x, F.col("scale"), F.col("offset")))).filter("key = 'N50_W20'").first()
+    assert max(abs(a - b) for a, b in zip(back["v"], [float(17 * y + x) for y in range(4, 9) for x in range(9)], strict=True)) < 0.01
+    assert {(r["key"], r["channel"]) for r in tiles.headers(tiles.unpacked(pack)).collect()} == {(t, 0) for t in ("N50_W40", "N50_W20", "N50_E0", "N50_E20", "N70_W40", "N70_W20", "N70_E0", "N70_E20")}
+
+
+def test_details_copied_into_an_overview(spark):
+    target = long(spark, [(1, 1.0, 0.0), (1, 0.0, 1.0), (1, 0.0, 5.0)], "pack int, lat double, lon double")
+    source = long(spark, [(1, "N0_E0", 0.0, 1.0, 1.0, -1.0, 2, 2, [1.0, 2.0, 3.0, 284.0])], "pack int, tile string, lon0 double, lat0 double, dx double, dy double, width int, height int, plane array<double>")
+    out = {(r["lat"], r["lon"]): r["value"] for r in products.copied_into(target, source, ["pack"], ["tile"]).collect()}
+    assert out == {(1.0, 0.0): 1.0, (0.0, 1.0): 284.0, (0.0, 5.0): None}
+
+
+def test_catalogs_of_tiles(spark):
+    paths = long(spark, [("x/gfs/6h_N50_W20.gtile",), ("x/ifs/30h_N50_W20.gtile",), ("x/readme.txt",)], "path string")
+    index = products.tile_index(paths)
+    assert sorted((r["model"], r["hour"], r["day"], r["tile"]) for r in index.collect()) == [("gfs", 6, 0, "N50_W20"), ("ifs", 30, 1, "N50_W20")]
+    assert [(r["model"], r["hours"], r["days"]) for r in products.horizons(index).orderBy("model").collect()] == [("gfs", [6], 1), ("ifs", [30], 2)]
+    models = long(spark, [("ifs", 0), ("gfs", 1)], "model string, ordinal int")
+    assert products.packs_present(index, models).first()["models"] == ["ifs", "gfs"]
+    assert one(spark, keys.tile_file("temp", F.lit(6), F.lit(50), F.lit(-20))) == "temp_6h_N50_W20.gtile" and one(spark, keys.overview_key(F.lit(-30), F.lit(40))) == "S30_E40_60"
+    assert one(spark, keys.feed_region(F.lit("https://x.eu/feeds/atom-united-kingdom?a=b-c"))) == "kingdom"
+
+
+def test_channels():
+    assert fields.daily_channels("temperature") == [20, 21, 22, 23, 24, 25, 26, 27, 28, 29, 30, 31]
+    assert len({c for f in fields.DAILY for c in fields.daily_channels(f)}) == 60
+
+
+def test_units_of_sources(spark):
+    assert one(spark, units.precipitation_mm(F.lit(0.002), F.lit("Metre"))) == 2.0 and one(spark, units.precipitation_mm(F.lit(2.0), F.lit("kg m**-2"))) == 2.0
+    assert one(spark, units.grid_value(F.lit(None).cast("double"), 1)) is None and one(spark, units.grid_value(F.lit(None).cast("double"), 1, preserve=False)) == 0.0
+    assert one(spark, units.field_places(F.lit("snow"))) == 3 and one(spark, keys.forecast_day(F.lit(47))) == 1

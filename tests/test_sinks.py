@@ -2,6 +2,8 @@
 
 from datetime import datetime
 
+from pyspark.sql import functions as F
+
 from isobar.sources import sinks
 
 
@@ -18,4 +20,7 @@ def test_partitioned_files(spark, tmp_path):
     df = spark.range(100).selectExpr("id % 3 as tile", "id as hour")
     sinks.write_partitioned(df, f"{tmp_path}/out", ["tile"], ["hour"])
     assert spark.read.parquet(f"{tmp_path}/out").filter("tile = 1").count() == 33
-    assert sinks.feature_collection(df, "tile", ["hour"]).filter("tile = 0").orderBy("feature").first()["feature"] == '{"hour":0}'
+    lines = df.withColumn("geometry", F.lit(None).cast("string"))
+    sinks.write_features(lines, f"{tmp_path}/geo", "tile", ["hour"])
+    text = spark.read.text(f"{tmp_path}/geo/tile=0")
+    assert text.count() == 34 and text.filter(F.col("value") == '{"type":"Feature","geometry":null,"properties":{"hour":0}}').count() == 1

@@ -37,3 +37,27 @@ def test_running_totals_over_batches(spark, tmp_path):
         q = streaming.interval_amounts(spark.readStream.schema(schema).parquet(f"{tmp_path}/in")).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start()
         q.awaitTermination()
     assert sorted((r["cell"], r["hour"], r["amount"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [("a", 1, 1.0), ("a", 2, 2.0), ("a", 3, 0.0), ("a", 4, 4.0), ("b", 1, 5.0)]
+
+
+def streamed(spark, df, path, name):
+    df.coalesce(1).write.parquet(path)
+    return spark.readStream.schema(df.schema).parquet(path)
+
+
+def test_stream_of_matches(spark, tmp_path):
+    f = spark.createDataFrame([("E", START, 1), ("E", START + timedelta(hours=3), 2), ("E", START + timedelta(hours=9), 3)], "station string, valid_time timestamp, f int")
+    o = spark.createDataFrame([("E", START + timedelta(minutes=90), 7), ("F", START, 8), ("E", START + timedelta(hours=9), 9)], "station string, observed_at timestamp, o int")
+    joined = streaming.matched(streamed(spark, f, f"{tmp_path}/f", "f"), streamed(spark, o, f"{tmp_path}/o", "o"))
+    q = joined.writeStream.format("memory").queryName("pairs").outputMode("append").start()
+    q.processAllAvailable()
+    q.stop()
+    assert sorted((r["f"], r["o"]) for r in spark.table("pairs").collect()) == [(1, 7), (2, 7), (3, 9)]
+
+
+def test_stream_of_alerts_without_the_expired(spark, tmp_path):
+    rows = [("a", START, START + timedelta(hours=1)), ("a", START, START + timedelta(hours=1)), ("b", START, START - timedelta(hours=1)), ("c", START, None)]
+    df = spark.createDataFrame(rows, "id string, at timestamp, expires timestamp")
+    q = streaming.unexpired(streamed(spark, df, f"{tmp_path}/in", "a"), "at", "expires").writeStream.format("memory").queryName("alerts").outputMode("append").start()
+    q.processAllAvailable()
+    q.stop()
+    assert sorted(r["id"] for r in spark.table("alerts").collect()) == ["a", "c"]
