@@ -197,9 +197,10 @@ def repeated_ranges(docs: DataFrame, size: int = 50, bits: int | None = None) ->
     firsts = rows.groupBy(*key).agg(F.min(F.struct("doc_id", "first")).alias("f"), F.count(F.lit(1)).alias("_n")).select(*key, F.col("f.doc_id").alias("least"), F.col("f.first").alias("at"), "_n")
     firsts = written(firsts)
     total = firsts.agg(F.sum("_n")).first()[0] or 0
-    several = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("a"), F.max("least").alias("z")).filter("n > 1 and a < z").select("anchor")
+    several = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("a"), F.max("least").alias("z")).filter("n > 1 and a < z")
+    several = written(several.select("anchor", "n"))
     # one by one: the windows of the first documents of anchors with several segments
-    told = firsts.join(several, "anchor").select(*key, "least", "at")
+    told = join_counted(firsts, several, ["anchor"], "n", firsts.count()).select(*key, "least", "at")
     named = rows.select(*key, F.col("doc_id").alias("least"), F.col("first").alias("at"), "hashes").join(told, [*key, "least", "at"])
     windows = written(named.select(*key, "least", F.posexplode("hashes").alias("k", "hash")))
     earliest = windows.groupBy("anchor", "hash").agg(F.min("least").alias("a"), F.max("least").alias("z"), F.count(F.lit(1)).alias("_m")).filter("a < z")
