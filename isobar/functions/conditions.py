@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .fields import looked_up
 from .units import clip, fraction
 
 #: Condition codes.
@@ -23,6 +24,11 @@ def family(code: Column) -> Column:
     return out
 
 
+def condition_name(code: Column) -> Column:
+    """Name of a condition code, rounded to the nearest whole number; null for any other number."""
+    return looked_up({v: k for k, v in CODES.items()}, F.rint(code).cast("int"))
+
+
 def condition(cloud: Column | None, precip: Column | None, convective: Column | None, snow: Column | None, temperature_k: Column | None, dewpoint_k: Column | None) -> Column:
     """Code of the strongest rule that holds, from thunder down to cloud cover; without cloud cover or rain Unknown.
 

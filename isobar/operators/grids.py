@@ -89,6 +89,14 @@ def aligned(models: dict[str, DataFrame], on: list[str], value: str) -> DataFram
     return out
 
 
+def model_range(df: DataFrame, plane: list[str], cell: list[str], model: str, value: str) -> DataFrame:
+    """plane, cell, low, high and n_models of the cells that all models of a plane have; a plane of one model is its own range."""
+    here = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    carried = here.select(*plane, model).distinct().groupBy(*plane).agg(F.count(F.lit(1)).alias("n_models"))
+    ranges = here.groupBy(*plane, *cell).agg(F.min(value).alias("low"), F.max(value).alias("high"), F.count_distinct(model).alias("_n"))
+    return ranges.join(carried, plane).filter(F.col("_n") == F.col("n_models")).drop("_n")
+
+
 def with_channels(tiles: DataFrame, extra: DataFrame, on: list[str], channel: str) -> DataFrame:
     """tiles and those channels of extra that stand for a tile's key and aren't in it yet."""
     wanted = extra.join(tiles.select(*on).distinct(), on, "left_semi").join(tiles.select(*on, channel), [*on, channel], "left_anti")

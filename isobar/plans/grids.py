@@ -59,7 +59,8 @@ def regrid_nearest(spark, d):
 
 
 def model_envelope(spark, d):
-    return t(spark, d, "lineitem").groupBy("l_partkey").agg(F.min("l_extendedprice").alias("low"), F.max("l_extendedprice").alias("high"), F.count_distinct("l_suppkey").alias("n_models"))
+    rows = t(spark, d, "lineitem").select((C("l_partkey") % 211).alias("tile"), (C("l_orderkey") % 3).alias("cell"), (C("l_suppkey") % 4).alias("model"), "l_extendedprice")
+    return G.model_range(rows, ["tile"], ["cell"], "model", "l_extendedprice")
 
 
 C = F.col
@@ -135,7 +136,7 @@ PLANS = {
     "interval_accumulation": (interval_accumulation, """select event_id, case when event_type <> 'click' and p is not null then greatest(value - p, 0) else value end amount from (select *, last_value(case when event_type <> 'click' then value end ignore nulls) over (partition by user_id order by event_id rows between unbounded preceding and 1 preceding) p from events)"""),
     "idx_byte_ranges": (idx_byte_ranges, """select o_custkey, o_orderkey, o_orderkey * 100 as "offset", lead(o_orderkey * 100) over (partition by o_custkey order by o_orderkey) - 1 as range_end from orders"""),
     "regrid_nearest": (regrid_nearest, """with s as (select (p_partkey % 46)::int y, (p_partkey % 91)::int x, max(p_retailprice) price from part group by all), g as (select c_custkey, round_even(((c_custkey % 181 - 90 + 0.3)::double + 90) / 4, 0)::int y, round_even(((c_custkey * 7 % 360 - 180 + 0.2)::double + 180) / 4, 0)::int x from customer) select c_custkey, y, x, price from g left join s using (y, x)"""),
-    "model_envelope": (model_envelope, "select l_partkey, min(l_extendedprice) low, max(l_extendedprice) high, count(distinct l_suppkey) n_models from lineitem group by 1"),
+    "model_envelope": (model_envelope, "with l as (select l_partkey % 211 tile, l_orderkey % 3 cell, l_suppkey % 4 model, l_extendedprice v from lineitem), n as (select tile, count(distinct model) n_models from l group by 1) select tile, cell, min(v) low, max(v) high, n_models from l join n using (tile) group by tile, cell, n_models having count(distinct model) = n_models"),
     "aligned_models": (aligned_models, """select * from (select l_partkey, max(l_quantity) filter (l_returnflag = 'A') "A", max(l_quantity) filter (l_returnflag = 'N') "N", max(l_quantity) filter (l_returnflag = 'R') "R" from lineitem group by 1) where "A" is not null and "N" is not null and "R" is not null"""),
     "added_channels": (added_channels, """with r as (select l_partkey % 500 tile, l_linenumber channel, max(l_extendedprice) v from lineitem group by all), a as (select * from r where tile < 200 and channel <> tile % 7)
         select * from a union all select * from r where channel <= 4 and tile in (select tile from a) and (tile, channel) not in (select (tile, channel) from a)"""),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import fields
+from ..functions import conditions, fields
 from ..operators import consensus as C
 from ..operators import feeds, products, tides
 from ..sources import sinks
@@ -157,7 +157,12 @@ DAILY_SQL = " union all ".join(f"select tile, cell, day, model, '{f}' field, {v}
     ("pressure", "case when tk * 400 between 80000 and 110000 then tk * 400 end"), ("humidity", "case when value / 100 between 0 and 1 then value / 100 end"),
 ))
 CHANNEL_SQL = {e: "case field || ' ' || model " + " ".join(f"when '{f} {m}' then {k}" for f, of in fields.DAILY.items() for m, k in of[e].items()) + " end" for e in ("high", "low")}
+def condition_names(spark, d):
+    return t(spark, d, "events").select("event_id", conditions.condition_name(c("event_id") % 17 + 0.25).alias("name"))
+
+
 PLANS = {
+    "condition_names": (condition_names, "select event_id, [" + ", ".join(f"'{k}'" for k, _ in sorted(conditions.CODES.items(), key=lambda x: x[1])) + "][event_id % 17 + 1] as \"name\" from events"),
     "field_consensus": (field_consensus, f"""with {CELLS}, s as (select tile, cell, field, case when field <> 'condition_code' or count_if(not known) = 0 then max(v) filter (known) - min(v) filter (known) end spread, max(families) families from r group by tile, cell, field)
         select tile, cell, x.field, x."value", spread, families, case when spread is not null and x.field in ('temperature', 'precipitation', 'condition_code') then round_even((1 - {clip("spread / case x.field when 'condition_code' then 4.0::double else 8.0::double end")}) * least(families / 3.0::double, 1.0::double) * 1000.0::double, 0) / 1000.0::double end confidence from x left join s using (tile, cell, field)"""),
     "learned_consensus": (learned_consensus, f"""with {CELLS}, g as (select tile, cell, min(v) filter (known) lo, max(v) filter (known) hi from m join c0 using (tile, cell, field, model, v) where field = 'temperature' group by all), b as (select tile, cell, "value" v, case when tile % 6 >= 3 then tile % 9 - 4 else 0 end bias, lo, hi from x join g using (tile, cell) where field = 'temperature')

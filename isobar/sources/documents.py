@@ -43,6 +43,15 @@ def locations(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("sep", ";").option("header", True).option("enforceSchema", True).schema("country string, city string, city_id string").csv(path)
 
 
+def scenes(spark: SparkSession, base: str) -> DataFrame:
+    """The items of base/manifest.json (id, name, thumbnailUrl) with the document and the image (base/id.json and .webp) of each;
+    null where there is none. scene_faults and mirrored_scenes take it from here."""
+    items = spark.read.schema("id string, name string, thumbnailUrl string").option("multiLine", True).json(f"{base}/manifest.json")
+    files = spark.read.format("binaryFile").load(base).select(F.regexp_extract("path", r"([^/]+)\.(?:json|webp)$", 1).alias("id"), F.col("path").endswith(".webp").alias("image"), "content").filter("id not in ('', 'manifest')")
+    both = files.groupBy("id").agg(F.max(F.when(~F.col("image"), F.col("content"))).alias("_d"), F.max(F.when(F.col("image"), F.col("content"))).alias("img"))
+    return items.join(both, "id", "left").select("id", "name", "thumbnailUrl", F.col("_d").cast("string").alias("doc"), "img")
+
+
 def detections(spark: SparkSession, path: str, product: str) -> DataFrame:
     """Rows of a CSV of fire detections, all text, with the product's name."""
     return spark.read.option("header", True).csv(path).withColumn("product", F.lit(product))

@@ -48,6 +48,17 @@ def feature_collections(df: DataFrame, output: str, properties: list[str], order
     return rows.select(output, F.concat(F.lit('{"type":"FeatureCollection","features":['), body, F.lit("]}")).alias("document"))
 
 
+def write_observations(reports: DataFrame, stations: DataFrame, path: str) -> None:
+    """path/observations and path/stations, a JSON document a line; both come from one normalised table."""
+    reports.write.mode("overwrite").json(f"{path}/observations")
+    stations.write.mode("overwrite").json(f"{path}/stations")
+
+
+def write_forecasts(forecasts: DataFrame, path: str) -> None:
+    """A folder of JSON lines for each provider: its forecasts at stations."""
+    forecasts.write.mode("overwrite").partitionBy("provider").json(path)
+
+
 def job_manifest(tiles: DataFrame) -> DataFrame:
     """job, reference (the latest), tiles, packs and hours of rows (job, reference, hour, tile, pack)."""
     counted = tiles.groupBy("job").agg(F.max("reference").alias("reference"), F.count_distinct("hour", "tile").alias("tiles"), F.count_distinct("hour", "pack").alias("packs"), F.array_sort(F.collect_set("hour")).alias("hours"))

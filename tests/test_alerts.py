@@ -156,6 +156,23 @@ def test_scene_mirror(spark):
         raise AssertionError("a faulty scene went through")
 
 
+def test_scene_files(spark, tmp_path):
+    (tmp_path / "manifest.json").write_text('[{"id": "a-1", "name": "A", "thumbnailUrl": "old"},\n{"id": "b"}]')
+    (tmp_path / "a-1.json").write_text("{}")
+    (tmp_path / "a-1.webp").write_bytes(b"RIFF1234WEBPx")
+    rows = documents.scenes(spark, str(tmp_path))
+    faults = {r["id"]: r["fault"] for r in feeds.scene_faults(rows, "id", "doc", "img").collect()}
+    assert faults == {"a-1": None, "b": "document"}
+
+
+def test_written_observations(spark, tmp_path):
+    reports = spark.createDataFrame([("B", "2024-01-01", 1.0, 2.0)], "station string, observed_at string, latitude double, longitude double")
+    sinks.write_observations(reports, sources.stations_of(reports), str(tmp_path))
+    assert spark.read.json(f"{tmp_path}/stations").first()["station"] == "B" and spark.read.json(f"{tmp_path}/observations").count() == 1
+    sinks.write_forecasts(reports.withColumn("provider", F.lit("gfs")), f"{tmp_path}/f")
+    assert spark.read.json(f"{tmp_path}/f").filter("provider = 'gfs'").count() == 1
+
+
 def test_stations(spark):
     reports = spark.createDataFrame([("B", "2024-01-01", 1.0, 2.0), ("A", "2024-01-01", 3.0, 4.0), ("B", "2024-01-02", 5.0, 6.0)], "station string, observed_at string, latitude double, longitude double")
     assert [tuple(r) for r in sources.stations_of(reports).collect()] == [("A", 3.0, 4.0), ("B", 5.0, 6.0)]
