@@ -9,9 +9,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import join_counted, written
 from .hashed import mix, window_hashes
 
 WINDOW = 5
@@ -99,30 +100,72 @@ def window_rows(docs: DataFrame, key: str, sieve: np.ndarray | None, spark_key:
     return docs.select(F.col(key).alias(spark_key), "text").mapInArrow(run, f"{spark_key} {kind}, at bigint, window bigint, slots array<string>")
 
 
+def sieve_of(windows: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of the cells (window mod bits) of all windows: blocks of it are made in tasks, the driver puts them together."""
+    block = max(bits >> 10, 8)
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, np.zeros(block, bool)
+        for b in batches:
+            for k, cells in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if key is not None and k != key:
+                    yield pa.RecordBatch.from_arrays([pa.array([key], pa.int32()), pa.array([np.packbits(held, bitorder="little").tobytes()])], names=["block", "bits"])
+                    held = np.zeros(block, bool)
+                key = k
+                held[cells] = True
+        if key is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([key], pa.int32()), pa.array([np.packbits(held, bitorder="little").tobytes()])], names=["block", "bits"])
+
+    cell = F.col("window").bitwiseAND(bits - 1)
+    cells = windows.select(F.floor(cell / block).cast("int").alias("block"), (cell % block).cast("int").alias("cell")).distinct()
+    lists = cells.groupBy("block").agg(F.collect_list("cell").alias("cells"))  # block cells at most
+    out = np.zeros((bits // block, block // 8), np.uint8)
+    for row in lists.mapInArrow(fill, "block int, bits binary").toLocalIterator():
+        out[row["block"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.ravel()
+
+
+def agreeing(rows: Column) -> Column:
+    """Of an alignment's windows (place, pairs of the item's and the document's slot values) those whose pairs all follow the
+    mapping that most pairs give: one value in the item is one value in the document."""
+    pairs = F.flatten(F.transform(rows, lambda r: r["pairs"]))
+
+    def best(v: Column, every: Column) -> Column:
+        own = F.filter(every, lambda p: p["values"] == v)
+        counted = F.transform(F.array_distinct(own), lambda q: F.struct(F.size(F.filter(own, lambda p: p == q)).alias("n"), q["slots"].alias("slots")))
+        return F.array_max(counted)["slots"]
+
+    def kept(every: Column) -> Column:
+        names = F.array_distinct(F.transform(every, lambda p: p["values"]))
+        mapping = F.map_from_entries(F.transform(names, lambda v: F.struct(v, best(v, every))))
+        return F.get(F.transform(F.array(mapping), lambda m: F.filter(rows, lambda r: F.forall(r["pairs"], lambda p: F.try_element_at(m, p["values"]) == p["slots"]))), F.lit(0))
+
+    return F.get(F.transform(F.array(pairs), kept), F.lit(0))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, sieve_bits: int = 1 << 23) -> DataFrame:
     """doc_id, item_id, n_matched, n_windows, coverage and verbatim for each document and item that it holds.
 
     docs has doc_id and text, benchmark has item_id and text; other columns are ignored. n_windows is the number of different
-    places of template windows in the item, n_matched those found in the document; only runs of one alignment count whose
-    slots are consistent (the same value in the item is the same value in the document). Items are found at a coverage of
-    least or more. verbatim: all matched slots hold the item's own values. Null and short texts (under five words, or under
-    two of its own in any window) hold and match nothing; repeated rows of one id are one document; rows with a null id
-    match nothing. What is broadcast is a bitmap of sieve_bits, whatever the benchmark's size; beyond that size it lets
-    more windows through to the join, which compares all 64 bits.
+    places of template windows in the item, n_matched those found in the document. In an alignment (windows at one distance)
+    the same value in the item must be the same value in the document: most pairs decide which, and windows that hold
+    another one don't count. Items are found at a coverage of least or more. verbatim: all matched slots hold the item's own
+    values. Null and short texts (under five words, or under two of its own in any window) hold and match nothing; repeated
+    rows of one id are one document; rows with a null id match nothing. What is broadcast is a bitmap of sieve_bits, whatever
+    the benchmark's size; beyond that size it lets more windows through to the join, which compares all 64 bits. A window
+    that very many documents hold is joined where they lie.
     """
-    own = window_rows(benchmark.filter("item_id is not null"), "item_id", None, "item_id").dropDuplicates(["item_id", "at"])
-    cells = own.select((F.col("window").bitwiseAND(sieve_bits - 1)).alias("cell")).distinct()
-    sieve = np.zeros(sieve_bits // 8, np.uint8)
-    for row in cells.toLocalIterator():  # at most sieve_bits
-        sieve[row["cell"] >> 3] |= 1 << (row["cell"] & 7)
+    own = written(window_rows(benchmark.filter("item_id is not null"), "item_id", None, "item_id").dropDuplicates(["item_id", "at"]))
     sizes = own.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_windows"))
-    hits = window_rows(docs.filter("doc_id is not null"), "doc_id", sieve, "doc_id")
-    pairs = hits.join(own.select("item_id", F.col("at").alias("place"), "window", F.col("slots").alias("values")), "window")
-    runs = pairs.groupBy("doc_id", "item_id", (F.col("at") - F.col("place")).alias("offset")).agg(
-        F.collect_set("place").alias("places"), F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("values", "slots")))).alias("slots")
-    )
-    consistent = F.size(F.array_distinct(F.transform("slots", lambda s: s["values"]))) == F.size("slots")
-    same = F.forall("slots", lambda s: s["values"] == s["slots"])
-    found = runs.filter(consistent).groupBy("doc_id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_matched"), F.min(same).alias("verbatim"))
+    hits = written(window_rows(docs.filter("doc_id is not null"), "doc_id", sieve_of(own.select("window"), sieve_bits), "doc_id"))
+    held = own.groupBy("window").agg(F.collect_list(F.struct("item_id", F.col("at").alias("place"), F.col("slots").alias("values"))).alias("items"))
+    counted = written(hits.groupBy("window").agg(F.count(F.lit(1)).alias("_n")).join(held, "window"))
+    pairs = join_counted(hits, counted, ["window"], "_n", hits.count()).select("doc_id", "at", "slots", F.explode("items").alias("i"))
+    pairs = pairs.select("doc_id", "i.item_id", (F.col("at") - F.col("i.place")).alias("offset"), F.struct(F.col("i.place").alias("place"), F.arrays_zip(F.col("i.values").alias("values"), F.col("slots").alias("slots")).alias("pairs")).alias("r"))
+    runs = pairs.groupBy("doc_id", "item_id", "offset").agg(F.collect_set("r").alias("rows"))
+    runs = runs.withColumn("rows", agreeing(F.col("rows")))
+    same = F.forall("rows", lambda r: F.forall(r["pairs"], lambda s: s["values"] == s["slots"]))
+    told = runs.filter(F.size("rows") > 0).withColumns({"places": F.transform("rows", lambda r: r["place"]), "same": same})
+    found = told.groupBy("doc_id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_matched"), F.min("same").alias("verbatim"))
     found = found.join(sizes, "item_id").withColumn("coverage", F.col("n_matched") / F.col("n_windows"))
     return found.filter(F.col("coverage") >= least).select("doc_id", "item_id", "n_matched", "n_windows", "coverage", "verbatim")
