@@ -108,6 +108,8 @@ def repeated_cells(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np
 
     def counted(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         numbers = np.concatenate(held)
+        if not len(numbers):
+            return
         for r, cell in enumerate(_cells(numbers, bits)):
             cell, n = np.unique(cell, return_counts=True)
             of, first = np.unique(cell // np.uint64(block), return_index=True)
