@@ -20,11 +20,11 @@ with w as (select doc_id, coalesce(text, '') t, {_WORDS} ws from documents),
 k as (select doc_id, i, array_to_string(ws[i:i + 4], ' ') k from w, unnest(range(1, len(ws) - 3)) r(i)),
 c as (select doc_id, count(distinct i + j) n from (select doc_id, i, count(*) over (partition by doc_id, k) c from k), range(5) s(j) where c > 1 group by doc_id),
 l as (select doc_id, x, len(ws) n, len(list_distinct(ws)) u from (select doc_id, x, list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> '') ws from w, unnest(string_split(t, chr(10))) r(x)) where len(ws) > 0),
-b as (select doc_id, count(*) n_lines, count(*) - count(distinct x) n_dup_lines, count_if({_BOILER} or {_BAD}) n_bad_lines, sum(length(x)) filter (not {_BOILER}) chars, coalesce(sum(length(x)) filter (not {_BOILER} and {_BAD}), 0) lost from l group by doc_id),
+b as (select doc_id, count(*) n_lines, count(*) - count(distinct x) n_dup_lines, count_if({_BOILER} or {_BAD}) n_bad_lines, sum(length(x)) filter (not {_BOILER}) chars, coalesce(sum(length(x)) filter ({_BOILER}), 0) boiler, coalesce(sum(length(x)) filter (not {_BOILER} and {_BAD}), 0) lost from l group by doc_id),
 f as (select doc_id, len(ws)::bigint n_words, length(array_to_string(ws, ''))::bigint word_chars, {_count("t", "[#*$%&|<>]")}::bigint n_symbols, coalesce(n_dup_lines, 0)::bigint n_dup_lines, coalesce(c.n, 0)::bigint n_repeat_words,
-    len(ws) < 10 or 100 * coalesce(c.n, 0) > 20 * len(ws) as base_failed, coalesce(n_lines, 0)::bigint n_lines, coalesce(n_bad_lines, 0)::bigint n_bad_lines, coalesce(chars, 0) chars, coalesce(lost, 0) lost
+    len(ws) < 10 or 100 * coalesce(c.n, 0) > 20 * len(ws) as base_failed, coalesce(n_lines, 0)::bigint n_lines, coalesce(n_bad_lines, 0)::bigint n_bad_lines, coalesce(chars, 0) chars, coalesce(lost, 0) lost, coalesce(boiler, 0) boiler
     from w left join c using (doc_id) left join b using (doc_id))
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and chars > 0 and lost <= 0.5 * chars as kept, n_lines, n_bad_lines from f"""
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and chars > 0 and lost <= 0.5 * chars and boiler <= 0.8 * (boiler + chars) as kept, n_lines, n_bad_lines from f"""
 
 SUBSTRING_DEDUP = rf"""
 with w as (select doc_id, {_WORDS} ws from documents),
