@@ -15,14 +15,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 BUCKETS = 1 << 18
-#: Words of a sequence at most; a longer line is taken as several.
-LONGEST = 256
-#: Labelled documents that a model is fitted on at most.
-SAMPLE = 12_000
+#: Words that the messages of a line go through one by one; a longer line is joined from such blocks, exactly.
+STEP = 256
+#: Labelled documents, and bytes of their texts, that a model is fitted on at most, and sequences (lines) of them.
+SAMPLE, SAMPLE_BYTES, LINES = 12_000, 64 << 20, 12_000
 _STRIP = ".,;:!?*#$%&|()[]{}\"'`-_"
 _VOCABULARY = 600_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -45,7 +47,7 @@ class Words(dict):
 
 
 def sequences(texts: list[str | None], known: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word numbers of all texts; starts and lengths of the sequences (lines, cut at LONGEST words); borders of the texts."""
+    """Word numbers of all texts; starts and lengths of the sequences (whole lines with a word); borders of the texts."""
     ids: list[int] = []
     starts: list[int] = []
     borders = [0]
@@ -53,39 +55,84 @@ def sequences(texts: list[str | None], known: Words) -> tuple[np.ndarray, np.nda
         for line in (text or "").encode().split(b"\n"):
             first = len(ids)
             ids += map(known.__getitem__, line.split())
-            starts += range(first, len(ids), LONGEST)
+            if len(ids) > first:
+                starts.append(first)
         borders.append(len(ids))
     at = np.array(starts, np.int64)
     return np.array(ids, np.int64), at, np.diff(np.append(at, len(ids))), np.array(borders)
 
 
-def marginals(e: np.ndarray, starts: np.ndarray, lengths: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _block_products(x: np.ndarray, w: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """For each block the product (2 x 2, up to a factor) of what its words do to a message that comes from before."""
+    out = np.broadcast_to(np.eye(2), (len(starts), 2, 2)).copy()
+    for k in range(int(lengths.max(initial=0))):
+        on = np.flatnonzero(lengths > k)
+        step = np.broadcast_to(w, (len(on), 2, 2)).copy()
+        step[:, :, 1] *= x[starts[on] + k, None]
+        product = out[on] @ step
+        out[on] = product / product.max((1, 2), keepdims=True)
+    return out
+
+
+def marginals(e: np.ndarray, starts: np.ndarray, lengths: np.ndarray, t: np.ndarray, step: int = STEP) -> tuple[np.ndarray, np.ndarray]:
     """Of every word the probability of the tag given its sequence, and the expected transitions (2 x 2) over all.
 
     e: weight of the tag per word; t: log weights of transitions, t[a, b] from a to b. Forward and backward messages are
-    kept as ratios (toxic to not), so they need no scaling; all sequences go on step by step together, the longest first.
+    kept as ratios (toxic to not), so they need no scaling; all blocks of step words go on word by word together, the
+    longest first. The messages at the borders of a longer sequence's blocks come from the products of whole blocks.
     """
     w, x = np.exp(t), np.exp(np.clip(e, -30, 30))
-    order = np.argsort(-lengths, kind="stable")
-    starts, lengths = starts[order], lengths[order]
-    steps = int(lengths[0]) if len(lengths) else 0
-    active = np.searchsorted(-lengths, -np.arange(1, steps + 1), side="right")
+    n_blocks = -(-lengths // step)
+    of = np.repeat(np.arange(len(starts)), n_blocks)
+    number = np.arange(len(of)) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks)
+    at0 = starts[of] + number * step
+    size = np.minimum(step, lengths[of] - number * step)
+    before, after = np.full(len(of), np.nan), np.ones(len(of))  # messages that come into a block from both sides (none: nan, 1)
+    long = np.flatnonzero(n_blocks > 1)
+    if len(long):
+        first = (np.cumsum(n_blocks) - n_blocks)[long]
+        blocks = np.flatnonzero(n_blocks[of] > 1)
+        place = np.full(len(of), -1)
+        place[blocks] = np.arange(len(blocks))
+        # the first block of a sequence begins with its first word, which has no word before it
+        inner_at, inner_size = at0[blocks] + (number[blocks] == 0), size[blocks] - (number[blocks] == 0)
+        products = _block_products(x, w, inner_at, inner_size)
+        message = np.stack([np.ones(len(long)), x[starts[long]]], 1)
+        for k in range(int(n_blocks[long].max()) - 1):
+            on = np.flatnonzero(n_blocks[long] > k + 1)
+            message[on] = np.einsum("ij,ijk->ik", message[on], products[place[first[on] + k]])
+            message[on] /= message[on].max(1, keepdims=True)
+            before[first[on] + k + 1] = message[on, 1] / np.maximum(message[on, 0], 1e-300)
+        back = np.ones((len(long), 2))
+        for k in range(int(n_blocks[long].max()) - 1, 0, -1):
+            on = np.flatnonzero(n_blocks[long] > k)
+            back[on] = np.einsum("ijk,ik->ij", products[place[first[on] + k]], back[on])
+            back[on] /= back[on].max(1, keepdims=True)
+            after[first[on] + k - 1] = back[on, 1] / np.maximum(back[on, 0], 1e-300)
+    order = np.argsort(-size, kind="stable")
+    at0, size, before, after = at0[order], size[order], before[order], after[order]
+    steps = int(size[0]) if len(size) else 0
+    active = np.searchsorted(-size, -np.arange(1, steps + 1), side="right")
     forward, backward = np.empty(len(e)), np.ones(len(e))
     for k in range(steps):
-        at = starts[: active[k]] + k
-        if k:
-            r = forward[at - 1]
-            forward[at] = x[at] * (w[0, 1] + r * w[1, 1]) / (w[0, 0] + r * w[1, 0])
-        else:
-            forward[at] = x[at]
+        at = at0[: active[k]] + k
+        r = forward[at - 1] if k else before
+        moved = x[at] * (w[0, 1] + r * w[1, 1]) / (w[0, 0] + r * w[1, 0])
+        forward[at] = moved if k else np.where(np.isnan(before), x[at], moved)
+    backward[at0 + size - 1] = after
     expected = np.zeros((2, 2))
+
+    def count(at: np.ndarray) -> None:
+        b, r = x[at + 1] * backward[at + 1], forward[at]
+        pair = np.stack([np.full(len(at), w[0, 0]), w[0, 1] * b, r * w[1, 0], r * w[1, 1] * b])
+        expected[:] += (pair / pair.sum(0)).sum(1).reshape(2, 2)
+
     for k in range(steps - 2, -1, -1):
-        at = starts[: active[k + 1]] + k
+        at = at0[: active[k + 1]] + k
         b = x[at + 1] * backward[at + 1]
         backward[at] = (w[1, 0] + w[1, 1] * b) / (w[0, 0] + w[0, 1] * b)
-        r = forward[at]
-        pair = np.stack([np.full(len(at), w[0, 0]), w[0, 1] * b, r * w[1, 0], r * w[1, 1] * b])
-        expected += (pair / pair.sum(0)).sum(1).reshape(2, 2)
+        count(at)
+    count((at0 - 1)[~np.isnan(before)])  # the last word of a block and the first of the next
     odds = forward * backward
     return odds / (1 + odds), expected
 
@@ -118,8 +165,11 @@ def document_features(p: np.ndarray, borders: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(n)), np.log(most / (1 - most)), np.log1p(total), np.log1p(n)], 1)
 
 
-def train(texts: list[str | None], toxic: np.ndarray, *, rounds: int = 40, rate: float = 0.5, lines: int = 12_000, ridge: float = 1e-3) -> bytes:
-    """A model from labelled texts: weights of BUCKETS features, transitions and the document function, as float64 bytes."""
+def train(texts: list[str | None], toxic: np.ndarray, *, rounds: int = 40, rate: float = 0.5, lines: int = LINES, ridge: float = 1e-3) -> bytes:
+    """A model from labelled texts: weights of BUCKETS features, transitions and the document function, as float64 bytes.
+
+    The field is fitted on lines sequences at most, half of them with a tagged word; the document function on all texts.
+    """
     rng = np.random.Generator(np.random.PCG64(11))
     weights, t, doc_weights = np.zeros(BUCKETS), np.zeros((2, 2)), np.array([-2.0, 0.5, 0.5, 0.0])
     known = Words()
@@ -159,16 +209,22 @@ def train(texts: list[str | None], toxic: np.ndarray, *, rounds: int = 40, rate:
     return np.concatenate([weights, t.ravel(), doc_weights]).tobytes()
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "doc_id", text: str = "text", label: str = "toxic") -> bytes:
-    """A model from the texts of at most sample labelled keys (those with the least hashes), fitted in one task.
+def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, key: str = "doc_id", text: str = "text", label: str = "toxic", sample_bytes: int = SAMPLE_BYTES) -> bytes:
+    """A model from one text of each of at most sample labelled keys (those with the least hashes), as many of these as have
+    sample_bytes together, fitted in one task.
 
-    A key with several labels is toxic if one of them is 1; keys and texts that are null and labels that aren't 0 or 1 are
-    left out; without both labels the model scores every text low. Only the sample's keys and labels are broadcast.
+    A key with several labels is toxic if one of them is 1; a key with several texts has the least of them; keys and texts
+    that are null and labels that aren't 0 or 1 are left out; without both labels the model scores every text low. Only the
+    sample's keys and labels are broadcast.
     """
     keys = labels.filter(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(key).alias("_key")).agg(F.max(label).cast("int").alias("label"))
     keys = keys.orderBy(F.xxhash64("_key"), "_key").limit(sample)
     rows = docs.filter(F.col(text).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("text"))
-    chosen = rows.join(F.broadcast(keys), "_key").select("text", "label", F.xxhash64("_key", "text").alias("turn"))
+    one = written(rows.join(F.broadcast(keys), "_key").groupBy("_key", "label").agg(F.min("text").alias("text")))
+    turn = F.xxhash64("_key", F.lit("turn"))
+    sizes = one.select("_key", F.sum(F.octet_length("text")).over(Window.orderBy(turn, "_key")).alias("_so_far"))  # sample rows at most
+    few = sizes.filter((F.col("_so_far") <= sample_bytes)).select("_key")
+    chosen = one.join(F.broadcast(few), "_key").select("text", "label", turn.alias("turn"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts: list[str] = []
