@@ -12,29 +12,34 @@ from pyspark.sql import functions as F
 from .common import free_name
 
 ROUNDS = 6
+#: Rows of a bucket, about.
+BUCKET_ROWS = 1 << 18
 
 
-def row_numbers(df: DataFrame, out: str, total: str, buckets: int = 4096) -> DataFrame:
+def row_numbers(df: DataFrame, out: str, total: str, buckets: int | None = None) -> DataFrame:
     """df with out, a number from 0 to total - 1 of its own for each row, and total, the count of rows.
 
-    Rows go by the hash of all their columns to buckets, are numbered within them in the order of all their columns, and
-    start where the buckets before end. Nothing depends on partitions or on the order of input, so tasks that run again
-    give the same numbers. Rows alike in all columns are counted first and written out again after the numbering, so a
-    row that makes up a third of the table is one row in its bucket. The table of buckets has at most `buckets` rows.
-    Columns must be of types that can be grouped (no maps).
+    Rows go by the hash of all their columns to buckets (by default one for BUCKET_ROWS rows, 4096 at least), are numbered
+    within them in the order of all their columns, and start where the buckets before end. Nothing depends on partitions or
+    on the order of input, so tasks that run again give the same numbers. Rows alike in all columns are counted first and
+    written out again after the numbering, so a row that makes up a third of the table is one row in its bucket. A row a
+    bucket is broadcast. Columns must be of types that can be grouped (no maps) and may have any names.
     """
     cols = df.columns
-    once = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
-    once = once.withColumn("_bucket", F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int"))
-    sizes = once.groupBy("_bucket").agg(F.sum("_copies").alias("_size"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    if buckets is None:
+        buckets = max(4096, df.count() // BUCKET_ROWS)
+    copies, bucket, size, start, first, k = (free_name(df, f"_{n}") for n in ("copies", "bucket", "size", "start", "first", "k"))
+    quoted = [F.col(f"`{c}`") for c in cols]
+    once = df.groupBy(*quoted).agg(F.count(F.lit(1)).alias(copies))
+    once = once.withColumn(bucket, F.pmod(F.xxhash64(*quoted), F.lit(buckets)).cast("int"))
+    sizes = once.groupBy(bucket).agg(F.sum(copies).alias(size))
+    before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy(F.lit(0))
-    starts = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"), F.sum("_size").over(every).alias(total))
-    inside = Window.partitionBy("_bucket").orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
-    placed = once.withColumn("_first", F.coalesce(F.sum("_copies").over(inside), F.lit(0))).join(F.broadcast(starts), "_bucket")
-    return placed.select(*cols, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)).alias("_k"), "_start", "_first", total).select(
-        *cols, (F.col("_start") + F.col("_first") + F.col("_k")).alias(out), total
-    )
+    starts = sizes.select(bucket, F.coalesce(F.sum(size).over(before), F.lit(0)).alias(start), F.sum(size).over(every).alias(total))
+    inside = Window.partitionBy(bucket).orderBy(*quoted).rowsBetween(Window.unboundedPreceding, -1)
+    placed = once.withColumn(first, F.coalesce(F.sum(copies).over(inside), F.lit(0))).join(F.broadcast(starts), bucket)
+    rows = placed.select(*quoted, F.explode(F.sequence(F.lit(0).cast("long"), F.col(copies) - 1)).alias(k), start, first, total)
+    return rows.select(*quoted, (F.col(start) + F.col(first) + F.col(k)).alias(out), total)
 
 
 def feistel(x: Column, bits: Column, seed: int) -> Column:
@@ -69,7 +74,7 @@ def permuted(row: Column, total: Column, seed: int, walk: int = 256) -> Column:
     return F.when(walked < total, walked).otherwise(F.raise_error(F.lit("cycle walk too long")).cast("long"))
 
 
-def shard_rows(df: DataFrame, shards: int = 24, *, seed: int = 2024, buckets: int = 4096) -> DataFrame:
+def shard_rows(df: DataFrame, shards: int = 24, *, seed: int = 2024, buckets: int | None = None) -> DataFrame:
     """df with row_number, n_rows, perm, shard and slot (law `rows`: the counts of shards differ by one at most).
 
     Every row gets a place, null or not; rows alike in all columns get places of their own. An empty table gives no rows.
