@@ -2,7 +2,7 @@
 
 Only built-in DataFrame functions. A candidate is a maximal run of identifier characters; it is a secret if its
 log-likelihood ratio under the two models is high enough, in sum and per character. Transition counts come from labelled
-samples over all rows; only the table of counts (at most 128 x 128 x 2 numbers) reaches the driver.
+samples; only the table of counts (at most 128 x 128 x 2 numbers) reaches the driver.
 """
 
 from __future__ import annotations
@@ -12,11 +12,18 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import free_name
+
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: These two can take their least length into the pattern: a shorter match is a whole run and hides no other.
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
+#: Words and numbers, and identifiers that join them.
+_PART = r"(?:[A-Z]{2,12}|[A-Z]?[a-z]+(?:[A-Z][a-z]+)*)[0-9]{0,4}"
+ORDINARY = rf"(?<![A-Za-z0-9])(?:{_PART}|[0-9]{{1,8}})(?:[+/_=-](?:{_PART}|[0-9]{{1,8}}))*(?![A-Za-z0-9])"
+#: Texts that the ordinary class is taken from, about.
+SAMPLE = 20_000
 KINDS = ("assign", "access", "hex", "markov")
 CODES = 128
 BLOCK = 256
@@ -29,31 +36,35 @@ def with_spans(df: DataFrame, text: str, out: str, pattern: str) -> DataFrame:
     blocks of BLOCK matches and over blocks, so a text of very many matches doesn't cost their square.
     """
     t = F.col(text)
-    df = df.withColumn("_m", F.regexp_extract_all(t, F.lit(pattern), 0))
-    gaps = F.when(F.size("_m") > 0, F.transform(F.split(t, pattern, -1), lambda x: F.length(x))).otherwise(F.array().cast("array<int>"))
-    df = df.withColumn("_g", F.zip_with(F.slice(gaps, 1, F.size("_m")), F.transform("_m", lambda x: F.length(x)), lambda a, b: (a + b).cast("long")))
+    m, g, b = (free_name(df, f"_{n}") for n in ("matches", "gaps", "blocks"))
+    df = df.withColumn(m, F.regexp_extract_all(t, F.lit(pattern), 0))
+    gaps = F.when(F.size(m) > 0, F.transform(F.split(t, pattern, -1), lambda x: F.length(x))).otherwise(F.array().cast("array<int>"))
+    df = df.withColumn(g, F.zip_with(F.slice(gaps, 1, F.size(m)), F.transform(m, lambda x: F.length(x)), lambda a, b: (a + b).cast("long")))
     zero, add = F.lit(0).cast("long"), lambda a, b: a + b
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size("_m") - 1) / BLOCK).cast("int")), lambda b: F.aggregate(F.slice("_g", b * BLOCK + 1, F.lit(BLOCK)), zero, add))
-    df = df.withColumn("_b", F.when(F.size("_m") > 0, blocks).otherwise(F.array().cast("array<bigint>")))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(m) - 1) / BLOCK).cast("int")), lambda i: F.aggregate(F.slice(g, i * BLOCK + 1, F.lit(BLOCK)), zero, add))
+    df = df.withColumn(b, F.when(F.size(m) > 0, blocks).otherwise(F.array().cast("array<bigint>")))
 
-    def span(m: Column, i: Column) -> Column:
+    def span(hit: Column, i: Column) -> Column:
         block = F.floor(i / BLOCK).cast("int")
-        end = F.aggregate(F.slice("_b", F.lit(1), block), zero, add) + F.aggregate(F.slice("_g", block * BLOCK + 1, i % BLOCK + 1), zero, add)
-        return F.struct((end - F.length(m)).alias("start"), end.alias("end"), m.alias("hit"))
+        end = F.aggregate(F.slice(b, F.lit(1), block), zero, add) + F.aggregate(F.slice(g, block * BLOCK + 1, i % BLOCK + 1), zero, add)
+        return F.struct((end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("hit"))
+
+    return df.withColumn(out, F.transform(m, span)).drop(m, g, b)
 
-    return df.withColumn(out, F.transform("_m", span)).drop("_m", "_g", "_b")
 
+def labelled_samples(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> DataFrame:
+    """Samples as columns sample and random: random ones are what the fixed patterns find in all texts; ordinary ones are the
+    words, numbers and identifiers made of such parts (ORDINARY) in about sample texts, chosen by hash.
 
-def labelled_samples(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Samples of all texts: random (what the fixed patterns find) and ordinary (other candidates), as columns sample, random."""
+    A run in which letters and digits take turns is neither, so what the model is to find does not train the ordinary class.
+    """
     t = F.coalesce(F.col(text), F.lit(""))
-    base = f"{ASSIGN}|{ACCESS}|{HEX}"
-    found = F.concat(
-        F.transform(F.filter(F.regexp_extract_all(t, F.lit(ASSIGN), 2), lambda x: F.length(x) >= 8), lambda x: F.struct(x.alias("sample"), F.lit(True).alias("random"))),
-        F.transform(F.concat(F.regexp_extract_all(t, F.lit(ACCESS), 0), F.regexp_extract_all(t, F.lit(HEX), 0)), lambda x: F.struct(x.alias("sample"), F.lit(True).alias("random"))),
-        F.transform(F.filter(F.regexp_extract_all(t, F.lit(CANDIDATE), 0), lambda x: ~x.rlike(base)), lambda x: F.struct(x.alias("sample"), F.lit(False).alias("random"))),
-    )
-    return docs.select(F.explode(found).alias("s")).select("s.sample", "s.random")
+    found = F.concat(F.filter(F.regexp_extract_all(t, F.lit(ASSIGN), 2), lambda x: F.length(x) >= 8), F.regexp_extract_all(t, F.lit(ACCESS), 0), F.regexp_extract_all(t, F.lit(HEX), 0))
+    random = docs.select(F.explode(found).alias("sample"), F.lit(True).alias("random"))
+    every = max(1, docs.count() // sample)
+    bare = F.regexp_replace(F.regexp_replace(t, ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
+    few = docs.filter(F.pmod(F.xxhash64(t), F.lit(every)) == 0).select(F.explode(F.regexp_extract_all(bare, F.lit(ORDINARY), 0)).alias("sample"), F.lit(False).alias("random"))
+    return random.unionByName(few)
 
 
 def made_samples(spark: SparkSession, n: int = 1000) -> DataFrame:
@@ -97,27 +108,29 @@ def scan_secrets(docs: DataFrame, model: list[float], text: str = "text", *, lea
     Kinds: assign, access and hex (the fixed patterns: leftmost, non-overlapping per kind; offsets are of whole matches),
     and markov (candidates that overlap none of those, hold a letter, and whose log-likelihood ratio reaches least_sum in
     all and least_mean per character). A null or empty text has an empty array. Rows are scanned one by one. A column
-    named secrets is replaced, as are _text, _assign, _access, _hex and _cand.
+    named secrets is replaced; all others are kept, whatever they are called.
     """
-    df = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    for kind, pattern in (("_assign", ASSIGN), ("_access", ACCESS), ("_hex", HEX), ("_cand", CANDIDATE)):
-        df = with_spans(df, "_text", kind, pattern)
-    df = df.withColumn("_assign", F.filter("_assign", lambda s: F.length(F.regexp_extract(s["hit"], ASSIGN, 2)) >= 8))
+    df = docs.drop(*[c for c in docs.columns if c.lower() == "secrets" and c != text])
+    own = df.columns
+    whole, assign, access, hexes, cand, base, scored = (free_name(df, f"_{n}") for n in ("text", "assign", "access", "hex", "candidates", "base", "scored"))
+    df = df.withColumn(whole, F.coalesce(F.col(text), F.lit("")))
+    for kind, pattern in ((assign, ASSIGN), (access, ACCESS), (hexes, HEX), (cand, CANDIDATE)):
+        df = with_spans(df, whole, kind, pattern)
+    df = df.withColumn(assign, F.filter(assign, lambda s: F.length(F.regexp_extract(s["hit"], ASSIGN, 2)) >= 8))
     named = lambda name, k: F.transform(name, lambda s: F.struct(s["start"], F.lit(k).alias("kind_no"), s["end"], F.lit(KINDS[k]).alias("kind"), s["hit"]))
-    df = df.withColumn("_base", F.concat(named("_assign", 0), named("_access", 1), named("_hex", 2)))
+    df = df.withColumn(base, F.concat(named(assign, 0), named(access, 1), named(hexes, 2)))
     ratios = F.split(F.lit(",".join(f"{x:.6g}" for x in model)), ",").cast("array<double>")
     coded = F.transform(
-        F.filter("_cand", lambda s: s["hit"].rlike("[A-Za-z]")),
+        F.filter(cand, lambda s: s["hit"].rlike("[A-Za-z]")),
         lambda s: F.struct(s.alias("s"), F.transform(F.sequence(F.lit(1), F.length(s["hit"])), lambda i: F.ascii(F.substr(s["hit"], i, F.lit(1)))).alias("codes")),
     )
     ratio = lambda c: F.aggregate(F.sequence(F.lit(1), F.size(c) - 1), F.lit(0.0), lambda a, i: a + F.get(ratios, F.get(c, i - 1) * CODES + F.get(c, i)))
-    df = df.withColumn("_scored", F.transform(coded, lambda x: F.struct(x["s"].alias("s"), ratio(x["codes"]).alias("ratio"))))
-    likely = F.filter("_scored", lambda x: (x["ratio"] >= least_sum) & (x["ratio"] >= least_mean * F.length(x["s"]["hit"])))
-    df = df.withColumn("_likely", F.transform(likely, lambda x: x["s"]))
-    free = F.filter("_likely", lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    df = df.withColumn("_markov", free)
-    df = df.withColumn("secrets", F.array_sort(F.concat("_base", named("_markov", 3))))
-    return df.drop("_text", "_assign", "_access", "_hex", "_cand", "_base", "_scored", "_likely", "_markov")
+    df = df.withColumn(scored, F.transform(coded, lambda x: F.struct(x["s"].alias("s"), ratio(x["codes"]).alias("ratio"))))
+    likely = F.filter(scored, lambda x: (x["ratio"] >= least_sum) & (x["ratio"] >= least_mean * F.length(x["s"]["hit"])))
+    free = F.filter(F.transform(likely, lambda x: x["s"]), lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    df = df.withColumn(cand, free)
+    found = F.array_sort(F.concat(F.col(base), named(cand, 3)))
+    return df.select(*[c for c in own if not (c == text and c.lower() == "secrets")], found.alias("secrets"))
 
 
 def span_text(spans: Column) -> Column:
