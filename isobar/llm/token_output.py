@@ -30,6 +30,8 @@ from .common import shared_folder
 MAGIC, BLOCK = b"DAC1", 512
 #: Tokens after which a chunk ends with its document, and words a task keeps ids of.
 CHUNK_TOKENS, CACHED_WORDS = 1 << 18, 400_000
+#: Words that are encoded side by side to see that no token crosses white space.
+PROBES = ("the", "The", "a", "'s", "12", "3", "it's", "(x)", "...", "été", "你好", "#", "-")
 FILE_SCHEMA = "file int, chunk int, first bigint, n_tokens bigint, doc_ids array<bigint>, counts array<bigint>, body binary"
 
 
@@ -103,6 +105,10 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.whole, self.parts = Tokenizer.from_file(path), {}
+        for a in PROBES:  # words are encoded one by one
+            for b in PROBES:
+                if self._full(f"{a} {b}") != self._full(a) + self._full(b):
+                    raise ValueError(f"tokens of {path} cross white space, as in {a!r} {b!r}")
         self.by_part = self._agrees()
 
     def _agrees(self) -> bool:
