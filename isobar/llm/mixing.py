@@ -9,13 +9,16 @@ sums reach the driver.
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import words, written
+from .common import free_name, words, written
 
 BUCKETS = 4096
+#: Share of the budget by which a domain may miss its target.
+UNMET = 1e-3
 
 
 def _ids(text: str) -> Column:
@@ -41,12 +44,13 @@ def posteriors(docs: DataFrame, model: dict[str, list[float]], out: str = "p", t
     The mean log probability of a word counts as strength words do, or as the words there are if fewer, so that long
     documents keep soft memberships. A text without words has equal posteriors.
     """
-    df = docs.withColumn("_ids", _ids(text)).withColumn(tokens, F.size("_ids").cast("long"))
+    ids, logs, exps = (free_name(docs, f"_{n}") for n in ("ids", "logs", "exps"))
+    df = docs.withColumn(ids, _ids(text)).withColumn(tokens, F.size(ids).cast("long"))
     weights = [F.split(F.lit(",".join(f"{x:.6g}" for x in v)), ",").cast("array<double>") for v in model.values()]
-    total = lambda w: F.aggregate("_ids", F.lit(0.0), lambda a, i: a + F.get(w, i))
-    df = df.withColumn("_logs", F.array(*[F.coalesce(F.try_divide(total(w), F.col(tokens)) * F.least(F.col(tokens), F.lit(strength)), F.lit(0.0)) for w in weights]))
-    df = df.withColumn("_exps", F.transform("_logs", lambda x: F.exp(x - F.array_max("_logs"))))
-    return df.withColumn(out, F.transform("_exps", lambda x: x / F.aggregate("_exps", F.lit(0.0), lambda a, y: a + y))).drop("_ids", "_logs", "_exps")
+    total = lambda w: F.aggregate(ids, F.lit(0.0), lambda a, i: a + F.get(w, i))
+    df = df.withColumn(logs, F.array(*[F.coalesce(F.try_divide(total(w), F.col(tokens)) * F.least(F.col(tokens), F.lit(strength)), F.lit(0.0)) for w in weights]))
+    df = df.withColumn(exps, F.transform(logs, lambda x: F.exp(x - F.array_max(logs))))
+    return df.withColumn(out, F.transform(exps, lambda x: x / F.aggregate(exps, F.lit(0.0), lambda a, y: a + y))).drop(ids, logs, exps)
 
 
 def fit_rates(df: DataFrame, targets: list[float], p: str = "p", tokens: str = "n_tokens", *, start: float = 1.0, steps: int = 60, tolerance: float = 1e-6) -> tuple[Column, list[float]]:
@@ -88,6 +92,7 @@ def mix(docs: DataFrame, model: dict[str, list[float]], weights: dict[str, float
     weights are the domains' shares of the tokens drawn (scaled to sum to one); budget is their number, by default the
     least at which no domain is drawn less than once, so nothing is lost. copies is the rate rounded up or down by a hash of
     the row's columns, so its expectation over hashes is the rate. Rows alike in all columns get the same rate and copies.
+    Targets that the rates miss by over UNMET of the budget (no document can serve them, say) are told by a warning.
     Null and empty texts have no tokens, equal posteriors and the starting rate 1. An empty table gives no rows. Columns
     with the names above are replaced.
     """
@@ -98,7 +103,11 @@ def mix(docs: DataFrame, model: dict[str, list[float]], weights: dict[str, float
     now, whole = [row[f"t{k}"] or 0.0 for k in range(len(weights))], sum(weights.values())
     share = [w / whole for w in weights.values()]
     budget = budget or max([t / s for t, s in zip(now, share, strict=True) if s > 0], default=0.0)
-    rate, _ = fit_rates(df, [budget * s for s in share])
+    targets = [budget * s for s in share]
+    rate, totals = fit_rates(df, targets)
+    unmet = {d: (t, x) for d, t, x in zip(weights, targets, totals, strict=True) if abs(t - x) > UNMET * max(budget, 1.0)}
+    if unmet:
+        warnings.warn(f"targets that the fitted rates don't meet (target, expected tokens): {unmet}", stacklevel=2)
     df = df.withColumn("rate", rate)
     unit = F.pmod(F.xxhash64(F.lit(seed), *docs.columns), F.lit(1 << 30)) / float(1 << 30)
     return df.withColumn("copies", F.floor(F.col("rate") + unit).cast("int"))
