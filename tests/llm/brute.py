@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter
 
+import regex
 import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -29,6 +30,64 @@ def quality(text):
     return n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered), n < 10 or 100 * len(covered) > 20 * n
 
 
+PHRASES = re.compile(r"licensed under|all rights reserved|copyright [0-9]|©|cookie (policy|settings)|privacy policy|terms of (use|service)|click here|subscribe (now|to)|sign (in|up)|log ?in|enable javascript|powered by", re.I | re.A)
+
+
+def cleaned(text):
+    """(kept, text without failing lines) by the rules of lines."""
+    good, all_chars, lost, phrases = [], 0, 0, 0
+    for line in text.split("\n"):
+        words = WORD.findall(line)
+        if not words:
+            good.append(line)
+            continue
+        if PHRASES.search(line):
+            phrases += len(line)
+            continue
+        n, letters = len(words), len(regex.findall(r"\p{L}", line))
+        bad = len(re.findall(r"[#*$%&|<>]", line)) + len(re.findall("!!+", line)) > 0.3 * n
+        bad |= 2 * len(re.findall(r"(?:^|[\x20\x09])[|•·»>]", line)) >= n
+        bad |= letters >= 20 and len(regex.findall(r"\p{Lu}", line)) > 0.6 * letters
+        bad |= n >= 8 and len(set(words)) < 0.25 * n
+        all_chars += len(line)
+        lost += len(line) * bad
+        if not bad:
+            good.append(line)
+    return not quality(text)[-1] and all_chars > 0 and lost <= 0.5 * all_chars and phrases <= 0.8 * (phrases + all_chars), "\n".join(good)
+
+
+def shingles(text, size=5):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} or {tuple(words)}
+
+
+def contaminated(docs, bench, template, known, size, literals, least=0.4):
+    """{(doc_id, item_id): (matched, all)} windows of templates whose slots follow the mapping of most pairs of an alignment."""
+
+    def listed(text):
+        hashes, kind, number, _ = template([text], known)
+        at = [a for a in range(len(hashes) - size + 1) if (kind[a : a + size] == 0).sum() >= literals]
+        return [(a, tuple(hashes[a : a + size].tolist()), [known.words[number[x]] for x in range(a, a + size) if kind[x]]) for a in at]
+
+    own, out = {i: listed(t) for i, t in bench.items()}, {}
+    for d, text in docs.items():
+        found = listed(text)
+        for i, windows in own.items():
+            runs = {}
+            for a, key, slots in found:
+                for b, other, values in windows:
+                    if key == other:
+                        runs.setdefault(a - b, {})[b] = list(zip(values, slots, strict=True))
+            places = set()
+            for rows in runs.values():
+                pairs = [p for r in rows.values() for p in r]
+                best = {v: max((sum(q == (v, x) for q in pairs), x) for w, x in pairs if w == v)[1] for v, _ in pairs}
+                places |= {b for b, r in rows.items() if all(best[v] == x for v, x in r)}
+            if windows and len(places) >= least * len(windows):
+                out[d, i] = (len(places), len(windows))
+    return out
+
+
 def fingerprint(text):
     words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
