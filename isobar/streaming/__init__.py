@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.feeds import with_stale
 from ..operators.learning import merged_state
 
 
@@ -42,6 +43,21 @@ def state_writer(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]
     return write
 
 
+def stale_writer(path: str, features: list[str]) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: each batch is a run of all providers; version n holds its features (the columns features, with provider)
+    and, marked stale, those of version n - 1 whose provider failed in it. A failed provider is a row with status `error` and
+    no id; a batch can run again."""
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.filter("id is not null").select(*features).withColumn("stale", F.lit(False))
+        if epoch:
+            fresh = with_stale(fresh, spark.read.parquet(f"{path}/version={epoch - 1}"), batch.select("provider", "status"))
+        fresh.write.mode("overwrite").parquet(f"{path}/version={epoch}")
+
+    return write
+
+
 def interval_amounts(stream: DataFrame) -> DataFrame:
     """cell, hour and amount of a stream of (cell, hour, value, running): running totals as amounts since the cell's last one.
 

@@ -61,3 +61,13 @@ def test_stream_of_alerts_without_the_expired(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(r["id"] for r in spark.table("alerts").collect()) == ["a", "c"]
+
+
+def test_runs_with_failed_providers(spark, tmp_path):
+    schema = "id string, provider string, status string"
+    write = streaming.stale_writer(str(tmp_path), ["id", "provider"])
+    write(spark.createDataFrame([("a", "x", "ok"), ("b", "y", "ok")], schema), 0)
+    write(spark.createDataFrame([("c", "x", "ok"), (None, "y", "error")], schema), 1)
+    write(spark.createDataFrame([(None, "x", "error"), (None, "y", "error")], schema), 2)
+    told = [sorted((r["id"], r["stale"]) for r in spark.read.parquet(f"{tmp_path}/version={k}").collect()) for k in range(3)]
+    assert told == [[("a", False), ("b", False)], [("b", True), ("c", False)], [("b", True), ("c", True)]]
