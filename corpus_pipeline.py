@@ -49,7 +49,7 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("mixing", mixing), ("sharding", sharding)]
-#: SQL can't express SimHash groups, template windows or projected gradients; the stages are tested one by one.
+#: SQL can't express SimHash groups, template windows or projected gradients; tests compare the rows with plain Python.
 ORACLE_SQL = None
 
 
