@@ -17,6 +17,7 @@ import sys
 import types
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -124,18 +125,19 @@ class WordIds(dict):
     def _part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
-            mapped = "".join(self._chars()[b] for b in part.lower().encode())
-            found = np.array([t.id for t in self.whole.model.tokenize(mapped)], np.uint32).tobytes()
+            low = part.lower()
+            if not low.isascii():
+                low = low.encode().decode("latin-1").translate(self._chars())
+            found = array("I", [t.id for t in self.whole.model.tokenize(low)]).tobytes()
             if len(self.parts) < CACHED_WORDS:
                 self.parts[part] = found
         return found
 
-    def _chars(self) -> list[str]:
-        """The printable characters that stand for bytes in byte-level vocabularies."""
+    def _chars(self) -> dict[int, str]:
+        """The printable characters that stand for bytes in byte-level vocabularies, for bytes that don't stand for themselves."""
         if not hasattr(self, "chars"):
-            plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-            rest = iter(range(256, 512))
-            self.chars = [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
+            plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+            self.chars = {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - plain))}
         return self.chars
 
     def __missing__(self, word: bytes) -> bytes:
