@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bk_trees import Forest, spanning
@@ -321,7 +321,65 @@ def common_shingles(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarr
     return top["h"].to_numpy().view(np.uint64), top["n"].to_numpy()
 
 
-def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def _numbers(keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All 40-bit keys of rows of bytes, and how many each row has."""
+    rows = keys.to_pylist()
+    flat = np.zeros((sum(map(len, rows)) // 5, 8), np.uint8)
+    flat[:, :5] = np.frombuffer(b"".join(rows), np.uint8).reshape(-1, 5)
+    return flat.view(np.uint64).ravel(), np.array([len(x) // 5 for x in rows], np.int64)
+
+
+def _rows(wide: pa.Array) -> np.ndarray:
+    """Fingerprints of WIDE bits as rows of numbers."""
+    return np.frombuffer(b"".join(wide.to_pylist()), np.uint64).reshape(-1, WIDE // 64)
+
+
+def _new_links(wide: np.ndarray, own: list[bytes], size: np.ndarray, component: np.ndarray, role: np.ndarray, radius: int, similarity: float) -> Iterator[tuple[int, int]]:
+    """Links between components (one a pair of them at most) that queries (role 2 or 3) find among members (1 or 3), by place.
+
+    What a BK-tree finds within the radius, is in another component and has a size that allows the similarity, is compared
+    by its whole set: all such members of a query at once, against marks of the query's shingles.
+    """
+    member, query = np.flatnonzero(role != 2), np.flatnonzero(role >= 2)
+    zero = np.zeros(len(role), np.int64)
+    found = list(Forest.build(zero[member], wide[member]).search(zero[query], wide[query], radius))
+    if not found:
+        return
+    one, two = query[np.concatenate([q for q, _ in found])], member[np.concatenate([m for _, m in found])]
+    _, part = np.unique(component, return_inverse=True)
+    fit = (part[one] != part[two]) & (np.minimum(size[one], size[two]) >= similarity * np.maximum(size[one], size[two]) - 1e-9)
+    one, two = one[fit], two[fit]
+    if not len(one):
+        return
+    order = np.argsort(one, kind="stable")
+    one, two = one[order], two[order]
+    start = np.concatenate([[0], np.cumsum(size)])
+    _, local = np.unique(np.frombuffer(b"".join(own), np.uint64), return_inverse=True)
+    mark = np.zeros(local.max() + 1, np.int32)
+    first = np.flatnonzero(np.concatenate([[True], one[1:] != one[:-1]]))
+    for x, others in zip(one[first].tolist(), np.split(two, first[1:]), strict=True):
+        others = others[part[others] != part[x]]
+        if not len(others):
+            continue
+        shingles = local[start[x] : start[x + 1]]
+        mark[shingles] = 1
+        lengths = size[others]
+        at = np.arange(lengths.sum()) + np.repeat(start[others] - np.cumsum(lengths) + lengths, lengths)
+        both = np.add.reduceat(mark[local[at]], np.cumsum(lengths) - lengths)
+        mark[shingles] = 0
+        for y in others[both >= similarity * (size[x] + lengths - both) - 1e-9].tolist():
+            if part[y] != part[x]:
+                part[part == part[y]] = part[x]
+                yield x, y
+
+
+#: Classes of a shard that one task searches at most; a larger shard is dealt into parts.
+PART = 2048
+#: Classes of a large shard that all its parts hold, so that what is alike to them meets.
+PIVOTS = 4
+
+
+def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, shingle: int = 5, similarity: float = 0.8, part: int = PART) -> DataFrame:
     """doc_id and component_id for every row of docs: texts linked at a similarity of their sets of shingle-word runs.
 
     Two texts are linked if the Jaccard similarity of their sets is similarity or more, by exact counts of the sets' 64-bit
@@ -329,15 +387,21 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     first n - ceil(similarity * n) + 1 of each (prefix filtering). The order puts shingles that are common in a sample last,
     which shards need to be small, and goes by hash otherwise. Texts with one set are one class; a shingle in the first ones
     of several classes is a shard, dealt into what BK-trees of 512-bit SimHashes link within wide_radius (five standard
-    deviations over the mean at the similarity); inside these, pairs that the trees find are compared. Each class is first searched in its largest shard only;
-    then all shards whose classes aren't all linked yet. A-Z count as a-z. Texts under shingle words are their own one run.
-    Null and empty texts are alike. Rows with null ids and repeated rows as in simhash_groups. What is broadcast has a fixed
-    size: common shingles, and a count-min sketch and a bitmap of 2**29 cells at most.
+    deviations over the mean at the similarity).
+    1. Each class is compared in its largest shard only; a shard of over part classes is dealt into parts, which share PIVOTS.
+    2. In a family (classes that shards connect, near each other) whose classes aren't all linked then, those outside the
+       largest component search the BK-trees of all members; families of over part classes are dealt into parts on both
+       sides. What lies within the radius and in another component, and whose sizes allow the similarity, has its whole sets
+       compared; only links leave a task.
+    A-Z count as a-z. Texts under shingle words are their own one run. Null and empty texts are alike. Rows with null ids and
+    repeated rows as in simhash_groups. What is broadcast has a bounded size: common shingles, and a count-min sketch and a
+    bitmap of 2**29 cells at most.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     named = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     context = docs.sparkSession.sparkContext
     common = context.broadcast(common_shingles(named, shingle))
+    radius = wide_radius(similarity)
 
     def digest(own: np.ndarray) -> int:
         return xxhash.xxh3_64_intdigest(own.tobytes())
@@ -345,31 +409,27 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, often = common.value
         for b in batches:
-            cls, wide, keys = [], [], []
+            cls, wide, keys, size = [], [], [], []
             for own in shingle_sets(b.column(1), shingle):
                 at = np.minimum(np.searchsorted(hot, own), max(len(hot) - 1, 0))
                 n = np.where(hot[at] == own, often[at], 0) if len(hot) else np.zeros(len(own), np.int64)
                 first = own[np.argsort(n, kind="stable")[: len(own) - needed(len(own), similarity) + 1]]
                 cls.append(digest(own))
+                size.append(len(own))
                 wide.append(np.packbits(_set_bits(own, WIDE)).tobytes())
                 keys.append(np.unique(first >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5].tobytes())  # 40 bits of each
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(cls, np.uint64).view(np.int64)), pa.array(wide, pa.binary()), pa.array(keys, pa.binary())], names=["doc_id", "cls", "wide", "keys"])
-
-    def numbers(keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All keys, and how many each row has."""
-        rows = keys.to_pylist()
-        flat = np.zeros((sum(map(len, rows)) // 5, 8), np.uint8)
-        flat[:, :5] = np.frombuffer(b"".join(rows), np.uint8).reshape(-1, 5)
-        return flat.view(np.uint64).ravel(), np.array([len(x) // 5 for x in rows], np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(cls, np.uint64).view(np.int64)), pa.array(wide, pa.binary()), pa.array(keys, pa.binary()), pa.array(size, pa.int32())], names=["doc_id", "cls", "wide", "keys", "size"])
 
-    prints = written(named.mapInArrow(run, f"doc_id {kind}, cls bigint, wide binary, keys binary"))
-    classes = written(prints.groupBy("cls").agg(F.min("doc_id").alias("first"), F.min("wide").alias("wide"), F.min("keys").alias("keys")))
+    prints = written(named.mapInArrow(run, f"doc_id {kind}, cls bigint, wide binary, keys binary, size int"))
+    least = F.min(F.struct("doc_id", "wide", "keys", "size"))  # a null id is the least
+    classes = prints.groupBy("cls").agg(least.alias("m"), F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+    classes = written(classes.select("cls", "first", "copies", "m.wide", "m.keys", "m.size"))
     sketch_bits = cells_for((classes.agg(F.sum(F.octet_length("keys"))).first()[0] or 0) // 5)
-    sketch = context.broadcast(repeated_cells(classes.select("keys"), lambda b: iter([numbers(b.column(0))[0]]), sketch_bits))
+    sketch = context.broadcast(repeated_cells(classes.select("keys"), lambda b: iter([_numbers(b.column(0))[0]]), sketch_bits))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            key, n = numbers(b.column(1))
+            key, n = _numbers(b.column(1))
             row = np.repeat(np.arange(b.num_rows), n)
             chosen = np.flatnonzero(repeated(sketch.value, key, sketch_bits))
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[chosen])), pa.array(key[chosen].view(np.int64))], names=["cls", "key"])
@@ -377,11 +437,9 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Shards dealt again into what BK-trees link within the radius, named by their members (the same ones are searched
         once); classes with no other near them go."""
-        radius = wide_radius(similarity)
         for t in whole_shards(batches):
             key, cls = t.column(0).to_numpy(), t.column(1).to_numpy()
-            wide = np.frombuffer(b"".join(t.column(2).to_pylist()), np.uint64).reshape(len(key), -1)
-            cut = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]]).tolist()
+            wide = _rows(t.column(2))
             root, place = np.arange(len(key)), np.arange(len(key))
             moved, least = Forest.build(key, wide).linked(key, wide, radius, place, place)
             root[moved] = least
@@ -393,10 +451,14 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(cls[kept]), pa.array(n[kept])], names=["key", "cls", "n"])
 
     keyed = written(classes.select("cls", "keys").mapInArrow(spread, "cls bigint, key bigint"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    together = keyed.join(shared, "key").join(classes.select("cls", "wide"), "cls").select("key", "cls", "wide")
-    members = written(together.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(near, "key bigint, cls bigint, n bigint").distinct())
-    best = written(members.groupBy("cls").agg(F.max(F.struct("n", "key")).alias("_b")).select("cls", F.col("_b.key").alias("key")))
+    shared = written(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    total = shared.agg(F.sum("n")).first()[0] or 0
+    together = written(join_counted(keyed, shared.withColumn("_n", F.col("n")), ["key"], "_n", total))
+    small = together.filter(F.col("n") <= part).join(classes.select("cls", "wide"), "cls").select("key", "cls", "wide")
+    dealt = small.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(near, "key bigint, cls bigint, n bigint").distinct()
+    members = written(dealt.unionByName(together.filter(F.col("n") > part).select("key", "cls", "n")))
+    best = members.groupBy("cls").agg(F.max(F.struct("n", "key")).alias("_b")).select("cls", F.col("_b.key").alias("key"), F.col("_b.n").alias("n"))
+    best = written(best)
     # the sets of the classes that are in a shard, from the documents that stand for them
     chosen = best.select("cls").join(classes.select("cls", "first", "wide"), "cls")
     sieve_bits = cells_for(best.count())
@@ -417,9 +479,9 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     bodies = written(chosen.join(found.groupBy("cls").agg(F.min("own").alias("own")), "cls").select("cls", "wide", "own"))
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        radius = wide_radius(similarity)
-
-        def links(key: np.ndarray, component: np.ndarray, cls: np.ndarray, wide: list[bytes], own: list[bytes]) -> pa.RecordBatch:
+        for t in whole_shards(batches):
+            key, cls = t.column(0).to_numpy(), t.column(1).to_numpy()
+            wide, own = t.column(2).to_pylist(), t.column(3).to_pylist()
             cut = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
             out = [np.zeros((0, 2), np.int64)]
             for a, z in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
@@ -434,30 +496,55 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     mark[local[start[one] : start[one + 1]]] = False
                     return both >= similarity * (size[one] + size[others] - both) - 1e-9
 
-                _, before = np.unique(component[a:z], return_index=True)
-                known = before[np.searchsorted(component[a:z][before], component[a:z])]
-                root = tree_links(np.frombuffer(b"".join(wide[a:z]), np.uint64).reshape(z - a, -1), radius, alike, known)
-                moved = np.flatnonzero(root != known)
+                root = tree_links(np.frombuffer(b"".join(wide[a:z]), np.uint64).reshape(z - a, -1), radius, alike)
+                moved = np.flatnonzero(root != np.arange(z - a))
                 out.append(np.stack([cls[a:z][moved], cls[a:z][root[moved]]], 1))
             pair = np.concatenate(out)
-            return pa.RecordBatch.from_arrays([pa.array(pair.max(1, initial=-(1 << 63))), pa.array(pair.min(1, initial=(1 << 63) - 1))], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(pair.max(1, initial=-(1 << 63))), pa.array(pair.min(1, initial=(1 << 63) - 1))], names=["a", "b"])
+
+    # 1. each class in its largest shard; parts of a large one share its pivots
+    counted = best.groupBy("key").agg(F.count(F.lit(1)).alias("_m"))
+    sized = join_counted(best.select("key", "cls"), written(counted.withColumn("m", F.col("_m"))), ["key"], "_m", best.count()).withColumn("_parts", F.ceil(F.col("m") / part).cast("int"))
+    own_part = sized.select("key", "cls", F.pmod(F.xxhash64("cls"), F.col("_parts")).cast("int").alias("p"))
+    leaders = sized.filter("_parts > 1").withColumn("_k", F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("cls"), "cls"))).filter(F.col("_k") <= PIVOTS)
+    pivots = leaders.select("key", "cls", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("p"))
+    rows = own_part.unionByName(pivots).distinct().select(F.xxhash64("key", "p").alias("shard"), "cls")
+    full = rows.join(bodies, "cls").select("shard", "cls", "wide", "own")
+    once = written(full.repartition("shard").sortWithinPartitions("shard", "cls").mapInArrow(link, "a bigint, b bigint").distinct())
+
+    # 2. in families (classes that shards connect) of several components: what isn't in the largest searches all members
+    component = written(components(once))
+    edges = members.groupBy("key").agg(F.min("cls").alias("b"))
+    sized_keys = written(edges.join(members.groupBy("key").agg(F.count(F.lit(1)).alias("_m")), "key"))
+    family = written(components(join_counted(members.select("key", "cls"), sized_keys, ["key"], "_m", members.count()).select(F.col("cls").alias("a"), "b")))
+    now = best.select("cls").join(family.select(F.col("node").alias("cls"), F.col("component").alias("family")), "cls")
+    now = written(now.join(component, F.col("cls") == F.col("node"), "left").select("family", "cls", F.coalesce("component", "cls").alias("component")))
+    sums = now.groupBy("family", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("family").agg(F.count(F.lit(1)).alias("_s"), F.max_by("component", F.struct("c", "component")).alias("top"), F.max("c").alias("_t"), F.sum("c").alias("_m"))
+    cut = lambda n: F.ceil(n / part).cast("int")
+    apart = written(sums.filter("_s > 1").select("family", "top", "_m", cut(F.col("_m")).alias("_p"), cut(F.col("_m") - F.col("_t")).alias("_q")))
+    held = join_counted(now, apart, ["family"], "_m", now.count())
+    place = lambda n, seed: F.pmod(F.xxhash64("cls", F.lit(seed)), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    stored = held.select("family", "cls", "component", place(F.col("_p"), 1).alias("p"), every(F.col("_q")).alias("q"), F.lit(1).alias("role"))
+    asking = held.filter(F.col("component") != F.col("top")).select("family", "cls", "component", every(F.col("_p")).alias("p"), place(F.col("_q"), 2).alias("q"), F.lit(2).alias("role"))
+    sides = stored.unionByName(asking).groupBy(F.xxhash64("family", "p", "q").alias("shard"), "cls", "component").agg(F.sum("role").alias("role"))
 
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_shards(batches):
-            yield links(*[t.column(i).to_numpy() for i in range(3)], t.column(3).to_pylist(), t.column(4).to_pylist())
-
-    def searched(rows: DataFrame) -> DataFrame:
-        """Links in the shards of rows (key, component, cls)."""
-        full = rows.join(bodies, "cls").select("key", "component", "cls", "wide", "own")
-        return full.repartition("key").sortWithinPartitions("key", "component", "cls").mapInArrow(link, "a bigint, b bigint").distinct()
-
-    once = written(searched(best.select("key", F.col("cls").alias("component"), "cls")))
-    part = components(once)
-    now = members.select("key", "cls").join(part, F.col("cls") == F.col("node"), "left").select("key", "cls", F.coalesce("component", "cls").alias("component"))
-    now = written(now)
-    apart = now.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_z")).filter("_a < _z").select("key")
-    groups = components(once.unionByName(searched(now.join(apart, "key"))))
+            key, cls, component, role, size = (t.column(k).to_numpy() for k in range(5))
+            wide, own = _rows(t.column(5)), t.column(6).to_pylist()
+            cut = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]]).tolist()
+            out = [(cls[a + x], cls[a + y]) for a, z in zip(cut[:-1], cut[1:], strict=True) for x, y in _new_links(wide[a:z], own[a:z], size[a:z].astype(np.int64), component[a:z], role[a:z], radius, similarity)]
+            pair = np.array(out, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(pair.max(1, initial=-(1 << 63))), pa.array(pair.min(1, initial=(1 << 63) - 1))], names=["a", "b"])
+
+    rows = sides.join(bodies.withColumn("size", (F.octet_length("own") / 8).cast("int")), "cls").select("shard", "cls", "component", "role", "size", "wide", "own")
+    more = rows.repartition("shard").sortWithinPartitions("shard", "cls").mapInArrow(search, "a bigint, b bigint").filter("a <> b")
+    groups = written(components(once.unionByName(more)))
     grouped = groups.join(classes.select("cls", "first"), groups["node"] == classes["cls"]).select("cls", "first", "component")
-    least = grouped.groupBy("component").agg(F.min("first").alias("least"))
-    linked = grouped.join(least, "component").select("cls", "least")
-    ids = classes.select("cls", "first").join(linked, "cls", "left").select("cls", F.coalesce("least", "first").alias("component_id"))
-    return prints.select("doc_id", "cls").join(ids, "cls").select("doc_id", "component_id")
+    least = written(grouped.groupBy("component").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("m")))
+    linked = join_counted(grouped, least, ["component"], "m", groups.count()).select("cls", "least")
+    ids = written(classes.select("cls", "first", "copies").join(linked, "cls", "left").select("cls", F.coalesce("least", "first").alias("component_id"), "copies"))
+    for x in (classes, keyed, shared, together, members, best, bodies, once, component, sized_keys, family, now, apart, groups, least):
+        discard(x)
+    return join_counted(prints.select("doc_id", "cls"), ids, ["cls"], "copies", ids.agg(F.sum("copies")).first()[0] or 0).select("doc_id", "component_id")
