@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontaminate import contaminated
+from .embedding_dedup import embedding_dedup
+from .lexical_search import lexical_search
 from .line_dedup import line_dedup
 from .mixing import fit_domains, mix
 from .oracle import SQL
@@ -14,6 +16,7 @@ from .quality_rules import quality_rules
 from .secrets import KINDS, fit_markov, labelled_samples, made_samples, scan_secrets, span_text
 from .sharding import shard_rows
 from .simhash import simhash_groups
+from .source_audit import source_audit
 from .substring_dedup import substring_dedup
 from .token_output import token_output
 from .toxicity import fit_toxicity, score_toxicity
@@ -93,8 +96,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(docs, 24).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "row_number", "n_rows")
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
-    return {"op1_mixing": op1_mixing, "op2_decontaminate": op2_decontaminate, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op7_line_dedup": op7_line_dedup, "op8_simhash": op8_simhash, "op9_token_output": op9_token_output, "op10_sharding": op10_sharding}
+    return {"op1_mixing": op1_mixing, "op2_decontaminate": op2_decontaminate, "op3_secret_scan": op3_secret_scan, "op4_toxicity": op4_toxicity, "op5_quality_rules": op5_quality_rules, "op6_substring_dedup": op6_substring_dedup, "op7_line_dedup": op7_line_dedup, "op8_simhash": op8_simhash, "op9_token_output": op9_token_output, "op10_sharding": op10_sharding, "op11_source_audit": op11_source_audit, "op12_embedding_dedup": op12_embedding_dedup, "op13_lexical_search": op13_lexical_search}
 
 
 def oracle_sql() -> dict[str, str]:
