@@ -107,7 +107,7 @@ def _search_block(index: DataFrame, items: list[tuple[int, list[int]]], k: int)
         def window(part: pa.Table) -> None:
             term, slot, add = _contributions(part, weight, docs, total)
             first = np.flatnonzero(np.diff(term, prepend=-1))
-            spans = dict(zip(term[first].tolist(), zip(first.tolist(), np.append(first[1:], len(term)).tolist(), strict=True), strict=True))
+            spans = dict(zip(term[first].tolist(), zip(first.tolist(), np.append(first, len(term))[1:].tolist(), strict=True), strict=True))
             bits = {}
             for t, (start, end) in spans.items():  # which documents hold the term
                 held = np.zeros(WINDOW, bool)
