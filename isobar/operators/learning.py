@@ -15,8 +15,9 @@ def nearest_in_time(left: DataFrame, right: DataFrame, on: list[str], left_time:
 
     Times are dealt into buckets of that width. A bucket's right rows stand in it in order, and for its two neighbours only
     the last and the first of them do, as no other can be the nearest; within a bucket the rows of both sides are put in
-    order together and each left row looks at the right rows just before and after it. So no pairs are made, whatever the
-    number of rows a bucket has, and a bucket has rows by rate and width, not by the table's length.
+    order together, once by ascending and once by descending time, and each left row takes the last right row before it in
+    either order. Both are running values: no pairs are made, the time grows with a bucket's rows (and their sorting), and a
+    bucket has rows by rate and width, not by the table's length.
     """
     width = minutes * 60 * 1_000_000
     values = [c for c in right.columns if c not in on]
@@ -28,9 +29,9 @@ def nearest_in_time(left: DataFrame, right: DataFrame, on: list[str], left_time:
     over = ends.select(*on, (F.col("_b") + 1).alias("_b"), "_z._t", "_z._r").unionByName(ends.select(*on, (F.col("_b") - 1).alias("_b"), "_a._t", "_a._r"))
     own = a.select(*on, "_b", "_t", F.struct(*[F.col(c) for c in left.columns]).alias("_l"))
     both = own.unionByName(b.unionByName(over), allowMissingColumns=True)
-    ordered = Window.partitionBy(*on, "_b").orderBy("_t")
     seen = F.when(F.col("_r").isNotNull(), F.struct("_t", "_r"))
-    both = both.withColumns({"_before": F.last(seen, ignorenulls=True).over(ordered.rangeBetween(Window.unboundedPreceding, 0)), "_after": F.first(seen, ignorenulls=True).over(ordered.rangeBetween(0, Window.unboundedFollowing))})
+    upto = lambda order: F.last(seen, ignorenulls=True).over(Window.partitionBy(*on, "_b").orderBy(order).rangeBetween(Window.unboundedPreceding, 0))
+    both = both.withColumn("_before", upto(F.asc("_t"))).withColumn("_after", upto(F.desc("_t")))
     rows = both.filter("_l is not null").withColumns({"_g": F.col("_t") - F.col("_before._t"), "_h": F.col("_after._t") - F.col("_t")})
     nearer = (F.col("_g") < F.col("_h")) | F.col("_h").isNull() | ((F.col("_g") == F.col("_h")) & (F.col(f"_before._r.{right_id}") <= F.col(f"_after._r.{right_id}")))
     best = rows.withColumn("_n", F.when(F.coalesce(nearer, F.lit(False)), F.col("_before._r")).otherwise(F.col("_after._r"))).withColumn("_gap", F.least("_g", "_h")).filter(F.col("_gap") <= width)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,15 +14,68 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], order: list[str],
     df.repartition(*by, spread).sortWithinPartitions(*by, *order).write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
-def publish(df: DataFrame, path: str, run: str, by: list[str] | None = None) -> None:
-    """The run's data first, then the pointer to it, so a reader never sees half a run."""
+def _files(spark: SparkSession, path: str):
+    """The Hadoop path and the file system that it is on."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def removed(spark: SparkSession, path: str) -> bool:
+    """Deletes a folder or file where there is one; says whether there was."""
+    at, fs = _files(spark, path)
+    return fs.delete(at, True)
+
+
+def _pointer(spark: SparkSession, path: str) -> tuple[int, str | None]:
+    """Number and run of the newest pointer under path; 0 and none where there is none."""
+    at, fs = _files(spark, f"{path}/pointers")
+    if not fs.exists(at):
+        return 0, None
+    newest = max((f.getPath().getName() for f in fs.listStatus(at) if not f.getPath().getName().startswith((".", "_"))), default=None)
+    return (int(newest.split("-", 1)[0]), newest.split("-", 1)[1].removesuffix(".json")) if newest else (0, None)
+
+
+def publish(df: DataFrame, path: str, run: str, by: list[str] | None = None, after: str | None = None) -> None:
+    """The run's data first, then the pointer to it, so a reader never sees half a run or none.
+
+    Pointers are small files with numbers that go up, `pointers/0000000007-<run>.json`. Each is written under a name that
+    readers skip and then renamed, which takes place as a whole or not at all; the last two are kept. Of two writers
+    that saw the same run before them, one makes the claim file of the next number and the other fails with FileExistsError.
+    after names the run that this one must follow. A writer lost between claim and pointer blocks its number: delete the claim.
+    """
+    spark = df.sparkSession
+    number, current = _pointer(spark, path)
+    if after is not None and current != after:
+        raise FileExistsError(f"the current run is {current}, not {after}")
+    if "/" in run:
+        raise ValueError(f"a run's name can't hold a slash: {run}")
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*by) if by else writer).parquet(f"{path}/runs/{run}")
-    df.sparkSession.createDataFrame([(run,)], "run string").coalesce(1).write.mode("overwrite").json(f"{path}/current")
+    claim, fs = _files(spark, f"{path}/claims/{number + 1:010d}")
+    try:
+        fs.create(claim, False).close()  # only one writer can make it
+    except Exception as error:
+        raise FileExistsError(f"another run was published after {current}") from error
+    hidden, _ = _files(spark, f"{path}/pointers/.{number + 1:010d}-{run}.json")
+    with_text = fs.create(hidden, True)
+    with_text.write(bytearray(json.dumps({"run": run}).encode()))
+    with_text.close()
+    if not fs.rename(hidden, _files(spark, f"{path}/pointers/{number + 1:010d}-{run}.json")[0]):
+        raise FileExistsError(f"another run was published after {current}")
+    for f in fs.listStatus(_files(spark, f"{path}/pointers")[0]):  # readers that listed before still find the one before
+        name = f.getPath().getName().lstrip(".")
+        if name.split("-", 1)[0].isdigit() and int(name.split("-", 1)[0]) < number:
+            fs.delete(f.getPath(), False)
+
+
+def current_run(spark: SparkSession, path: str) -> str | None:
+    return _pointer(spark, path)[1]
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
-    run = spark.read.schema("run string").json(f"{path}/current").first()["run"]
+    run = current_run(spark, path)
+    if run is None:
+        raise FileNotFoundError(f"nothing is published under {path}")
     return spark.read.parquet(f"{path}/runs/{run}")
 
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.feeds import with_stale
 from ..operators.learning import merged_state
+from ..sources.sinks import removed
+from .state import interval_amounts, nearest_matches, running_scores
+
+__all__ = ["interval_amounts", "matched", "nearest_matches", "running_scores", "stale_writer", "state_writer", "unexpired", "windowed_errors"]
 
 
 def matched(forecasts: DataFrame, observations: DataFrame, minutes: int = 90) -> DataFrame:
@@ -33,12 +35,14 @@ def unexpired(alerts: DataFrame, at: str, expires: str, late: str = "10 minutes"
 
 
 def state_writer(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: each batch's rows replace those of the same keys; version n is written beside n - 1, so a batch can run again."""
+    """For foreachBatch: each batch's rows replace those of the same keys; version n is written beside n - 1, so a batch can run
+    again, and n - 2 goes. It reads all state a batch: for scores of many groups use running_scores, whose state is keyed."""
 
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         merged = batch if epoch == 0 else merged_state(spark.read.parquet(f"{path}/version={epoch - 1}"), batch, keys)
         merged.write.mode("overwrite").parquet(f"{path}/version={epoch}")
+        removed(spark, f"{path}/version={epoch - 2}")
 
     return write
 
@@ -46,7 +50,7 @@ def state_writer(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]
 def stale_writer(path: str, features: list[str]) -> Callable[[DataFrame, int], None]:
     """For foreachBatch: each batch is a run of all providers; version n holds its features (the columns features, with provider)
     and, marked stale, those of version n - 1 whose provider failed in it. A failed provider is a row with status `error` and
-    no id; a batch can run again."""
+    no id; a batch can run again, and version n - 2 goes."""
 
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
@@ -54,26 +58,6 @@ def stale_writer(path: str, features: list[str]) -> Callable[[DataFrame, int], N
         if epoch:
             fresh = with_stale(fresh, spark.read.parquet(f"{path}/version={epoch - 1}"), batch.select("provider", "status"))
         fresh.write.mode("overwrite").parquet(f"{path}/version={epoch}")
+        removed(spark, f"{path}/version={epoch - 2}")
 
     return write
-
-
-def interval_amounts(stream: DataFrame) -> DataFrame:
-    """cell, hour and amount of a stream of (cell, hour, value, running): running totals as amounts since the cell's last one.
-
-    The state of a cell is its last running total; a batch's rows of a cell are taken by hour, and a cell's hours must come
-    in order from batch to batch.
-    """
-
-    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        rows = pd.concat(list(parts)).sort_values("hour")
-        amounts = []
-        for value, running in zip(rows["value"], rows["running"], strict=True):
-            amounts.append(max(value - last, 0.0) if running and last is not None else value)
-            last = value if running else last
-        if last is not None:
-            state.update((float(last),))
-        yield pd.DataFrame({"cell": rows["cell"], "hour": rows["hour"], "amount": amounts})
-
-    return stream.groupBy("cell").applyInPandasWithState(step, "cell string, hour int, amount double", "last double", "append", GroupStateTimeout.NoTimeout)

@@ -1,8 +1,12 @@
 """Streaming forms on small file streams."""
 
+import random
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from isobar import streaming
+from isobar.operators import learning
 
 START = datetime(2026, 1, 1)
 
@@ -66,8 +70,67 @@ def test_stream_of_alerts_without_the_expired(spark, tmp_path):
 def test_runs_with_failed_providers(spark, tmp_path):
     schema = "id string, provider string, status string"
     write = streaming.stale_writer(str(tmp_path), ["id", "provider"])
-    write(spark.createDataFrame([("a", "x", "ok"), ("b", "y", "ok")], schema), 0)
-    write(spark.createDataFrame([("c", "x", "ok"), (None, "y", "error")], schema), 1)
-    write(spark.createDataFrame([(None, "x", "error"), (None, "y", "error")], schema), 2)
-    told = [sorted((r["id"], r["stale"]) for r in spark.read.parquet(f"{tmp_path}/version={k}").collect()) for k in range(3)]
+    told = []
+    for k, rows in enumerate([[("a", "x", "ok"), ("b", "y", "ok")], [("c", "x", "ok"), (None, "y", "error")], [(None, "x", "error"), (None, "y", "error")]]):
+        write(spark.createDataFrame(rows, schema), k)
+        told.append(sorted((r["id"], r["stale"]) for r in spark.read.parquet(f"{tmp_path}/version={k}").collect()))
+    assert not (tmp_path / "version=0").exists() and (tmp_path / "version=1").exists()
     assert told == [[("a", False), ("b", False)], [("b", True), ("c", False)], [("b", True), ("c", True)]]
+
+
+def batches(spark, parts, schema, path, make, mode="append", restart=False):
+    """What a stream writes of parts, one batch each; with restart, each in a run of its own from the checkpoint."""
+    for k, rows in enumerate(parts):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{path}/in/{k:03d}")
+        if restart or k + 1 == len(parts):
+            stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in/*")
+            q = make(stream).writeStream.outputMode(mode).option("checkpointLocation", f"{path}/ck")
+            q = q.foreachBatch(lambda df, n: df.write.mode("append").parquet(f"{path}/out/run={k}_{n}")).trigger(availableNow=True).start()
+            q.awaitTermination()
+    return spark.read.parquet(f"{path}/out")
+
+
+def test_nearest_matches_equal_the_batch_form(spark, tmp_path):
+    """Ties, forecasts without an observation near them, rows out of order, and a restart between all batches."""
+    rng = random.Random(4)
+    at = lambda m: START + timedelta(minutes=m)
+    rows = [(f"s{rng.randrange(3)}", at(rng.randrange(0, 2000, 15)), k, None) for k in range(160)] + [(f"s{rng.randrange(3)}", at(rng.randrange(0, 2000, 45)), None, 1000 + k) for k in range(60)] + [("s9", at(50), 777, None)]
+    rows.sort(key=lambda r: (r[1] + timedelta(minutes=rng.randrange(-40, 40))))
+    schema = "station string, at timestamp, f bigint, o bigint"
+    parts = [rows[k : k + 40] for k in range(0, len(rows), 40)] + [[("end", at(9000), None, 1)], [("end", at(9001), None, 2)]]
+    sides = lambda df: (df.filter("f is not null").select("station", F.col("at").alias("valid_time"), "f"), df.filter("o is not null").select("station", F.col("at").alias("observed_at"), "o"))
+
+    def nearest(stream):
+        return streaming.nearest_matches(*sides(stream), ["station"], "valid_time", "observed_at", "f", "o", late="100 minutes")
+
+    got = batches(spark, parts, schema, str(tmp_path), nearest, restart=True)
+    want = learning.nearest_in_time(*sides(spark.createDataFrame(rows, schema)), ["station"], "valid_time", "observed_at", "f", "o")
+    told = lambda df: sorted((r["station"], r["f"], r["o"], r["observed_at"], r["gap"]) for r in df.collect())
+    assert told(got) == told(want) and 777 not in [r["f"] for r in got.collect()]
+    held = spark.read.format("statestore").option("stateVarName", "observed").load(f"{tmp_path}/ck")
+    assert held.filter("key.station <> 'end'").count() == 0  # nothing is held for ever
+
+
+def test_running_scores_equal_the_batch_form(spark, tmp_path):
+    """Batch by batch with restarts; an entry ends when its last error is thirty days behind the watermark."""
+    rng = random.Random(7)
+    parts = [[(f"r{rng.randrange(2)}", f"p{rng.randrange(3)}", rng.choice((None, rng.random(), float("nan"))), f"{k:03d}", START) for k in range(30)] for _ in range(2)]
+    parts += [[("end", "x", 1.0, "a", START + timedelta(days=40))], [("r0", "new", 0.5, "a", START + timedelta(days=39, hours=20))]]
+    schema = "region string, provider string, error double, station string, at timestamp"
+    got = batches(spark, parts, schema, str(tmp_path), lambda s: streaming.running_scores(s, ["region"], "provider", "error", "station", "at"), "update", restart=True)
+    kinds = "region string, provider string, score double, sample_count bigint, history array<double>"
+    state = spark.createDataFrame([], kinds)
+    for rows in parts[:2]:
+        state = spark.createDataFrame(learning.updated_scores(spark.createDataFrame(rows, schema), state, ["region"], "provider", "error", ["station"]).collect(), f"{kinds}, weight double")
+    told = lambda df: sorted((r["region"], r["provider"], round(r["score"], 9), r["sample_count"], len(r["history"]), round(r["weight"], 9)) for r in df.collect())
+    assert told(got.filter("run like '1_%'")) == told(state)
+    assert [r["provider"] for r in got.filter("run like '3_%'").collect()] == ["new"]
+    assert spark.read.format("statestore").option("stateVarName", "scores").load(f"{tmp_path}/ck").count() == 2
+
+
+def test_running_totals_end(spark, tmp_path):
+    schema = "cell string, hour int, value double, running boolean, at timestamp"
+    at = lambda d: START + timedelta(days=d)
+    parts = [[("a", 1, 5.0, True, at(0))], [("b", 1, 1.0, True, at(30))], [("a", 2, 7.0, True, at(30))]]
+    got = batches(spark, parts, schema, str(tmp_path), lambda s: streaming.interval_amounts(s, "at"), restart=True)
+    assert sorted((r["cell"], r["hour"], r["amount"]) for r in got.collect()) == [("a", 1, 5.0), ("a", 2, 7.0), ("b", 1, 1.0)]
