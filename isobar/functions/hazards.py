@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,10 +15,10 @@ RANK = {"unknown": 0, "minor": 1, "moderate": 2, "severe": 3, "extreme": 4}
 WORDS = {"yellow": "minor", "low": "minor", "orange": "moderate", "medium": "moderate", "red": "severe", "high": "severe", "exceptional": "extreme"}
 #: Substrings that give a category; the first category with one of its own counts.
 CATEGORIES = (
-    ("earthquake", ("earthquake", "quake", "seismic")),
+    ("earthquake", ("quake", "seismic")),
     ("tropical", ("hurricane", "typhoon", "cyclone", "tropical storm")),
-    ("fire", ("fire", "wildfire", "forest fire")),
-    ("flood", ("flood", "flash flood", "coastal flood")),
+    ("fire", ("fire",)),
+    ("flood", ("flood",)),
     ("storm", ("tornado", "thunderstorm", "convective", "hail")),
     ("winter", ("snow", "ice", "blizzard", "winter")),
     ("temperature", ("heat", "hot", "cold", "freeze")),
@@ -57,13 +60,18 @@ def priority(level: Column) -> Column:
     return out
 
 
-def category(text: Column) -> Column:
-    t, out = F.lower(compact_text(text)), F.lit("weather")
+def category_of(lowered: Column) -> Column:
+    """Category of a text in lower case, which should be a column: it is looked at once for each substring."""
+    out = F.lit("weather")
     for name, parts in reversed(CATEGORIES):
-        out = F.when(t.rlike("|".join(parts)), name).otherwise(out)
+        out = F.when(reduce(or_, [lowered.contains(p) for p in parts]), name).otherwise(out)
     return out
 
 
+def category(text: Column) -> Column:
+    return F.get(F.transform(F.array(F.lower(compact_text(text))), category_of), F.lit(0))  # the text is made once
+
+
 def magnitude_severity(m: Column) -> Column:
     """By steps at 5, 6 and 7; text that isn't a number is unknown, and `nan` reaches no step."""
     v = m.try_cast("double")

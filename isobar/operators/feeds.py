@@ -13,30 +13,52 @@ from ..functions import keys as K
 FIELDS = ("id", "provider", "sourceUrl", "category", "event", "severity", "urgency", "certainty", "status", "headline", "description", "instruction", "areaName", "country", "region", "effective", "onset", "expires", "updated", "layer", "priority", "attribution")
 
 
-def feature(provider: Column | str, geometry: Column, raw: dict[str, Column]) -> list[Column]:
-    """Columns FIELDS and geometry of a hazard from its raw text fields (absent: null); empty text counts as missing.
+def _getter(raw: dict[str, Column]):
+    return lambda *names: K.given(*[raw.get(n, F.lit(None)).cast("string") for n in names])
 
-    White space is compacted and nothing blank is kept; category and severity are derived, times are in UTC where they can be
-    read; without an id, provider, event, area and the first of onset, effective and updated make one.
-    """
-    get = lambda *names: K.given(*[raw.get(n, F.lit(None)).cast("string") for n in names])
-    provider = F.lit(provider) if isinstance(provider, str) else provider
-    event, level = get("event", "headline", "title"), H.severity(get("severity"))
+
+#: Raw fields that give a text which is looked at more than once or is long.
+TEXTS = {"event": ("event", "headline", "title"), "headline": ("headline", "title"), "description": ("description", "summary")}
+
+
+def _fields(provider: Column, geometry: Column, raw: dict[str, Column], texts: dict[str, Column], category: Column) -> list[Column]:
+    get, level = _getter(raw), H.severity(_getter(raw)("severity"))
     out = {
         "provider": provider,
         "sourceUrl": get("sourceUrl"),
-        "category": F.coalesce(get("category"), H.category(F.coalesce(event, F.lit("")))),
-        "event": event,
+        "category": F.coalesce(get("category"), category),
         "severity": level,
-        "headline": get("headline", "title"),
-        "description": get("description", "summary"),
         "layer": F.coalesce(get("layer"), F.lit("alerts")),
         **{n: get(n) for n in ("urgency", "certainty", "status", "instruction", "areaName", "country", "region", "attribution")},
         **{n: K.iso_or_text(get(n)) for n in ("effective", "onset", "expires", "updated")},
     }
     told = F.coalesce(out["onset"], out["effective"], out["updated"], F.lit(""))
-    out["id"] = F.coalesce(get("id"), K.stable_id(provider, F.coalesce(event, F.lit("")), F.coalesce(K.compact_text(out["areaName"]), F.lit("")), told))
-    return [*[(H.priority(level) if n == "priority" else K.compact_text(out[n])).alias(n) for n in FIELDS], geometry.alias("geometry")]
+    out["id"] = F.coalesce(get("id"), K.stable_id(provider, F.coalesce(texts["event"], F.lit("")), F.coalesce(K.compact_text(out["areaName"]), F.lit("")), told))
+    value = lambda n: H.priority(level) if n == "priority" else texts[n] if n in texts else K.compact_text(out[n])
+    return [*[value(n).alias(n) for n in FIELDS], geometry.alias("geometry")]
+
+
+def feature(provider: Column | str, geometry: Column, raw: dict[str, Column]) -> list[Column]:
+    """Columns FIELDS and geometry of a hazard from its raw text fields (absent: null); empty text counts as missing.
+
+    White space is compacted and nothing blank is kept; category and severity are derived, times are in UTC where they can be
+    read; without an id, provider, event, area and the first of onset, effective and updated make one. For tables of long
+    texts take features, which compacts each of them once.
+    """
+    get = _getter(raw)
+    texts = {n: K.compact_text(get(*names)) for n, names in TEXTS.items()}
+    return _fields(F.lit(provider) if isinstance(provider, str) else provider, geometry, raw, texts, H.category(F.coalesce(texts["event"], F.lit(""))))
+
+
+def features(rows: DataFrame, provider: Column | str, geometry: Column, raw: dict[str, Column], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Columns keep of rows and those of feature, in three projections: texts are compacted in the first, the event is lowered
+    in the second, and what looks at them several times reads these columns in the third; each is small enough to be compiled."""
+    provider = F.lit(provider) if isinstance(provider, str) else provider
+    get = _getter(raw)
+    rest = [n for n in raw if n not in ("event", "headline", "title", "description", "summary")]
+    first = rows.select(*keep, provider.alias("_provider"), geometry.alias("_geometry"), *[raw[n].cast("string").alias(f"_{n}") for n in rest], *[K.compact_text(get(*names)).alias(f"_text_{n}") for n, names in TEXTS.items()])
+    second = first.withColumn("_lowered", F.lower(F.coalesce("_text_event", F.lit(""))))
+    return second.select(*keep, *_fields(F.col("_provider"), F.col("_geometry"), {n: F.col(f"_{n}") for n in rest}, {n: F.col(f"_text_{n}") for n in TEXTS}, H.category_of(F.col("_lowered"))))
 
 
 def clean_properties(properties: Column) -> Column:
@@ -54,9 +76,10 @@ def hazard_outputs(features: DataFrame, previous: DataFrame, status: DataFrame,
 def hazard_manifest(outputs: DataFrame, status: DataFrame) -> DataFrame:
     """kind, name, features, status: counts of each output, and of the fresh features of each provider with its status."""
     names = outputs.sparkSession.createDataFrame([(n,) for n in OUTPUTS], "name string")
-    counts = outputs.groupBy(F.col("output").alias("name")).agg(F.count(F.lit(1)).alias("features"))
+    seen = outputs.groupBy("output", "provider", "stale").agg(F.count(F.lit(1)).alias("n"))  # outputs are read once
+    counts = seen.groupBy(F.col("output").alias("name")).agg(F.sum("n").alias("features"))
     by_output = names.join(counts, "name", "left").select(F.lit("output").alias("kind"), "name", F.coalesce("features", F.lit(0)).alias("features"), F.lit(None).cast("string").alias("status"))
-    fresh = outputs.filter("not stale").groupBy("provider").agg(F.count(F.lit(1)).alias("features"))
+    fresh = seen.filter("not stale").groupBy("provider").agg(F.sum("n").alias("features"))
     by_provider = status.join(fresh, "provider", "left").select(F.lit("provider").alias("kind"), F.col("provider").alias("name"), F.coalesce("features", F.lit(0)).alias("features"), "status")
     return by_output.unionByName(by_provider)
 

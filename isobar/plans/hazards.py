@@ -102,7 +102,7 @@ def hazard_features(spark, d):
     id = F.when(C("doc_id") % 4 == 0, C("doc_id").cast("string"))
     level = F.element_at(F.array(*[F.lit(x) for x in (" Yellow", "low", "ORANGE", "red", "exceptional", "Severe", "", "nan")]), (C("doc_id") % 8 + 1).cast("int"))
     raw = {"id": id, "severity": level, "headline": C("text"), "description": C("text"), "areaName": C("lang"), "effective": F.lit("2024-01-01T00:00:00Z"), "onset": F.when(C("doc_id") % 3 == 0, " soon "), "expires": F.lit("Wed, 01 May"), "layer": F.lit("")}
-    out = t(spark, d, "documents").select("doc_id", *feeds.feature(C("source"), F.lit(None).cast("string"), raw))
+    out = feeds.features(t(spark, d, "documents"), C("source"), F.lit(None).cast("string"), raw, ("doc_id",))
     return out.select("doc_id", "provider", "category", "severity", "priority", "areaName", "effective", "onset", "expires", "updated", "layer", *[F.sha2(c, 256).alias(c) for c in ("id", "event", "headline", "description")])
 
 

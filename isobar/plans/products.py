@@ -123,11 +123,12 @@ def model_horizons(spark, d):
 def hazard_run(spark, d):
     """Documents as features of their sources: the expired go, failed sources keep the documents that labels names."""
     docs = t(spark, d, "documents").withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), (c("doc_id") % 30).cast("int")).cast("string"))
-    rows = docs.select(*feeds.feature(c("source"), F.lit(None).cast("string"), {"id": c("doc_id").cast("string"), "event": c("text"), "expires": F.when(c("doc_id") % 4 > 0, c("day"))}))
     status = docs.select(c("source").alias("provider")).distinct().withColumn("status", F.when(c("provider").isin("src1", "src3"), "error").otherwise("ok"))
-    failed = F.col("provider").isin("src1", "src3")
-    old = rows.join(t(spark, d, "labels").select(c("doc_id").cast("string").alias("id")), "id", "left_semi").withColumn("output", feeds.output_of(c("category"))).withColumn("stale", F.lit(False))
-    out = feeds.hazard_outputs(rows.filter(~failed), old, status, F.lit("2024-01-15").cast("timestamp"))
+    named = lambda df: feeds.features(df, c("source"), F.lit(None).cast("string"), {"id": c("doc_id").cast("string"), "event": c("text"), "expires": F.when(c("doc_id") % 4 > 0, c("day"))})
+    failed = c("source").isin("src1", "src3")
+    old = named(docs.filter(failed).join(t(spark, d, "labels").select("doc_id"), "doc_id", "left_semi"))
+    old = old.withColumn("output", feeds.output_of(c("category"))).withColumn("stale", F.lit(False))
+    out = feeds.hazard_outputs(named(docs.filter(~failed | failed.isNull())), old, status, F.lit("2024-01-15").cast("timestamp"))
     return feeds.hazard_manifest(out, status)
 
 

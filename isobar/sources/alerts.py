@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from ..functions import hazards as H
 from ..functions import keys as K
-from ..operators.feeds import feature
+from ..operators.feeds import features
 from .feeds import geojson_features
 
 
@@ -28,22 +28,22 @@ def _p(*names: str) -> Column:
 
 def weather_alerts(raw: DataFrame, provider: str = "NOAA_NWS", country: str = "US", attribution: str = "NOAA/National Weather Service") -> DataFrame:
     """GeoJSON alerts whose properties carry the fields under their usual names."""
-    return geojson_features(raw).select(*feature(provider, F.col("geometry"), {
+    return features(geojson_features(raw), provider, F.col("geometry"), {
         "id": K.given(F.col("properties")["id"], F.col("id")), "sourceUrl": _p("@id", "uri"), "event": _p("event"), "severity": _p("severity"), "urgency": _p("urgency"), "certainty": _p("certainty"),
         "status": _p("status"), "headline": _p("headline"), "description": _p("description"), "instruction": _p("instruction"), "areaName": _p("areaDesc"), "country": F.lit(country),
         "region": _p("senderName"), "effective": _p("effective"), "onset": _p("onset"), "expires": _p("expires"), "updated": _p("sent"), "attribution": F.lit(attribution),
-    }))
+    })
 
 
 def bilingual_alerts(raw: DataFrame, url: str, provider: str = "CANADA_MSC", attribution: str = "Environment and Climate Change Canada / MSC GeoMet") -> DataFrame:
     """GeoJSON alerts in English or, where that is missing, French."""
     name = _p("alert_name_en", "alert_name_fr")
     level = H.bulletin_severity(F.coalesce(F.col("properties")["alert_type"], F.lit("")), F.coalesce(F.col("properties")["alert_name_en"], F.lit("")))
-    return geojson_features(raw).select(*feature(provider, F.col("geometry"), {
+    return features(geojson_features(raw), provider, F.col("geometry"), {
         "id": K.given(F.col("properties")["id"], F.col("id")), "sourceUrl": F.lit(url), "event": name, "severity": level, "status": _p("alert_type"), "headline": name,
         "description": _p("alert_text_en", "alert_text_fr"), "areaName": _p("alert_area_name_en", "alert_area_name_fr"), "country": F.lit("CA"), "effective": _p("validity_datetime"),
         "onset": _p("validity_datetime"), "expires": _p("expiration_datetime"), "updated": _p("publication_datetime"), "attribution": F.lit(attribution),
-    }))
+    })
 
 
 def warning_summaries(summaries: DataFrame, details: DataFrame, url: str, provider: str = "HKO", attribution: str = "Hong Kong Observatory") -> DataFrame:
@@ -55,11 +55,11 @@ def warning_summaries(summaries: DataFrame, details: DataFrame, url: str, provid
     told = told.filter("_code is not null").groupBy("_code").agg(F.max_by("contents", "at").alias("contents"))
     rows = rows.withColumn("_code", K.given(F.col("v.code"), F.col("key"))).join(told, "_code", "left")
     name, action, issued = K.given(F.col("v.name"), F.col("contents"), F.col("key")), K.given(F.col("v.actionCode"), F.col("v.type")), F.col("v.issueTime")
-    return rows.select(*feature(provider, F.lit(None).cast("string"), {
+    return features(rows, provider, F.lit(None).cast("string"), {
         "id": F.concat(F.lit("HKO:"), F.col("key"), F.lit(":"), F.coalesce(K.given(issued, F.col("v.updateTime")), F.lit("None"))), "sourceUrl": F.lit(url), "event": name,
         "severity": F.when(F.upper(action).isin("ISSUE", "REISSUE"), "severe").otherwise("moderate"), "status": action, "headline": name, "description": K.given(F.col("contents"), name),
         "areaName": F.lit("Hong Kong"), "country": F.lit("HK"), "effective": issued, "expires": F.col("v.expireTime"), "updated": K.given(F.col("v.updateTime"), issued), "attribution": F.lit(attribution),
-    }))
+    })
 
 
 def area_forecasts(raw: DataFrame, url: str, provider: str = "DATA_GOV_SG", attribution: str = "data.gov.sg / Meteorological Service Singapore") -> DataFrame:
@@ -73,12 +73,12 @@ def area_forecasts(raw: DataFrame, url: str, provider: str = "DATA_GOV_SG", attr
     rows = whole.select("d.valid_period", "d.updated_timestamp", F.coalesce(places, F.create_map().cast("map<string,struct<latitude:double,longitude:double>>")).alias("places"), F.explode("d.items").alias("item"))
     rows = rows.select("*", F.explode("item.forecasts").alias("f")).select("*", F.try_element_at("places", "f.area").alias("at"))
     area, text, updated = F.col("f.area"), F.col("f.forecast"), K.given(F.col("item.update_timestamp"), F.col("updated_timestamp"))
-    return rows.select(*feature(provider, G.point(F.col("at.longitude"), F.col("at.latitude")), {
+    return features(rows, provider, G.point(F.col("at.longitude"), F.col("at.latitude")), {
         "id": F.concat(F.lit("SG:"), area, F.lit(":"), F.coalesce(updated, F.lit("None"))), "sourceUrl": F.lit(url), "event": text,
         "severity": F.when(F.lower(text).rlike("thunder|showers|rain"), "minor").otherwise("unknown"), "headline": F.concat(area, F.lit(": "), text),
         "description": F.concat(F.lit("Two-hour forecast for "), area, F.lit(": "), text), "areaName": area, "country": F.lit("SG"), "effective": F.col("valid_period.start"),
         "expires": F.col("valid_period.end"), "updated": updated, "layer": F.lit("regional_forecast"), "attribution": F.lit(attribution),
-    }))
+    })
 
 
 #: Groups of an area table, later ones count, and statuses of warnings that are over or were never there.
@@ -104,11 +104,11 @@ def area_warnings(raw: DataFrame, areas: DataFrame, url: str, now: Column, provi
     rows = rows.join(areas, "code", "left")
     area, kind, event = K.given(F.col("enName"), F.col("name"), F.col("code")), F.coalesce(F.col("w.code"), F.lit("None")), H.warning_name(F.coalesce(F.col("w.code"), F.lit("None")))
     status = F.coalesce(F.col("w.status"), F.lit("None"))
-    return rows.select(*feature(provider, F.lit(None).cast("string"), {
+    return features(rows, provider, F.lit(None).cast("string"), {
         "id": F.concat_ws(":", F.lit("JMA"), F.col("code"), kind, F.coalesce("at", F.lit("None"))), "sourceUrl": F.lit(url), "event": event, "severity": H.warning_severity(kind), "status": F.col("w.status"),
         "headline": F.concat(event, F.lit(" for "), area), "description": F.concat(event, F.lit("; JMA status: "), status, F.lit("; area code: "), F.col("code")), "areaName": area,
         "country": F.lit("JP"), "region": F.col("officeName"), "updated": F.col("at"), "attribution": F.lit(attribution),
-    }))
+    })
 
 
 def earthquakes(raw: DataFrame, url: str, provider: str = "USGS_EARTHQUAKES", attribution: str = "U.S. Geological Survey") -> DataFrame:
@@ -116,11 +116,11 @@ def earthquakes(raw: DataFrame, url: str, provider: str = "USGS_EARTHQUAKES", at
     millis = F.col("properties")["time"].try_cast("bigint")
     at = F.when(millis != 0, F.date_format(F.timestamp_millis(millis), "yyyy-MM-dd'T'HH:mm:ss'+00:00'"))
     shown = lambda name: F.coalesce(F.col("properties")[name], F.lit("None"))
-    return geojson_features(raw).select(*feature(provider, F.col("geometry"), {
+    return features(geojson_features(raw), provider, F.col("geometry"), {
         "id": F.col("id"), "sourceUrl": F.coalesce(_p("url"), F.lit(url)), "event": F.lit("Earthquake"), "category": F.lit("earthquake"), "severity": H.magnitude_severity(F.col("properties")["mag"]),
         "headline": _p("title"), "description": F.concat(F.lit("Magnitude "), shown("mag"), F.lit("; place: "), shown("place")), "areaName": _p("place"), "effective": at, "onset": at, "updated": at,
         "layer": F.lit("earthquakes"), "attribution": F.lit(attribution),
-    }))
+    })
 
 
 _CAP = "identifier string, status string, sent string, event string, severity string, urgency string, certainty string, headline string, description string, instruction string, areaDesc string, effective string, onset string, expires string, polygon array<string>"
@@ -151,12 +151,12 @@ def cap_feeds(raw: DataFrame, provider: str = "METEOALARM", attribution: str = "
     cap = F.filter(links, lambda x: F.coalesce(x["_type"] == "application/cap+xml", F.lit(False)))
     link = F.when(F.size(cap) > 0, F.element_at(cap, -1)["_href"]).when(F.size(links) > 0, F.get(links, F.lit(0))["_href"])
     area = F.coalesce(text("areaDesc"), K.compact_text(F.get(F.get("e.info", F.lit(0))["area"], F.lit(0))["areaDesc"]))
-    return rows.select(*feature(provider, shape, {
+    return features(rows, provider, shape, {
         "id": text("id", "identifier"), "sourceUrl": F.coalesce(link, F.col("url")), "event": text("event", "info.event", "title"), "severity": both("severity"), "urgency": both("urgency"),
         "certainty": both("certainty"), "status": text("status"), "headline": text("headline", "info.headline", "title"), "description": text("description", "info.description", "summary"),
         "instruction": both("instruction"), "areaName": area, "region": K.feed_region(F.col("url")), "effective": both("effective"), "onset": both("onset"), "expires": both("expires"),
         "updated": text("updated", "sent"), "attribution": F.lit(attribution),
-    }))
+    })
 
 
 def _split_fields(schema: str) -> list[str]:
@@ -175,10 +175,10 @@ def disaster_items(raw: DataFrame, url: str, provider: str = "GDACS", attributio
     item = "struct<title:string,link:string,guid:string,severity:string,description:string,pubDate:string,`georss:point`:string,`georss:polygon`:string>"
     rows = raw.select(F.explode(F.from_xml("document", f"channel struct<item:array<{item}>>", {"mode": "PERMISSIVE"})["channel"]["item"]).alias("i")).filter("i is not null")
     text = lambda n: K.compact_text(F.col(f"i.{n}"))
-    return rows.select(*feature(provider, G.georss(F.col("i.`georss:point`"), F.col("i.`georss:polygon`")), {
+    return features(rows, provider, G.georss(F.col("i.`georss:point`"), F.col("i.`georss:polygon`")), {
         "id": F.coalesce(text("guid"), text("link")), "sourceUrl": F.coalesce(text("link"), F.lit(url)), "event": text("title"), "category": H.category(text("title")), "severity": text("severity"),
         "headline": text("title"), "description": text("description"), "updated": text("pubDate"), "attribution": F.lit(attribution),
-    }))
+    })
 
 
 def placemarks(raw: DataFrame) -> DataFrame:
@@ -213,10 +213,10 @@ def cyclone_products(raw: DataFrame, provider: str = "NOAA_NHC", attribution: st
     rows = rows.withColumns({"name": K.compact_text(F.col("name")), "description": K.compact_text(F.col("description"))}).filter("name is not null or description is not null or shape is not null")
     first = rows.agg(F.min("ordinal").alias("ordinal"))
     rows = rows.join(F.broadcast(first), "ordinal")  # one row
-    return rows.select(*feature(provider, F.col("shape"), {
+    return features(rows, provider, F.col("shape"), {
         "id": F.concat(F.col("url"), F.lit("#"), F.coalesce("name", F.col("at").cast("string"))), "sourceUrl": F.col("url"), "event": F.coalesce("name", F.lit("Tropical cyclone product")), "category": F.lit("tropical"),
         "severity": F.lit("unknown"), "headline": F.col("name"), "description": F.col("description"), "layer": F.lit("tropical"), "attribution": F.lit(attribution),
-    }))
+    })
 
 
 def fire_detections(rows: DataFrame, provider: str = "NASA_FIRMS", attribution: str = "NASA FIRMS", url: str = "https://www.earthdata.nasa.gov/data/tools/firms") -> DataFrame:
@@ -226,18 +226,18 @@ def fire_detections(rows: DataFrame, provider: str = "NASA_FIRMS", attribution:
     lat, lon = c("latitude").try_cast("double"), c("longitude").try_cast("double")
     at = F.date_format(H.acquisition_time(c("acq_date"), F.coalesce(c("acq_time"), F.lit(""))), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
     shown = lambda x: F.coalesce(x, F.lit("None"))
-    return rows.filter(lat.isNotNull() & lon.isNotNull()).select(*feature(provider, G.point(lon, lat), {
+    return features(rows.filter(lat.isNotNull() & lon.isNotNull()), provider, G.point(lon, lat), {
         "id": F.concat_ws(":", c("product"), c("latitude"), c("longitude"), shown(c("acq_date")), shown(c("acq_time"))), "sourceUrl": F.lit(url), "event": F.lit("Active fire detection"), "category": F.lit("fire"),
         "severity": F.when(F.lower(c("confidence")).isin("h", "high"), "moderate").otherwise("unknown"), "headline": F.concat(F.lit("Active fire detection ("), c("product"), F.lit(")")),
         "description": F.concat(F.lit("Confidence: "), shown(c("confidence")), F.lit("; brightness: "), shown(K.given(c("bright_ti4"), c("brightness")))), "updated": at, "layer": F.lit("fires"), "attribution": F.lit(attribution),
-    }))
+    })
 
 
 def geojson_alerts(raw: DataFrame, provider: str, url: str, attribution: str) -> DataFrame:
     """GeoJSON of any further source, whose properties are named as the fields are."""
     named = ("severity", "urgency", "certainty", "status", "description", "instruction", "country", "region", "effective", "onset", "expires", "updated")
     fields = {n: _p(n) for n in named}
-    return geojson_features(raw).select(*feature(provider, F.col("geometry"), fields | {
+    return features(geojson_features(raw), provider, F.col("geometry"), fields | {
         "id": K.given(F.col("properties")["id"], F.col("id")), "sourceUrl": F.coalesce(_p("sourceUrl"), F.lit(url)), "event": _p("event", "headline", "title"), "headline": _p("headline", "title"),
         "areaName": _p("areaName", "areaDesc"), "attribution": F.lit(attribution),
-    }))
+    })
