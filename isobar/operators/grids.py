@@ -50,6 +50,27 @@ def regridded(source: DataFrame, target: DataFrame, origin: tuple[float, float],
     return t.join(source.select("y", "x", *values), ["y", "x"], "left")
 
 
+def regridded_linear(source: DataFrame, target: DataFrame, by: list[str], key: list[str], origin: tuple[float, float], step: tuple[float, float], value: str, columns: int | None = None) -> DataFrame:
+    """by, key and value: of each plane (by) of source (by, y, x, value) the bilinear value at each row of target (key, lat, lon).
+
+    A target's place gives four integer corners with weights, which are joined on their numbers: planes of any size stay rows.
+    Missing corners (no row, null or NaN) are left out and the others' weights count for all; where none is left there is no
+    row. columns is the number of a whole circle's columns: x then wraps. Else places beyond the edge are left out by a step.
+    Weights of 0 take part in nothing. Each plane is asked for all targets; a target may have a plane (by) of its own instead.
+    """
+    y, x = (F.col("lat") - origin[0]) / step[0], (F.col("lon") - origin[1]) / step[1]
+    own = [c for c in by if c in target.columns]
+    placed = target.withColumns({"_fy": y - F.floor(y), "_fx": x - F.floor(x), "_y": F.floor(y).cast("int"), "_x": F.floor(x).cast("int")})
+    corners = F.array(*[F.struct((F.col("_y") + j).alias("y"), (F.col("_x") + i).alias("x"), ((F.col("_fy") if j else 1 - F.col("_fy")) * (F.col("_fx") if i else 1 - F.col("_fx"))).alias("w")) for j in (0, 1) for i in (0, 1)])
+    rows = placed.select(*dict.fromkeys([*own, *key]), F.inline(corners)).filter("w > 0")
+    if columns is not None:
+        rows = rows.withColumn("x", F.pmod("x", F.lit(columns)))
+    known = source.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(*by, "y", "x", F.col(value).cast("double").alias("_v"))
+    joined = rows.join(known, [*own, "y", "x"])
+    group = list(dict.fromkeys([*by, *key]))
+    return joined.groupBy(*group).agg((F.sum(F.col("_v") * F.col("w")) / F.sum("w")).alias(value))
+
+
 def overview(plane: Column, width: int, height: int, stride: int = 4) -> Column:
     """Every stride-th row and column of a plane."""
     return F.filter(plane, lambda _, i: (F.floor(i / width) % stride == 0) & (i % width % stride == 0))

@@ -24,6 +24,45 @@ def subordinate_tides(events: DataFrame, stations: DataFrame) -> tuple[DataFrame
     return joined.select("id", shifted.alias("time"), "type", round_up(height, 3).alias("height")), wrong
 
 
+def tide_height(constituents: Column, hours: Column) -> Column:
+    """Sum of amplitude * cos(speed * hours - phase) over constituents (structs; speed and phase in degrees)."""
+    return F.aggregate(constituents, F.lit(0.0), lambda a, c: a + c["amplitude"] * F.cos(F.radians(c["speed"] * hours - c["phase"])))
+
+
+def tide_slope(constituents: Column, hours: Column) -> Column:
+    """Change of tide_height, up to a positive factor."""
+    return F.aggregate(constituents, F.lit(0.0), lambda a, c: a - c["amplitude"] * c["speed"] * F.sin(F.radians(c["speed"] * hours - c["phase"])))
+
+
+def harmonic_extremes(stations: DataFrame, start: Column, days: int, epoch: Column, minutes: int = 10, halvings: int = 20) -> DataFrame:
+    """id, time, type (high or low) and height: the turns of each station's tide in days from start (a timestamp).
+
+    stations: id, harmonics (structs of amplitude, speed and phase, in degrees an hour from epoch) and offset (height of mean
+    sea level, 0 if null). A row is a station's day, dealt by both; its slope is looked at every `minutes`, and a change of
+    sign is halved `halvings` times (10 minutes over 2^20 are under a thousandth of a second). Turns nearer together than
+    minutes can be missed; a turn on a step's edge belongs to the step that begins with it. Stations without harmonics and
+    flat tides have none.
+    """
+    step, steps = minutes / 60.0, 1440 // minutes
+    c = F.col("harmonics")
+    dealt = stations.filter(F.size("harmonics") > 0).select("id", "harmonics", F.coalesce("offset", F.lit(0.0)).alias("offset"), F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("_day")).repartition("id", "_day")
+    base = (F.unix_micros(start) - F.unix_micros(epoch)) / 3.6e9
+    slopes = F.transform(F.sequence(F.lit(0), F.lit(steps)), lambda k: tide_slope(c, F.col("_from") + k * F.lit(step)))
+    sided = dealt.withColumn("_from", base + F.col("_day") * 24.0).withColumn("_s", slopes)
+    turns = F.filter(F.sequence(F.lit(1), F.lit(steps)), lambda k: ((F.get("_s", k - 1) > 0) & (F.get("_s", k) <= 0)) | ((F.get("_s", k - 1) < 0) & (F.get("_s", k) >= 0)))
+    rows = sided.select("id", "harmonics", "offset", "_from", "_s", F.explode(turns).alias("_k")).select("id", "harmonics", "offset", (F.get("_s", F.col("_k") - 1) > 0).alias("_high"), (F.col("_from") + (F.col("_k") - 1) * step).alias("_low"))
+
+    def halved(side: Column, _: Column) -> Column:
+        middle = (side["a"] + side["b"]) / 2
+        rising = (tide_slope(c, middle) > 0) == F.col("_high")
+        return F.struct(F.when(rising, middle).otherwise(side["a"]).alias("a"), F.when(rising, side["b"]).otherwise(middle).alias("b"))
+
+    at = F.aggregate(F.sequence(F.lit(1), F.lit(halvings)), F.struct(F.col("_low").alias("a"), (F.col("_low") + step).alias("b")), halved)
+    found = rows.withColumn("_at", (at["a"] + at["b"]) / 2)
+    micros = F.unix_micros(epoch) + F.round(F.col("_at") * 3.6e9).cast("long")
+    return found.select("id", F.timestamp_micros(micros).alias("time"), F.when(F.col("_high"), "high").otherwise("low").alias("type"), (F.col("offset") + tide_height(c, F.col("_at"))).alias("height"))
+
+
 def predictable(station: DataFrame) -> DataFrame:
     """Stations that tides can be made for: references with harmonics, or subordinates with a reference and all offsets."""
     reference = (F.col("kind") == "reference") & (F.size("harmonics") > 0)

@@ -32,10 +32,18 @@ def skill_weights(spark: SparkSession, path: str) -> DataFrame:
 
 
 def previous_features(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """type, geometry and properties of the first of the paths' feature collections; none where no path has one."""
+    """type, geometry and properties of the first of the paths' feature collections; none where no path has one.
+
+    A path that is missing, damaged or holds something else leads on to the next. To tell, the first rows of each path are
+    looked at, in order, until one has a collection.
+    """
     schema = "type string, features array<struct<type:string,geometry:string,properties:map<string,string>>>"
-    rows = first_present([lambda p=p: spark.read.schema(schema).option("multiLine", True).json(p) for p in paths], spark.createDataFrame([], schema))
-    return rows.filter("type = 'FeatureCollection'").select(F.explode("features").alias("f")).select("f.*")
+    empty = spark.createDataFrame([], schema)
+    for path in paths:
+        rows = first_present([lambda p=path: spark.read.schema(schema).option("multiLine", True).json(p)], empty).filter("type = 'FeatureCollection' and features is not null")
+        if not rows.isEmpty():
+            return rows.select(F.explode("features").alias("f")).select("f.*")
+    return empty.select(F.explode("features").alias("f")).select("f.*")
 
 
 def locations(spark: SparkSession, path: str) -> DataFrame:
