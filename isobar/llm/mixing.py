@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import warnings
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,37 +54,54 @@ def posteriors(docs: DataFrame, model: dict[str, list[float]], out: str = "p", t
     return df.withColumn(out, F.transform(exps, lambda x: x / F.aggregate(exps, F.lit(0.0), lambda a, y: a + y))).drop(ids, logs, exps)
 
 
-def fit_rates(df: DataFrame, targets: list[float], p: str = "p", tokens: str = "n_tokens", *, start: float = 1.0, steps: int = 60, tolerance: float = 1e-6) -> tuple[Column, list[float]]:
+def fit_rates(df: DataFrame, targets: list[float], p: str = "p", tokens: str = "n_tokens", *, start: float = 1.0, steps: int = 100, tolerance: float = 1e-6) -> tuple[Column, list[float]]:
     """The rate of a row as an expression over p and tokens, and the domain totals it gives.
 
-    Minimises the squared distance of domain totals from targets, each domain scaled by the length of its row, over rates
-    of zero or more; the first rate of every row is start, so rates move no further from it than they must. Projected
-    gradient steps with the constant step that the largest eigenvalue of the domains' products allows. Ends when every total
-    is within tolerance of its target (relative to the largest), or after steps; a target that no document can serve stays
-    unmet.
+    Minimises the squared distance of domain totals from targets over rates of zero or more, by projected gradient steps from
+    start. A step's direction is the gradient, scaled by the inverse of the domains' products over the rows that can move
+    (with a rate over zero, or drawn up), so that a step that meets no border ends the fit; it is halved until the distance
+    falls. Ends when every total is within tolerance of its target (relative to the largest), or when neither that nor the
+    plain gradient's step comes any nearer: then what is left is unmet because the documents can't serve it. A fit that does
+    neither in so many steps raises.
     """
     n = len(targets)
     share = [F.col(tokens) * F.get(p, F.lit(d)) for d in range(n)]
-    row = df.agg(*[F.sum(share[i] * share[j]).alias(f"m{i}_{j}") for i in range(n) for j in range(i, n)]).first()
-    product = [[row[f"m{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(n)] for i in range(n)]
-    scale = [math.sqrt(product[d][d]) or 1.0 for d in range(n)]
-    scaled = [[product[i][j] / scale[i] / scale[j] for j in range(n)] for i in range(n)]
-    v = [1.0] * n
-    for _ in range(200):  # power iteration on a matrix of the domains
-        v = [sum(a * b for a, b in zip(r, v, strict=True)) for r in scaled]
-        size = math.sqrt(sum(x * x for x in v)) or 1.0
-        v = [x / size for x in v]
-    step = 1.0 / max(size, 1e-12)
-    history: list[list[float]] = []
-    while True:
+    pull = lambda r, g: F.greatest(F.lit(0.0), r - sum(share[d] * F.get(g, F.lit(d)) for d in range(n)))
+
+    def told(history: list[list[float]]) -> tuple[Column, list[float]]:
+        """The rate after the steps of history, and the totals that it gives."""
         parts = F.split(F.lit(";".join(",".join(repr(x) for x in g) for g in history)), ";")
-        pull = lambda r, g: F.greatest(F.lit(0.0), r - sum(share[d] * F.get(g, F.lit(d)) for d in range(n)))
         rate = F.aggregate(F.transform(parts, lambda s: F.split(s, ",").cast("array<double>")), F.lit(start), pull) if history else F.lit(start)
-        row = df.agg(*[F.sum(rate * share[d]).alias(f"t{d}") for d in range(n)]).first()
-        totals = [row[f"t{d}"] or 0.0 for d in range(n)]
-        if len(history) == steps or all(abs(a - b) <= tolerance * max(targets, default=1.0) for a, b in zip(totals, targets, strict=True)):
+        row = df.withColumn("_rate", rate).agg(*[F.sum(F.col("_rate") * share[d]).alias(f"t{d}") for d in range(n)]).first()
+        return rate, [row[f"t{d}"] or 0.0 for d in range(n)]
+
+    def products(rate: Column, slope: list[float] | None) -> np.ndarray:
+        """Sums of the domains' products over the rows that can move: over zero, or drawn up by the slope; over all without one."""
+        moves = F.lit(1.0) if slope is None else ((rate > 0) | (sum(share[d] * slope[d] for d in range(n)) < 0)).cast("double")
+        row = df.withColumn("_on", moves).agg(*[F.sum(F.col("_on") * share[i] * share[j]).alias(f"m{i}_{j}") for i in range(n) for j in range(i, n)]).first()
+        return np.array([[row[f"m{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(n)] for i in range(n)])
+
+    history: list[list[float]] = []
+    rate, totals = told(history)
+    whole = products(rate, None)
+    scale = np.sqrt(np.diag(whole)) + (np.diag(whole) == 0)
+    steepest = 1.0 / max(float(np.linalg.eigvalsh(whole / np.outer(scale, scale))[-1]), 1e-12)
+    for _ in range(steps):
+        if all(abs(a - b) <= tolerance * max(targets, default=1.0) for a, b in zip(totals, targets, strict=True)):
+            return rate, totals
+        miss = (np.array(totals) - targets) / scale
+        far = float(np.linalg.norm(miss))
+        own = products(rate, [float(x) for x in miss / scale]) / np.outer(scale, scale)
+        direction = np.linalg.pinv(own, rcond=1e-10) @ miss
+        for g in [*[direction * 0.5**k for k in range(6)], miss * steepest]:
+            tried = [*history, [float(x) for x in g / scale]]
+            new = told(tried)
+            if np.linalg.norm((np.array(new[1]) - targets) / scale) < far * (1 - 1e-6):
+                history, (rate, totals) = tried, new
+                break
+        else:
             return rate, totals
-        history.append([step * (totals[d] - targets[d]) / scale[d] ** 2 for d in range(n)])
+    raise RuntimeError(f"rates don't settle in {steps} steps: totals {totals}, targets {targets}")
 
 
 def mix(docs: DataFrame, model: dict[str, list[float]], weights: dict[str, float], budget: float | None = None, text: str = "text", seed: int = 5) -> DataFrame:
