@@ -54,7 +54,7 @@ def with_spans(df: DataFrame, text: str, out: str, pattern: str) -> DataFrame:
 
 def labelled_samples(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> DataFrame:
     """Samples as columns sample and random: random ones are what the fixed patterns find in all texts; ordinary ones are the
-    words, numbers and identifiers made of such parts (ORDINARY) in about sample texts, chosen by hash.
+    words, numbers and identifiers made of such parts (ORDINARY) in about sample rows, chosen by a hash of all their columns.
 
     A run in which letters and digits take turns is neither, so what the model is to find does not train the ordinary class.
     """
@@ -63,7 +63,7 @@ def labelled_samples(docs: DataFrame, text: str = "text", sample: int = SAMPLE)
     random = docs.select(F.explode(found).alias("sample"), F.lit(True).alias("random"))
     every = max(1, docs.count() // sample)
     bare = F.regexp_replace(F.regexp_replace(t, ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
-    few = docs.filter(F.pmod(F.xxhash64(t), F.lit(every)) == 0).select(F.explode(F.regexp_extract_all(bare, F.lit(ORDINARY), 0)).alias("sample"), F.lit(False).alias("random"))
+    few = docs.filter(F.pmod(F.xxhash64(*docs.columns), F.lit(every)) == 0).select(F.explode(F.regexp_extract_all(bare, F.lit(ORDINARY), 0)).alias("sample"), F.lit(False).alias("random"))
     return random.unionByName(few)
 
 
@@ -74,6 +74,11 @@ def made_samples(spark: SparkSession, n: int = 1000) -> DataFrame:
     return spark.range(n).select(F.explode(F.array(F.base64(F.unhex(digest)), capitals, F.substring(digest, 1, 40))).alias("sample"), F.lit(True).alias("random"))
 
 
+def codes(x: Column) -> Column:
+    """The characters' codes of a text, which is gone through once, whatever its length."""
+    return F.transform(F.array_remove(F.split(x, ""), ""), F.ascii)
+
+
 def fit_markov(samples: DataFrame, smoothing: float = 0.5, prior: float = 4.0) -> list[float]:
     """Log ratios log(P(b|a, random) / P(b|a, ordinary)) at index 128 * a + b, from columns sample and random.
 
@@ -81,9 +86,10 @@ def fit_markov(samples: DataFrame, smoothing: float = 0.5, prior: float = 4.0) -
 
     Null samples and labels, and characters beyond ASCII, count nothing; classes without samples are uniform.
     """
-    pair = F.transform(F.sequence(F.lit(1), F.length("sample") - 1), lambda i: F.ascii(F.substr("sample", i, F.lit(1))) * CODES + F.ascii(F.substr("sample", i + 1, F.lit(1))))
+    pair = F.transform(F.sequence(F.lit(1), F.size("codes") - 1), lambda i: F.get("codes", i - 1) * CODES + F.get("codes", i))
     counts = (
         samples.filter((F.length("sample") >= 2) & F.col("random").isNotNull() & ~F.col("sample").rlike(r"[^\x00-\x7F]"))
+        .select("random", codes(F.col("sample")).alias("codes"))
         .select("random", F.explode(pair).alias("pair"))
         .groupBy("random", "pair")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -122,7 +128,7 @@ def scan_secrets(docs: DataFrame, model: list[float], text: str = "text", *, lea
     ratios = F.split(F.lit(",".join(f"{x:.6g}" for x in model)), ",").cast("array<double>")
     coded = F.transform(
         F.filter(cand, lambda s: s["hit"].rlike("[A-Za-z]")),
-        lambda s: F.struct(s.alias("s"), F.transform(F.sequence(F.lit(1), F.length(s["hit"])), lambda i: F.ascii(F.substr(s["hit"], i, F.lit(1)))).alias("codes")),
+        lambda s: F.struct(s.alias("s"), codes(s["hit"]).alias("codes")),
     )
     ratio = lambda c: F.aggregate(F.sequence(F.lit(1), F.size(c) - 1), F.lit(0.0), lambda a, i: a + F.get(ratios, F.get(c, i - 1) * CODES + F.get(c, i)))
     df = df.withColumn(scored, F.transform(coded, lambda x: F.struct(x["s"].alias("s"), ratio(x["codes"]).alias("ratio"))))
