@@ -24,7 +24,7 @@ b as (select doc_id, count(*) n_lines, count(*) - count(distinct x) n_dup_lines,
 f as (select doc_id, len(ws)::bigint n_words, length(array_to_string(ws, ''))::bigint word_chars, {_count("t", "[#*$%&|<>]")}::bigint n_symbols, coalesce(n_dup_lines, 0)::bigint n_dup_lines, coalesce(c.n, 0)::bigint n_repeat_words,
     len(ws) < 10 or 100 * coalesce(c.n, 0) > 20 * len(ws) as base_failed, coalesce(n_lines, 0)::bigint n_lines, coalesce(n_bad_lines, 0)::bigint n_bad_lines, coalesce(chars, 0) chars, coalesce(lost, 0) lost, coalesce(boiler, 0) boiler
     from w left join c using (doc_id) left join b using (doc_id))
-select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and chars > 0 and lost <= 0.5 * chars and boiler <= 0.8 * (boiler + chars) as kept, n_lines, n_bad_lines from f"""
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and chars > 0 and lost <= 0.5 * chars and boiler + lost <= 0.8 * (boiler + chars) as kept, n_lines, n_bad_lines from f"""
 
 SUBSTRING_DEDUP = rf"""
 with w as (select doc_id, {_WORDS} ws from documents),

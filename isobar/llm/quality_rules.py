@@ -73,7 +73,7 @@ def quality_rules(
     shout: float = 0.6,
     distinct: float = 0.25,
     most_lost: float = 0.5,
-    most_boilerplate: float = 0.8,
+    most_removed: float = 0.8,
     least_words: int = 10,
     most_repeated: float = 0.2,
 ) -> DataFrame:
@@ -82,9 +82,9 @@ def quality_rules(
     A line is what stands between newlines; lines without a word are neither judged nor counted, and stay in clean_text.
     base_failed: under least_words words, or over most_repeated of the words lie in 5-word windows that occur twice or more.
     Lines with a phrase of BOILERPLATE and lines that break a rule (line_fails) are left out of clean_text.
-    kept: not base_failed, and of the characters of lines with words and without boilerplate, of which there must be some,
-    at most most_lost are in lines that break a rule, and at most most_boilerplate of all in boilerplate: a licence line
-    goes, but says little against its document; a text that is next to nothing without such lines is rejected.
+    kept: not base_failed, at most most_removed of the characters of all lines with words are in lines that go for any
+    reason, and of those without boilerplate, of which there must be some, at most most_lost are in lines that break a rule:
+    a licence line goes, but says little against its document; a text that is next to nothing without such lines is rejected.
     A null or empty text has no words: all counts 0, base_failed true, kept false, clean_text null or empty.
     Rows are judged one by one: repeated rows give repeated results. Columns of docs with the names above are replaced; all
     others are kept, whatever they are called.
@@ -116,7 +116,7 @@ def quality_rules(
     df = df.withColumns({full: F.array_compact(F.zip_with(lines, kinds, lambda x, k: F.when(k > 0, x))), bad: F.array_contains(kinds, 1) | F.array_contains(kinds, 2)})
     chars = lambda *of: F.length(F.array_join(F.array_compact(F.zip_with(lines, kinds, lambda x, k: F.when(k.isin(*of), x))), ""))
     clean = F.when(c(bad), F.array_join(F.array_compact(F.zip_with(lines, kinds, lambda x, k: F.when(~k.isin(1, 2), x))), "\n")).otherwise(c(base))
-    few = F.when(c(bad), (chars(2, 3) > 0) & (chars(2) <= most_lost * chars(2, 3)) & (chars(1) <= most_boilerplate * chars(1, 2, 3))).otherwise(F.lit(True))
+    few = F.when(c(bad), (chars(2, 3) > 0) & (chars(2) <= most_lost * chars(2, 3)) & (chars(1, 2) <= most_removed * chars(1, 2, 3))).otherwise(F.lit(True))
     df = df.withColumns(
         {
             hashes: F.flatten(hashes),

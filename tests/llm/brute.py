@@ -53,7 +53,7 @@ def cleaned(text):
         lost += len(line) * bad
         if not bad:
             good.append(line)
-    return not quality(text)[-1] and all_chars > 0 and lost <= 0.5 * all_chars and phrases <= 0.8 * (phrases + all_chars), "\n".join(good)
+    return not quality(text)[-1] and all_chars > 0 and lost <= 0.5 * all_chars and phrases + lost <= 0.8 * (phrases + all_chars), "\n".join(good)
 
 
 def shingles(text, size=5):
