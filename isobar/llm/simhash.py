@@ -269,10 +269,24 @@ def _set_bits(hashes: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def wide_radius(similarity: float, bits: int = WIDE) -> int:
-    """Bits in which sets of that Jaccard similarity differ on average, and five standard deviations more."""
+def _apart(common: int, one: int, two: int) -> float:
+    """How probably a bit of the SimHashes of two sets differs, of so many common members and of so many of one's own each."""
+    coin = lambda n: np.array([math.comb(n, k) for k in range(n + 1)], float) / 2.0**n
+    s = np.arange(common + 1)
+    over = lambda n: np.array([coin(n)[np.arange(n + 1) * 2 + 2 * k > common + n].sum() for k in s])
+    a, b = over(one), over(two)
+    return float((coin(common) * (a * (1 - b) + b * (1 - a))).sum())
+
+
+def wide_radius(similarity: float, bits: int = WIDE, small: int = 64) -> int:
+    """Bits in which sets of that Jaccard similarity or more differ at most: the mean and six standard deviations (one pair in
+    10^9 lies beyond), for the worst of all sizes. Few members make majorities change more easily and ties count as no, so
+    sets with up to `small` common members are reckoned exactly, each split of their own members too."""
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * p + 5 * math.sqrt(bits * p * (1 - p)))
+    for common in range(1, small + 1):
+        own = int(common * (1 - similarity) / similarity + 1e-9)
+        p = max([p, *[_apart(common, i, own - i) for i in range(own // 2 + 1)]])
+    return min(bits, math.ceil(bits * p + 6 * math.sqrt(bits * p * (1 - p))))
 
 
 def shingle_sets(texts: pa.Array, shingle: int) -> Iterator[np.ndarray]:
@@ -386,7 +400,7 @@ def similar_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     hashes. Pairs are looked for where they can't be missed: in one order of all shingles, two such sets share one of the
     first n - ceil(similarity * n) + 1 of each (prefix filtering). The order puts shingles that are common in a sample last,
     which shards need to be small, and goes by hash otherwise. Texts with one set are one class; a shingle in the first ones
-    of several classes is a shard, dealt into what BK-trees of 512-bit SimHashes link within wide_radius (five standard
+    of several classes is a shard, dealt into what BK-trees of 512-bit SimHashes link within wide_radius (six standard
     deviations over the mean at the similarity).
     1. Each class is compared in its largest shard only; a shard of over part classes is dealt into parts, which share PIVOTS.
     2. In a family (classes that shards connect, near each other) whose classes aren't all linked then, those outside the

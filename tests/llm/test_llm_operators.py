@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import brute
@@ -56,8 +57,9 @@ def test_quality_rules_brute(docs, texts):
 
 def test_quality_rules_verdicts(spark, docs, texts):
     rows = dict(texts) | {500: "Cookie settings and our privacy policy apply here.\n" * 9 + "one two three four five six seven eight nine ten", 501: "All rights reserved.\n" + prose(60)}
+    rows[502] = "\n".join([f"All rights reserved by the owners of {w}." for w in WORDS[:60]] + ["! * # BUY !!" * 20] + [prose(60)])  # nine tenths go, for two reasons
     out = {r["doc_id"]: (r["kept"], r["clean_text"] or "") for r in quality_rules.quality_rules(table(spark, rows)).collect()}
-    assert out == {d: brute.cleaned(t or "") for d, t in rows.items()} and not out[500][0] and out[501][0]
+    assert out == {d: brute.cleaned(t or "") for d, t in rows.items()} and not out[500][0] and out[501][0] and not out[502][0]
 
 
 def test_quality_rules_lines(spark):
@@ -368,7 +370,7 @@ def test_mixing_meets_targets(spark):
 
 
 def test_mixing_brute(spark):
-    """Posteriors and rates of small tables, from the model and by plain projected gradient steps."""
+    """Posteriors and rates of small tables, from the model and by plain projected gradient steps until the targets are met."""
     rng = random.Random(18)
     rows = [(i, " ".join(rng.choice(["ka", "ke", "ma", "me", "zo"]) for _ in range(rng.randint(0, 30)))) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
@@ -385,15 +387,56 @@ def test_mixing_brute(spark):
     budget = max(now[0] / 0.3, now[1] / 0.7)
     target, scale = budget * np.array([0.3, 0.7]), np.linalg.norm(share, axis=0)
     rate, step = np.ones(60), 1 / np.linalg.eigvalsh((share / scale).T @ (share / scale))[-1]
-    for _ in range(60):
+    while (abs(rate @ share - target) > 1e-8 * target.max()).any():
         total = rate @ share
-        if (abs(total - target) <= 1e-6 * target.max()).all():
-            break
         rate = np.maximum(0, rate - share @ (step * (total - target) / scale**2))
     out = {r["doc_id"]: r for r in mixing.mix(docs, model, {"a": 0.3, "b": 0.7}).collect()}
+    assert (abs(np.array([out[i]["rate"] for i in range(60)]) @ share - target) < 1e-4 * target.max()).all()  # the model's numbers are rounded to six digits
     assert all(abs(out[i]["rate"] - rate[i]) < 2e-3 and abs(out[i]["copies"] - rate[i]) < 1.002 for i in range(60))
 
 
+def test_mixing_at_the_border(spark):
+    """Many rates are zero, domains hardly differ, and a domain that no document has leaves only itself unmet."""
+    rng = random.Random(3)
+    shares = [(i, rng.randint(1, 50), [p, 1 - p, 0.0]) for i in range(300) for p in (rng.choice((0.02, 0.5, 0.51, 0.9)),)]
+    df = spark.createDataFrame(shares, "i int, n_tokens int, p array<double>")
+    now = [sum(n * p[d] for _, n, p in shares) for d in range(3)]
+    for targets in ([0.3 * now[0], 3 * now[1], 0.0], [now[0] * 0.9, now[1] * 0.2, 0.0], [now[0] * 0.5, now[1] * 0.5, 0.0]):
+        rate, totals = mixing.fit_rates(df, targets)
+        got = {r["i"]: r["r"] for r in df.select("i", rate.alias("r")).collect()}
+        assert min(got.values()) >= 0 and all(abs(sum(got[i] * n * p[d] for i, n, p in shares) - targets[d]) <= 1e-5 * max(targets) for d in range(3))
+    _, totals = mixing.fit_rates(df, [now[0], now[1], 100.0])
+    assert abs(totals[0] - now[0]) < 1e-3 * now[0] and totals[2] == 0
+
+
+def test_radius_holds_for_small_sets():
+    """Of 3,000 pairs at a similarity of 0.8 of each size, none lies over the radius."""
+    rng = np.random.default_rng(17)
+    radius = simhash.wide_radius(0.8)
+    for common in range(4, 31):
+        own = common // 4
+        for one in {0, own // 2}:
+            worst = 0
+            for _ in range(3000 if common < 9 else 300):
+                h = rng.integers(0, 1 << 64, common + own, dtype=np.uint64)
+                a, b = h[: common + one], np.concatenate([h[:common], h[common + one :]])
+                worst = max(worst, int((simhash._set_bits(a, simhash.WIDE) != simhash._set_bits(b, simhash.WIDE)).sum()))
+            assert worst <= radius
+
+
+def test_secrets_in_one_long_run(spark):
+    """A run of two megabytes is scored in time that grows with its length."""
+    rng = random.Random(2)
+    run = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=2_000_000))
+    plain = ["_".join(rng.choice(WORDS) for _ in range(6)) for _ in range(200)]
+    model = secrets.fit_markov(spark.createDataFrame([(x, False) for x in plain], "sample string, random boolean").unionByName(secrets.made_samples(spark, 300)))
+    df = table(spark, {1: f"see {run} here"})
+    began = time.time()
+    out = secrets.scan_secrets(df, model).first()["secrets"]
+    print(f"{time.time() - began:.1f} s")
+    assert [(s["start"], s["end"], s["kind"]) for s in out] == [(4, 2_000_004, "markov")] and time.time() - began < 20
+
+
 def test_toxicity_held_out(spark):
     rng = random.Random(6)
     bad = ["vilkor", "vilkan", "vilkus", "brakmo"]
