@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import conditions, units
 from ..operators import grids as G
+from ..sources import packs, tiles
 from .consensus import t
 
 
@@ -22,6 +26,29 @@ def bilinear_sample(spark, d):
     return t(spark, d, "embeddings").select("vec_id", F.round(G.bilinear(F.col("embedding"), 8, 8, *_point()), 9).alias("value"))
 
 
+def regrid_linear(spark, d):
+    """Planes as long tables with a fifth of the cells missing, each looked up at a place of its own."""
+    cells = t(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("k", "value")).filter("k % 5 <> vec_id % 5")
+    source = cells.select("vec_id", F.floor(F.col("k") / 8).cast("int").alias("y"), (F.col("k") % 8).alias("x"), "value")
+    x, y = _point()
+    out = G.regridded_linear(source, t(spark, d, "embeddings").select("vec_id", y.alias("lat"), x.alias("lon")), ["vec_id"], ["vec_id"], (0.0, 0.0), (1.0, 1.0), "value")
+    return out.select("vec_id", F.round("value", 9).alias("value"))
+
+
+def pack_channels(spark, d):
+    """Planes as tiles, written as packs to the shared folder and read back by hours and channels."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="packs-")
+    place = {"lon0": "float", "lat0": "float", "dx": "float", "dy": "float"}
+    rows = t(spark, d, "embeddings").select(
+        F.concat(F.lit("p"), F.col("vec_id") % 7).alias("pack"), F.format_string("v%d_%03d", "vec_id", F.col("vec_id") % 48).alias("key"), F.lit(8).alias("width"), F.lit(8).alias("height"), F.col("label").alias("channel"),
+        F.transform("embedding", lambda v: F.floor(v.cast("double") * 1000).cast("int")).alias("raw"), F.lit(0.001).cast("float").alias("scale"), F.lit(0.0).cast("float").alias("offset"), *[F.lit(1.0).cast(k).alias(c) for c, k in place.items()],
+    )
+    path = f"{folder}/packs-{uuid.uuid4().hex}"
+    packs.write_packs(tiles.encoded(rows, ["pack", "key"]), path, "pack")
+    found = packs.read_packs(spark, path).filter("hour >= 6 and hour < 30 and channel in (1, 2, 3)")
+    return found.select("key", "channel", F.aggregate("raw", F.lit(0), lambda a, v: a + v).cast("long").alias("total"), F.element_at("raw", -1).alias("last"))
+
+
 def overview_stride(spark, d):
     return t(spark, d, "embeddings").select("vec_id", F.posexplode(G.overview(F.col("embedding"), 8, 8)).alias("k", "value"))
 
@@ -130,6 +157,11 @@ PLANS = {
     "bilinear_sample": (bilinear_sample, """with a as (select vec_id, embedding e, least(greatest((vec_id * 3 % 32) / 4.0::double, 0), 7) x, least(greatest((vec_id * 5 % 28) / 4.0::double, 0), 7) y from embeddings),
         b as (select *, floor(x)::int x0, floor(y)::int y0, x - floor(x) fx, y - floor(y) fy from a), c as (select *, least(x0 + 1, 7) x1, least(y0 + 1, 7) y1 from b)
         select vec_id, round((e[y0*8+x0+1]::double * ((1-fx)*(1-fy)) + e[y0*8+x1+1]::double * (fx*(1-fy)) + e[y1*8+x0+1]::double * ((1-fx)*fy) + e[y1*8+x1+1]::double * (fx*fy)) / ((1-fx)*(1-fy) + fx*(1-fy) + (1-fx)*fy + fx*fy), 9) as value from c"""),
+    "regrid_linear": (regrid_linear, """with c as (select vec_id, k, embedding[k + 1]::double v from embeddings, range(64) r(k) where k % 5 <> vec_id % 5), p as (select vec_id, (vec_id * 3 % 32) / 4.0::double x, (vec_id * 5 % 28) / 4.0::double y from embeddings),
+        q as (select vec_id, floor(x) + i x, floor(y) + j y, (case i when 1 then x - floor(x) else 1 - (x - floor(x)) end) * (case j when 1 then y - floor(y) else 1 - (y - floor(y)) end) w from p, range(2) a(i), range(2) b(j))
+        select q.vec_id, round(sum(v * w) / sum(w), 9) as value from q join c on q.vec_id = c.vec_id and c.k = q.y * 8 + q.x where q.x < 8 and q.y < 8 and w > 0 group by 1"""),
+    "pack_channels": (pack_channels, """with e as (select vec_id, label, list_transform(embedding, lambda v: floor(v::double * 1000)::int) raw from embeddings where vec_id % 48 between 6 and 29 and label in (1, 2, 3))
+        select printf('v%d_%03d', vec_id, vec_id % 48) as key, label as channel, list_sum(raw)::bigint total, raw[64] as last from e"""),
     "overview_stride": (overview_stride, "select vec_id, k::int k, embedding[[1, 5, 33, 37][k + 1]] as value from embeddings, range(4) r(k)"),
     "daily_extrema_coverage": (daily_extrema_coverage, f"""select * from (select user_id, (h // 24)::int "day", count(distinct h % 24) n_hours, min(h % 24) "first", max(h % 24) "last" from ({HOURS}) group by all) where n_hours >= 3 and "first" <= 9 and "last" >= 12 and "last" - "first" >= 12"""),
     "daily_high_low": (daily_high_low, f"""select event_type, (h // 24)::int "day", max(value) high_value, min(value) low_value from ({HOURS}) where h // 24 between 0 and 14 group by all"""),
