@@ -119,6 +119,14 @@ def stable_id(*parts: Column) -> Column:
     return F.substring(F.regexp_replace(F.regexp_replace(F.concat_ws("|", *parts), "[^A-Za-z0-9_-]+", "-"), "^-+|-+$", ""), 1, 180)
 
 
+def well_formed_json(x: Column) -> Column:
+    """Whether a text is one JSON value and nothing more. The parser stops at a value's end, so the text is read as the first
+    item of a list whose second is its own digest, which comes second only if the text is whole."""
+    digest = F.sha2(x, 256)
+    listed = F.try_parse_json(F.concat(F.lit("["), x, F.lit(',"'), digest, F.lit('"]')))
+    return F.coalesce(F.try_variant_get(listed, "$[1]", "string") == digest, F.lit(False))
+
+
 def file_id(x: Column) -> Column:
     return F.replace(x, F.lit("/"), F.lit("__"))
 

@@ -111,7 +111,7 @@ def scene_faults(scenes: DataFrame, id: str, document: str, image: str) -> DataF
     riff = (F.substring(image, 1, 4) == F.lit(b"RIFF")) & (F.substring(image, 9, 4) == F.lit(b"WEBP"))
     return scenes.withColumn(
         "fault",
-        F.when(~F.coalesce(F.col(id).rlike(r"\A[a-z0-9_-]+\z"), F.lit(False)), "id").when(F.try_parse_json(document).isNull(), "document").when(~F.coalesce(riff, F.lit(False)), "image"),
+        F.when(~F.coalesce(F.col(id).rlike(r"\A[a-z0-9_-]+\z"), F.lit(False)), "id").when(~K.well_formed_json(F.col(document)), "document").when(~F.coalesce(riff, F.lit(False)), "image"),
     )
 
 

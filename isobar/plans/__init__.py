@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import consensus, grids, hazards, learning, products
+from . import consensus, feeds, grids, hazards, learning, products
 
-_PLANS = (consensus, learning, grids, hazards, products)
+_PLANS = (consensus, learning, grids, hazards, feeds, products)
 
 
 def queries() -> dict:

@@ -51,7 +51,7 @@ def stations_of(reports: DataFrame) -> DataFrame:
 
 def payload_faults(raw: DataFrame, kind: str, document: str = "document") -> DataFrame:
     """raw with failed: whether a payload is missing or isn't well-formed JSON (kind json) or XML (kind xml)."""
-    good = F.try_parse_json(document).isNotNull() if kind == "json" else F.from_xml(document, "_corrupt_record string, _ string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})["_corrupt_record"].isNull() & F.col(document).isNotNull()
+    good = K.well_formed_json(F.col(document)) if kind == "json" else F.from_xml(document, "_corrupt_record string, _ string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})["_corrupt_record"].isNull() & F.col(document).isNotNull()
     return raw.withColumn("failed", ~F.coalesce(good, F.lit(False)))
 
 

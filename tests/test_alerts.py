@@ -176,3 +176,10 @@ def test_written_observations(spark, tmp_path):
 def test_stations(spark):
     reports = spark.createDataFrame([("B", "2024-01-01", 1.0, 2.0), ("A", "2024-01-01", 3.0, 4.0), ("B", "2024-01-02", 5.0, 6.0)], "station string, observed_at string, latitude double, longitude double")
     assert [tuple(r) for r in sources.stations_of(reports).collect()] == [("A", 3.0, 4.0), ("B", 5.0, 6.0)]
+
+
+def test_well_formed_json(spark):
+    texts = ['{"a": 1}', '{"a": 1} more', '"a":1}', "1],[2", '1,"x"', "", " ", "[1, 2]", "null", "{", None]
+    got = spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "k int, document string")
+    told = {r["k"]: r["failed"] for r in sources.payload_faults(got, "json").collect()}
+    assert [k for k in sorted(told) if not told[k]] == [0, 7, 8]
