@@ -31,7 +31,8 @@ from .common import shared_folder
 MAGIC, BLOCK = b"DAC1", 512
 #: Tokens after which a chunk ends with its document, and words a task keeps ids of.
 CHUNK_TOKENS, CACHED_WORDS = 1 << 18, 400_000
-#: Words that are encoded side by side to see that no token crosses white space.
+#: Words that are encoded side by side, with each gap between them, to see that no token crosses white space or is made of it.
+GAPS = (" ", "  ", "\n", "\r\n\n", "\t", "\x0b", "\x0c ")
 PROBES = ("the", "The", "a", "'s", "12", "3", "it's", "(x)", "...", "été", "你好", "#", "-")
 FILE_SCHEMA = "file int, chunk int, first bigint, n_tokens bigint, doc_ids array<bigint>, counts array<bigint>, body binary"
 
@@ -106,10 +107,11 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.whole, self.parts = Tokenizer.from_file(path), {}
-        for a in PROBES:  # words are encoded one by one
-            for b in PROBES:
-                if self._full(f"{a} {b}") != self._full(a) + self._full(b):
-                    raise ValueError(f"tokens of {path} cross white space, as in {a!r} {b!r}")
+        for gap in GAPS:  # words are encoded one by one
+            for a in PROBES:
+                for b in PROBES:
+                    if self._full(f"{a}{gap}{b}") != self._full(a) + self._full(b):
+                        raise ValueError(f"tokens of {path} cross white space, as in {f'{a}{gap}{b}'!r}")
         self.by_part = self._agrees()
 
     def _agrees(self) -> bool:
@@ -160,8 +162,8 @@ def word_ids(path: str) -> WordIds:
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> None:
     """Writes files of chunks (FILE_SCHEMA, as Parquet rows) to path in ascending doc_id order.
 
-    A null text is empty: its ids are the end id alone. Rows with one doc_id follow each other by text; a null doc_id comes
-    first. An empty table gives files without chunks. Other columns are ignored.
+    A null text is empty: its ids are the end id alone. Rows with one doc_id, however many, follow each other by the hash of
+    their text, then by text; a null doc_id comes first. doc_id is a whole number of 64 bits. An empty table gives files without chunks. Other columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,8 +192,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id
         if names:
             yield flush()
 
-    ordered = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(run, FILE_SCHEMA).write.parquet(path)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("hash", F.xxhash64("text"))  # ranges are told by samples of ids and hashes, not of texts
+    ordered = rows.repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash", "text")
+    ordered.select("doc_id", "text").mapInArrow(run, FILE_SCHEMA).write.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

@@ -634,3 +634,28 @@ def test_one_id_with_several_texts(spark):
 
 def test_sha_of_nothing():
     assert hashlib.sha256(b"").hexdigest() == brute.secrets(None)[3]
+
+
+def test_token_output_refuses_newline_tokens(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    made = Tokenizer(models.WordLevel({"[U]": 0, "\n": 1}, unk_token="[U]"))
+    made.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), pre_tokenizers.Split("\n", "isolated")])
+    made.save(str(tmp_path / "t.json"))
+    with pytest.raises(ValueError, match="cross white space"):
+        token_output.WordIds(str(tmp_path / "t.json"))
+
+
+def test_token_output_one_id_in_several_files(spark):
+    """Rows without an id are dealt to several tasks, and starts go on from file to file."""
+    import public_tokenizers
+
+    rows = spark.range(3000).selectExpr("if(id < 2500, null, id) doc_id", "concat('w', id % 700, ' x') text").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small files stay apart
+    try:
+        out = token_output.token_output(rows, public_tokenizers.path("word_bpe_49k.json"), 2).orderBy("start").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(out) == 3000 and len({r["file"] for r in out if r["doc_id"] is None}) > 1
+    assert [r["start"] for r in out] == [0, *np.cumsum([r["n_tokens"] for r in out])[:-1].tolist()]
+    assert [r["doc_id"] for r in out] == [None] * 2500 + list(range(2500, 3000))
