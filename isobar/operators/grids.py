@@ -50,6 +50,20 @@ def regridded(source: DataFrame, target: DataFrame, origin: tuple[float, float],
     return t.join(source.select("y", "x", *values), ["y", "x"], "left")
 
 
+def first_variable(df: DataFrame, axes: tuple[str, ...] = ("y", "x", "lat", "lon")) -> str:
+    """The first column that isn't an axis; a grid without any raises ValueError."""
+    for name in df.columns:
+        if name not in axes:
+            return name
+    raise ValueError(f"no variable besides {', '.join(df.columns)}")
+
+
+def single_field(source: DataFrame, target: DataFrame, origin: tuple[float, float], step: tuple[float, float], out: str = "value") -> DataFrame:
+    """target with the first variable of source (y, x and variables), whatever its name, at the nearest cell; null where there is none."""
+    found = source.select("y", "x", F.col(f"`{first_variable(source)}`").cast("double").alias(out))
+    return regridded(found, target, origin, step, [out])
+
+
 def regridded_linear(source: DataFrame, target: DataFrame, by: list[str], key: list[str], origin: tuple[float, float], step: tuple[float, float], value: str, columns: int | None = None) -> DataFrame:
     """by, key and value: of each plane (by) of source (by, y, x, value) the bilinear value at each row of target (key, lat, lon).
 

@@ -190,12 +190,12 @@ def holdout_errors(errors: DataFrame) -> DataFrame:
 
 
 def bias_samples(errors: DataFrame) -> DataFrame:
-    """region, period (day or night by the solar hour), station and sample: the observed temperature less the median of two
+    """region, period (day or night by the solar hour), station, observed_at and sample: the observed temperature less the median of two
     providers or more, at stations that aren't held out."""
     rows = errors.filter("not holdout and temperature_c is not null")
     grouped = rows.groupBy("region", "station", "observed_at", "longitude", "temperature_c").agg(F.median("f_temperature_c").alias("_m"), F.count("f_temperature_c").alias("_n")).filter("_n >= 2")
     period = F.when(K.is_night(F.col("observed_at"), F.col("longitude")), "night").otherwise("day")
-    return grouped.select("region", period.alias("period"), "station", (F.col("temperature_c") - F.col("_m")).alias("sample"))
+    return grouped.select("region", period.alias("period"), "station", "observed_at", (F.col("temperature_c") - F.col("_m")).alias("sample"))
 
 
 def scored_providers(errors: DataFrame, scores: DataFrame, biases: DataFrame, alpha: float = 0.15) -> dict[str, DataFrame]:
@@ -209,7 +209,7 @@ def scored_providers(errors: DataFrame, scores: DataFrame, biases: DataFrame, al
     known = errors.filter("not holdout and error is not null").select("region", "bucket", "provider", "station", "error")
     every = known.withColumns({"region": F.lit("*"), "bucket": F.lit("*")})
     skill = updated_scores(known.unionByName(every), scores, ["region", "bucket"], "provider", "error", ["station"], alpha)
-    bias = ema_fold(bias_samples(errors), ["region", "period"], "sample", ["station"], 0.2, 3, "value", biases)
+    bias = ema_fold(bias_samples(errors), ["region", "period"], "sample", ["station", "observed_at"], 0.2, 3, "value", biases, F.substring("station", 1, 3))  # stations of three letters a task
     regions = skill.filter("region <> '*'").select("region").unionByName(bias.select("region")).distinct()
     periods = regions.select("region", F.explode(F.array(F.lit("day"), F.lit("night"))).alias("period"))
     bias = periods.join(bias, ["region", "period"], "left").select("region", "period", F.coalesce("value", F.lit(0.0)).alias("value"), F.coalesce("samples", F.lit(0)).cast("long").alias("samples"))

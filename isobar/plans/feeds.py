@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import keys as K
 from ..operators import feeds
-from ..sources import alerts
+from ..sources import alerts, documents
 from ..sources import feeds as sources
 from .consensus import t
 from .hazards import CASE_SQL, NAMES_SQL, compact_sql
@@ -194,6 +194,10 @@ def feed_city_forecasts(spark, d):
     return out.select("name", "lat", "src", F.array_join("forecastDate", ",").alias("days"), F.array_join("maxTemp", ",").alias("highs"), F.array_join(F.transform("weatherIcon", lambda x: x.cast("string")), ",").alias("icons"))
 
 
+def feed_request_ids(spark, d):
+    return documents.request_ids(t(spark, d, "orders").select(F.concat("o_orderpriority", F.lit("/"), (C("o_custkey") % 500).cast("string")).alias("station")), size=100)
+
+
 LEVEL_SQL = "['minor', 'moderate', 'severe', 'extreme', 'unknown'][doc_id % 5 + 1]"
 RANK_SQL = "[1, 2, 3, 4, 0][doc_id % 5 + 1]::int"
 POINT_SQL = "(doc_id % 180)::double lon, (doc_id % 90)::double lat"
@@ -242,6 +246,8 @@ PLANS = {
         select p provider, case when f = 0 then 'ok' when f < n then 'partial' else 'error' end status from s union all select r_name, 'skipped' from region"""),
     "feed_observations": (feed_observations, """select user_id::varchar station, strftime(ts, '%Y-%m-%d %H:%M:%S') observed_at, (user_id % 90)::double latitude, (user_id % 180)::double longitude, case when event_id % 5 <> 0 then (event_id % 40)::double end temperature_c, null::double dewpoint_c, null::double wind_kt, null::double pressure_hpa,
         null::double altimeter_in_hg, null::double precipitation_in from events where event_id % 7 <> 0"""),
+    "feed_request_ids": (feed_request_ids, """with i as (select distinct o_orderpriority || '/' || (o_custkey % 500) id from orders), k as (select id, (row_number() over (order by id) - 1) // 100 batch from i)
+        select batch::bigint batch, string_agg(id, ',' order by id) ids from k group by 1"""),
     "feed_stations": (feed_stations, "select user_id station, (max(event_id) % 90)::double latitude, (max(event_id) % 180)::double longitude from events group by 1"),
     "feed_city_forecasts": (feed_city_forecasts, """select c_name as "name", (o_custkey % 90)::varchar lat, 'org' src, string_agg(strftime(o_orderdate, '%Y-%m-%d'), ',' order by o_orderkey) as days, string_agg(o_orderkey::varchar, ',' order by o_orderkey) highs, string_agg((o_orderkey % 100)::varchar, ',' order by o_orderkey) icons
         from orders join customer on c_custkey = o_custkey where o_custkey % 9 <> 0 group by c_name, o_custkey"""),

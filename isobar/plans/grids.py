@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import conditions, units
+from ..functions import keys as K
 from ..operators import grids as G
 from ..sources import packs, tiles
 from .consensus import t
@@ -85,6 +86,27 @@ def regrid_nearest(spark, d):
     return G.regridded(source, target, (-90.0, -180.0), (4.0, 4.0), ["price"]).select("c_custkey", "y", "x", "price")
 
 
+def single_field(spark, d):
+    """A grid of one variable, under a name that isn't asked for."""
+    target = t(spark, d, "customer").select("c_custkey", (F.col("c_custkey") % 181 - 90 + 0.3).cast("double").alias("lat"), (F.col("c_custkey") * 7 % 360 - 180 + 0.2).cast("double").alias("lon"))
+    source = t(spark, d, "supplier").select((F.col("s_suppkey") % 46).cast("int").alias("y"), (F.col("s_suppkey") % 91).cast("int").alias("x"), "s_acctbal").groupBy("y", "x").agg(F.max("s_acctbal").alias("any name"))
+    return G.single_field(source, target, (-90.0, -180.0), (4.0, 4.0)).select("c_custkey", "y", "x", "value")
+
+
+def time_keys(spark, d):
+    """Night by the sun, the day, the run that is out and a forecast's valid time of every event."""
+    at = C("ts").cast("timestamp")
+    shown = lambda x: F.date_format(x, "yyyy-MM-dd HH:mm")
+    return t(spark, d, "events").select("event_id", K.is_night(at, (C("user_id") % 360 - 180).cast("double")).alias("night"), shown(K.day_start(at, 2)).alias("day"), shown(K.model_cycle(at)).alias("run"), shown(K.valid_time(F.date_trunc("hour", at), C("user_id") % 240)).alias("valid"))
+
+
+def file_keys(spark, d):
+    """Names of tiles, packs and overviews of every order's place."""
+    lat, lon = (C("o_orderkey") % 1801 / 10 - 90).cast("double"), (C("o_custkey") % 3601 / 10 - 180).cast("double")
+    south, west = K.pack_origin(lat, lon)
+    return t(spark, d, "orders").select("o_orderkey", K.tile_name(lat, lon).alias("tile"), K.tile_file("temp", C("o_orderkey") % 48, south, west, "gpack").alias("file"), K.overview_key(south, west).alias("overview"))
+
+
 def model_envelope(spark, d):
     rows = t(spark, d, "lineitem").select((C("l_partkey") % 211).alias("tile"), (C("l_orderkey") % 3).alias("cell"), (C("l_suppkey") % 4).alias("model"), "l_extendedprice")
     return G.model_range(rows, ["tile"], ["cell"], "model", "l_extendedprice")
@@ -168,6 +190,12 @@ PLANS = {
     "interval_accumulation": (interval_accumulation, """select event_id, case when event_type <> 'click' and p is not null then greatest(value - p, 0) else value end amount from (select *, last_value(case when event_type <> 'click' then value end ignore nulls) over (partition by user_id order by event_id rows between unbounded preceding and 1 preceding) p from events)"""),
     "idx_byte_ranges": (idx_byte_ranges, """select o_custkey, o_orderkey, o_orderkey * 100 as "offset", lead(o_orderkey * 100) over (partition by o_custkey order by o_orderkey) - 1 as range_end from orders"""),
     "regrid_nearest": (regrid_nearest, """with s as (select (p_partkey % 46)::int y, (p_partkey % 91)::int x, max(p_retailprice) price from part group by all), g as (select c_custkey, round_even(((c_custkey % 181 - 90 + 0.3)::double + 90) / 4, 0)::int y, round_even(((c_custkey * 7 % 360 - 180 + 0.2)::double + 180) / 4, 0)::int x from customer) select c_custkey, y, x, price from g left join s using (y, x)"""),
+    "single_field": (single_field, """with s as (select (s_suppkey % 46)::int y, (s_suppkey % 91)::int x, max(s_acctbal) "value" from supplier group by all), g as (select c_custkey, round_even(((c_custkey % 181 - 90 + 0.3)::double + 90) / 4, 0)::int y, round_even(((c_custkey * 7 % 360 - 180 + 0.2)::double + 180) / 4, 0)::int x from customer) select c_custkey, y, x, "value" from g left join s using (y, x)"""),
+    "time_keys": (time_keys, """with e as (select *, (hour(ts) * 15 + user_id % 360 - 180 + 720) % 360 s, ts - interval 270 minute c from events)
+        select event_id, s >= 315 or s < 90 night, strftime(date_trunc('day', ts) + interval 2 day, '%Y-%m-%d %H:%M') as "day", strftime(date_trunc('day', c), '%Y-%m-%d ') || lpad((hour(c) // 6 * 6)::varchar, 2, '0') || ':00' run, strftime(date_trunc('hour', ts) + to_hours(user_id % 240), '%Y-%m-%d %H:%M') valid from e"""),
+    "file_keys": (file_keys, """with a as (select o_orderkey, o_orderkey % 1801 y, o_custkey % 3601 x from orders), b as (select *, least(y // 200 * 20 - 90, 70) ts, least(x // 200 * 20 - 180, 160) tw, case when y < 300 then -90 when y < 900 then -60 when y < 1500 then 0 else 60 end s, greatest(least((x + 200) // 800 * 80 - 200, 120), -180) w from a),
+        n as (select *, case when s >= 0 then 'N' else 'S' end || abs(s) || '_' || case when w >= 0 then 'E' else 'W' end || abs(w) p from b)
+        select o_orderkey, case when ts >= 0 then 'N' else 'S' end || abs(ts) || '_' || case when tw >= 0 then 'E' else 'W' end || abs(tw) tile, 'temp_' || (o_orderkey % 48) || 'h_' || p || '.gpack' file, p || '_60' overview from n"""),
     "model_envelope": (model_envelope, "with l as (select l_partkey % 211 tile, l_orderkey % 3 cell, l_suppkey % 4 model, l_extendedprice v from lineitem), n as (select tile, count(distinct model) n_models from l group by 1) select tile, cell, min(v) low, max(v) high, n_models from l join n using (tile) group by tile, cell, n_models having count(distinct model) = n_models"),
     "aligned_models": (aligned_models, """select * from (select l_partkey, max(l_quantity) filter (l_returnflag = 'A') "A", max(l_quantity) filter (l_returnflag = 'N') "N", max(l_quantity) filter (l_returnflag = 'R') "R" from lineitem group by 1) where "A" is not null and "N" is not null and "R" is not null"""),
     "added_channels": (added_channels, """with r as (select l_partkey % 500 tile, l_linenumber channel, max(l_extendedprice) v from lineitem group by all), a as (select * from r where tile < 200 and channel <> tile % 7)

@@ -171,9 +171,9 @@ PLANS = {
         g as (select region, bucket, provider, 0.15::double * m + 0.85::double * case when has then 2.0::double else 1.0::double end score, n + case when has then 3 else 0 end sample_count, list_slice(case when has then list_concat([1.0::double, 3.0::double], h) else h end, -48, -1) h from j),
         x as (select *, greatest(exp(-(0.5::double * score + 0.5::double * list_aggregate(h, 'median'))), 0.01::double) f from g), w as (select *, greatest(f / sum(f) over (partition by region, bucket), 0.02::double) w from x)
         select region, bucket, provider, round(score, 6) score, sample_count, len(h)::int n_history, round(w / sum(w) over (partition by region, bucket), 6) weight from w"""),
-    "provider_bias": (provider_bias, f"""with {ERRORS}, b as (select region, station, ot - median(ft) x, (hour(t0) + lon / 15.0::double) h from e where not holdout group by region, station, t0, lon, ot having count(*) >= 2),
-        p as (select region, station, x, case when fmod(h + 48, 24.0::double) >= 21 or fmod(h + 48, 24.0::double) < 6 then 'night' else 'day' end period from b),
-        k as (select region, period, list(x order by station) xs from p group by all), o as (select '+10_+000' region, 'day' period, 1.5::double v, 4 n),
+    "provider_bias": (provider_bias, f"""with {ERRORS}, b as (select region, station, t0, ot - median(ft) x, (hour(t0) + lon / 15.0::double) h from e where not holdout group by region, station, t0, lon, ot having count(*) >= 2),
+        p as (select region, station, t0, x, case when fmod(h + 48, 24.0::double) >= 21 or fmod(h + 48, 24.0::double) < 6 then 'night' else 'day' end period from b),
+        k as (select region, period, list(x order by station, t0) xs from p group by all), o as (select '+10_+000' region, 'day' period, 1.5::double v, 4 n),
         u as (select coalesce(k.region, o.region) region, coalesce(k.period, o.period) period, list_reduce(list_prepend(coalesce(v, 0.0::double), coalesce(xs, []::double[])), lambda a, y: 0.8::double * a + 0.2::double * y) v, coalesce(n, 0) + len(coalesce(xs, []::double[])) n from k full join o on k.region = o.region and k.period = o.period),
         q as (select distinct region from (select region from e where not holdout union all select region from u))
         select q.region, d.period, coalesce(round_even(v * 1000.0::double, 0) / 1000.0::double, 0.0::double) as "value", coalesce(n, 0)::bigint samples from q cross join (values ('day'), ('night')) d(period) left join u on u.region = q.region and u.period = d.period"""),

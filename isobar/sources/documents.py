@@ -66,10 +66,15 @@ def detections(spark: SparkSession, path: str, product: str) -> DataFrame:
 
 
 def request_ids(stations: DataFrame, station: str = "station", size: int = 100) -> DataFrame:
-    """ids: the different station ids in order, joined by commas, up to size of them (of one first letter) a request."""
-    ids = stations.select(F.col(station).alias("id")).filter("id is not null").distinct().withColumn("_p", F.substring("id", 1, 1))
-    numbered = ids.withColumn("_k", F.row_number().over(Window.partitionBy("_p").orderBy("id")) - 1)
-    return numbered.groupBy("_p", F.floor(F.col("_k") / size).alias("_b")).agg(F.array_join(F.array_sort(F.collect_list("id")), ",").alias("ids")).select("ids")
+    """batch (from 0) and ids: the different station ids in order, joined by commas, size of them a request and fewer in the last.
+
+    Ids are numbered within their first two letters and start where the letters before end, so no task orders all of them.
+    """
+    ids = stations.select(F.col(station).alias("id")).filter("id is not null").distinct().withColumn("_p", F.substring("id", 1, 2))
+    counts = ids.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))  # a row for two letters
+    starts = counts.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_s"))
+    numbered = ids.withColumn("_k", F.row_number().over(Window.partitionBy("_p").orderBy("id")) - 1).join(starts, "_p")
+    return numbered.groupBy(F.floor((F.col("_s") + F.col("_k")) / size).alias("batch")).agg(F.array_join(F.array_sort(F.collect_list("id")), ",").alias("ids"))
 
 
 def eligible_radar(catalogue: DataFrame) -> DataFrame:

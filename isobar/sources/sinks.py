@@ -114,6 +114,18 @@ def write_forecasts(forecasts: DataFrame, path: str) -> None:
     forecasts.write.mode("overwrite").partitionBy("provider").json(path)
 
 
+def write_cities(cities: DataFrame, path: str) -> None:
+    """Forecasts of cities (feeds.city_forecasts) as JSON lines."""
+    cities.write.mode("overwrite").json(path)
+
+
+def write_provider_hours(tiles: DataFrame, path: str) -> None:
+    """Tiles (model, hour, tile and more) in a folder for each model and hour; of what was there before, only folders of
+    the same models and hours are replaced. Rows are dealt by tile, so a model's hour isn't one task's work."""
+    spread = tiles.repartition("model", "hour", "tile").sortWithinPartitions("model", "hour", "tile")
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model", "hour").parquet(path)
+
+
 def job_manifest(tiles: DataFrame) -> DataFrame:
     """job, reference (the latest), tiles, packs and hours of rows (job, reference, hour, tile, pack)."""
     counted = tiles.groupBy("job").agg(F.max("reference").alias("reference"), F.count_distinct("hour", "tile").alias("tiles"), F.count_distinct("hour", "pack").alias("packs"), F.array_sort(F.collect_set("hour")).alias("hours"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from isobar.functions import conditions, fields, geometry, hazards, keys, units
 from isobar.operators import consensus, feeds, grids, learning, products, tides
 from isobar.sources import feeds as sources
-from isobar.sources import tiles
+from isobar.sources import sinks, tiles
 
 
 def one(spark, column, **values):
@@ -355,3 +355,18 @@ def test_units_of_sources(spark):
     assert one(spark, units.precipitation_mm(F.lit(0.002), F.lit("Metre"))) == 2.0 and one(spark, units.precipitation_mm(F.lit(2.0), F.lit("kg m**-2"))) == 2.0
     assert one(spark, units.grid_value(F.lit(None).cast("double"), 1)) is None and one(spark, units.grid_value(F.lit(None).cast("double"), 1, preserve=False)) == 0.0
     assert one(spark, units.field_places(F.lit("snow"))) == 3 and one(spark, keys.forecast_day(F.lit(47))) == 1
+
+
+def test_first_variable(spark):
+    assert grids.first_variable(spark.createDataFrame([(0, 0, 1.0, 2.0)], "y int, x int, `a b` double, c double")) == "a b"
+    with pytest.raises(ValueError, match="no variable"):
+        grids.first_variable(spark.createDataFrame([(0, 0)], "y int, x int"))
+
+
+def test_written_hours_and_cities(spark, tmp_path):
+    tiles = spark.createDataFrame([("gfs", 3, "N50_W20", 1), ("gfs", 6, "N50_W20", 2)], "model string, hour int, tile string, v int")
+    sinks.write_provider_hours(tiles, f"{tmp_path}/t")
+    sinks.write_provider_hours(tiles.filter("hour = 6").withColumn("v", F.lit(9)), f"{tmp_path}/t")
+    assert sorted((r["hour"], r["v"]) for r in spark.read.parquet(f"{tmp_path}/t").collect()) == [(3, 1), (6, 9)]
+    sinks.write_cities(spark.createDataFrame([("Madrid", ["20"])], "name string, maxTemp array<string>"), f"{tmp_path}/c")
+    assert spark.read.json(f"{tmp_path}/c").first()["maxTemp"] == ["20"]
