@@ -34,7 +34,8 @@ def normalised_observations(raw: DataFrame) -> DataFrame:
 
 
 def geojson_features(raw: DataFrame, document: str = "document") -> DataFrame:
-    """id, geometry (GeoJSON text) and properties of every feature of GeoJSON texts; a text that can't be read gives none."""
+    """id, geometry (GeoJSON text) and properties of every feature of GeoJSON texts; a text that can't be read gives none.
+    What follows a text's value isn't looked at here; payload_faults tells such texts."""
     parsed = F.from_json(document, FEATURES, {"mode": "PERMISSIVE"})
     return raw.select(F.explode(F.coalesce(parsed["features"], F.array().cast(FEATURES.removeprefix("features ")))).alias("f")).select("f.id", "f.geometry", "f.properties")
 
