@@ -200,27 +200,61 @@ def shard_links(keyed: DataFrame, nodes: int = NODES) -> DataFrame:
     return keyed.mapInArrow(search, "a bigint, b bigint").distinct()
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+#: Links that a task joins to stars at once.
+STARS = 1 << 20
+
+
+def local_stars(links: DataFrame, rows: int) -> DataFrame:
+    """links (a, b) with each task's own components as stars: (a, b), b the smallest node that links in the same rows (about) reach."""
+
+    def stars(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held)
+        nodes, at = np.unique(np.concatenate([t.column(k).to_numpy() for k in (0, 1)]), return_inverse=True)
+        one, two = at[: t.num_rows], at[t.num_rows :]
+        least = np.arange(len(nodes))
+        while (apart := least[one] != least[two]).any():
+            one, two = one[apart], two[apart]
+            low = np.minimum(least[one], least[two])
+            np.minimum.at(least, np.maximum(least[one], least[two]), low)
+            while (least[least] != least).any():
+                least = least[least]
+        moved = np.flatnonzero(least != np.arange(len(nodes)))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[least[moved]])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            held.append(b)
+            if sum(x.num_rows for x in held) >= rows:
+                yield stars(held)
+                held = []
+        if held:
+            yield stars(held)
+
+    return links.mapInArrow(run, links.schema)
+
+
+def components(links: DataFrame, a: str = "a", b: str = "b", rows: int = STARS) -> DataFrame:
     """(node, component) for every node of the links, component being the smallest node reachable.
 
-    Large stars and small stars in turn, each a minimum per node and a join, until the links no longer change; the nodes
-    with very many links are joined where their links lie.
+    Tasks turn their own links into stars, about `rows` at once; then large stars and small stars in turn, each a minimum per node and a join,
+    until every node has one link, to a node with none to a smaller one. Nodes with very many links are joined where their
+    links lie. Nodes are numbers; links with a null are left out.
     """
-    edges = written(links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct())
-    before = None
+    edges = written(local_stars(links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct(), rows))
     while True:
-        now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if now == before:
+        ends = edges.select("a", F.lit(1).alias("n"), F.lit(0).alias("m")).unionByName(edges.select(F.col("b").alias("a"), F.lit(0).alias("n"), F.lit(1).alias("m")))
+        if ends.groupBy("a").agg(F.sum("n").alias("n"), F.max("m").alias("m")).filter("n > 1 or (n > 0 and m > 0)").isEmpty():
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        before = now
+        n = edges.count()
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = written(both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("a", "m")))
-        large = join_counted(both.filter("b > a"), low, ["a"], "n", 2 * now["n"]).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        large = join_counted(both.filter("b > a"), low, ["a"], "n", 2 * n).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         large = written(large)
         least = written(large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")))
-        star = join_counted(large, least, ["a"], "n", now["n"])
+        star = join_counted(large, least, ["a"], "n", n)
         small = star.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(star.select("a", F.col("m").alias("b"))).distinct()
-        last, edges = edges, written(small)
+        last, edges = edges, written(local_stars(small, rows))
         for x in (last, low, large, least):
             discard(x)
 
