@@ -9,11 +9,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import join_counted, written
-from .hashed import mix, window_hashes
+from .hashed import mix, pieces, window_hashes
 
 WINDOW = 5
 #: A window with fewer words of its own says little; it is not looked for.
@@ -79,8 +79,8 @@ def window_rows(docs: DataFrame, key: str, sieve: np.ndarray | None, spark_key:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Vocabulary()
         for b in batches:
-            for start in range(0, b.num_rows, 500):
-                part = b.slice(start, 500)
+            for start, end in pieces(b.column(1)):
+                part = b.slice(start, end - start)
                 if len(known) > _VOCABULARY:
                     known = Vocabulary()
                 hashes, kind, number, borders = template(part.column(1).to_pylist(), known)
@@ -143,6 +143,19 @@ def agreeing(rows: Column) -> Column:
     return F.get(F.transform(F.array(pairs), kept), F.lit(0))
 
 
+def leading(own: DataFrame, sizes: DataFrame, least: float) -> DataFrame:
+    """(item_id, window): the n - ceil(least * n) + 1 places of each item's n whose windows are in the fewest items.
+
+    A document that matches least * n places or more matches one of these, so items that share windows (typed placeholders
+    make them common) are looked for by what is theirs.
+    """
+    spread = written(own.groupBy("window").agg(F.count(F.lit(1)).alias("_k")).withColumn("k", F.col("_k")))
+    ranked = join_counted(own.select("item_id", "at", "window"), spread, ["window"], "_k", own.count())
+    ranked = ranked.withColumn("_r", F.row_number().over(Window.partitionBy("item_id").orderBy("k", "window", "at")))  # an item's places
+    needed = F.greatest(F.ceil(F.col("n_windows") * least - 1e-9), F.lit(1))
+    return ranked.join(sizes, "item_id").filter(F.col("_r") <= F.col("n_windows") - needed + 1).select("item_id", "window")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, sieve_bits: int = 1 << 23) -> DataFrame:
     """doc_id, item_id, n_matched, n_windows, coverage and verbatim for each document and item that it holds.
 
@@ -152,16 +165,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, siev
     another one don't count. Items are found at a coverage of least or more. verbatim: all matched slots hold the item's own
     values. Null and short texts (under five words, or under two of its own in any window) hold and match nothing; repeated
     rows of one id are one document; rows with a null id match nothing. What is broadcast is a bitmap of sieve_bits, whatever
-    the benchmark's size; beyond that size it lets more windows through to the join, which compares all 64 bits. A window
-    that very many documents hold is joined where they lie.
+    the benchmark's size; beyond that size it lets more windows through to the join, which compares all 64 bits. Documents meet
+    items by the items' leading windows only, which lose none at the coverage asked for; then all windows of the two are
+    compared. A window that very many documents hold is joined where they lie.
     """
     own = written(window_rows(benchmark.filter("item_id is not null"), "item_id", None, "item_id").dropDuplicates(["item_id", "at"]))
     sizes = own.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_windows"))
     hits = written(window_rows(docs.filter("doc_id is not null"), "doc_id", sieve_of(own.select("window"), sieve_bits), "doc_id"))
-    held = own.groupBy("window").agg(F.collect_list(F.struct("item_id", F.col("at").alias("place"), F.col("slots").alias("values"))).alias("items"))
-    counted = written(hits.groupBy("window").agg(F.count(F.lit(1)).alias("_n")).join(held, "window"))
-    pairs = join_counted(hits, counted, ["window"], "_n", hits.count()).select("doc_id", "at", "slots", F.explode("items").alias("i"))
-    pairs = pairs.select("doc_id", "i.item_id", (F.col("at") - F.col("i.place")).alias("offset"), F.struct(F.col("i.place").alias("place"), F.arrays_zip(F.col("i.values").alias("values"), F.col("slots").alias("slots")).alias("pairs")).alias("r"))
+    total = hits.count()
+    lead = leading(own, sizes, least).groupBy("window").agg(F.collect_set("item_id").alias("items"))
+    counted = written(hits.groupBy("window").agg(F.count(F.lit(1)).alias("_n")).join(lead, "window"))
+    asked = written(join_counted(hits.select("doc_id", "window"), counted, ["window"], "_n", total).select("doc_id", F.explode("items").alias("item_id")).distinct())
+    whole = own.groupBy("item_id").agg(F.collect_list(F.struct("window", F.col("at").alias("place"), F.col("slots").alias("values"))).alias("own"))
+    whole = written(whole.join(asked.groupBy("item_id").agg(F.count(F.lit(1)).alias("_n")), "item_id"))
+    sought = join_counted(asked, whole, ["item_id"], "_n", asked.count()).select("doc_id", "item_id", F.inline("own"))
+    pairs = hits.join(sought, ["doc_id", "window"]).select("doc_id", "item_id", (F.col("at") - F.col("place")).alias("offset"), F.struct("place", F.arrays_zip("values", "slots").alias("pairs")).alias("r"))
     runs = pairs.groupBy("doc_id", "item_id", "offset").agg(F.collect_set("r").alias("rows"))
     runs = runs.withColumn("rows", agreeing(F.col("rows")))
     same = F.forall("rows", lambda r: F.forall(r["pairs"], lambda s: s["values"] == s["slots"]))

@@ -140,6 +140,32 @@ def test_hot_components(spark):
     assert out == {i: 0 for i in range(9000)} | {i: 20_000 for i in range(20_000, 20_201)}
 
 
+def test_components_of_few_links_at_once(spark):
+    rng = random.Random(32)
+    links = [(i, i + 1) for i in range(-40, 60)] + [(rng.randrange(100, 400), rng.randrange(100, 400)) for _ in range(220)] + [(None, 5), (7, 7)]
+    rng.shuffle(links)
+    parent = {x: x for x in range(-40, 400)}
+    for a, b in links:
+        if a is not None:
+            old, new = max(parent[a], parent[b]), min(parent[a], parent[b])
+            parent = {x: new if p == old else p for x, p in parent.items()}
+    want = {x: p for x, p in parent.items() if any(q == p and y != x for y, q in parent.items())}
+    out = simhash.components(spark.createDataFrame(links, "x bigint, y bigint").repartition(8), "x", "y", rows=1).collect()
+    assert {r["node"]: r["component"] for r in out} == want and len(out) == len(want)
+
+
+def test_decontaminate_common_windows(spark):
+    """Items that share most of their windows: a document matches those that reach the coverage, as by plain Python."""
+    rng = random.Random(23)
+    shared = [prose(12, rng) for _ in range(4)]
+    bench = {i: " ".join([*(rng.sample(shared, 3)), prose(rng.randint(6, 40), rng)]) for i in range(30)}
+    docs = {d: " ".join([prose(9, rng), *rng.sample(shared, rng.randint(0, 4)), bench[d % 30] if d % 3 else "", prose(5, rng)]) for d in range(60)}
+    want = brute.contaminated(docs, bench, decontaminate.template, decontaminate.Vocabulary(), decontaminate.WINDOW, decontaminate.LITERALS)
+    b = spark.createDataFrame(list(bench.items()), "item_id bigint, text string")
+    out = {(r["doc_id"], r["item_id"]): (r["n_matched"], r["n_windows"]) for r in decontaminate.contaminated(table(spark, docs), b).collect()}
+    assert out == want and len(want) > 40
+
+
 def test_similar_groups(spark):
     rng = random.Random(12)
     base = [prose(300, rng).split() for _ in range(40)]
