@@ -1,9 +1,9 @@
 """Mixing to target weights by soft membership.
 
 A classifier trained from a labelled table gives each document posteriors over domains; nonnegative rates per document are
-fitted so that the expected tokens of each domain meet the targets: least squares over (tokens x posterior) by projected
-gradient steps. Only built-in DataFrame functions; a step sums one number per domain over all documents, and only those
-sums reach the driver.
+fitted so that the expected tokens of each domain meet the targets: least squares over (tokens x posterior), by a projected
+gradient step whose length in each domain is fitted. Only built-in DataFrame functions; a try sums a few numbers per domain
+over all documents, and only those sums reach the driver.
 """
 
 from __future__ import annotations
@@ -20,6 +20,10 @@ from .common import free_name, words, written
 BUCKETS = 4096
 #: Share of the budget by which a domain may miss its target.
 UNMET = 1e-3
+#: Weight of pulls in a fit, relative to the largest domain's sum of squares: what it leaves unmet is far below UNMET.
+RIDGE = 1e-10
+#: Lengths of a step that are tried at most; each is shorter by a factor of up to 10.
+TRIES = 40
 
 
 def _ids(text: str) -> Column:
@@ -57,51 +61,50 @@ def posteriors(docs: DataFrame, model: dict[str, list[float]], out: str = "p", t
 def fit_rates(df: DataFrame, targets: list[float], p: str = "p", tokens: str = "n_tokens", *, start: float = 1.0, steps: int = 100, tolerance: float = 1e-6) -> tuple[Column, list[float]]:
     """The rate of a row as an expression over p and tokens, and the domain totals it gives.
 
-    Minimises the squared distance of domain totals from targets over rates of zero or more, by projected gradient steps from
-    start. A step's direction is the gradient, scaled by the inverse of the domains' products over the rows that can move
-    (with a rate over zero, or drawn up), so that a step that meets no border ends the fit; it is halved until the distance
-    falls. Ends when every total is within tolerance of its target (relative to the largest), or when neither that nor the
-    plain gradient's step comes any nearer: then what is left is unmet because the documents can't serve it. A fit that does
-    neither in so many steps raises.
+    Minimises the squared distance of domain totals from targets over rates of zero or more, of such rates those nearest to
+    start. They are start less one gradient step, projected: max(0, start - share . pull), with a pull for each domain. The
+    pulls are the least of a convex function of as many numbers as domains (its slope is what targets are missed by, and
+    RIDGE times the pull, which keeps pulls finite where targets can't be met), found by Newton steps over the rows whose
+    rate isn't zero; a step is shortened until the slope along it is no longer steeply uphill, so each comes nearer. Ends
+    when every total is within tolerance of its target (relative to the largest), or when the slope is gone: then what is
+    left is unmet because the documents can't serve it. Of n domains each try sums n (n + 3) / 2 numbers over all rows. A fit
+    that ends in neither way in so many steps gives the rates so far, and a warning.
     """
     n = len(targets)
     share = [F.col(tokens) * F.get(p, F.lit(d)) for d in range(n)]
-    pull = lambda r, g: F.greatest(F.lit(0.0), r - sum(share[d] * F.get(g, F.lit(d)) for d in range(n)))
-
-    def told(history: list[list[float]]) -> tuple[Column, list[float]]:
-        """The rate after the steps of history, and the totals that it gives."""
-        parts = F.split(F.lit(";".join(",".join(repr(x) for x in g) for g in history)), ";")
-        rate = F.aggregate(F.transform(parts, lambda s: F.split(s, ",").cast("array<double>")), F.lit(start), pull) if history else F.lit(start)
-        row = df.withColumn("_rate", rate).agg(*[F.sum(F.col("_rate") * share[d]).alias(f"t{d}") for d in range(n)]).first()
-        return rate, [row[f"t{d}"] or 0.0 for d in range(n)]
-
-    def products(rate: Column, slope: list[float] | None) -> np.ndarray:
-        """Sums of the domains' products over the rows that can move: over zero, or drawn up by the slope; over all without one."""
-        moves = F.lit(1.0) if slope is None else ((rate > 0) | (sum(share[d] * slope[d] for d in range(n)) < 0)).cast("double")
-        row = df.withColumn("_on", moves).agg(*[F.sum(F.col("_on") * share[i] * share[j]).alias(f"m{i}_{j}") for i in range(n) for j in range(i, n)]).first()
-        return np.array([[row[f"m{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(n)] for i in range(n)])
-
-    history: list[list[float]] = []
-    rate, totals = told(history)
-    whole = products(rate, None)
-    scale = np.sqrt(np.diag(whole)) + (np.diag(whole) == 0)
-    steepest = 1.0 / max(float(np.linalg.eigvalsh(whole / np.outer(scale, scale))[-1]), 1e-12)
+    pairs = [(i, j) for i in range(n) for j in range(i, n)]
+
+    def told(pulls: np.ndarray) -> tuple[Column, np.ndarray, np.ndarray]:
+        """The rate that pulls give, its totals, and the domains' products over the rows whose rate isn't zero."""
+        g = F.split(F.lit(",".join(repr(float(x)) for x in pulls)), ",").cast("array<double>")
+        rate = F.greatest(F.lit(0.0), start - sum(share[d] * F.get(g, F.lit(d)) for d in range(n)))
+        rows = df.withColumn("_rate", rate).withColumn("_on", (F.col("_rate") > 0).cast("double"))
+        row = rows.agg(*[F.sum(F.col("_rate") * share[d]).alias(f"t{d}") for d in range(n)], *[F.sum(F.col("_on") * share[i] * share[j]).alias(f"m{i}_{j}") for i, j in pairs]).first()
+        products = np.array([[row[f"m{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(n)] for i in range(n)])
+        return rate, np.array([row[f"t{d}"] or 0.0 for d in range(n)]), products
+
+    target, near = np.array(targets, float), tolerance * max(targets, default=1.0)
+    pulls = np.zeros(n)
+    rate, totals, products = told(pulls)
+    scale = np.sqrt(np.diag(products)) + (np.diag(products) == 0)  # pulls are scaled, so that rare domains move as others do
+    ridge = RIDGE * float(max(scale, default=1.0)) ** 2 / scale**2
+    slope = lambda totals, pulls: (target - totals) / scale + ridge * pulls * scale
     for _ in range(steps):
-        if all(abs(a - b) <= tolerance * max(targets, default=1.0) for a, b in zip(totals, targets, strict=True)):
-            return rate, totals
-        miss = (np.array(totals) - targets) / scale
-        far = float(np.linalg.norm(miss))
-        own = products(rate, [float(x) for x in miss / scale]) / np.outer(scale, scale)
-        direction = np.linalg.pinv(own, rcond=1e-10) @ miss
-        for g in [*[direction * 0.5**k for k in range(6)], miss * steepest]:
-            tried = [*history, [float(x) for x in g / scale]]
+        uphill = slope(totals, pulls)
+        if (abs(totals - target) <= near).all() or (abs(uphill * scale) <= near).all():
+            return rate, totals.tolist()
+        step = -np.linalg.solve(products / np.outer(scale, scale) + np.diag(ridge), uphill)
+        first, length = float(uphill @ step), 1.0
+        for _ in range(TRIES):
+            tried = pulls + length * step / scale
             new = told(tried)
-            if np.linalg.norm((np.array(new[1]) - targets) / scale) < far * (1 - 1e-6):
-                history, (rate, totals) = tried, new
+            along = float(slope(new[1], tried) @ step)
+            if along <= -0.5 * first:
                 break
-        else:
-            return rate, totals
-    raise RuntimeError(f"rates don't settle in {steps} steps: totals {totals}, targets {targets}")
+            length = max(length * first / (first - along), 0.1 * length)
+        pulls, (rate, totals, products) = tried, new
+    warnings.warn(f"rates don't settle in {steps} steps: totals {totals.tolist()}, targets {targets}", stacklevel=2)
+    return rate, totals.tolist()
 
 
 def mix(docs: DataFrame, model: dict[str, list[float]], weights: dict[str, float], budget: float | None = None, text: str = "text", seed: int = 5) -> DataFrame:

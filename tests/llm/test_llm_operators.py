@@ -435,6 +435,25 @@ def test_mixing_at_the_border(spark):
     assert abs(totals[0] - now[0]) < 1e-3 * now[0] and totals[2] == 0
 
 
+def test_mixing_settles_on_skewed_tables(spark):
+    """A handful of documents, or faint memberships only, serve a domain: the fit ends and is as near as plain least squares comes."""
+    for seed, rare in ((1, 0), (2, 3), (3, 9)):
+        rng = np.random.default_rng(seed)
+        p = rng.dirichlet([30.0, 0.03, 0.03, 0.003], 800)
+        p[:rare] = rng.dirichlet([0.05, 0.05, 0.05, 9.0], rare)
+        n = rng.integers(1, 900, 800)
+        df = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(n, p)], "n_tokens int, p array<double>").repartition(2).cache()
+        targets = max((n @ p) / [0.55, 0.15, 0.15, 0.15]) * np.array([0.55, 0.15, 0.15, 0.15])
+        rate, totals = mixing.fit_rates(df, targets.tolist())
+        miss = np.array(totals) - targets
+        rows = df.select("n_tokens", "p", rate.alias("r")).collect()
+        r, own = np.array([x["r"] for x in rows]), np.array([np.array(x["p"]) * x["n_tokens"] for x in rows])
+        assert np.allclose(r @ own, totals, rtol=1e-9) and (r >= 0).all()
+        # no document's rate could be moved to come nearer: its pull on the misses is nothing, or upwards at rate zero
+        edge = own @ miss / (np.linalg.norm(own, axis=1) * targets.max())
+        assert (edge > -1e-3).all() and (abs(edge[r > 1]) < 1e-3).all()
+
+
 def test_radius_holds_for_small_sets():
     """Of 3,000 pairs at a similarity of 0.8 of each size, none lies over the radius."""
     rng = np.random.default_rng(17)
