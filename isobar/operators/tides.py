@@ -18,10 +18,36 @@ def subordinate_tides(events: DataFrame, stations: DataFrame) -> tuple[DataFrame
     known = stations.join(events.select(F.col("station").alias("reference")).distinct(), "reference", "left_semi").filter("height_kind in ('ratio', 'fixed')")
     wrong = stations.join(known.select("id"), "id", "left_anti")
     joined = known.join(events, known["reference"] == events["station"])
-    of_type = lambda a: F.when(F.col("type") == "high", F.col(f"high_{a}")).otherwise(F.col(f"low_{a}"))
-    height = F.when(F.col("height_kind") == "ratio", F.col("height") * of_type("height")).otherwise(F.col("height") + of_type("height"))
-    shifted = F.col("time") + F.make_dt_interval(F.lit(0), F.lit(0), of_type("minutes").cast("int"))
-    return joined.select("id", shifted.alias("time"), "type", round_up(height, 3).alias("height")), wrong
+    return joined.select("id", _shifted("time").alias("time"), "type", _scaled(F.col("height")).alias("height")), wrong
+
+
+def _of_type(what: str) -> Column:
+    return F.when(F.col("type") == "high", F.col(f"high_{what}")).otherwise(F.col(f"low_{what}"))
+
+
+def _shifted(time: str) -> Column:
+    return F.col(time) + F.make_dt_interval(F.lit(0), F.lit(0), _of_type("minutes").cast("int"))
+
+
+def _scaled(height: Column) -> Column:
+    return round_up(F.when(F.col("height_kind") == "ratio", height * _of_type("height")).otherwise(height + _of_type("height")), 3)
+
+
+def subordinate_ranges(events: DataFrame, stations: DataFrame) -> DataFrame:
+    """id, n, first, highest and lowest of the tides that subordinate_tides gives, without a row for each of them.
+
+    Shifting keeps the order of times; scaling and rounding keep the order of heights or turn it round. So of each reference
+    and type the first time and the outermost heights stand for all (NaN and infinite ones beside the finite ones), and
+    stations meet a row a type of their reference instead of all its events.
+    """
+    h = F.col("height").cast("double")
+    number, finite = F.when(~F.isnan(h), h), F.when(~F.isnan(h) & (F.abs(h) < float("inf")), h)
+    ends = events.groupBy("station", F.when(F.col("type") == "high", "high").otherwise("low").alias("type")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("time").alias("_first"), F.array(F.min(h), F.max(h), F.max(number), F.min(finite), F.max(finite)).alias("_ends")
+    )
+    known = stations.filter("height_kind in ('ratio', 'fixed')")
+    rows = known.join(ends, known["reference"] == ends["station"]).select("id", "_n", _shifted("_first").alias("_first"), F.transform("_ends", _scaled).alias("_ends"))
+    return rows.groupBy("id").agg(F.sum("_n").alias("n"), F.min("_first").alias("first"), F.max(F.array_max("_ends")).alias("highest"), F.min(F.array_min("_ends")).alias("lowest"))
 
 
 def tide_height(constituents: Column, hours: Column) -> Column:

@@ -289,6 +289,20 @@ def test_tides(spark):
     assert [r["id"] for r in wrong.collect()] == ["T"]
 
 
+def test_tide_ranges(spark):
+    """The same figures as from all tides, with odd heights, types and offsets."""
+    rng = random.Random(4)
+    odd = (None, float("nan"), float("inf"), float("-inf"))
+    heights = lambda r: rng.choice(odd) if r in "EF" and rng.random() < 0.3 else rng.uniform(-3, 3)
+    ev = long(spark, [(r, datetime(2026, 1, 1) + timedelta(minutes=rng.randint(0, 9000)), rng.choice(("high", "low", None, "x")), heights(r)) for r in "ABCDEF" for _ in range(40)] + [("G", datetime(2026, 1, 1), "low", None)], "station string, time timestamp, type string, height double")
+    number = lambda: rng.choice((None, 0.0, -1.5, 0.5, 2.0, 1.2345))
+    st = long(spark, [(i % 70, "ABCDEFGH"[i % 8], rng.choice((None, 30, -20)), rng.randint(-90, 90), number(), number(), rng.choice(("ratio", "fixed", "other"))) for i in range(80)], "id int, reference string, high_minutes int, low_minutes int, high_height double, low_height double, height_kind string")
+    whole = tides.subordinate_tides(ev, st)[0].groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("time").alias("first"), F.max("height").alias("highest"), F.min("height").alias("lowest"))
+    assert sorted(map(repr, tides.subordinate_ranges(ev, st).collect())) == sorted(map(repr, whole.collect()))
+    plan = tides.subordinate_ranges(ev, st)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.rindex("Aggregate")  # events are summed up before stations meet them
+
+
 def test_outdated_runs(spark):
     rules = long(spark, [("a", 10), ("a/b", 400), ("a/b", 300), ("", 20), (None, 1)], "prefix string, days int")
     old, new = datetime(2026, 1, 1), datetime(2026, 2, 25)
