@@ -289,6 +289,13 @@ def test_tides(spark):
     assert [r["id"] for r in wrong.collect()] == ["T"]
 
 
+def test_geometries_read_texts_once(spark):
+    """A text is split in one place of the plan, however often its points are looked at."""
+    df = long(spark, [("1 2", "0 0 0 1 1 1", ["0,0 0,1 1,1"])], "a string, b string, c array<string>")
+    for shape, n in ((geometry.georss(F.col("a"), F.col("b")), 2), (geometry.placemark(F.col("a"), F.col("b"), F.col("b")), 6), (geometry.cap_polygons(F.col("c")), 2)):
+        assert df.select(shape.alias("g"))._jdf.queryExecution().optimizedPlan().toString().count("split(") == n
+
+
 def test_tide_ranges(spark):
     """The same figures as from all tides, with odd heights, types and offsets."""
     rng = random.Random(4)
