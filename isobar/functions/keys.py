@@ -95,14 +95,19 @@ def iso_or_text(x: Column) -> Column:
     return F.coalesce(F.date_format(F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text).try_cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'+00:00'"), text)
 
 
+def filled(x: Column) -> Column:
+    """A text, or null if it is empty. Other than by nullif, x is made once, however deep it is nested."""
+    return F.get(F.array_remove(F.array(x.cast("string")), ""), F.lit(0))
+
+
 def given(*columns: Column) -> Column:
     """The first value that is neither null nor empty."""
-    return F.coalesce(*[F.nullif(c, F.lit("")) for c in columns])
+    return F.coalesce(*[filled(c) for c in columns])
 
 
 def compact_text(x: Column) -> Column:
     """White space runs (Unicode's too) as one space, no outer space; null if nothing is left."""
-    return F.nullif(F.trim(F.regexp_replace(x, SPACES, " ")), F.lit(""))
+    return filled(F.trim(F.regexp_replace(x, SPACES, " ")))
 
 
 def first_alias(*columns: Column) -> Column:

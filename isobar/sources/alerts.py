@@ -134,7 +134,8 @@ def cap_feeds(raw: DataFrame, provider: str = "METEOALARM", attribution: str = "
     options = {"ignoreNamespace": "true", "mode": "PERMISSIVE"}
     feeds = raw.select("url", "document", F.from_xml("document", f"entry array<{one}>", options)["entry"].alias("entries"))
     alone = F.when(F.col("document").rlike(r"^\s*(<\?[^>]*>\s*|<!--.*?-->\s*)*<([\w.-]+:)?alert[\s>]"), F.array(F.from_xml("document", _ENTRY, options)))
-    rows = feeds.select("url", F.explode(F.coalesce(F.filter("entries", lambda e: e.isNotNull()), alone)).alias("e"))
+    # outer, as plain explode's filter on its input would have each document parsed once more for each of its conditions
+    rows = feeds.select("url", F.explode_outer(F.coalesce(F.filter("entries", lambda e: e.isNotNull()), alone)).alias("e")).filter("e is not null")
 
     def text(*names: str) -> Column:
         found = []

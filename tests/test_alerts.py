@@ -6,6 +6,7 @@ import zipfile
 
 from pyspark.sql import functions as F
 
+from isobar.functions import keys
 from isobar.operators import feeds
 from isobar.sources import alerts, documents, sinks
 from isobar.sources import feeds as sources
@@ -82,6 +83,18 @@ def test_cap_feeds(spark):
     assert {r["provider"]: r["status"] for r in status.collect()} == {"METEOALARM": "partial", "X": "skipped"}
 
 
+def test_cap_feeds_read_documents_once(spark):
+    """A document is parsed as a feed in one place of the plan and as an alert in another; compacting writes a text down once."""
+    df = spark.createDataFrame([("u", FEED), ("u", None), (None, "<feed>"), ("u", "<alert")], "url string, document string")
+    found = alerts.cap_feeds(df)
+    parsed = [x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "from_xml(" in x]
+    assert sum(x.count("from_xml(") for x in parsed) == 2
+    text = spark.range(1).select(F.coalesce(keys.compact_text(F.col("id").cast("string")), keys.given(keys.compact_text(F.concat("id", F.lit(" b "))))).alias("x"))
+    assert text._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == 2 and text.first()["x"] == "0"
+    assert [r["x"] for r in spark.createDataFrame([("",), (None,), (" \t",), (" a  b",)], "x string").select(keys.compact_text(F.col("x")).alias("x")).collect()] == [None, None, None, "a b"]
+    assert {r["id"] for r in found.collect()} >= {"e2"}
+
+
 def test_disaster_items(spark):
     rss = """<rss xmlns:georss="http://www.georss.org/georss" xmlns:gdacs="http://www.gdacs.org"><channel><item><title>Cyclone A</title><guid>g1</guid><gdacs:severity>Red</gdacs:severity><pubDate>Wed, 01 May 2024</pubDate><georss:point>1 2</georss:point></item><item><title>b</title><link>l2</link></item></channel></rss>"""
     got = rows(alerts.disaster_items(raw(spark, rss, "<rss>"), "u"))
