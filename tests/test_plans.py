@@ -32,3 +32,14 @@ def test_same_rows(spark, tables, name):
     assert cols == sorted(theirs.columns)
     place = [theirs.columns.index(c) for c in cols]
     assert sorted([text(r[c]) for c in cols] for r in ours.collect()) == sorted([text(r[i]) for i in place] for r in theirs.fetchall())
+
+
+def test_consensus_tasks_grow_with_rows(spark, monkeypatch):
+    """A task of the consensus takes so many rows, whatever the table has; the rows stay the same."""
+    from isobar.plans import consensus
+
+    whole = consensus.family_balanced_consensus(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(consensus, "ROWS_A_TASK", 100)
+    dealt = consensus.family_balanced_consensus(spark, "/root/testdata/sf0.001")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(dealt) == rows(whole) and dealt.rdd.getNumPartitions() >= 60
