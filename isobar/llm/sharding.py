@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from .common import free_name
 
@@ -19,27 +20,31 @@ BUCKET_ROWS = 1 << 18
 def row_numbers(df: DataFrame, out: str, total: str, buckets: int | None = None) -> DataFrame:
     """df with out, a number from 0 to total - 1 of its own for each row, and total, the count of rows.
 
-    Rows go by the hash of all their columns to buckets (by default one for BUCKET_ROWS rows, 4096 at least), are numbered
-    within them in the order of all their columns, and start where the buckets before end. Nothing depends on partitions or
+    Rows go by 128 bits of hash of all their columns to buckets (by default one for BUCKET_ROWS rows, 4096 at least), are
+    numbered within them in the order of the hashes, and start where the buckets before end. Nothing depends on partitions or
     on the order of input, so tasks that run again give the same numbers. Rows alike in all columns are counted first and
-    written out again after the numbering, so a row that makes up a third of the table is one row in its bucket. A row a
-    bucket is broadcast. Columns must be of types that can be grouped (no maps) and may have any names.
+    written out again after the numbering, so a row that makes up a third of the table is one row in its bucket. Numbers are
+    made from hashes and counts alone; whole rows are shuffled once, to meet theirs. A row a bucket is broadcast. Columns must
+    be of types that can be grouped (no maps) and may have any names.
     """
-    cols = df.columns
     if buckets is None:
         buckets = max(4096, df.count() // BUCKET_ROWS)
-    copies, bucket, size, start, first, k = (free_name(df, f"_{n}") for n in ("copies", "bucket", "size", "start", "first", "k"))
-    quoted = [F.col(f"`{c}`") for c in cols]
-    once = df.groupBy(*quoted).agg(F.count(F.lit(1)).alias(copies))
-    once = once.withColumn(bucket, F.pmod(F.xxhash64(*quoted), F.lit(buckets)).cast("int"))
-    sizes = once.groupBy(bucket).agg(F.sum(copies).alias(size))
+    one, two, copies, bucket, size, start, first, k = (free_name(df, f"_{n}") for n in ("one", "two", "copies", "bucket", "size", "start", "first", "k"))
+    quoted = [F.col(f"`{c}`") for c in df.columns]
+    # a hash passes over nulls, in a column and inside arrays and structs
+    whole = [F.to_json(F.struct(c), {"ignoreNullFields": "false"}) if isinstance(f.dataType, (ArrayType, StructType)) else c for c, f in zip(quoted, df.schema, strict=True)]
+    hashed = lambda seed: F.xxhash64(F.lit(seed), *[c.isNull() for c in quoted], *whole)
+    keyed = df.withColumns({one: hashed(1), two: hashed(2)})
+    counts = keyed.groupBy(one, two).agg(F.count(F.lit(1)).alias(copies)).withColumn(bucket, F.pmod(F.col(one), F.lit(buckets)).cast("int"))
+    sizes = counts.groupBy(bucket).agg(F.sum(copies).alias(size))
     before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy(F.lit(0))
     starts = sizes.select(bucket, F.coalesce(F.sum(size).over(before), F.lit(0)).alias(start), F.sum(size).over(every).alias(total))
-    inside = Window.partitionBy(bucket).orderBy(*quoted).rowsBetween(Window.unboundedPreceding, -1)
-    placed = once.withColumn(first, F.coalesce(F.sum(copies).over(inside), F.lit(0))).join(F.broadcast(starts), bucket)
-    rows = placed.select(*quoted, F.explode(F.sequence(F.lit(0).cast("long"), F.col(copies) - 1)).alias(k), start, first, total)
-    return rows.select(*quoted, (F.col(start) + F.col(first) + F.col(k)).alias(out), total)
+    inside = Window.partitionBy(bucket).orderBy(one, two).rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn(first, F.coalesce(F.sum(copies).over(inside), F.lit(0))).join(F.broadcast(starts), bucket).select(one, two, copies, (F.col(start) + F.col(first)).alias(start), total)
+    once = keyed.groupBy(one, two).agg(*[F.first(c).alias(n) for c, n in zip(quoted, df.columns, strict=True)])
+    rows = once.join(placed, [one, two]).select(*quoted, F.explode(F.sequence(F.lit(0).cast("long"), F.col(copies) - 1)).alias(k), start, total)
+    return rows.select(*quoted, (F.col(start) + F.col(k)).alias(out), total)
 
 
 def feistel(x: Column, bits: Column, seed: int) -> Column:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import time
 import zlib
 
@@ -339,6 +340,23 @@ def test_sharding_is_a_permutation(spark, docs, texts):
     assert {(r["doc_id"], r["row_number"], r["perm"]) for r in out} == {(r["doc_id"], r["row_number"], r["perm"]) for r in again}
 
 
+def test_sharding_moves_whole_rows_once(spark, docs):
+    """Numbers come from hashes: of all exchanges a single one holds texts."""
+    plan = sharding.shard_rows(docs, 5, buckets=16)._jdf.queryExecution()
+    told = spark._sc._jvm.PythonSQLUtils.explainString(plan, "formatted")
+    moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", told)
+    assert len(moved) > 3 and sum("text#" in x or "first#" in x for x in moved) == 1
+
+
+def test_sharding_tells_rows_apart_by_nulls(spark):
+    """Rows that differ by where a null stands, in columns or inside of them, are different rows; alike ones get places each."""
+    kind = "a string, b string, c array<string>, d struct<x: string, y: string>"
+    rows = [("v", None, [None, "w"], ("z", None)), (None, "v", [None, "w"], ("z", None)), ("v", None, ["w"], ("z", None)), ("v", None, [None, "w"], (None, "z")), ("v", None, None, None)]
+    out = sharding.shard_rows(spark.createDataFrame(rows * 3, kind), 4).collect()
+    assert sorted(map(repr, (tuple(r)[:4] for r in out))) == sorted(map(repr, (tuple(r) for r in spark.createDataFrame(rows * 3, kind).collect())))
+    assert sorted(r["row_number"] for r in out) == list(range(15)) and {r["n_rows"] for r in out} == {15}
+
+
 def test_sharding_by_row_number_alone(spark):
     """shard and slot come from the row number, its count and the seed."""
     n, bits = 100, 7
